@@ -140,10 +140,10 @@ def _epoch(
             )
         ),
     ).distinct()
-    lent = touched.join(vectors, ["side", "idx"])
+    lent = touched.withColumnRenamed("block", "lent_to").join(vectors, ["side", "idx"])
     changes = (
         triples.groupBy("block")
-        .cogroup(lent.groupBy("block"))
+        .cogroup(lent.groupBy("lent_to"))
         .applyInArrow(
             _block_steps(rate, reg, seed + epoch), "side int, idx bigint, change array<double>, steps double"
         )

@@ -19,7 +19,7 @@ MISSING = "null"
 
 def pair_actions(tracker: DataFrame, actions: Sequence[str]) -> DataFrame:
     """Events per (user, item), one column per action; 0 where there are none."""
-    counts = tracker.groupBy(*PAIR).pivot("action_type", list(actions)).agg(F.count("*"))
+    counts = tracker.groupBy(*PAIR).pivot("action_type", list(actions)).agg(F.count(F.lit(1)))
     return zero_fill(counts, list(actions))
 
 

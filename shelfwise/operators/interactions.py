@@ -246,9 +246,11 @@ def interaction_features(
     labelled = _with_outcomes(days, orders).withColumn("_positive", _label_sum(label) > 0)
 
     pair = Window.partitionBy(*PAIR)
+    # Ordered like the rolling sums, so all windows share one sort.
+    whole = pair.orderBy(F.unix_date("date")).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     sums = _rolling_sums(actions, windows, direction)
     rows = labelled.withColumns(
-        {"first_pos_date": F.min(F.when(F.col("_positive"), F.col("date"))).over(pair), **sums}
+        {"first_pos_date": F.min(F.when(F.col("_positive"), F.col("date"))).over(whole), **sums}
     ).withColumn("target", _reached(horizon_days))
     if drop_duplicate_targets:
         rows = rows.withColumn("target", F.max("target").over(pair))

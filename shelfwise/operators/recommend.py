@@ -56,7 +56,7 @@ def by_position(popular: DataFrame, n: int) -> DataFrame:
 def with_fallback(users: DataFrame, known: DataFrame, popular: DataFrame, user_map: DataFrame) -> DataFrame:
     """Known users keep their lists, the others get the popular one."""
     columns = ["user_id", "rank", "item_id", "score"]
-    mine = known.join(users.select("user_id").distinct(), "user_id", "left_semi").select(*columns)
+    mine = known.join(known_users(users, user_map), "user_id", "left_semi").select(*columns)
     return mine.unionByName(popular_lists(cold_users(users, user_map), popular).select(*columns))
 
 
@@ -120,7 +120,8 @@ def dot_top_n(
         ids = F.col(key).cast("long")
         return df.select(
             ids.alias(key),
-            "vector",
+            # Both sides may come from one table; the alias keeps their columns apart.
+            F.col("vector").alias("vector"),
             F.pmod(F.xxhash64(ids), F.lit(groups)).cast("int").alias(own),
             F.explode(F.sequence(F.lit(0), F.lit(copies - 1))).alias(other),
         )
