@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shelfwise.catalog.tables import ACTIONS, TRAIN_END, VALID_END, items, orders, tracker
+from shelfwise.catalog.tables import ACTIONS, TRAIN_END, VALID_END, items, orders, table, tracker
 from shelfwise.functions import expressions as ex
 from shelfwise.functions import labels
 from shelfwise.models.bpr import bpr_triples
@@ -39,24 +39,25 @@ QUERIES: dict[str, Query] = {}
 
 
 def _portable(df: DataFrame) -> DataFrame:
-    def column(field: T.StructField):
-        col, kind = F.col(f"`{field.name}`"), field.dataType
+    def column(field: T.StructField) -> str:
+        name, kind = f"`{field.name}`", field.dataType
+        text = name
         if isinstance(kind, T.DateType):
-            col = F.date_format(col, "yyyy-MM-dd")
+            text = f"date_format({name}, 'yyyy-MM-dd')"
         elif isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
-            col = F.date_format(col, "yyyy-MM-dd HH:mm:ss")
+            text = f"date_format({name}, 'yyyy-MM-dd HH:mm:ss')"
         elif isinstance(kind, (T.BooleanType, T.IntegralType)):
-            col = col.cast("long")
+            text = f"CAST({name} AS BIGINT)"
         elif isinstance(kind, (T.FloatType, T.DoubleType)):
-            col = F.round(col.cast("double"), 6) + F.lit(0.0)
+            text = f"round(CAST({name} AS DOUBLE), 6) + 0D"
         elif isinstance(kind, T.ArrayType):
-            item = kind.elementType
-            if isinstance(item, (T.FloatType, T.DoubleType)):
-                col = F.transform(col, lambda v: F.round(v.cast("double") * 1e6, 0).cast("long"))
-            col = F.array_join(F.transform(col, lambda v: v.cast("string")), " ")
-        return col.alias(field.name)
+            entry = "v"
+            if isinstance(kind.elementType, (T.FloatType, T.DoubleType)):
+                entry = "CAST(round(CAST(v AS DOUBLE) * 1000000D, 0) AS BIGINT)"
+            text = f"array_join(transform({name}, v -> CAST({entry} AS STRING)), ' ')"
+        return f"{text} AS {name}"
 
-    return df.select(*[column(f) for f in df.schema.fields])
+    return df.selectExpr(*[column(f) for f in df.schema.fields])
 
 
 def query(build: Query) -> Query:
@@ -117,8 +118,8 @@ def _features(spark, d, **options) -> DataFrame:
 
 
 def _frequency(spark, d, share: float) -> DataFrame:
-    table = items(spark, d)
-    return item_ops.attribute_frequency(item_ops.item_attributes(table), table.count(), share)
+    things = items(spark, d)
+    return item_ops.attribute_frequency(item_ops.item_attributes(things), things.count(), share)
 
 
 # ---- scans and sinks ----
@@ -200,7 +201,7 @@ def coerce_features(spark, d):
 @query
 def safe_attr_names(spark, d):
     values = item_ops.item_attributes(items(spark, d)).select("attr_value")
-    priorities = spark.read.parquet(f"{d}/orders.parquet").select(F.col("o_orderpriority").alias("attr_value"))
+    priorities = table(spark, d, "orders").select(F.col("o_orderpriority").alias("attr_value"))
     texts = values.unionByName(priorities).distinct()
     return texts.select("attr_value", ex.safe_name_of("attr_value").alias("safe"))
 
@@ -213,9 +214,8 @@ def item_attrs_long(spark, d):
 @query
 def labels_all(spark, d):
     joined = interactions.join_tracker_orders(tracker(spark, d), orders(spark, d))
-    action, status = F.col("action_type"), F.col("last_status")
-    rating = [f(action, status).alias(name) for name, f in labels.RATING_LABELS.items()]
-    target = [f(action, status).alias(f"target_{name}") for name, f in labels.TARGET_LABELS.items()]
+    rating = [label.column().alias(name) for name, label in labels.RATING_LABELS.items()]
+    target = [label.column().alias(f"target_{name}") for name, label in labels.TARGET_LABELS.items()]
     return joined.select("user_id", "item_id", "date", "action_type", "last_status", *rating, *target)
 
 
@@ -288,7 +288,7 @@ def inter_features_horizon(spark, d):
 
 
 def _view(spark, d) -> DataFrame:
-    users = spark.read.parquet(f"{d}/customer.parquet").withColumnRenamed("c_custkey", "user_id")
+    users = table(spark, d, "customer").withColumnRenamed("c_custkey", "user_id")
     inter = _features(spark, d).select("date", "user_id", "item_id", "target", "cnt_to_cart_sum_7d_past")
     return sequences.training_view(
         inter,
@@ -565,7 +565,7 @@ def fallback_by_position(spark, d):
 
 @query
 def dot_topk(spark, d):
-    vectors = spark.read.parquet(f"{d}/embeddings.parquet")
+    vectors = table(spark, d, "embeddings")
     users = vectors.select(F.col("vec_id").alias("user_id"), F.col("embedding").alias("vector"))
     things = vectors.select(F.col("vec_id").alias("item_id"), F.col("embedding").alias("vector"))
     return recommend.dot_top_n(users, things, 10)

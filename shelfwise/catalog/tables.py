@@ -7,7 +7,6 @@ one in three reaching its last status a day later, one in four cancelled.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 # Split edges inside the generated month, in epoch seconds.
 TRAIN_END = 1_705_363_200
@@ -23,62 +22,65 @@ ACTION_OF_EVENT = {
 OTHER_ACTION = "remove"
 ACTIONS = sorted([*ACTION_OF_EVENT.values(), OTHER_ACTION])
 
+# Schemas are stated, so that planning a query starts no job to look into files.
+_SCHEMAS = {
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, props string",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int",
+    "embeddings": "vec_id bigint, embedding array<float>",
+    "customer": "c_custkey bigint, c_nationkey int, c_mktsegment string",
+    "orders": "o_orderpriority string",
+}
+_ITEM_ID = "CAST(get_json_object(props, '$.k') AS BIGINT) AS item_id"
+
 
-def _item_id():
-    return F.get_json_object("props", "$.k").cast("long").alias("item_id")
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.schema(_SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def tracker(spark: SparkSession, sf_dir: str) -> DataFrame:
-    action = F.when(F.lit(False), F.lit(None))
-    for event, name in ACTION_OF_EVENT.items():
-        action = action.when(F.col("event_type") == event, name)
-    return spark.read.parquet(f"{sf_dir}/events.parquet").select(
+    known = " ".join(f"WHEN '{event}' THEN '{action}'" for event, action in ACTION_OF_EVENT.items())
+    return table(spark, sf_dir, "events").selectExpr(
         "user_id",
-        _item_id(),
-        F.col("ts").alias("timestamp"),
-        action.otherwise(OTHER_ACTION).alias("action_type"),
-        F.col("event_type").alias("action_widget"),
+        _ITEM_ID,
+        "ts AS timestamp",
+        f"CASE event_type {known} ELSE '{OTHER_ACTION}' END AS action_type",
+        "event_type AS action_widget",
     )
 
 
 def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = spark.read.parquet(f"{sf_dir}/events.parquet").where(F.col("event_type") == "purchase")
-    return events.select(
+    return table(spark, sf_dir, "events").where("event_type = 'purchase'").selectExpr(
         "user_id",
-        _item_id(),
-        F.col("ts").alias("created_timestamp"),
-        F.when(F.col("event_id") % 4 == 3, "canceled_orders").otherwise("delivered_orders").alias("last_status"),
-        F.when(F.col("event_id") % 3 == 0, F.col("ts") + F.expr("INTERVAL 1 DAY"))
-        .otherwise(F.col("ts"))
-        .alias("last_status_timestamp"),
+        _ITEM_ID,
+        "ts AS created_timestamp",
+        "CASE WHEN event_id % 4 = 3 THEN 'canceled_orders' ELSE 'delivered_orders' END AS last_status",
+        "CASE WHEN event_id % 3 = 0 THEN ts + INTERVAL 1 DAY ELSE ts END AS last_status_timestamp",
     )
 
 
-def _attribute(name: str, value, aspect: bool):
-    return F.struct(
-        F.lit(name).alias("attribute_name"),
-        value.alias("attribute_value"),
-        F.lit(aspect).alias("attribute_isaspect"),
-        F.lit(not aspect).alias("attribute_showascharacteristic"),
+def _attribute(name: str, value: str, aspect: bool) -> str:
+    return (
+        f"named_struct('attribute_name', '{name}', 'attribute_value', {value}, "
+        f"'attribute_isaspect', {aspect}, 'attribute_showascharacteristic', {not aspect})"
     )
 
 
 def items(spark: SparkSession, sf_dir: str) -> DataFrame:
-    part = spark.read.parquet(f"{sf_dir}/part.parquet")
-    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet").select("vec_id", "embedding")
-    words = F.split("p_name", " ")
-    attributes = F.array(
-        _attribute("Type", F.col("p_type"), False),
-        _attribute("Brand", F.col("p_brand"), False),
-        _attribute("ColorBase", words[0], True),
-        _attribute("Material", words[1], True),
+    part, vectors = table(spark, sf_dir, "part"), table(spark, sf_dir, "embeddings")
+    attributes = ", ".join(
+        [
+            _attribute("Type", "p_type", False),
+            _attribute("Brand", "p_brand", False),
+            _attribute("ColorBase", "split(p_name, ' ')[0]", True),
+            _attribute("Material", "split(p_name, ' ')[1]", True),
+        ]
     )
-    return part.join(vectors, part["p_partkey"] == vectors["vec_id"], "left").select(
-        F.col("p_partkey").alias("item_id"),
-        F.col("p_size").alias("catalogid"),
-        (F.col("p_partkey") % 97).alias("variant_id"),
-        (F.col("p_partkey") % 31).alias("model_id"),
-        F.col("p_name").alias("itemname"),
-        F.col("embedding").alias("fclip_embed"),
-        F.when(F.col("p_size") > 45, F.slice(attributes, 1, 0)).otherwise(attributes).alias("attributes"),
+    return part.join(vectors, part["p_partkey"] == vectors["vec_id"], "left").selectExpr(
+        "p_partkey AS item_id",
+        "p_size AS catalogid",
+        "p_partkey % 97 AS variant_id",
+        "p_partkey % 31 AS model_id",
+        "p_name AS itemname",
+        "embedding AS fclip_embed",
+        f"CASE WHEN p_size > 45 THEN slice(array({attributes}), 1, 0) ELSE array({attributes}) END AS attributes",
     )

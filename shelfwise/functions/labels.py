@@ -1,19 +1,17 @@
-"""Interaction labels as functions of an action column and an order-status column.
+"""Interaction labels as SQL expressions of an action and an order status.
 
-A label is ``f(action, status) -> Column``. Passing columns labels rows; passing
-literals gives the weight of one (action, status) combination, which is how the
-pre-aggregated operators label whole days of events at once.
+A label names no columns of its own. Over columns it labels rows; over literals it gives
+the weight of one (action, status) combination, which is how the pre-aggregated operators
+label whole days of events at once.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from dataclasses import dataclass
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-Label = Callable[[Column, Column], Column]
-
 # Status and action names of the event logs.
 DELIVERED = "delivered_orders"
 CANCELED = "canceled_orders"
@@ -31,58 +29,50 @@ ACTION_TYPES = (
 DELIVERED_WEIGHT = 5.0
 ACTION_WEIGHTS = {"to_cart": 3.0, "favorite": 3.0, "view_description": 1.0, "review_view": 1.0}
 
-# Every action some label looks at; all other actions are alike to every label.
+# Every action some label looks at; all other actions are alike to every label. Of the
+# status, labels only see whether it is the delivered one.
 LABELLED_ACTIONS = tuple(ACTION_WEIGHTS)
 
 
-def _graded(action: Column, status: Column, delivered: float, weights: dict[str, float]) -> Column:
-    value = F.when(status == DELIVERED, F.lit(delivered))
-    for name, weight in weights.items():
-        value = value.when(action == name, F.lit(weight))
-    return value.otherwise(F.lit(0.0))
-
-
-def delivered(action: Column, status: Column) -> Column:
-    """1 where the matched order was delivered; null where there is no order."""
-    return (status == DELIVERED).cast("float")
-
-
-def to_cart(action: Column, status: Column) -> Column:
-    return (action == "to_cart").cast("float")
+@dataclass(frozen=True)
+class Label:
+    """SQL template over ``{action}`` and ``{status}``, cast to ``kind``."""
 
+    template: str
+    kind: str = "float"
 
-def to_cart_and_delivered(action: Column, status: Column) -> Column:
-    return ((action == "to_cart") & (status == DELIVERED)).cast("float")
+    def sql(self, action: str = "action_type", status: str = "last_status") -> str:
+        return f"CAST({self.template.format(action=action, status=status)} AS {self.kind})"
 
+    def column(self, action: str = "action_type", status: str = "last_status") -> Column:
+        return F.expr(self.sql(action, status))
 
-def combined(action: Column, status: Column) -> Column:
-    """Graded weight of the strongest signal on the row."""
-    return _graded(action, status, DELIVERED_WEIGHT, ACTION_WEIGHTS).cast("float")
 
+def _graded(delivered: float, weights: dict[str, float]) -> str:
+    """The first matching rule decides: delivered, then the actions in the given order."""
+    rules = [f"WHEN {{status}} = '{DELIVERED}' THEN {delivered}D"]
+    rules += [f"WHEN {{action}} = '{name}' THEN {weight}D" for name, weight in weights.items()]
+    return f"CASE {' '.join(rules)} ELSE 0D END"
 
-def combined2(action: Column, status: Column) -> Column:
-    """1 for a delivered order, a cart or a favorite."""
-    return _graded(action, status, 1.0, {"to_cart": 1.0, "favorite": 1.0}).cast("float")
-
-
-def target_delivered(action: Column, status: Column) -> Column:
-    return delivered(action, status).cast("tinyint")
-
-
-def target_combined(action: Column, status: Column) -> Column:
-    """Binary feature target: delivered or put in the cart."""
-    return _graded(action, status, 1.0, {"to_cart": 1.0}).cast("tinyint")
 
+_IS_DELIVERED = f"({{status}} = '{DELIVERED}')"
+_IS_TO_CART = "({action} = 'to_cart')"
 
 RATING_LABELS: dict[str, Label] = {
-    "to_cart_and_delivered": to_cart_and_delivered,
-    "to_cart": to_cart,
-    "delivered": delivered,
-    "combined": combined,
-    "combined2": combined2,
+    "to_cart_and_delivered": Label(f"({_IS_TO_CART} AND {_IS_DELIVERED})"),
+    "to_cart": Label(_IS_TO_CART),
+    # Null, not 0, where there is no order.
+    "delivered": Label(_IS_DELIVERED),
+    # Graded weight of the strongest signal.
+    "combined": Label(_graded(DELIVERED_WEIGHT, ACTION_WEIGHTS)),
+    "combined2": Label(_graded(1.0, {"to_cart": 1.0, "favorite": 1.0})),
 }
 
-TARGET_LABELS: dict[str, Label] = {"delivered": target_delivered, "combined": target_combined}
+# Binary targets of the feature table.
+TARGET_LABELS: dict[str, Label] = {
+    "delivered": Label(_IS_DELIVERED, "tinyint"),
+    "combined": Label(_graded(1.0, {"to_cart": 1.0}), "tinyint"),
+}
 
 
 def rating_label(name: str) -> Label:

@@ -4,16 +4,16 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from itertools import accumulate
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def _ideal(k: int) -> Column:
+def _ideal(k: int) -> str:
     """Best possible DCG at ``k`` for a user with ``n_truth`` true items."""
-    gains = [1.0 / math.log2(i + 1) for i in range(1, k + 1)]
-    prefix = [sum(gains[: i + 1]) for i in range(k)]
-    return F.element_at(F.array(*map(F.lit, prefix)), F.least(F.col("n_truth"), F.lit(k)).cast("int"))
+    best = accumulate(1.0 / math.log2(position + 1) for position in range(1, k + 1))
+    return f"element_at(array({', '.join(f'{gain!r}D' for gain in best)}), CAST(least(n_truth, {k}) AS INT))"
 
 
 def user_metrics(predictions: DataFrame, truth: DataFrame, ks: Sequence[int]) -> DataFrame:
@@ -22,26 +22,26 @@ def user_metrics(predictions: DataFrame, truth: DataFrame, ks: Sequence[int]) ->
     Predictions and truth meet in one aggregation by (user, item) and are summed by user;
     both combine on the map side, so a user with very many true items is no hot spot.
     """
-    ranked = predictions.select("user_id", "item_id", "rank", F.lit(0).alias("_true"))
-    wanted = truth.select("user_id", "item_id", F.lit(None).cast("int").alias("rank"), F.lit(1).alias("_true"))
+    ranked = predictions.selectExpr("user_id", "item_id", "CAST(rank AS INT) AS rank", "0 AS wanted")
+    wanted = truth.selectExpr("user_id", "item_id", "CAST(NULL AS INT) AS rank", "1 AS wanted")
     pairs = ranked.unionByName(wanted).groupBy("user_id", "item_id").agg(
-        F.min("rank").alias("rank"), F.max("_true").alias("_true")
+        F.expr("min(rank) AS rank"), F.expr("max(wanted) AS wanted")
     )
-    hit = F.col("_true") == 1
-    sums = [F.count("rank").alias("n_ranked"), F.count_if(hit).alias("n_truth")]
+    sums = ["count(rank) AS n_ranked", "count_if(wanted = 1) AS n_truth"]
+    means = []
     for k in ks:
-        found = hit & (F.col("rank") <= k)
-        sums.append(F.count_if(found).alias(f"_hits_{k}"))
-        sums.append(F.sum(F.when(found, 1.0 / F.log2(F.col("rank") + 1)).otherwise(0.0)).alias(f"_dcg_{k}"))
-    users = pairs.groupBy("user_id").agg(*sums).where((F.col("n_ranked") > 0) & (F.col("n_truth") > 0))
-    recall = [(F.col(f"_hits_{k}") / F.col("n_truth")).alias(f"recall_at_{k}") for k in ks]
-    ndcg = [(F.col(f"_dcg_{k}") / _ideal(k)).alias(f"ndcg_at_{k}") for k in ks]
-    return users.select("user_id", "n_truth", *recall, *ndcg)
+        found = f"wanted = 1 AND rank <= {k}"
+        sums.append(f"count_if({found}) AS hits_{k}")
+        sums.append(f"sum(CASE WHEN {found} THEN 1D / log2(rank + 1) ELSE 0D END) AS dcg_{k}")
+        means.append(f"hits_{k} / n_truth AS recall_at_{k}")
+        means.append(f"dcg_{k} / {_ideal(k)} AS ndcg_at_{k}")
+    users = pairs.groupBy("user_id").agg(*map(F.expr, sums)).where("n_ranked > 0 AND n_truth > 0")
+    return users.selectExpr("user_id", "n_truth", *means)
 
 
 def evaluate(predictions: DataFrame, truth: DataFrame, ks: Sequence[int]) -> DataFrame:
     """``(metric, value)``: recall@k and NDCG@k averaged over users; 0 without users."""
     names = [f"{m}_at_{k}" for k in ks for m in ("recall", "ndcg")]
-    means = user_metrics(predictions, truth, ks).agg(*[F.coalesce(F.avg(n), F.lit(0.0)).alias(n) for n in names])
-    rows = F.array(*[F.struct(F.lit(n).alias("metric"), F.col(n).alias("value")) for n in names])
-    return means.select(F.inline(rows))
+    means = user_metrics(predictions, truth, ks).agg(*[F.expr(f"coalesce(avg({n}), 0D) AS {n}") for n in names])
+    rows = ", ".join(f"named_struct('metric', '{n}', 'value', {n})" for n in names)
+    return means.selectExpr(f"inline(array({rows}))")

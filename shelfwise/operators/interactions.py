@@ -24,10 +24,9 @@ MAX_CATEGORIES = 1_000
 
 def with_day_keys(events: DataFrame, ts: str = "timestamp") -> DataFrame:
     """Ids as 64-bit integers and the event's calendar day in front of all other columns."""
-    own = [c for c in events.columns if c not in (*PAIR, "date")]
-    return events.select(
-        event_date(ts).alias("date"), *[F.col(c).cast("long").alias(c) for c in PAIR], *own
-    )
+    own = [f"`{c}`" for c in events.columns if c not in DAY_KEYS]
+    ids = [f"CAST({c} AS BIGINT) AS {c}" for c in PAIR]
+    return events.selectExpr(f"to_date({ts}) AS date", *ids, *own)
 
 
 def category_values(df: DataFrame, name: str, limit: int = MAX_CATEGORIES) -> list:
@@ -48,13 +47,13 @@ def daily_actions(tracker: DataFrame) -> DataFrame:
     return with_day_keys(tracker).groupBy(*DAY_KEYS, "action_type").agg(F.count("*").alias("cnt"))
 
 
-def _count_of(action: str) -> Column:
-    return F.count_if(F.col("action_type") == action)
+def _counts(actions: Sequence[str], prefix: str) -> list[Column]:
+    return [F.expr(f"count_if(action_type = '{a}')").alias(f"{prefix}{a}") for a in actions]
 
 
 def daily_actions_wide(tracker: DataFrame, actions: Sequence[str]) -> DataFrame:
     """Events per (date, user, item), one ``cnt_<action>`` column per action."""
-    return with_day_keys(tracker).groupBy(*DAY_KEYS).agg(*[_count_of(a).alias(f"cnt_{a}") for a in actions])
+    return with_day_keys(tracker).groupBy(*DAY_KEYS).agg(*_counts(actions, "cnt_"))
 
 
 def join_tracker_orders(tracker: DataFrame, orders: DataFrame) -> DataFrame:
@@ -73,44 +72,37 @@ def daily_outcomes(orders: DataFrame) -> DataFrame:
     """Orders and delivered orders per (date, user, item) of their last status."""
     return (
         with_day_keys(orders, "last_status_timestamp")
-        .where(F.col("date").isNotNull())
+        .where("date IS NOT NULL")
         .groupBy(*DAY_KEYS)
         .agg(
-            F.count("*").alias("n_orders"),
-            F.count_if(F.col("last_status") == DELIVERED).alias("n_delivered"),
+            F.expr("count(*) AS n_orders"),
+            F.expr(f"count_if(last_status = '{DELIVERED}') AS n_delivered"),
         )
     )
 
 
-def _signal(action: str) -> str:
-    return f"_n_{action}"
-
-
 def _signal_counts() -> list[Column]:
-    counts = [_count_of(a).alias(_signal(a)) for a in LABELLED_ACTIONS]
-    return [*counts, F.count("*").alias("_n_events")]
+    return [*_counts(LABELLED_ACTIONS, "_n_"), F.expr("count(*) AS _n_events")]
 
 
-def _label_sum(label: Label) -> Column:
-    """Sum of a label over all (event, order) rows of a day, from the day's counts.
+def _label_sum(label: Label) -> str:
+    """Sum of a label over all (event, order) rows of a day, from the day's counts, as SQL.
 
     Labels look at the named actions and at "delivered or not", so a day's rows fall into
     few groups of equal label. An event without an order stands for one row of null status.
     """
-    delivered = F.coalesce("n_delivered", F.lit(0))
-    other = F.when(F.col("n_orders").isNull(), F.lit(1)).otherwise(F.col("n_orders") - F.col("n_delivered"))
-    unnamed = reduce(lambda left, a: left - F.col(_signal(a)), LABELLED_ACTIONS, F.col("_n_events"))
-    groups = [(F.lit(a), F.col(_signal(a))) for a in LABELLED_ACTIONS]
-    groups.append((F.lit(None).cast("string"), unnamed))
-
-    def weight(action: Column, status: Column) -> Column:
-        return F.coalesce(label(action, status).cast("double"), F.lit(0.0))
-
-    total = F.lit(0.0)
-    for action, events in groups:
-        per_event = delivered * weight(action, F.lit(DELIVERED)) + other * weight(action, F.lit(None).cast("string"))
-        total = total + events * per_event
-    return total
+    named = [(f"'{a}'", f"_n_{a}") for a in LABELLED_ACTIONS]
+    unnamed = " - ".join(["_n_events", *[count for _, count in named]])
+    statuses = {
+        f"'{DELIVERED}'": "coalesce(n_delivered, 0)",
+        "CAST(NULL AS STRING)": "coalesce(n_orders - n_delivered, 1)",
+    }
+    terms = [
+        f"({events}) * {rows} * CAST(coalesce({label.sql(action, status)}, 0) AS DOUBLE)"
+        for action, events in [*named, ("CAST(NULL AS STRING)", unnamed)]
+        for status, rows in statuses.items()
+    ]
+    return " + ".join(terms)
 
 
 def labelled_days(tracker: DataFrame, orders: DataFrame | None, label: Label) -> DataFrame:
@@ -119,13 +111,12 @@ def labelled_days(tracker: DataFrame, orders: DataFrame | None, label: Label) ->
     Without orders every status is null.
     """
     days = with_day_keys(tracker).groupBy(*DAY_KEYS).agg(*_signal_counts())
-    return _with_outcomes(days, orders).select(*DAY_KEYS, _label_sum(label).alias("label_sum"))
+    return _with_outcomes(days, orders).selectExpr(*DAY_KEYS, f"{_label_sum(label)} AS label_sum")
 
 
 def _with_outcomes(days: DataFrame, orders: DataFrame | None) -> DataFrame:
     if orders is None:
-        nothing = F.lit(None).cast("long")
-        return days.withColumns({"n_orders": nothing, "n_delivered": nothing})
+        return days.selectExpr("*", "CAST(NULL AS BIGINT) AS n_orders", "CAST(NULL AS BIGINT) AS n_delivered")
     return days.join(daily_outcomes(orders), list(DAY_KEYS), "left")
 
 
@@ -135,12 +126,9 @@ def first_positive(tracker: DataFrame, orders: DataFrame | None, label: Label) -
     return positive.groupBy(*PAIR).agg(F.min("date").alias("first_pos_date"))
 
 
-def _reached(horizon_days: int) -> Column:
-    first, day = F.col("first_pos_date"), F.col("date")
-    hit = first >= day
-    if horizon_days > 0:
-        hit = hit & (first <= F.date_add(day, horizon_days))
-    return F.when(hit, 1).otherwise(0)
+def _reached(horizon_days: int) -> str:
+    within = f" AND first_pos_date <= date_add(date, {int(horizon_days)})" if horizon_days > 0 else ""
+    return f"CASE WHEN first_pos_date >= date{within} THEN 1 ELSE 0 END"
 
 
 def horizon_target(basis_days: DataFrame, first: DataFrame, horizon_days: int = 0) -> DataFrame:
@@ -149,7 +137,7 @@ def horizon_target(basis_days: DataFrame, first: DataFrame, horizon_days: int =
     A horizon of 0 is unlimited.
     """
     joined = basis_days.join(first, list(PAIR), "left")
-    return joined.select(*DAY_KEYS, _reached(horizon_days).alias("target"))
+    return joined.selectExpr(*DAY_KEYS, f"{_reached(horizon_days)} AS target")
 
 
 def dedup_target(target: DataFrame) -> DataFrame:
@@ -170,16 +158,20 @@ def rolled(action: str, window: str) -> str:
     return f"cnt_{action}_sum_{window.strip().lower()}_past"
 
 
-def _rolling_sums(actions: Sequence[str], windows: Sequence[str], direction: str) -> dict[str, Column]:
+# Rows of a pair in the order of days; every window over it shares one sort.
+_BY_DAY = "PARTITION BY user_id, item_id ORDER BY unix_date(date)"
+
+
+def _rolling_sums(actions: Sequence[str], windows: Sequence[str], direction: str) -> list[str]:
     if direction not in ("past", "forward"):
         raise ValueError(f"direction is 'past' or 'forward', not {direction!r}")
-    by_day = Window.partitionBy(*PAIR).orderBy(F.unix_date("date"))
-    sums = {}
+    sums = []
     for window in windows:
         days = window_days(window)
-        frame = by_day.rangeBetween(-days, -1) if direction == "past" else by_day.rangeBetween(0, days - 1)
-        for action in actions:
-            sums[rolled(action, window)] = F.coalesce(F.sum(f"cnt_{action}").over(frame), F.lit(0))
+        past = f"{days} PRECEDING AND 1 PRECEDING"
+        forward = f"CURRENT ROW AND {days - 1} FOLLOWING"
+        frame = f"({_BY_DAY} RANGE BETWEEN {past if direction == 'past' else forward})"
+        sums += [f"coalesce(sum(`cnt_{a}`) OVER {frame}, 0) AS `{rolled(a, window)}`" for a in actions]
     return sums
 
 
@@ -191,8 +183,7 @@ def rolling_actions(
     ``past`` sums the days ``[date - w, date)``; ``forward`` sums ``[date, date + w)``.
     All frames share one sort of the daily rows.
     """
-    sums = _rolling_sums(actions, windows, direction)
-    return daily.select(*DAY_KEYS, *[col.alias(name) for name, col in sums.items()])
+    return daily.selectExpr(*DAY_KEYS, *_rolling_sums(actions, windows, direction))
 
 
 def stack_windows(wide: DataFrame, actions: Sequence[str], windows: Sequence[str]) -> DataFrame:
@@ -203,12 +194,12 @@ def stack_windows(wide: DataFrame, actions: Sequence[str], windows: Sequence[str
     names = [rolled(a, w) for w in windows for a in actions]
     kept = [c for c in wide.columns if c not in names]
 
-    def row(window: str) -> Column:
+    def row(window: str) -> str:
         own = {rolled(a, window) for a in actions}
-        fields = [(F.col(n) if n in own else F.lit(0).cast("long")).alias(n) for n in names]
-        return F.struct(F.lit(window).alias("window"), *fields)
+        fields = [f"'{n}', " + (f"`{n}`" if n in own else "0L") for n in names]
+        return f"named_struct('window', '{window}', {', '.join(fields)})"
 
-    return wide.select(*kept, F.inline(F.array(*[row(w) for w in windows])))
+    return wide.selectExpr(*kept, f"inline(array({', '.join(row(w) for w in windows)}))")
 
 
 def concat_relaxed(frames: Sequence[DataFrame]) -> DataFrame:
@@ -241,18 +232,17 @@ def interaction_features(
     if layout not in ("wide", "stacked"):
         raise ValueError(f"layout is 'wide' or 'stacked', not {layout!r}")
     actions = list(actions) if actions is not None else category_values(tracker, "action_type")
-    counts = [_count_of(a).alias(f"cnt_{a}") for a in actions]
+    counts = _counts(actions, "cnt_")
     days = with_day_keys(tracker).groupBy(*DAY_KEYS).agg(*counts, *_signal_counts())
-    labelled = _with_outcomes(days, orders).withColumn("_positive", _label_sum(label) > 0)
-
-    pair = Window.partitionBy(*PAIR)
-    # Ordered like the rolling sums, so all windows share one sort.
-    whole = pair.orderBy(F.unix_date("date")).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     sums = _rolling_sums(actions, windows, direction)
-    rows = labelled.withColumns(
-        {"first_pos_date": F.min(F.when(F.col("_positive"), F.col("date"))).over(whole), **sums}
-    ).withColumn("target", _reached(horizon_days))
+    whole = f"({_BY_DAY} ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)"
+    rows = _with_outcomes(days, orders).selectExpr(
+        *DAY_KEYS,
+        f"min(CASE WHEN {_label_sum(label)} > 0 THEN date END) OVER {whole} AS first_pos_date",
+        *sums,
+    )
+    names = [f"`{rolled(a, w)}`" for w in windows for a in actions]
+    wide = rows.selectExpr(*DAY_KEYS, f"{_reached(horizon_days)} AS target", *names)
     if drop_duplicate_targets:
-        rows = rows.withColumn("target", F.max("target").over(pair))
-    wide = rows.select(*DAY_KEYS, "target", *sums)
+        wide = dedup_target(wide).select(*wide.columns)
     return wide if layout == "wide" else stack_windows(wide, actions, windows)

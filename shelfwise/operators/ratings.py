@@ -11,8 +11,8 @@ from shelfwise.operators.interactions import PAIR, labelled_days
 
 def build_ratings(tracker: DataFrame, orders: DataFrame | None, label: Label) -> DataFrame:
     """``(user_id, item_id, rating)``: positive labels summed over all events of a pair."""
-    days = labelled_days(tracker, orders, label).where(F.col("label_sum") > 0)
-    return days.groupBy(*PAIR).agg(F.sum("label_sum").cast("float").alias("rating"))
+    days = labelled_days(tracker, orders, label).where("label_sum > 0")
+    return days.groupBy(*PAIR).agg(F.expr("CAST(sum(label_sum) AS FLOAT) AS rating"))
 
 
 def binarise(ratings: DataFrame) -> DataFrame:

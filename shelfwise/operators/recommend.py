@@ -60,13 +60,17 @@ def with_fallback(users: DataFrame, known: DataFrame, popular: DataFrame, user_m
     return mine.unionByName(popular_lists(cold_users(users, user_map), popular).select(*columns))
 
 
-def _matrix(table: pa.Table, name: str) -> np.ndarray:
-    values = table.column(name).combine_chunks().flatten().to_numpy(zero_copy_only=False)
-    return values.astype(np.float64, copy=False).reshape(table.num_rows, -1)
+def _cell_top(n: int):
+    """Best ``n`` items of a grid cell for each of its users, by one matrix product per slice.
 
+    The function that runs in the workers refers to nothing in this package, so that they
+    need not have it installed.
+    """
+    entries = SCORE_ENTRIES
 
-def _cell_top(n: int):
-    """Best ``n`` items of a grid cell for each of its users, by one matrix product per slice."""
+    def matrix(table: pa.Table) -> np.ndarray:
+        values = table.column("vector").combine_chunks().flatten().to_numpy(zero_copy_only=False)
+        return values.astype(np.float64, copy=False).reshape(table.num_rows, -1)
 
     def best(users: pa.Table, items: pa.Table) -> pa.Table:
         schema = pa.schema([("user_id", pa.int64()), ("item_id", pa.int64()), ("score", pa.float64())])
@@ -74,10 +78,10 @@ def _cell_top(n: int):
             return schema.empty_table()
         item_ids = items.column("item_id").to_numpy()
         by_id = np.argsort(item_ids, kind="stable")
-        item_ids, item_vectors = item_ids[by_id], _matrix(items, "vector")[by_id]
-        user_ids, user_vectors = users.column("user_id").to_numpy(), _matrix(users, "vector")
+        item_ids, item_vectors = item_ids[by_id], matrix(items)[by_id]
+        user_ids, user_vectors = users.column("user_id").to_numpy(), matrix(users)
         k = min(n, len(item_ids))
-        step = max(1, SCORE_ENTRIES // len(item_ids))
+        step = max(1, entries // len(item_ids))
         out = ([], [], [])
         for start in range(0, len(user_ids), step):
             scores = user_vectors[start : start + step] @ item_vectors.T
