@@ -19,11 +19,12 @@ from pyspark.sql import functions as F
 from shelfwise.models.factors import FactorModel
 from shelfwise.operators.idmaps import index_interactions
 from shelfwise.operators.ratings import popularity_by_weight
-from shelfwise.workspace import write_down
+from shelfwise.workspace import discard, write_down
 
 BLOCK_POSITIVES = 200_000
 MINI_BATCH = 256
 USER, ITEM = 0, 1
+VECTOR = "array<float>"
 
 
 def _draw(n: int | Column, *parts: Column | int) -> Column:
@@ -51,7 +52,7 @@ def _start(ids: DataFrame, side: int, factors: int, seed: int) -> DataFrame:
         lambda d: (F.pmod(F.xxhash64(F.lit(side), F.col("idx"), d, F.lit(seed)), F.lit(unit)) / unit - 0.5) / factors,
     )
     last = F.array(F.lit(1.0 if side == USER else 0.0))
-    return ids.select(F.lit(side).alias("side"), "idx", F.concat(values, last).alias("vector"))
+    return ids.select(F.lit(side).alias("side"), "idx", F.concat(values, last).cast(VECTOR).alias("vector"))
 
 
 def _block_steps(rate: float, reg: float, seed: int):
@@ -64,7 +65,7 @@ def _block_steps(rate: float, reg: float, seed: int):
         side = vectors.column("side").to_numpy()
         idx = vectors.column("idx").to_numpy()
         flat = vectors.column("vector").combine_chunks().flatten().to_numpy(zero_copy_only=False)
-        table = flat.reshape(len(idx), -1)
+        table = flat.astype(np.float64).reshape(len(idx), -1)
         sides = {}
         for which in (USER, ITEM):
             rows = np.flatnonzero(side == which)
@@ -158,6 +159,7 @@ def _epoch(
         "idx",
         F.when(F.col("_move").isNull(), F.col("vector"))
         .otherwise(F.zip_with("vector", "_move", lambda v, m: v + F.coalesce(m, F.lit(0.0))))
+        .cast(VECTOR)
         .alias("vector"),
     )
 
@@ -191,13 +193,17 @@ def train_vectors(
 ) -> DataFrame:
     """``(side, idx, vector)`` after the given number of epochs; vectors are ``factors + 1`` wide."""
     n_items = item_map.count()
+    spark = positives.sparkSession
     placed = write_down(_with_blocks(positives, positives.count(), block_rows), "bpr-positives")
     start = _start(user_map, USER, factors, seed).unionByName(_start(item_map, ITEM, factors, seed))
     vectors = write_down(start, "bpr-vectors")
     for epoch in range(iterations):
-        step = _epoch(vectors, placed, n_items, epoch, learning_rate, regularization, factors + 1, seed)
-        vectors = write_down(step, "bpr-vectors")
-    return vectors
+        step = _epoch(vectors.table, placed.table, n_items, epoch, learning_rate, regularization, factors + 1, seed)
+        stepped = write_down(step, "bpr-vectors")
+        discard(spark, vectors.path)
+        vectors = stepped
+    discard(spark, placed.path)
+    return vectors.table
 
 
 def fit_bpr(
@@ -214,8 +220,9 @@ def fit_bpr(
     positives = index_interactions(ratings.where(F.col("rating") > 0), user_map, item_map)
     positives = write_down(positives.select("user_idx", "item_idx").distinct(), "bpr-pairs")
     vectors = train_vectors(
-        positives, user_map, item_map, factors, learning_rate, regularization, iterations, seed
+        positives.table, user_map, item_map, factors, learning_rate, regularization, iterations, seed
     )
+    discard(ratings.sparkSession, positives.path)
 
     def external(side: int, ids: DataFrame, name: str) -> DataFrame:
         mine = vectors.where(F.col("side") == side)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfwise.functions.expressions import any_signal, epoch_seconds, zero_fill
@@ -18,9 +18,11 @@ MISSING = "null"
 
 
 def pair_actions(tracker: DataFrame, actions: Sequence[str]) -> DataFrame:
-    """Events per (user, item), one column per action; 0 where there are none."""
-    counts = tracker.groupBy(*PAIR).pivot("action_type", list(actions)).agg(F.count(F.lit(1)))
-    return zero_fill(counts, list(actions))
+    """Events per (user, item), one column per action; 0 where there are none.
+
+    Conditional counts take one shuffle, where a pivot takes two.
+    """
+    return tracker.groupBy(*PAIR).agg(*[F.expr(f"count_if(action_type = '{a}') AS `{a}`") for a in actions])
 
 
 def value_counts(df: DataFrame, name: str, more_than: int = 0) -> DataFrame:
@@ -61,9 +63,10 @@ def pair_features(orders: DataFrame, tracker: DataFrame, actions: Sequence[str])
     return zero_fill(last_status(orders).join(counts, list(PAIR), "left"), list(actions))
 
 
-def _is(status: str) -> Column:
-    """1 or 0; null where the status is missing."""
-    return (F.col("last_status") == status).cast("double")
+def _correlation(x: str, y: str) -> str:
+    """Pearson correlation over rows where both are known; null where one of them is constant."""
+    x_known, y_known = (f"CASE WHEN {v} IS NOT NULL THEN {w} END" for v, w in ((y, x), (x, y)))
+    return f"try_divide(covar_pop({x}, {y}), stddev_pop({x_known}) * stddev_pop({y_known}))"
 
 
 def label_correlation(features: DataFrame, actions: Sequence[str]) -> DataFrame:
@@ -71,58 +74,40 @@ def label_correlation(features: DataFrame, actions: Sequence[str]) -> DataFrame:
 
     One pass over the pairs; a constant column has no correlation.
     """
-    aggs = []
+    delivered = f"CAST(last_status = '{DELIVERED}' AS DOUBLE)"
+    aggs, rows = [], []
     for i, action in enumerate(actions):
-        count = F.col(action).cast("double")
-        aggs.append(F.corr("_y", count).alias(f"_raw_{i}"))
-        aggs.append(F.corr("_y", F.log1p(count)).alias(f"_log_{i}"))
-    wide = features.withColumn("_y", _is(DELIVERED)).agg(*aggs)
-
-    def known(col: Column) -> Column:
-        return F.when(~F.isnan(col), col)
-
-    rows = [
-        F.struct(
-            F.lit(action).alias("feature"),
-            known(F.col(f"_raw_{i}")).alias("pearson"),
-            known(F.col(f"_log_{i}")).alias("pearson_log1p"),
-        )
-        for i, action in enumerate(actions)
-    ]
-    table = wide.select(F.inline(F.array(*rows)))
-    table = table.withColumns(
-        {"abs_pearson": F.abs("pearson"), "abs_pearson_log1p": F.abs("pearson_log1p")}
-    )
-    return table.orderBy(F.desc_nulls_last("abs_pearson_log1p"), F.desc_nulls_last("abs_pearson"), "feature")
+        count = f"CAST(`{action}` AS DOUBLE)"
+        aggs.append(f"{_correlation(count, delivered)} AS raw_{i}")
+        aggs.append(f"{_correlation(f'log1p({count})', delivered)} AS log_{i}")
+        rows.append(f"named_struct('feature', '{action}', 'pearson', raw_{i}, 'pearson_log1p', log_{i})")
+    table = features.agg(*map(F.expr, aggs)).selectExpr(f"inline(array({', '.join(rows)}))")
+    sized = table.selectExpr("*", "abs(pearson) AS abs_pearson", "abs(pearson_log1p) AS abs_pearson_log1p")
+    return sized.orderBy(F.desc_nulls_last("abs_pearson_log1p"), F.desc_nulls_last("abs_pearson"), "feature")
 
 
-def _rates(features: DataFrame, signals: dict[str, Column]) -> DataFrame:
+def _rates(features: DataFrame, signals: dict[str, str]) -> DataFrame:
     """Share of delivered and of cancelled pairs among those with a signal, one row per signal."""
-    aggs = []
-    for i, present in enumerate(signals.values()):
-        aggs.append(F.count_if(present).alias(f"_n_{i}"))
-        aggs.append(F.sum(F.when(present, _is(DELIVERED))).alias(f"_d_{i}"))
-        aggs.append(F.sum(F.when(present, _is(CANCELED))).alias(f"_c_{i}"))
-    rows = [
-        F.struct(
-            F.lit(name).alias("signal"),
-            F.col(f"_n_{i}").alias("n_pairs"),
-            F.try_divide(f"_d_{i}", f"_n_{i}").alias("delivered_rate"),
-            F.try_divide(f"_c_{i}", f"_n_{i}").alias("canceled_rate"),
+    aggs, rows = [], []
+    for i, (name, present) in enumerate(signals.items()):
+        aggs.append(f"count_if({present}) AS n_{i}")
+        for status, short in ((DELIVERED, "d"), (CANCELED, "c")):
+            aggs.append(f"count_if({present} AND last_status = '{status}') AS {short}_{i}")
+        rows.append(
+            f"named_struct('signal', '{name}', 'n_pairs', n_{i}, "
+            f"'delivered_rate', try_divide(d_{i}, n_{i}), 'canceled_rate', try_divide(c_{i}, n_{i}))"
         )
-        for i, name in enumerate(signals)
-    ]
-    return features.agg(*aggs).select(F.inline(F.array(*rows)))
+    return features.agg(*map(F.expr, aggs)).selectExpr(f"inline(array({', '.join(rows)}))")
 
 
 def signal_rates(features: DataFrame, actions: Sequence[str]) -> DataFrame:
     """Outcome rates of the pairs that saw each action."""
-    return _rates(features, {a: F.col(a) > 0 for a in actions})
+    return _rates(features, {a: f"`{a}` > 0" for a in actions})
 
 
 def any_signal_rate(features: DataFrame, actions: Sequence[str]) -> DataFrame:
     """Outcome rates of the pairs that saw at least one of the actions."""
-    return _rates(features, {"any": any_signal(*actions)})
+    return _rates(features.withColumn("_any", any_signal(*actions)), {"any": "_any"})
 
 
 def contingency(tracker: DataFrame, orders: DataFrame) -> DataFrame:

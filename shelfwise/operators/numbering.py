@@ -17,8 +17,9 @@ def number_rows(
 
     Rows are range-partitioned on group and order, so a large group spreads over many
     tasks. The sorted rows are written down with their task number, which freezes the
-    split; positions then follow from one count per task and group, a table bounded by
-    the number of tasks plus the number of group changes, and never from the rows.
+    split; positions then follow from one count per task and group, a table of at most
+    (tasks + groups) rows, and never from a window over the rows. Only rows with equal
+    order values stay together, so the order should tell rows apart.
     """
     keys = [*within, *order_by]
     laid_out = write_down(
@@ -27,7 +28,7 @@ def number_rows(
         .withColumn("_task", F.spark_partition_id())
         .withColumn("_line", F.monotonically_increasing_id()),
         "numbered",
-    )
+    ).table
     piece = [*within, "_task"]
     pieces = laid_out.groupBy(*piece).agg(F.count("*").alias("_rows"), F.min("_line").alias("_first"))
     before = Window.partitionBy(*within).orderBy("_task").rowsBetween(Window.unboundedPreceding, -1)

@@ -45,19 +45,29 @@ def _last_items(window: Window, length: int) -> dict[str, Column]:
     return {"item_id_list": items, "item_length": F.size(items)}
 
 
+def heavy_users(interactions: DataFrame, block: int = HISTORY_BLOCK, user: str = "user_id") -> DataFrame:
+    """Users with more than ``block`` rows; at most (all rows / ``block``) of them."""
+    return interactions.groupBy(user).agg(F.count("*").alias("_n")).where(F.col("_n") > block).select(user)
+
+
 def user_history(
-    interactions: DataFrame, length: int = 50, time: str = "date", block: int = HISTORY_BLOCK
+    interactions: DataFrame,
+    length: int = 50,
+    time: str = "date",
+    block: int = HISTORY_BLOCK,
+    heavy: DataFrame | None = None,
 ) -> DataFrame:
     """Adds the user's last ``length`` item indices before each row, and how many there are.
 
     Rows are ordered by (time, item index) and are expected to be unique by (user, time,
     item), as interaction features are. Users with at most ``block`` rows are one window
     each. A larger user is cut into consecutive blocks, each given the ``length`` rows
-    before it, so no task holds a whole hot user and the histories stay exact.
+    before it, so no task holds a whole hot user and the histories stay exact. Give
+    ``heavy(user_idx)`` where the large users can be told more cheaply than by counting
+    ``interactions``.
     """
     order = [time, "item_idx"]
-    hot = interactions.groupBy("user_idx").agg(F.count("*").alias("_n")).where(F.col("_n") > block)
-    hot = hot.select("user_idx")
+    hot = heavy_users(interactions, block, "user_idx") if heavy is None else heavy
     plain = Window.partitionBy("user_idx").orderBy(*order)
     if hot.isEmpty():
         return interactions.withColumns(_last_items(plain, length))
@@ -65,7 +75,8 @@ def user_history(
     # At most (all rows / block) users are hot, so their ids are few.
     hot = F.broadcast(hot)
     usual = interactions.join(hot, "user_idx", "left_anti").withColumns(_last_items(plain, length))
-    return usual.unionByName(_blocked_history(interactions.join(hot, "user_idx", "left_semi"), order, length, block))
+    large = _blocked_history(interactions.join(hot, "user_idx", "left_semi"), order, length, block)
+    return usual.unionByName(large).select(*interactions.columns, "item_id_list", "item_length")
 
 
 def _blocked_history(rows: DataFrame, order: list[str], length: int, block: int) -> DataFrame:
@@ -115,6 +126,7 @@ def sequence_training_view(
     length: int = 50,
     label: str = "target",
     time: str = "date",
+    block: int = HISTORY_BLOCK,
 ) -> DataFrame:
     """Model-ready rows: indices, label, day, history and coerced feature columns.
 
@@ -122,7 +134,9 @@ def sequence_training_view(
     """
     indexed = index_interactions(features, user_map, item_map)
     dated = indexed.withColumns({label: lenient_label(label), time: lenient_day(indexed, time)})
-    told = user_history(dated, length, time)
+    # Counted before any join: indexing only drops rows.
+    heavy = heavy_users(features, block).join(user_map, F.col("user_id") == F.col("ext_id"))
+    told = user_history(dated, length, time, block, heavy.select(F.col("idx").alias("user_idx")))
     view = training_view(told, items, item_columns, users, user_columns)
     coerced = {name: coerce_value(view, name, kind) for name, kind in kinds.items()}
     return view.withColumns(coerced) if coerced else view

@@ -17,10 +17,11 @@ from shelfwise.operators.interactions import category_values, interaction_featur
 from shelfwise.operators.items import item_features
 from shelfwise.operators.ratings import build_ratings, popularity_by_weight, top_items, truth_from_orders
 from shelfwise.operators.recommend import popular_lists
+from shelfwise.operators.sequences import sequence_training_view
 from shelfwise.operators.splits import cap_users, first_users, keep_users, make_split
 from shelfwise.operators.users import user_features
 from shelfwise.sources.scans import ITEM_COLUMNS, ORDER_COLUMNS, TRACKER_COLUMNS, distinct_users, scan_selected
-from shelfwise.sources.sinks import keyed_table, write_metrics, write_sharded, write_submission
+from shelfwise.sources.sinks import SHARD, keyed_table, write_metrics, write_sharded, write_submission
 
 
 @dataclass
@@ -182,3 +183,37 @@ def judge_popularity(
     return evaluate(popular_lists(cap_users(truth, None), popular), truth, ks)
 
 
+
+
+@dataclass
+class SequenceSettings:
+    """Columns and history length of the sequential training tables."""
+
+    item_columns: Mapping[str, str] = field(
+        default_factory=lambda: {"fclip_embed": "float_seq", "catalogid": "token", "variant_id": "token", "model_id": "token"}
+    )
+    user_columns: Mapping[str, str] = field(default_factory=dict)
+    length: int = 50
+
+
+def sequence_job(spark: SparkSession, features: str, out: str, settings: SequenceSettings) -> None:
+    """Feature tables to one model-ready table per split, indexed by the training ids.
+
+    Every rolling count is a feature, whatever windows it was built with.
+    """
+    train = spark.read.parquet(f"{features}/inter_features/train").drop(SHARD)
+    users, items = id_map("user_id", train), id_map("item_id", train)
+    counts = {c: "float" for c in train.columns if c.startswith("cnt_")}
+    for split in ("train", "valid"):
+        view = sequence_training_view(
+            spark.read.parquet(f"{features}/inter_features/{split}").drop(SHARD),
+            users,
+            items,
+            {**counts, **settings.item_columns, **settings.user_columns},
+            spark.read.parquet(f"{features}/items_features"),
+            list(settings.item_columns),
+            spark.read.parquet(f"{features}/users_features"),
+            list(settings.user_columns),
+            settings.length,
+        )
+        view.write.mode("overwrite").parquet(f"{out}/{split}")

@@ -8,10 +8,18 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+class Written(NamedTuple):
+    """A written table and the folder that holds it."""
+
+    table: DataFrame
+    path: str
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The session's checkpoint folder; a private one only for an unconfigured local run."""
     context = spark.sparkContext
@@ -27,9 +35,15 @@ def checkpoint_root(spark: SparkSession) -> str:
     return context.getCheckpointDir().rstrip("/")
 
 
-def write_down(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as Parquet in the checkpoint folder and return the written table."""
+def write_down(df: DataFrame, name: str) -> Written:
+    """Write ``df`` as Parquet in the checkpoint folder."""
     spark = df.sparkSession
     path = f"{checkpoint_root(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return Written(spark.read.schema(df.schema).parquet(path), path)
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Delete a written table that nothing reads any more."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
