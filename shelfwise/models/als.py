@@ -11,6 +11,8 @@ from shelfwise.operators.idmaps import index_interactions
 from shelfwise.operators.ratings import popularity_by_weight
 from shelfwise.workspace import checkpoint_root
 
+MAX_BLOCKS = 500
+
 
 def fit_als(
     ratings: DataFrame,
@@ -25,13 +27,14 @@ def fit_als(
 ) -> FactorModel:
     """Factorise ``(user_id, item_id, rating)``.
 
-    MLlib wants ids in the int range, hence the dense maps. Blocks grow with the
-    cluster, lineage is cut every ten iterations in the shared checkpoint folder.
-    Mapped items without a rating get the zero vector, which scores 0 for everyone.
+    MLlib wants ids in the int range, hence the dense maps. Blocks grow with the cluster
+    up to a limit, as messages between them grow with their square. Lineage is cut every
+    ten iterations in the shared checkpoint folder. Mapped items without a rating get the
+    zero vector, which scores 0 for everyone.
     """
     spark = ratings.sparkSession
     checkpoint_root(spark)
-    blocks = blocks or max(10, spark.sparkContext.defaultParallelism)
+    blocks = blocks or min(MAX_BLOCKS, spark.sparkContext.defaultParallelism)
     indexed = index_interactions(ratings, user_map, item_map).select(
         F.col("user_idx").cast("int").alias("user"), F.col("item_idx").cast("int").alias("item"), "rating"
     )

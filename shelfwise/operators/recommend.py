@@ -9,8 +9,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-# Vectors in one grid cell, and score-matrix entries held at a time inside it.
-CELL_ROWS = 200_000
+# Vector entries per side of a grid cell, and score-matrix entries held at a time inside it.
+CELL_ENTRIES = 16_000_000
 SCORE_ENTRIES = 8_000_000
 
 
@@ -98,23 +98,22 @@ def _cell_top(n: int):
     return best
 
 
-def dot_top_n(
-    user_vectors: DataFrame,
-    item_vectors: DataFrame,
-    n: int,
-    user_rows: int | None = None,
-    item_rows: int | None = None,
-    cell_rows: int = CELL_ROWS,
-) -> DataFrame:
+def _size(vectors: DataFrame) -> tuple[int, int]:
+    """Rows and vector width."""
+    rows, width = vectors.agg(F.count("*"), F.max(F.size("vector"))).first()
+    return rows, width or 1
+
+
+def dot_top_n(user_vectors: DataFrame, item_vectors: DataFrame, n: int, cell_rows: int | None = None) -> DataFrame:
     """Each user's ``n`` items of greatest dot product, over all items.
 
     ``(user_id, vector)`` and ``(item_id, vector)`` are cut into groups that span a grid.
     A cell scores its users against its items with a matrix product and emits ``n`` items
     per user; the per-cell lists then compete in :func:`top_n`. No (user, item) pair is
-    ever a row, and a cell's size does not depend on the data.
+    ever a row, and what a cell holds does not grow with the data.
     """
-    user_rows = user_vectors.count() if user_rows is None else user_rows
-    item_rows = item_vectors.count() if item_rows is None else item_rows
+    (user_rows, _), (item_rows, width) = _size(user_vectors), _size(item_vectors)
+    cell_rows = cell_rows or max(1, CELL_ENTRIES // width)
     across, down = (max(1, math.ceil(rows / cell_rows)) for rows in (user_rows, item_rows))
     # Spare parallelism is taken from the user side, which does not add rows to the result.
     cores = user_vectors.sparkSession.sparkContext.defaultParallelism

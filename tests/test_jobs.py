@@ -88,3 +88,15 @@ def test_no_test_users(spark, run, tmp_path):
     spark.createDataFrame([], "user_id bigint").write.parquet(str(tmp_path / "none"))
     with pytest.raises(ValueError):
         jobs.infer_job(spark, f"{run}/artifacts", str(tmp_path / "none"), str(tmp_path / "out"))
+
+
+def test_command_line(spark, run, tmp_path):
+    from shelfwise.__main__ import main
+
+    main(
+        ["split", "--tracker", f"{run}/raw/tracker", "--orders", f"{run}/raw/orders", "--out", str(tmp_path)]
+        + ["--set", f"train_end={tables.TRAIN_END}", f"valid_end={tables.VALID_END}", "kind=time_split", "shards=2"]
+    )
+    assert spark.read.parquet(f"{tmp_path}/train/tracker").count() == 520
+    with pytest.raises(SystemExit):
+        main(["split", "--out", str(tmp_path)])
