@@ -20,7 +20,13 @@ ORDERS = (
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
-    session = local_session(min(8, os.cpu_count() or 4))
+    # Tables of a few rows: compiling a plan would take longer than interpreting it.
+    session = local_session(
+        min(8, os.cpu_count() or 4),
+        spark__sql__shuffle__partitions="4",
+        spark__sql__codegen__wholeStage="false",
+        spark__python__sql__dataFrameDebugging__enabled="false",
+    )
     session.sparkContext.setLogLevel("ERROR")
     if session.sparkContext.getCheckpointDir() is None:
         session.sparkContext.setCheckpointDir(str(tmp_path_factory.mktemp("checkpoints")))
