@@ -319,7 +319,7 @@ def interactions_indexed(spark, d):
 @query
 def item_attrs_frequent(spark, d):
     attributes = item_ops.item_attributes(items(spark, d))
-    return item_ops.frequent_attributes(attributes, _frequency(spark, d, 0.04))
+    return item_ops.frequent_attributes(attributes, _frequency(spark, d, 0.04), 0.04)
 
 
 @query

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from shelfwise.models.factors import FactorModel
 from shelfwise.operators.idmaps import index_interactions
 from shelfwise.operators.ratings import popularity_by_weight
-from shelfwise.workspace import checkpoint_root
+from shelfwise.workspace import checkpoint_root, discard, write_down
 
 MAX_BLOCKS = 500
 
@@ -35,8 +35,12 @@ def fit_als(
     spark = ratings.sparkSession
     checkpoint_root(spark)
     blocks = blocks or min(MAX_BLOCKS, spark.sparkContext.defaultParallelism)
-    indexed = index_interactions(ratings, user_map, item_map).select(
-        F.col("user_idx").cast("int").alias("user"), F.col("item_idx").cast("int").alias("item"), "rating"
+    # MLlib goes over its input more than once, and its factors hang on it until written.
+    indexed = write_down(
+        index_interactions(ratings, user_map, item_map).select(
+            F.col("user_idx").cast("int").alias("user"), F.col("item_idx").cast("int").alias("item"), "rating"
+        ),
+        "als-ratings",
     )
     fitted = ALS(
         userCol="user",
@@ -51,17 +55,20 @@ def fit_als(
         numItemBlocks=blocks,
         checkpointInterval=10,
         seed=seed,
-    ).fit(indexed)
+    ).fit(indexed.table)
 
     def external(vectors: DataFrame, ids: DataFrame, name: str, how: str) -> DataFrame:
         zero = F.array_repeat(F.lit(0.0).cast("float"), factors)
-        return ids.join(vectors, F.col("idx") == F.col("id"), how).select(
+        named = ids.join(vectors, F.col("idx") == F.col("id"), how).select(
             F.col("ext_id").alias(name), F.coalesce("features", zero).alias("vector")
         )
+        return write_down(named, f"als-{name}").table
 
-    return FactorModel(
+    model = FactorModel(
         "als",
         external(fitted.userFactors, user_map, "user_id", "inner"),
         external(fitted.itemFactors, item_map, "item_id", "left"),
         popularity_by_weight(ratings),
     )
+    discard(spark, indexed.path)
+    return model

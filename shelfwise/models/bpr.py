@@ -19,7 +19,8 @@ from pyspark.sql import functions as F
 from shelfwise.models.factors import FactorModel
 from shelfwise.operators.idmaps import index_interactions
 from shelfwise.operators.ratings import popularity_by_weight
-from shelfwise.workspace import discard, write_down
+from shelfwise.operators.splits import BROADCAST_USERS
+from shelfwise.workspace import Written, discard, write_down
 
 BLOCK_POSITIVES = 200_000
 MINI_BATCH = 256
@@ -121,7 +122,9 @@ def _with_blocks(positives: DataFrame, rows: int, block_rows: int) -> DataFrame:
         .select("user_idx", F.ceil(F.col("_n") / block_rows).alias("_parts"))
     )
     # At most (all positives / block_rows) users are heavy.
-    spread = positives.join(F.broadcast(heavy), "user_idx", "left")
+    if rows / block_rows <= BROADCAST_USERS:
+        heavy = F.broadcast(heavy)
+    spread = positives.join(heavy, "user_idx", "left")
     part = F.pmod(F.xxhash64("item_idx"), F.coalesce("_parts", F.lit(1)))
     block = F.pmod(F.xxhash64("user_idx", part), F.lit(blocks)).cast("int")
     return spread.select("user_idx", "item_idx", block.alias("block"))
@@ -190,7 +193,7 @@ def train_vectors(
     iterations: int,
     seed: int = 42,
     block_rows: int = BLOCK_POSITIVES,
-) -> DataFrame:
+) -> Written:
     """``(side, idx, vector)`` after the given number of epochs; vectors are ``factors + 1`` wide."""
     n_items = item_map.count()
     spark = positives.sparkSession
@@ -203,7 +206,7 @@ def train_vectors(
         discard(spark, vectors.path)
         vectors = stepped
     discard(spark, placed.path)
-    return vectors.table
+    return vectors
 
 
 def fit_bpr(
@@ -216,22 +219,28 @@ def fit_bpr(
     iterations: int = 30,
     seed: int = 42,
 ) -> FactorModel:
-    """Rank every user's positively rated items above the others; weights are ignored."""
+    """Rank every user's positively rated items above the others; weights are ignored.
+
+    ``ratings`` has one row per (user, item). Users without a positive get no vector.
+    """
     positives = index_interactions(ratings.where(F.col("rating") > 0), user_map, item_map)
-    positives = write_down(positives.select("user_idx", "item_idx").distinct(), "bpr-pairs")
+    positives = write_down(positives.select("user_idx", "item_idx"), "bpr-pairs")
     vectors = train_vectors(
         positives.table, user_map, item_map, factors, learning_rate, regularization, iterations, seed
     )
-    discard(ratings.sparkSession, positives.path)
 
     def external(side: int, ids: DataFrame, name: str) -> DataFrame:
-        mine = vectors.where(F.col("side") == side)
-        return ids.join(mine, "idx").select(F.col("ext_id").alias(name), "vector")
+        mine = vectors.table.where(F.col("side") == side)
+        named = ids.join(mine, "idx").select(F.col("ext_id").alias(name), "vector")
+        return write_down(named, f"bpr-{name}").table
 
-    rated = ratings.select(F.col("user_id").alias("ext_id")).distinct()
-    return FactorModel(
+    trained = positives.table.select(F.col("user_idx").alias("idx"))
+    model = FactorModel(
         "bpr",
-        external(USER, user_map.join(rated, "ext_id", "left_semi"), "user_id"),
+        external(USER, user_map.join(trained, "idx", "left_semi"), "user_id"),
         external(ITEM, item_map, "item_id"),
         popularity_by_weight(ratings),
     )
+    for table in (positives, vectors):
+        discard(ratings.sparkSession, table.path)
+    return model

@@ -7,8 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from shelfwise.functions.expressions import any_signal, epoch_seconds, zero_fill
+from shelfwise.functions.expressions import any_signal, epoch_seconds
 from shelfwise.functions.labels import CANCELED, DELIVERED
+from shelfwise.functions.sqltext import quoted, ticked
 from shelfwise.operators.interactions import PAIR, category_values, with_day_keys
 
 # Fixed value: keeps residuals and logarithms of empty cells finite.
@@ -22,7 +23,9 @@ def pair_actions(tracker: DataFrame, actions: Sequence[str]) -> DataFrame:
 
     Conditional counts take one shuffle, where a pivot takes two.
     """
-    return tracker.groupBy(*PAIR).agg(*[F.expr(f"count_if(action_type = '{a}') AS `{a}`") for a in actions])
+    return tracker.groupBy(*PAIR).agg(
+        *[F.expr(f"count_if(action_type = {quoted(a)})").alias(a) for a in actions]
+    )
 
 
 def value_counts(df: DataFrame, name: str, more_than: int = 0) -> DataFrame:
@@ -59,8 +62,9 @@ def last_status(orders: DataFrame) -> DataFrame:
 
 def pair_features(orders: DataFrame, tracker: DataFrame, actions: Sequence[str]) -> DataFrame:
     """Last order status of a pair beside its action counts."""
-    counts = pair_actions(tracker, actions)
-    return zero_fill(last_status(orders).join(counts, list(PAIR), "left"), list(actions))
+    joined = last_status(orders).join(pair_actions(tracker, actions), list(PAIR), "left")
+    counts = [f"coalesce({ticked(a)}, 0) AS {ticked(a)}" for a in actions]
+    return joined.selectExpr(*PAIR, "last_status", *counts)
 
 
 def _correlation(x: str, y: str) -> str:
@@ -77,10 +81,10 @@ def label_correlation(features: DataFrame, actions: Sequence[str]) -> DataFrame:
     delivered = f"CAST(last_status = '{DELIVERED}' AS DOUBLE)"
     aggs, rows = [], []
     for i, action in enumerate(actions):
-        count = f"CAST(`{action}` AS DOUBLE)"
+        count = f"CAST({ticked(action)} AS DOUBLE)"
         aggs.append(f"{_correlation(count, delivered)} AS raw_{i}")
         aggs.append(f"{_correlation(f'log1p({count})', delivered)} AS log_{i}")
-        rows.append(f"named_struct('feature', '{action}', 'pearson', raw_{i}, 'pearson_log1p', log_{i})")
+        rows.append(f"named_struct('feature', {quoted(action)}, 'pearson', raw_{i}, 'pearson_log1p', log_{i})")
     table = features.agg(*map(F.expr, aggs)).selectExpr(f"inline(array({', '.join(rows)}))")
     sized = table.selectExpr("*", "abs(pearson) AS abs_pearson", "abs(pearson_log1p) AS abs_pearson_log1p")
     return sized.orderBy(F.desc_nulls_last("abs_pearson_log1p"), F.desc_nulls_last("abs_pearson"), "feature")
@@ -94,7 +98,7 @@ def _rates(features: DataFrame, signals: dict[str, str]) -> DataFrame:
         for status, short in ((DELIVERED, "d"), (CANCELED, "c")):
             aggs.append(f"count_if({present} AND last_status = '{status}') AS {short}_{i}")
         rows.append(
-            f"named_struct('signal', '{name}', 'n_pairs', n_{i}, "
+            f"named_struct('signal', {quoted(name)}, 'n_pairs', n_{i}, "
             f"'delivered_rate', try_divide(d_{i}, n_{i}), 'canceled_rate', try_divide(c_{i}, n_{i}))"
         )
     return features.agg(*map(F.expr, aggs)).selectExpr(f"inline(array({', '.join(rows)}))")
@@ -102,12 +106,12 @@ def _rates(features: DataFrame, signals: dict[str, str]) -> DataFrame:
 
 def signal_rates(features: DataFrame, actions: Sequence[str]) -> DataFrame:
     """Outcome rates of the pairs that saw each action."""
-    return _rates(features, {a: f"`{a}` > 0" for a in actions})
+    return _rates(features, {a: f"{ticked(a)} > 0" for a in actions})
 
 
 def any_signal_rate(features: DataFrame, actions: Sequence[str]) -> DataFrame:
     """Outcome rates of the pairs that saw at least one of the actions."""
-    return _rates(features.withColumn("_any", any_signal(*actions)), {"any": "_any"})
+    return _rates(features.withColumn("_any", any_signal(*map(ticked, actions))), {"any": "_any"})
 
 
 def contingency(tracker: DataFrame, orders: DataFrame) -> DataFrame:
@@ -133,7 +137,7 @@ def contingency(tracker: DataFrame, orders: DataFrame) -> DataFrame:
     )
     statuses = [*category_values(orders, "last_status"), MISSING]
     wide = named.groupBy("action_type").pivot("last_status", statuses).agg(F.sum("_rows"))
-    cells = [F.struct(F.lit(s).alias("last_status"), F.coalesce(F.col(f"`{s}`"), F.lit(0)).alias("observed")) for s in statuses]
+    cells = [F.struct(F.lit(s).alias("last_status"), F.coalesce(F.col(ticked(s)), F.lit(0)).alias("observed")) for s in statuses]
     grid = wide.select("action_type", F.inline(F.array(*cells)))
     # A status that no joined row has is no category of the table.
     seen = Window.partitionBy("last_status")

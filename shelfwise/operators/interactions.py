@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from shelfwise.functions.expressions import event_date
 from shelfwise.functions.labels import DELIVERED, LABELLED_ACTIONS, Label
+from shelfwise.functions.sqltext import quoted, ticked
 
 PAIR = ("user_id", "item_id")
 DAY_KEYS = ("date", "user_id", "item_id")
@@ -24,7 +25,7 @@ MAX_CATEGORIES = 1_000
 
 def with_day_keys(events: DataFrame, ts: str = "timestamp") -> DataFrame:
     """Ids as 64-bit integers and the event's calendar day in front of all other columns."""
-    own = [f"`{c}`" for c in events.columns if c not in DAY_KEYS]
+    own = [ticked(c) for c in events.columns if c not in DAY_KEYS]
     ids = [f"CAST({c} AS BIGINT) AS {c}" for c in PAIR]
     return events.selectExpr(f"to_date({ts}) AS date", *ids, *own)
 
@@ -48,7 +49,7 @@ def daily_actions(tracker: DataFrame) -> DataFrame:
 
 
 def _counts(actions: Sequence[str], prefix: str) -> list[Column]:
-    return [F.expr(f"count_if(action_type = '{a}')").alias(f"{prefix}{a}") for a in actions]
+    return [F.expr(f"count_if(action_type = {quoted(a)})").alias(f"{prefix}{a}") for a in actions]
 
 
 def daily_actions_wide(tracker: DataFrame, actions: Sequence[str]) -> DataFrame:
@@ -171,7 +172,9 @@ def _rolling_sums(actions: Sequence[str], windows: Sequence[str], direction: str
         past = f"{days} PRECEDING AND 1 PRECEDING"
         forward = f"CURRENT ROW AND {days - 1} FOLLOWING"
         frame = f"({_BY_DAY} RANGE BETWEEN {past if direction == 'past' else forward})"
-        sums += [f"coalesce(sum(`cnt_{a}`) OVER {frame}, 0) AS `{rolled(a, window)}`" for a in actions]
+        for action in actions:
+            daily, total = ticked(f"cnt_{action}"), ticked(rolled(action, window))
+            sums.append(f"coalesce(sum({daily}) OVER {frame}, 0) AS {total}")
     return sums
 
 
@@ -192,12 +195,12 @@ def stack_windows(wide: DataFrame, actions: Sequence[str], windows: Sequence[str
     The wide rows are unfolded in place, so the rolling sums are computed once.
     """
     names = [rolled(a, w) for w in windows for a in actions]
-    kept = [c for c in wide.columns if c not in names]
+    kept = [ticked(c) for c in wide.columns if c not in names]
 
     def row(window: str) -> str:
         own = {rolled(a, window) for a in actions}
-        fields = [f"'{n}', " + (f"`{n}`" if n in own else "0L") for n in names]
-        return f"named_struct('window', '{window}', {', '.join(fields)})"
+        fields = [f"{quoted(n)}, {ticked(n) if n in own else '0L'}" for n in names]
+        return f"named_struct('window', {quoted(window)}, {', '.join(fields)})"
 
     return wide.selectExpr(*kept, f"inline(array({', '.join(row(w) for w in windows)}))")
 
@@ -241,8 +244,8 @@ def interaction_features(
         f"min(CASE WHEN {_label_sum(label)} > 0 THEN date END) OVER {whole} AS first_pos_date",
         *sums,
     )
-    names = [f"`{rolled(a, w)}`" for w in windows for a in actions]
+    names = [ticked(rolled(a, w)) for w in windows for a in actions]
     wide = rows.selectExpr(*DAY_KEYS, f"{_reached(horizon_days)} AS target", *names)
     if drop_duplicate_targets:
-        wide = dedup_target(wide).select(*wide.columns)
+        wide = dedup_target(wide)
     return wide if layout == "wide" else stack_windows(wide, actions, windows)

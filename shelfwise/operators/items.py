@@ -16,6 +16,7 @@ FLAG_ATTRIBUTES = {"ColorBase": "color", "Material": "material"}
 COUNTS = ("n_attributes", "n_aspects", "n_show_characteristics")
 # Flags become columns; a cut that leaves more than this is set too low.
 MAX_FLAGS = 5_000
+BROADCAST_SHARE = 1e-4
 
 
 def item_base(items: DataFrame) -> DataFrame:
@@ -47,13 +48,16 @@ def attribute_frequency(attributes: DataFrame, n_items: int, min_share: float =
     return counted.where(F.col("freq") >= at_least)
 
 
-def frequent_attributes(attributes: DataFrame, frequency: DataFrame) -> DataFrame:
+def frequent_attributes(attributes: DataFrame, frequency: DataFrame, min_share: float | None = None) -> DataFrame:
     """Attribute rows whose (name, value) made the cut.
 
-    The cut bounds ``frequency`` (see :func:`attribute_frequency`), so it goes to every
-    task and a value shared by a large part of the items is not shuffled together.
+    ``min_share``, the share ``frequency`` was cut at, bounds its size (see
+    :func:`attribute_frequency`). From a share of 1/10,000 on it goes to every task, and a
+    value that a large part of the items has is not shuffled together.
     """
-    cut = F.broadcast(frequency.select("attr_name", "attr_value"))
+    cut = frequency.select("attr_name", "attr_value")
+    if min_share is not None and min_share >= BROADCAST_SHARE:
+        cut = F.broadcast(cut)
     return attributes.join(cut, ["attr_name", "attr_value"], "inner")
 
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from shelfwise.functions.expressions import coerce_value, lenient_day, lenient_label, shard_of
 from shelfwise.operators.idmaps import index_interactions
 from shelfwise.operators.numbering import number_rows
+from shelfwise.operators.splits import BROADCAST_USERS
 
 # A user with more rows than this is processed in blocks of this many.
 HISTORY_BLOCK = 1_000_000
@@ -69,11 +70,12 @@ def user_history(
     order = [time, "item_idx"]
     hot = heavy_users(interactions, block, "user_idx") if heavy is None else heavy
     plain = Window.partitionBy("user_idx").orderBy(*order)
-    if hot.isEmpty():
+    n_hot = hot.count()
+    if not n_hot:
         return interactions.withColumns(_last_items(plain, length))
 
-    # At most (all rows / block) users are hot, so their ids are few.
-    hot = F.broadcast(hot)
+    if n_hot <= BROADCAST_USERS:
+        hot = F.broadcast(hot)
     usual = interactions.join(hot, "user_idx", "left_anti").withColumns(_last_items(plain, length))
     large = _blocked_history(interactions.join(hot, "user_idx", "left_semi"), order, length, block)
     return usual.unionByName(large).select(*interactions.columns, "item_id_list", "item_length")

@@ -22,6 +22,7 @@ from shelfwise.operators.splits import cap_users, first_users, keep_users, make_
 from shelfwise.operators.users import user_features
 from shelfwise.sources.scans import ITEM_COLUMNS, ORDER_COLUMNS, TRACKER_COLUMNS, distinct_users, scan_selected
 from shelfwise.sources.sinks import SHARD, keyed_table, write_metrics, write_sharded, write_submission
+from shelfwise.workspace import discard
 
 
 @dataclass
@@ -90,8 +91,12 @@ def split_job(spark: SparkSession, tracker_path: str, orders_path: str, out: str
     for table, df, ts in (("orders", orders, "created_timestamp"), ("tracker", tracker, "timestamp")):
         split = make_split(df, ts, settings.kind, **settings.params())
         for name, part in zip(("train", "valid"), split):
+            path = f"{out}/{name}/{table}"
             if part is not None:
-                write_sharded(part, f"{out}/{name}/{table}", shards=settings.shards)
+                write_sharded(part, path, shards=settings.shards)
+            else:
+                # A part of an earlier run must not pass for one of this run.
+                discard(spark, path)
 
 
 def features_job(spark: SparkSession, splits: str, items_path: str, out: str, settings: FeatureSettings) -> None:

@@ -105,3 +105,11 @@ def test_report(spark, clicks, bought):
     assert report.any_rate.count() == 1 and report.strength.count() == 1
     alone = ops.contingency(clicks, spark.createDataFrame([], ORDERS))
     assert {r["last_status"] for r in alone.collect()} == {"null"}
+
+
+def test_odd_category_names(clicks, bought):
+    odd = clicks.withColumn("action_type", F.concat(F.lit("a'b`c.d\\n"), F.col("action_type")))
+    late = bought.withColumn("last_status", F.concat("last_status", F.lit(" x'`y")))
+    report = association_report(odd, late)
+    assert report.correlations.count() == report.rates.count() == 7
+    assert "delivered_orders x'`y" in {r["last_status"] for r in report.cells.collect()}

@@ -142,3 +142,15 @@ def test_feature_plan_shuffles_clicks_twice(spark, clicks, bought):
     text = plan._jdf.queryExecution().executedPlan().toString()
     # Clicks by day, clicks by pair, orders by day; one sort feeds all windows.
     assert text.count("Exchange hashpartitioning") == 3
+
+
+def test_odd_category_names(spark, clicks, bought):
+    """Values come from the data and may hold any character."""
+    odd = clicks.withColumn("action_type", F.concat(F.lit("it's a-b \\n"), F.col("action_type")))
+    actions = ops.category_values(odd, "action_type")
+    plain = ops.interaction_features(clicks, bought, target_label("delivered"), layout="stacked")
+    got = ops.interaction_features(odd, bought, target_label("delivered"), actions, layout="stacked")
+    assert [len(r) for r in got.collect()] == [len(r) for r in plain.collect()]
+    assert sorted(map(tuple, got.select(*ops.DAY_KEYS, *got.columns[5:]).collect())) == sorted(
+        map(tuple, plain.select(*ops.DAY_KEYS, *plain.columns[5:]).collect())
+    )

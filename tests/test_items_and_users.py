@@ -39,8 +39,9 @@ def test_frequency_cut(spark):
     long = ops.item_attributes(table(spark))
     assert as_set(ops.attribute_frequency(long, 6, 0.5)) == {("Brand", "A", 3)}
     assert ops.attribute_frequency(long, 6, 0.01).count() == 8
-    frequent = ops.frequent_attributes(long, ops.attribute_frequency(long, 6, 0.5))
-    assert as_set(frequent, "item_id", "pos") == {(1, 1), (2, 0), (5, 1)}
+    for share in (None, 0.5):
+        frequent = ops.frequent_attributes(long, ops.attribute_frequency(long, 6, 0.5), share)
+        assert as_set(frequent, "item_id", "pos") == {(1, 1), (2, 0), (5, 1)}
 
 
 def test_features(spark):

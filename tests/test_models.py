@@ -91,7 +91,7 @@ def test_loss_falls(data, block_rows):
     held_out = bpr.bpr_triples(pairs, 17, draw=99).cache()
     losses = []
     for epochs in (0, 8):
-        vectors = bpr.train_vectors(pairs, users, items, 4, 0.2, 0.002, epochs, block_rows=block_rows)
+        vectors = bpr.train_vectors(pairs, users, items, 4, 0.2, 0.002, epochs, block_rows=block_rows).table
         assert vectors.count() == 24 + 17 and vectors.where("size(vector) != 5").isEmpty()
         losses.append(bpr.pairwise_loss(vectors, held_out).first()["loss"])
     assert losses[0] == pytest.approx(0.693, abs=0.01)
@@ -109,7 +109,7 @@ def test_spread_keeps_every_positive(data):
 def test_same_seed_same_vectors(data):
     _, users, items = data
     runs = [
-        {(r["side"], r["idx"]): r["vector"] for r in bpr.train_vectors(p, users, items, 3, 0.1, 0.01, 2).collect()}
+        {(r["side"], r["idx"]): r["vector"] for r in bpr.train_vectors(p, users, items, 3, 0.1, 0.01, 2).table.collect()}
         for p in (positives(data), positives(data).repartition(7))
     ]
     assert runs[0].keys() == runs[1].keys()
