@@ -105,10 +105,12 @@ def _pair_features(spark, d) -> DataFrame:
     return association.pair_features(orders(spark, d), tracker(spark, d), ACTIONS)
 
 
-def _indexed_basis(spark, d) -> DataFrame:
+def _history(spark, d) -> DataFrame:
     log = tracker(spark, d)
     users, things = idmaps.id_map("user_id", log), idmaps.id_map("item_id", log)
-    return idmaps.index_interactions(interactions.basis(log), users, things)
+    rows = interactions.basis(log)
+    heavy = sequences.heavy_indices(rows, users)
+    return sequences.user_history(idmaps.index_interactions(rows, users, things), HISTORY, heavy=heavy)
 
 
 def _features(spark, d, **options) -> DataFrame:
@@ -492,12 +494,12 @@ def rolling_stacked(spark, d):
 
 @query
 def user_history(spark, d):
-    return sequences.user_history(_indexed_basis(spark, d), HISTORY)
+    return _history(spark, d)
 
 
 @query
 def user_history_padded(spark, d):
-    told = sequences.user_history(_indexed_basis(spark, d), HISTORY)
+    told = _history(spark, d)
     padded = sequences.pad_left("item_id_list", HISTORY + 2).alias("padded")
     return told.select("user_id", "item_id", "date", padded)
 

@@ -236,7 +236,9 @@ def interaction_features(
         raise ValueError(f"layout is 'wide' or 'stacked', not {layout!r}")
     actions = list(actions) if actions is not None else category_values(tracker, "action_type")
     counts = _counts(actions, "cnt_")
-    days = with_day_keys(tracker).groupBy(*DAY_KEYS).agg(*counts, *_signal_counts())
+    # Rows without a day or an id are no basis rows: nothing could be joined to them.
+    known = " AND ".join(f"{key} IS NOT NULL" for key in DAY_KEYS)
+    days = with_day_keys(tracker).where(known).groupBy(*DAY_KEYS).agg(*counts, *_signal_counts())
     sums = _rolling_sums(actions, windows, direction)
     whole = f"({_BY_DAY} ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)"
     rows = _with_outcomes(days, orders).selectExpr(

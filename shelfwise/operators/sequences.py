@@ -51,6 +51,12 @@ def heavy_users(interactions: DataFrame, block: int = HISTORY_BLOCK, user: str =
     return interactions.groupBy(user).agg(F.count("*").alias("_n")).where(F.col("_n") > block).select(user)
 
 
+def heavy_indices(interactions: DataFrame, user_map: DataFrame, block: int = HISTORY_BLOCK) -> DataFrame:
+    """``user_idx`` of the users with more than ``block`` rows, counted before any join."""
+    heavy = heavy_users(interactions, block)
+    return heavy.join(user_map, F.col("user_id") == F.col("ext_id")).select(F.col("idx").alias("user_idx"))
+
+
 def user_history(
     interactions: DataFrame,
     length: int = 50,
@@ -136,9 +142,8 @@ def sequence_training_view(
     """
     indexed = index_interactions(features, user_map, item_map)
     dated = indexed.withColumns({label: lenient_label(label), time: lenient_day(indexed, time)})
-    # Counted before any join: indexing only drops rows.
-    heavy = heavy_users(features, block).join(user_map, F.col("user_id") == F.col("ext_id"))
-    told = user_history(dated, length, time, block, heavy.select(F.col("idx").alias("user_idx")))
+    # Indexing only drops rows, so a user not heavy before it is not heavy after it.
+    told = user_history(dated, length, time, block, heavy_indices(features, user_map, block))
     view = training_view(told, items, item_columns, users, user_columns)
     coerced = {name: coerce_value(view, name, kind) for name, kind in kinds.items()}
     return view.withColumns(coerced) if coerced else view

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfwise.functions.expressions import shard_of
+from shelfwise.functions.sqltext import ticked
 
 SHARD = "_shard"
 # Fixed value: header of the ranked-items column in a submission file.
@@ -57,9 +58,13 @@ def write_submission(recommendations: DataFrame, path: str, top_n: int = 100) ->
 
 
 def write_metrics(metrics: DataFrame, path: str) -> None:
-    """``(metric, value)`` rows as one flat JSON object."""
-    names = sorted(r["metric"] for r in metrics.select("metric").distinct().collect())
-    wide = metrics.groupBy().pivot("metric", names).agg(F.first("value"))
+    """``(metric, value)`` rows as one flat JSON object.
+
+    The few metric rows come to the driver once, so what they summarise is computed once.
+    """
+    rows = sorted((r["metric"], r["value"]) for r in metrics.select("metric", "value").collect())
+    schema = ", ".join(f"{ticked(name)} double" for name, _ in rows)
+    wide = metrics.sparkSession.createDataFrame([tuple(value for _, value in rows)], schema)
     wide.coalesce(1).write.mode("overwrite").json(path)
 
 

@@ -144,6 +144,15 @@ def test_feature_plan_shuffles_clicks_twice(spark, clicks, bought):
     assert text.count("Exchange hashpartitioning") == 3
 
 
+def test_rows_without_day_or_id_are_no_basis_rows(spark, clicks, bought):
+    partial = spark.createDataFrame(
+        [(1, 10, None, "to_cart", "w"), (None, 10, dt.datetime(2024, 1, 1), "to_cart", "w")], clicks.schema
+    )
+    label = target_label("delivered")
+    want = ops.interaction_features(clicks, bought, label)
+    assert as_set(ops.interaction_features(clicks.unionByName(partial), bought, label)) == as_set(want)
+
+
 def test_odd_category_names(spark, clicks, bought):
     """Values come from the data and may hold any character."""
     odd = clicks.withColumn("action_type", F.concat(F.lit("it's a-b \\n"), F.col("action_type")))
