@@ -109,7 +109,8 @@ def _history(spark, d) -> DataFrame:
     log = tracker(spark, d)
     users, things = idmaps.id_map("user_id", log), idmaps.id_map("item_id", log)
     rows = interactions.basis(log)
-    heavy = sequences.heavy_indices(rows, users)
+    # Raw events per user are at least the distinct rows, and cheaper to count.
+    heavy = sequences.heavy_indices(log, users)
     return sequences.user_history(idmaps.index_interactions(rows, users, things), HISTORY, heavy=heavy)
 
 
