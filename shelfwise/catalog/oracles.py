@@ -439,7 +439,7 @@ ORACLES: dict[str, str] = {
         min(CASE WHEN f.attr_name = 'Brand' THEN f.attr_value END) AS brand_main
         FROM attrs a LEFT JOIN frequent f ON a.attr_name = f.attr_name AND a.attr_value = f.attr_value
         GROUP BY a.item_id""",
-        0.04,
+        0.03,
     ),
     "attr_multihot": _items(f"SELECT item_id, {_ALL_FLAGS} FROM attrs GROUP BY item_id", 0.01),
     "attr_counts": _items(

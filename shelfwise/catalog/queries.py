@@ -397,7 +397,7 @@ def _frequent_values(spark, d, share: float) -> item_ops.FrequentValues:
 
 @query
 def attr_main(spark, d):
-    return item_ops.main_values(item_ops.item_attributes(items(spark, d)), _frequent_values(spark, d, 0.04))
+    return item_ops.main_values(item_ops.item_attributes(items(spark, d)), _frequent_values(spark, d, 0.03))
 
 
 @query
