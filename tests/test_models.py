@@ -63,7 +63,7 @@ def test_saved_model_says_the_same(spark, model, tmp_path):
 
 def test_unknown_model(data):
     with pytest.raises(ValueError):
-        fit_model("sasrec", *data)
+        fit_model("guess", *data)
 
 
 def positives(data):
