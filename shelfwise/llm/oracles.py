@@ -12,6 +12,9 @@ keyed AS (
 often AS (SELECT key FROM keyed WHERE key <> '' GROUP BY key HAVING count(DISTINCT doc_id) >= 10)
 """
 
+LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+ALNUM_WORDS = "regexp_extract_all(" + LOWER.format("coalesce(text, '')") + r", '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
 ORACLES = {
     "op1_line_dedup": f"""
 WITH {LINE_PARTS}
@@ -19,5 +22,33 @@ SELECT doc_id, count(*) AS n_lines, count(often.key) AS n_dropped,
   sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (often.key IS NULL), '')) AS kept_sha256
 FROM keyed LEFT JOIN often ON keyed.key = often.key
 GROUP BY doc_id
+""",
+    "op9_decontamination": f"""
+WITH items AS (SELECT item_id, {ALNUM_WORDS} AS w FROM benchmark),
+spans AS (
+  SELECT item_id, list_slice(w, i, i + least(10, len(w)) - 1) AS win, least(10, len(w)) AS n
+  FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS i FROM items WHERE len(w) > 0)),
+docs AS (SELECT doc_id, {ALNUM_WORDS} AS w FROM documents),
+places AS (
+  SELECT doc_id, n, i, list_slice(w, i, i + n - 1) AS win
+  FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i
+        FROM docs CROSS JOIN (SELECT DISTINCT n FROM spans) WHERE len(w) >= n)),
+hits AS (SELECT doc_id, i, places.n, item_id FROM places JOIN spans ON places.n = spans.n AND places.win = spans.win),
+words AS (SELECT doc_id, count(*) AS n_hit
+  FROM (SELECT DISTINCT doc_id, unnest(range(i, i + n)) AS k FROM (SELECT DISTINCT doc_id, i, n FROM hits)) GROUP BY doc_id),
+named AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS ids
+  FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM hits) GROUP BY doc_id),
+-- the longest match: windows that follow one another in item and document
+chains AS (
+  SELECT doc_id, n, item_id, pos - i AS line, i - row_number() OVER (PARTITION BY doc_id, item_id, pos - i ORDER BY i) AS grp
+  FROM (SELECT DISTINCT doc_id, places.n, places.i, s.item_id, s.pos FROM places JOIN (
+    SELECT item_id, list_slice(w, i, i + least(10, len(w)) - 1) AS win, least(10, len(w)) AS n, i AS pos
+    FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS i FROM items WHERE len(w) > 0)) s
+    ON places.n = s.n AND places.win = s.win)),
+longest AS (SELECT doc_id, max(m) AS longest_words
+  FROM (SELECT doc_id, count(*) - 1 + max(n) AS m FROM chains GROUP BY doc_id, item_id, line, grp) GROUP BY doc_id)
+SELECT docs.doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+  sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated, coalesce(longest_words, 0) AS longest_words
+FROM docs LEFT JOIN words USING (doc_id) LEFT JOIN named USING (doc_id) LEFT JOIN longest USING (doc_id)
 """,
 }

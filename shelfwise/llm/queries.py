@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from shelfwise.llm.decontaminate import find_contamination
 from shelfwise.llm.line_dedup import dedup_lines
+from shelfwise.llm.quality import fit_ranker, held_out, score_quality
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -17,4 +19,23 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup_lines(docs).select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
-QUERIES = {"op1_line_dedup": op1_line_dedup}
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    ranker = fit_ranker(docs, _table(spark, sf_dir, "labels").where(~held_out()))
+    return score_quality(docs, ranker).select("doc_id", held_out().alias("held_out"), "score", "predicted")
+
+
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = find_contamination(docs, _table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated", "longest_words",
+    )
+
+
+QUERIES = {
+    "op1_line_dedup": op1_line_dedup,
+    "op7_quality": op7_quality,
+    "op9_decontamination": op9_decontamination,
+}
