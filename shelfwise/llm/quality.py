@@ -164,18 +164,16 @@ def fit_ranker(
 
 
 def best_quantile(strengths: list[float], good: list[bool]) -> tuple[float, float]:
-    """The strength, and its quantile, that parts good from bad with the best balanced accuracy.
+    """The strength, and its quantile, that parts good from bad with the fewest errors.
 
     Among equally good places the middle of the widest gap.
     """
     order = np.argsort(strengths, kind="stable")
     s, g = np.asarray(strengths)[order], np.asarray(good)[order]
-    bad_below = np.concatenate([[0], np.cumsum(~g)]) / max((~g).sum(), 1)
-    good_above = 1 - np.concatenate([[0], np.cumsum(g)]) / max(g.sum(), 1)
-    merit = bad_below + good_above
+    merit = np.concatenate([[0], np.cumsum(~g)]) + g.sum() - np.concatenate([[0], np.cumsum(g)])
     gap = np.concatenate([[0], np.diff(s), [0]])
     merit[1:-1][gap[1:-1] <= 0] = -1
-    best = np.flatnonzero(merit >= merit.max() - 1e-12)
+    best = np.flatnonzero(merit == merit.max())
     k = int(best[np.argmax(gap[best])])
     if k in (0, len(s)):
         return float(s[0] - 1 if k == 0 else s[-1] + 1), k / len(s)
