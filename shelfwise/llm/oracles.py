@@ -15,6 +15,8 @@ often AS (SELECT key FROM keyed WHERE key <> '' GROUP BY key HAVING count(DISTIN
 LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 ALNUM_WORDS = "regexp_extract_all(" + LOWER.format("coalesce(text, '')") + r", '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 
+SPACE_WORDS = "regexp_extract_all(" + LOWER.format("coalesce(text, '')") + r", '[^\x20\x09-\x0D]+')"
+
 ORACLES = {
     "op1_line_dedup": f"""
 WITH {LINE_PARTS}
@@ -50,5 +52,18 @@ longest AS (SELECT doc_id, max(m) AS longest_words
 SELECT docs.doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
   sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated, coalesce(longest_words, 0) AS longest_words
 FROM docs LEFT JOIN words USING (doc_id) LEFT JOIN named USING (doc_id) LEFT JOIN longest USING (doc_id)
+""",
+    "op6_near_dedup": f"""
+WITH RECURSIVE docs AS (SELECT doc_id, {SPACE_WORDS} AS w FROM documents),
+sets AS (
+  SELECT DISTINCT doc_id, list_slice(w, i, i + 2) AS s
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 2, 1) + 1)) AS i FROM docs WHERE len(w) > 0)),
+sizes AS (SELECT doc_id, count(*) AS n FROM sets GROUP BY doc_id),
+shared AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS inter FROM sets a JOIN sets b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY a.doc_id, b.doc_id),
+links AS (SELECT a, b FROM shared JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b WHERE 100 * inter >= 85 * (x.n + y.n - inter)),
+reach AS (SELECT doc_id AS a, doc_id AS b FROM documents UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a),
+grouped AS (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a)
+SELECT docs.doc_id, coalesce(n, 0) AS n_shingles, component_id, component_id = docs.doc_id AS kept
+FROM docs JOIN grouped USING (doc_id) LEFT JOIN sizes USING (doc_id)
 """,
 }

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from shelfwise.llm.decontaminate import find_contamination
 from shelfwise.llm.line_dedup import dedup_lines
+from shelfwise.llm.near_dedup import near_duplicates
 from shelfwise.llm.quality import fit_ranker, held_out, score_quality
 
 
@@ -19,6 +20,10 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup_lines(docs).select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op6_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(_table(spark, sf_dir, "documents").select("doc_id", "text"), shingle=3, per_cent=85)
+
+
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     ranker = fit_ranker(docs, _table(spark, sf_dir, "labels").where(~held_out()))
@@ -36,6 +41,7 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_line_dedup": op1_line_dedup,
+    "op6_near_dedup": op6_near_dedup,
     "op7_quality": op7_quality,
     "op9_decontamination": op9_decontamination,
 }
