@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from shelfwise.llm.decontaminate import find_contamination
 from shelfwise.llm.line_dedup import dedup_lines
+from shelfwise.llm.mixing import mix_sources
 from shelfwise.llm.near_dedup import near_duplicates
 from shelfwise.llm.quality import fit_ranker, held_out, score_quality
 
@@ -20,6 +21,10 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup_lines(docs).select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix_sources(_table(spark, sf_dir, "documents").select("doc_id", "source"))
+
+
 def op6_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents").select("doc_id", "text"), shingle=3, per_cent=85)
 
@@ -41,6 +46,7 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_line_dedup": op1_line_dedup,
+    "op3_mixing": op3_mixing,
     "op6_near_dedup": op6_near_dedup,
     "op7_quality": op7_quality,
     "op9_decontamination": op9_decontamination,
