@@ -5,17 +5,49 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from shelfwise.llm.decontaminate import decontaminate
 from shelfwise.llm.line_dedup import dedup_lines
+from shelfwise.llm.mixing import mix_sources
+from shelfwise.llm.near_dedup import dedup_documents
+from shelfwise.llm.quality import fit_ranker, held_out, score_quality
 from shelfwise.workspace import write_down
 
 
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the ranker, learnt from the labels, places below its threshold go."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").where(~held_out())
+    scored = score_quality(docs, fit_ranker(docs, labels))
+    return scored.where(F.col("predicted") == 1).select(docs.columns)
+
+
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Lines that ten documents or more hold are taken out."""
+    """Lines that ten documents or more hold are taken out; ``n_chars`` follows the text."""
     kept = dedup_lines(docs).select(docs.columns)
     return kept.withColumn("n_chars", F.length("text").cast("long"))
 
 
-STAGES = [("line_dedup", line_dedup)]
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates (five-word shingles, 0.8 alike) stays."""
+    return dedup_documents(docs)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold ten words of a benchmark item in a row go."""
+    return decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document gets its place in the mix of sources."""
+    return mix_sources(docs)
+
+
+STAGES = [
+    ("quality", quality),
+    ("line_dedup", line_dedup),
+    ("near_dedup", near_dedup),
+    ("decontamination", decontamination),
+    ("mixing", mixing),
+]
 #: Learnt scores and the interleaving have no SQL form; tests hold them against plain versions.
 ORACLE_SQL = None
 
