@@ -17,6 +17,21 @@ ALNUM_WORDS = "regexp_extract_all(" + LOWER.format("coalesce(text, '')") + r", '
 
 SPACE_WORDS = "regexp_extract_all(" + LOWER.format("coalesce(text, '')") + r", '[^\x20\x09-\x0D]+')"
 
+RULES = [("block", "net/es/"), ("block", "net/fr/"), ("allow", "www.example.com/en/"), ("block", "example.com/en/"), ("allow", "com/")]
+_FITS = [(f"((host = '{r.partition('/')[0]}' OR ends_with(host, '.{r.partition('/')[0]}')) AND starts_with(path, '/{r.partition('/')[2]}'))", v, r)
+         for v, r in sorted(RULES, key=lambda x: -len(x[1]))]
+RULE = "CASE " + " ".join(f"WHEN {f} THEN '{r}'" for f, _, r in _FITS) + " END"
+SAID = "CASE " + " ".join(f"WHEN {f} THEN '{v}'" for f, v, _ in _FITS) + " END"
+#: Strength of the prior at one level, by moments.
+LEVEL = """
+{name}_level AS (
+  SELECT CASE WHEN rho > 0 THEN greatest(1.0, least(1000.0, 1 / greatest(rho, 1e-9) - 1)) ELSE 1000.0 END AS strength
+  FROM (SELECT CASE WHEN room > 0 THEN (s - w * (k - 1)) / room END AS rho
+    FROM (SELECT p * (1 - p) AS w, k, s, p * (1 - p) * (total - squares / total - k + 1) AS room
+      FROM (SELECT any_value(total) AS total, any_value(p) AS p, any_value(k) AS k, any_value(squares) AS squares, sum(n * pow(bad / n - p, 2)) AS s
+        FROM {groups}, (SELECT CAST(sum(n) AS DOUBLE) AS total, sum(bad) / sum(n) AS p, count(*) AS k, CAST(sum(n * n) AS DOUBLE) AS squares FROM {groups} WHERE n > 0)
+        WHERE n > 0)))),"""
+
 ORACLES = {
     "op1_line_dedup": f"""
 WITH {LINE_PARTS}
@@ -65,5 +80,26 @@ reach AS (SELECT doc_id AS a, doc_id AS b FROM documents UNION SELECT reach.a, l
 grouped AS (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a)
 SELECT docs.doc_id, coalesce(n, 0) AS n_shingles, component_id, component_id = docs.doc_id AS kept
 FROM docs JOIN grouped USING (doc_id) LEFT JOIN sizes USING (doc_id)
+""",
+    "op5_url_filter": f"""
+WITH rest AS (SELECT page_id, CASE WHEN url LIKE '%://%' THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS r FROM pages),
+parts AS (SELECT page_id, regexp_extract(r, '^[^/?#]*') AS h, r FROM rest),
+split AS (SELECT page_id, {LOWER.format("h")} AS host, regexp_extract(substr(r, length(h) + 1), '^[^?#]*') AS path FROM parts),
+hosts AS (
+  SELECT host, count(quality) AS n, count(*) FILTER (quality = 0) AS bad,
+    array_to_string(list_slice(string_split(host, '.'), -2, -1), '.') AS domain, string_split(host, '.')[-1] AS suffix
+  FROM split LEFT JOIN labels ON doc_id = page_id GROUP BY host),
+domains AS (SELECT domain, suffix, sum(n) AS n, sum(bad) AS bad FROM hosts GROUP BY domain, suffix),
+suffixes AS (SELECT suffix, sum(n) AS n, sum(bad) AS bad FROM domains GROUP BY suffix),
+overall AS (SELECT (sum(bad) + 0.5) / (sum(n) + 1) AS prior FROM suffixes),
+{LEVEL.format(name="suffix", groups="suffixes")}
+{LEVEL.format(name="domain", groups="domains")}
+{LEVEL.format(name="host", groups="hosts")}
+suffix_share AS (SELECT suffix, (bad + strength * prior) / (n + strength) AS prior FROM suffixes, overall, suffix_level),
+domain_share AS (SELECT domain, (bad + strength * prior) / (n + strength) AS prior FROM domains JOIN suffix_share USING (suffix), domain_level),
+host_share AS (SELECT host, n, strength, (bad + strength * prior) / (n + strength) AS share FROM hosts JOIN domain_share USING (domain), host_level)
+SELECT page_id, host, path, {RULE} AS rule,
+  coalesce({SAID}, CASE WHEN share - 1.645 * sqrt(share * (1 - share) / (n + strength + 1)) > 0.15 THEN 'block' ELSE 'allow' END) AS verdict
+FROM split JOIN host_share USING (host)
 """,
 }

@@ -9,7 +9,9 @@ from shelfwise.llm.decontaminate import find_contamination
 from shelfwise.llm.line_dedup import dedup_lines
 from shelfwise.llm.mixing import mix_sources
 from shelfwise.llm.near_dedup import near_duplicates
+from shelfwise.llm.neighbours import nearest_neighbours
 from shelfwise.llm.quality import fit_ranker, held_out, score_quality
+from shelfwise.llm.reputation import judge_urls
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -21,10 +23,30 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup_lines(docs).select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op2_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = _table(spark, sf_dir, "embeddings")
+    return nearest_neighbours(vectors, vectors.where(F.col("vec_id") % 20 == 0))
+
+
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(_table(spark, sf_dir, "documents").select("doc_id", "source"))
 
 
+URL_RULES = [
+    ("allow", "com/"),
+    ("block", "example.com/en/"),
+    ("allow", "www.example.com/en/"),
+    ("block", "net/es/"),
+    ("block", "net/fr/"),
+]
+
+
+def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A page's outcome is the quality label of its number, where there is one."""
+    outcomes = _table(spark, sf_dir, "labels").select(F.col("doc_id").alias("page_id"), F.col("quality").alias("outcome"))
+    return judge_urls(_table(spark, sf_dir, "pages"), outcomes, URL_RULES)
+
+
 def op6_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents").select("doc_id", "text"), shingle=3, per_cent=85)
 
@@ -46,7 +68,9 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_line_dedup": op1_line_dedup,
+    "op2_neighbours": op2_neighbours,
     "op3_mixing": op3_mixing,
+    "op5_url_filter": op5_url_filter,
     "op6_near_dedup": op6_near_dedup,
     "op7_quality": op7_quality,
     "op9_decontamination": op9_decontamination,
