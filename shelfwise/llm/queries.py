@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfwise.llm.decontaminate import find_contamination
+from shelfwise.llm.html_text import extract_text
 from shelfwise.llm.line_dedup import dedup_lines
 from shelfwise.llm.mixing import mix_sources
 from shelfwise.llm.near_dedup import near_duplicates
@@ -66,6 +67,10 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_text(_table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+
+
 QUERIES = {
     "op1_line_dedup": op1_line_dedup,
     "op2_neighbours": op2_neighbours,
@@ -74,4 +79,5 @@ QUERIES = {
     "op6_near_dedup": op6_near_dedup,
     "op7_quality": op7_quality,
     "op9_decontamination": op9_decontamination,
+    "op10_html_extraction": op10_html_extraction,
 }
