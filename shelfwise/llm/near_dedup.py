@@ -2,12 +2,12 @@
 
 Documents with the same set of word shingles form a class, and one of a class goes on.
 Bands of registers bring similar classes into buckets. In a bucket every member is held
-against one centre (the smallest id), first by the likelihood of their registers, then on
-their full sets; the links give components. Only buckets whose members still lie in
-different components have pairs left that could matter: their registers are compared block
-by block inside tasks, and what the likelihood leaves is again confirmed on full sets. A
-hot bucket is so settled by one link a member, and no pair of two members of one component
-is ever a row.
+against one centre, first by the likelihood of their registers, then on their full sets;
+the links give components. Buckets whose members still lie in different components are
+held against another centre, and only what is then left is compared in full: registers
+block by block inside tasks, each pair in one bucket only, and what the likelihood leaves
+again on full sets. A hot bucket is so settled by few links a member, and no pair of two
+members of one component is ever a row.
 """
 
 from __future__ import annotations
@@ -64,7 +64,8 @@ def _bander(bands: int, rows: int):
             for a in range(0, len(registers), 2048):
                 keys = band_keys(registers[a : a + 2048], bands, rows)
                 take = pa.array(np.repeat(np.arange(a, a + len(keys)), bands))
-                yield pa.RecordBatch.from_arrays([pa.array(keys.ravel()), batch.column(0).take(take)], ["key", "id"])
+                band = pa.array(np.tile(np.arange(bands, dtype=np.int32), len(keys)))
+                yield pa.RecordBatch.from_arrays([pa.array(keys.ravel()), band, batch.column(0).take(take)], ["key", "band", "id"])
 
     return run
 
@@ -152,48 +153,65 @@ def _set_maker(size: int):
                 sets += [shingles[x:y].tobytes() for x, y in zip(limits[:-1].tolist(), limits[1:].tolist(), strict=True)]
                 counts.append(np.diff(limits))
             n = np.concatenate(counts) if counts else np.zeros(0, np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary()), pa.array(n), batch.column(2)], ["id", "payload", "n", "at"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary()), pa.array(n)], ["id", "payload", "n"])
 
     return run
 
 
 class _Linker:
-    def __init__(self, docs: DataFrame, text: str, shingle: int, per_cent: int, reps: DataFrame, kind: str):
-        self.docs, self.text, self.shingle, self.per_cent, self.reps, self.kind = docs, text, shingle, per_cent, reps, kind
-
-    def likely(self, pairs: DataFrame) -> DataFrame:
+    """Holds pairs of classes against each other, by registers and by full sets."""
+
+    def __init__(self, reps: DataFrame, sets: DataFrame, per_cent: int, kind: str):
+        self.reps, self.sets, self.per_cent, self.kind = reps, sets, per_cent, kind
+
+    def sized(self, pairs: DataFrame) -> DataFrame:
+        """The ``pairs`` whose sizes allow the similarity."""
+        size = self.reps.select("id", F.col("n_shingles").alias("n"))
+        small, large = F.least("n", "m"), F.greatest("n", "m")
+        return (
+            pairs.join(size.withColumnRenamed("id", "b"), "b")
+            .join(size.select(F.col("id").alias("a"), F.col("n").alias("m")), "a")
+            .where(small * 100 >= large * self.per_cent)
+            .select("a", "b")
+        )
+
+    def links(self, pairs: Written) -> Written:
+        """The linked ones of ``pairs``."""
         payload = self.reps.select("id", F.col("registers").alias("payload"), F.col("n_shingles").alias("n"))
-        return _hold(payload.join(_pairs_of_centres(pairs), "id"), _judge_registers(self.per_cent), self.kind)
-
-    def confirmed(self, pairs: DataFrame) -> DataFrame:
-        places = _pairs_of_centres(pairs)
-        texts = self.docs.select(F.col("doc_id").alias("id"), F.col(self.text).alias("text")).join(places, "id").select("id", "text", "at")
-        schema = f"id {self.kind}, payload binary, n long, at array<struct<a:{self.kind},piece:int,role:int>>"
-        return _hold(texts.mapInArrow(_set_maker(self.shingle), schema), _judge_sets(self.per_cent), self.kind)
+        likely = write_down(_hold(payload.join(_pairs_of_centres(pairs.table), "id"), _judge_registers(self.per_cent), self.kind), "likely")
+        links = self.confirmed(likely)
+        discard(self.reps.sparkSession, likely.path)
+        return links
 
+    def confirmed(self, pairs: Written) -> Written:
+        return write_down(_hold(self.sets.join(_pairs_of_centres(pairs.table), "id"), _judge_sets(self.per_cent), self.kind), "confirmed")
 
-def _size_fits(per_cent: int):
-    small, large = F.least("n", "n_centre"), F.greatest("n", "n_centre")
-    return small * 100 >= large * per_cent
 
-
-def _block_pairs(per_cent: int, kind: str):
+def _block_pairs(per_cent: int, kind: str, bands: int, rows: int):
     def compare(table: pa.Table) -> pa.Table:
         ids, comp, side = table["id"].to_pylist(), np.array(table["component"].to_pylist()), table["side"].to_numpy()
-        n = table["n"].to_numpy()
+        n, band = table["n"].to_numpy(), table["band"][0].as_py()
         registers = np.frombuffer(b"".join(table["registers"].to_pylist()), np.uint16).reshape(len(ids), -1)
+        # Keys of the bands whose buckets are compared, up to this one; a pair counts in the first it shares.
+        open_ = (table["mask"].to_numpy()[:, None] >> np.arange(band)) & 1 == 1
+        keys = np.where(open_, band_keys(registers, bands, rows)[:, :band], np.arange(len(ids))[:, None])
         left, right = np.flatnonzero(side != 1), np.flatnonzero(side != 0)
         same = table["bi"][0].as_py() == table["bj"][0].as_py()
-        out_a, out_b = [], []
+        found = []
         for k, i in enumerate(left.tolist()):
             others = right[k + 1 :] if same else right
             others = others[(comp[others] != comp[i]) & (np.minimum(n[others], n[i]) * 100 >= np.maximum(n[others], n[i]) * per_cent)]
-            if not len(others):
-                continue
-            own, theirs = registers[i], registers[others]
-            close, _ = may_reach((own > theirs).sum(1), (own < theirs).sum(1), len(own), np.full(len(others), n[i]), n[others], per_cent / 100)
-            for j in others[close].tolist():
-                a, b = (ids[i], ids[j]) if ids[i] < ids[j] else (ids[j], ids[i])
+            others = others[~(keys[others] == keys[i]).any(1)]
+            if len(others):
+                own, theirs = registers[i], registers[others]
+                found.append(np.stack([np.full(len(others), i), others, (own > theirs).sum(1), (own < theirs).sum(1)], 1))
+        out_a, out_b = [], []
+        every = np.concatenate(found) if found else np.zeros((0, 4), np.int64)
+        for at in range(0, len(every), 16384):
+            i, j, more, less = every[at : at + 16384].T
+            close, _ = may_reach(more, less, registers.shape[1], n[i], n[j], per_cent / 100)
+            for x, y in zip(i[close].tolist(), j[close].tolist(), strict=True):
+                a, b = (ids[x], ids[y]) if ids[x] < ids[y] else (ids[y], ids[x])
                 out_a.append(a)
                 out_b.append(b)
         field = table.schema.field("id").type
@@ -202,27 +220,43 @@ def _block_pairs(per_cent: int, kind: str):
     return compare
 
 
-def _pairs_left(buckets: DataFrame, comps: DataFrame, reps: DataFrame, per_cent: int, kind: str) -> DataFrame:
-    """Likely pairs across components in buckets whose members, but for the centre, span several."""
-    at = buckets.where(F.col("id") != F.col("centre")).select("key", "id")
+def _unsettled(buckets: DataFrame, comps: DataFrame) -> DataFrame:
+    """``key, band, id, component`` of the buckets whose members, but for the centre, span components.
+
+    Of buckets with the same members one stays.
+    """
+    at = buckets.where(F.col("id") != F.col("centre")).select("key", "band", "id")
     at = at.join(comps, "id", "left").withColumn("component", F.coalesce("component", "id"))
     spans = (
         at.groupBy("key")
         .agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("n"), F.sum(F.xxhash64("id").cast("decimal(20,0)")).alias("sign"))
         .where(F.col("lo") < F.col("hi"))
-        .groupBy("n", "sign")  # buckets of the same members count once
+        .groupBy("n", "sign")
         .agg(F.min("key").alias("key"))
-        .select("key", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
+        .select("key", F.col("n").alias("members"))
     )
-    dealt = at.join(spans, "key").withColumn("mine", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
-    dealt = dealt.join(reps.select("id", F.col("n_shingles").alias("n"), "registers"), "id")
-    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    blocks = dealt.withColumn("o", other).select(
+    return at.join(spans, "key")
+
+
+def _other_centre(unsettled: DataFrame) -> DataFrame:
+    """Pairs of the members with another centre, drawn by hash, where components differ."""
+    drawn = unsettled.groupBy("key").agg(F.min(F.struct(F.xxhash64("id", "key").alias("h"), F.col("id").alias("a"), F.col("component").alias("ca"))).alias("c"))
+    pairs = unsettled.join(drawn, "key").where(F.col("component") != F.col("c.ca"))
+    return pairs.select(F.col("c.a").alias("a"), F.col("id").alias("b")).distinct()
+
+
+def _pairs_left(unsettled: DataFrame, reps: DataFrame, per_cent: int, kind: str, bands: int, rows: int) -> DataFrame:
+    """Likely pairs across components, each compared in the first bucket that holds both."""
+    masks = unsettled.groupBy("id").agg(F.bit_or(F.expr("shiftleft(1L, band)")).alias("mask"))
+    dealt = unsettled.withColumn("blocks", F.ceil(F.col("members") / BLOCK).cast("int"))
+    dealt = dealt.withColumn("mine", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
+    dealt = dealt.join(reps.select("id", F.col("n_shingles").alias("n"), "registers").join(masks, "id"), "id")
+    blocks = dealt.withColumn("o", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
         "key", F.least("mine", "o").alias("bi"), F.greatest("mine", "o").alias("bj"),
         F.when(F.col("mine") == F.col("o"), 2).otherwise(F.when(F.col("mine") < F.col("o"), 0).otherwise(1)).alias("side"),
-        "id", "component", "n", "registers",
+        "band", "id", "component", "n", "mask", "registers",
     )
-    return blocks.groupBy("key", "bi", "bj").applyInArrow(_block_pairs(per_cent, kind), f"a {kind}, b {kind}").distinct()
+    return blocks.groupBy("key", "bi", "bj").applyInArrow(_block_pairs(per_cent, kind, bands, rows), f"a {kind}, b {kind}").distinct()
 
 
 def near_duplicates(docs: DataFrame, text: str = "text", shingle: int = 5, per_cent: int = 80) -> DataFrame:
@@ -238,40 +272,47 @@ def near_duplicates(docs: DataFrame, text: str = "text", shingle: int = 5, per_c
     """
     spark, kind = docs.sparkSession, dict(docs.dtypes)["doc_id"]
     bands, rows = band_shape(per_cent / 100)
+    gone: list[Written] = []
+
+    def keep(df: DataFrame, name: str) -> Written:
+        gone.append(write_down(df, name))
+        return gone[-1]
+
     sketches = write_down(sketch_documents(docs, text, shingle), "sketches")
     some = sketches.table.where(F.col("doc_id").isNotNull() & (F.col("n_shingles") > 0))
-    classes = some.groupBy("d1", "d2").agg(
-        F.min("doc_id").alias("id"), F.first("n_shingles").alias("n_shingles"), F.first("registers").alias("registers")
-    )
-    reps = write_down(classes, "classes")
-    keyed = reps.table.select("id", "registers").mapInArrow(_bander(bands, rows), f"key long, id {kind}")
+    reps = keep(
+        some.groupBy("d1", "d2").agg(F.min("doc_id").alias("id"), F.first("n_shingles").alias("n_shingles"), F.first("registers").alias("registers")), "classes"
+    ).table
+    keyed = reps.select("id", "registers").mapInArrow(_bander(bands, rows), f"key long, band int, id {kind}")
     shared = keyed.groupBy("key").agg(F.min("id").alias("centre"), F.count("*").alias("members")).where(F.col("members") > 1)
-    buckets = write_down(keyed.join(shared, "key").select("key", "id", "centre"), "buckets")
-    size = reps.table.select("id", F.col("n_shingles").alias("n"))
-    star = (
-        buckets.table.where(F.col("id") != F.col("centre")).select("centre", "id").distinct()
-        .join(size, "id")
-        .join(size.select(F.col("id").alias("centre"), F.col("n").alias("n_centre")), "centre")
-        .where(_size_fits(per_cent))
-        .select(F.col("centre").alias("a"), F.col("id").alias("b"))
-    )
-    tried = write_down(star, "pairs")
-    link = _Linker(docs, text, shingle, per_cent, reps.table, kind)
-    likely = write_down(link.likely(tried.table), "likely")
-    links = write_down(link.confirmed(likely.table), "confirmed")
-    first = components(links.table)
-    left = write_down(_pairs_left(buckets.table, first.table, reps.table, per_cent, kind).join(tried.table, ["a", "b"], "left_anti"), "left")
-    more = write_down(link.confirmed(left.table), "confirmed")
-    if more.table.limit(1).count():
-        final = components(links.table.union(more.table))
-        discard(spark, first.path)
-    else:
-        final = first
+    buckets = keep(keyed.join(shared, "key").select("key", "band", "id", "centre"), "buckets").table
+    needed = docs.select(F.col("doc_id").alias("id"), F.col(text).alias("text")).join(buckets.select("id").distinct(), "id", "left_semi")
+    sets = keep(needed.mapInArrow(_set_maker(shingle), f"id {kind}, payload binary, n long"), "sets").table
+    linker = _Linker(reps, sets, per_cent, kind)
+
+    star = buckets.where(F.col("id") != F.col("centre")).select(F.col("centre").alias("a"), F.col("id").alias("b")).distinct()
+    tried = keep(linker.sized(star), "pairs")
+    links = linker.links(tried)
+    gone.append(links)
+    comps = components(links.table)
+    gone.append(comps)
+    # Another centre joins most of what the first has missed; the rest is compared in full.
+    for full in (False, True):
+        open_ = keep(_unsettled(buckets, comps.table), "unsettled").table
+        pairs = _pairs_left(open_, reps, per_cent, kind, bands, rows) if full else linker.sized(_other_centre(open_))
+        fresh = keep(pairs.join(tried.table, ["a", "b"], "left_anti"), "pairs")
+        more = linker.confirmed(fresh) if full else linker.links(fresh)
+        gone.append(more)
+        if more.table.limit(1).count():
+            links = keep(links.table.union(more.table), "links")
+            comps = components(links.table)
+            gone.append(comps)
+        tried = keep(tried.table.union(fresh.table), "pairs")
     named = write_down(
-        reps.table.select("d1", "d2", "id").join(final.table, "id", "left").select("d1", "d2", F.coalesce("component", "id").alias("_c")), "named"
+        reps.select("d1", "d2", "id").join(comps.table, "id", "left").select("d1", "d2", F.coalesce("component", "id").alias("_c")), "named"
     )
-    for gone in (reps, buckets, tried, likely, links, left, more, final):
-        discard(spark, gone.path)
+    for table in gone:
+        discard(spark, table.path)
     return _labelled(sketches, named)
 
 

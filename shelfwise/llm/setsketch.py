@@ -80,7 +80,7 @@ def may_reach(more, less, m: int, size_a, size_b, similarity: float, doubt: floa
     ``doubt`` (44: about 3 in 100,000,000,000 of pairs at the threshold).
     """
     size_a, size_b, more, less = (np.asarray(x, np.float64) for x in (size_a, size_b, more, less))
-    grid = np.linspace(0.0, 1.0, 101)[None, :]
+    grid = np.linspace(0.0, 1.0, 51)[None, :]
     grid = np.minimum(grid, (np.minimum(size_a, size_b) / np.maximum(size_a, size_b))[:, None])
     values = likelihoods(more, less, m, size_a, size_b, grid)
     best = values.argmax(1)
