@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from shelfwise.workspace import discard, write_down
 
 #: Rows of one source that are numbered in one task, about.
-BUCKET_ROWS = 50_000
+BUCKET_ROWS = 5_000
 
 
 class Phase(NamedTuple):

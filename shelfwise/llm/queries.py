@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from shelfwise.llm.decontaminate import find_contamination
 from shelfwise.llm.html_text import extract_text
+from shelfwise.llm.language_model import score_documents
 from shelfwise.llm.line_dedup import dedup_lines
 from shelfwise.llm.mixing import mix_sources
 from shelfwise.llm.near_dedup import near_duplicates
@@ -58,6 +59,12 @@ def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_quality(docs, ranker).select("doc_id", held_out().alias("held_out"), "score", "predicted")
 
 
+def op8_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = score_documents(docs, ~held_out(fold=1))
+    return scored.select("doc_id", (~F.col("training")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     found = find_contamination(docs, _table(spark, sf_dir, "benchmark"))
@@ -78,6 +85,7 @@ QUERIES = {
     "op5_url_filter": op5_url_filter,
     "op6_near_dedup": op6_near_dedup,
     "op7_quality": op7_quality,
+    "op8_language_model": op8_language_model,
     "op9_decontamination": op9_decontamination,
     "op10_html_extraction": op10_html_extraction,
 }
