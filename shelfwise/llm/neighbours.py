@@ -21,8 +21,8 @@ from shelfwise.workspace import discard, write_down
 SAMPLE_ROWS, CALIBRATION = 20_000, 200
 #: Rows of a leaf, about, while the sample allows it.
 LEAF_ROWS = 256
-#: Rows and queries that meet in one group, at most about.
-GROUP_ROWS, GROUP_QUERIES = 4096, 1024
+#: Rows and queries that meet in one group, at most about. Neighbouring leaves share a group.
+GROUP_ROWS, GROUP_QUERIES = 8192, 1024
 
 
 def _matrix(column) -> np.ndarray:
@@ -33,22 +33,27 @@ def _matrix(column) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(column), -1)
 
 
-def _top(queries: np.ndarray, query_ids: list, rows: np.ndarray, ids: np.ndarray, k: int):
+def _top(queries: np.ndarray, query_ids: list, rows: np.ndarray, ids: np.ndarray, k: int, open_to=None):
     """Each query's ``k`` rows of the largest inner products, ties to the smaller id; its own id is left out.
 
+    ``open_to`` (queries x rows) tells the rows that a query may find.
+
     The matrix product only selects; scores are summed alike for every row, so that equal
     vectors have equal scores.
     """
     order = np.argsort(ids, kind="stable")
     rows, ids = rows[order], ids[order]
+    if open_to is not None:
+        open_to = open_to[:, order]
     found: tuple[list, list, list] = ([], [], [])
     for a in range(0, len(queries), 128):
         product = queries[a : a + 128] @ rows.T
         for i, q in enumerate(query_ids[a : a + 128]):
-            line = product[i]
-            limit = np.partition(line, len(line) - k - 1)[len(line) - k - 1] if len(line) > k + 1 else -np.inf
-            slack = 1e-9 * max(1.0, float(np.abs(line).max()))
-            some = np.flatnonzero((line >= limit - slack) & (ids != q))
+            some = np.flatnonzero(ids != q) if open_to is None else np.flatnonzero(open_to[a + i] & (ids != q))
+            line = product[i][some]
+            if len(line) > k:
+                limit = np.partition(line, len(line) - k)[len(line) - k]
+                some = some[line >= limit - 1e-9 * max(1.0, float(np.abs(line).max()))]
             score = (rows[some] * queries[a + i]).sum(1)
             best = np.argsort(-score, kind="stable")[:k]
             found[0].extend([q] * len(best))
@@ -111,16 +116,37 @@ def leaves_to_visit(tree: Tree, query: np.ndarray, sizes: dict[int, int], visits
     return out
 
 
-def _visitor(tree, sizes: dict[int, int], visits: int, least: int):
+def _visitor(tree, sizes: dict[int, int], groups: dict[int, int], visits: int, least: int):
+    """Queries with one row per group of leaves, and the leaves they visit there."""
+
     def run(batches):
         for batch in batches:
-            if batch.num_rows:
-                lists = [leaves_to_visit(tree.value, q, sizes, visits, least) for q in _matrix(batch.column(1))]
-                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(lists, pa.list_(pa.int32()))], ["vec_id", "v", "leaves"])
+            rows, bins, lists = [], [], []
+            for i, q in enumerate(_matrix(batch.column(1))):
+                mine: dict[int, list[int]] = {}
+                for leaf in leaves_to_visit(tree.value, q, sizes, visits, least):
+                    if leaf in groups:
+                        mine.setdefault(groups[leaf], []).append(leaf)
+                rows += [i] * len(mine)
+                bins += mine.keys()
+                lists += mine.values()
+            taken = batch.take(pa.array(rows, pa.int64()))
+            yield pa.RecordBatch.from_arrays([pa.array(bins, pa.int32()), *taken.columns, pa.array(lists, pa.list_(pa.int32()))], ["bin", "vec_id", "v", "leaves"])
 
     return run
 
 
+def grouped_leaves(sizes: dict[int, int], rows: int = GROUP_ROWS) -> dict[int, int]:
+    """Group of each leaf that holds rows: leaves that follow one another, at most ``rows`` or one leaf."""
+    out, group, held = {}, 0, 0
+    for leaf in sorted(sizes):
+        if held and held + sizes[leaf] > rows:
+            group, held = group + 1, 0
+        out[leaf] = group
+        held += sizes[leaf]
+    return out
+
+
 def calibrated_visits(tree: Tree, queries: np.ndarray, truth: list[list[int]], recall: float) -> int:
     """The fewest leaf visits that reach the share ``recall`` of the true neighbours' leaves."""
     needed = []
@@ -137,7 +163,12 @@ def _meet(k: int):
         kind = table.schema.field("vec_id").type
         found = ([], [], [])
         if len(mine) and len(others):
-            found = _top(_matrix(mine["v"]), mine["vec_id"].to_pylist(), _matrix(others["v"]), others["vec_id"].to_numpy(), k)
+            leaf = np.array([x[0] for x in others["leaves"].to_pylist()])
+            known, place = np.unique(leaf, return_inverse=True)
+            visited = np.zeros((len(mine), len(known)), bool)
+            for i, leaves in enumerate(mine["leaves"].to_pylist()):
+                visited[i] = np.isin(known, leaves)
+            found = _top(_matrix(mine["v"]), mine["vec_id"].to_pylist(), _matrix(others["v"]), others["vec_id"].to_numpy(), k, visited[:, place])
         return pa.Table.from_batches([_as_table(found, kind)])
 
     return run
@@ -185,25 +216,33 @@ def nearest_neighbours(
         at[r["query_id"]].append(r["leaf"])
     visits = calibrated_visits(tree, trial_vectors, [at[q] for q in trial_ids], recall)
 
+    groups = grouped_leaves(sizes)
     visiting = write_down(
-        asked.mapInArrow(_visitor(shared, sizes, visits, k + 1), f"vec_id {kind}, v array<double>, leaves array<int>"), "visits"
+        asked.mapInArrow(
+            _visitor(shared, sizes, groups, visits, k + 1), f"bin int, vec_id {kind}, v array<double>, leaves array<int>"
+        ),
+        "visits",
     )
-    calls = {r["leaf"]: r["n"] for r in visiting.table.select(F.explode("leaves").alias("leaf")).groupBy("leaf").agg(F.count("*").alias("n")).collect()}
+    calls = {r["bin"]: r["n"] for r in visiting.table.groupBy("bin").agg(F.count("*").alias("n")).collect()}
+    held: dict[int, int] = {}
+    for leaf, group in groups.items():
+        held[group] = held.get(group, 0) + sizes[leaf]
     # At most as many entries as the tree has leaves, which the sample bounds.
+    bins = spark.createDataFrame(list(groups.items()) or [(0, 0)], "leaf int, bin int")
     cuts = spark.createDataFrame(
-        [(leaf, -(-n // GROUP_ROWS), -(-calls.get(leaf, 0) // GROUP_QUERIES)) for leaf, n in sizes.items()], "leaf int, row_cuts int, query_cuts int"
+        [(g, -(-held[g] // GROUP_ROWS), -(-n // GROUP_QUERIES)) for g, n in calls.items()] or [(0, 1, 0)], "bin int, row_cuts int, query_cuts int"
     ).where("query_cuts > 0")
     spread = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
     piece = lambda n: F.pmod(F.xxhash64("vec_id"), F.col(n)).cast("int")
     members = (
-        dealt.table.join(F.broadcast(cuts), "leaf")
-        .select("leaf", piece("row_cuts").alias("p"), spread("query_cuts").alias("q"), F.lit(False).alias("asks"), "vec_id", "v")
+        dealt.table.join(F.broadcast(bins), "leaf").join(F.broadcast(cuts), "bin")
+        .select("bin", piece("row_cuts").alias("p"), spread("query_cuts").alias("q"), F.lit(False).alias("asks"), "vec_id", "v", F.array("leaf").alias("leaves"))
     )
     callers = (
-        visiting.table.select("vec_id", "v", F.explode("leaves").alias("leaf")).join(F.broadcast(cuts), "leaf")
-        .select("leaf", spread("row_cuts").alias("p"), piece("query_cuts").alias("q"), F.lit(True).alias("asks"), "vec_id", "v")
+        visiting.table.join(F.broadcast(cuts), "bin")
+        .select("bin", spread("row_cuts").alias("p"), piece("query_cuts").alias("q"), F.lit(True).alias("asks"), "vec_id", "v", "leaves")
     )
-    met = members.union(callers).groupBy("leaf", "p", "q").applyInArrow(_meet(k), f"query_id {kind}, vec_id {kind}, score double")
+    met = members.union(callers).groupBy("bin", "p", "q").applyInArrow(_meet(k), f"query_id {kind}, vec_id {kind}, score double")
     out = write_down(_best(met, k).select("query_id", "rank", "vec_id", "score"), "neighbours")
     discard(spark, dealt.path)
     discard(spark, visiting.path)
