@@ -33,6 +33,8 @@ def main(argv: list[str] | None = None) -> None:
         stage = stages.add_parser(name)
         for path in paths:
             stage.add_argument(f"--{path}", required=True)
+        if name == "train":
+            stage.add_argument("--features", help="feature tables, for truth or popularity from them")
         stage.add_argument("--master")
         if settings:
             stage.add_argument("--set", nargs="*", default=[], metavar="NAME=JSON", type=_setting, dest="settings")
@@ -40,7 +42,11 @@ def main(argv: list[str] | None = None) -> None:
     paths, settings, job = STAGES[args.stage]
     spark = build_session(f"shelfwise {args.stage}", args.master)
     given = [getattr(args, path) for path in paths]
-    job(spark, *given, *([settings(**dict(args.settings))] if settings else []))
+    if args.stage == "train":
+        given_settings = settings(**dict(args.settings))
+        job(spark, *given, given_settings, args.features)
+    else:
+        job(spark, *given, *([settings(**dict(args.settings))] if settings else []))
 
 
 if __name__ == "__main__":

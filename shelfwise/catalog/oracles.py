@@ -8,8 +8,6 @@ from __future__ import annotations
 
 from shelfwise.catalog.tables import ACTIONS, TRAIN_END, VALID_END
 
-FIRST_DAY_END = 1_704_153_599
-
 # Category lists of the given tables at the checked scale.
 COLORS = ("blue", "cold", "hot", "large", "new", "old", "red", "small")
 MATERIALS = ("anvil", "bolt", "gear", "gizmo", "plate", "ring", "rod", "widget")
@@ -67,12 +65,13 @@ rated AS (
     ON t.user_id = o.user_id AND t.item_id = o.item_id AND t.d = o.d)
   WHERE label > 0 GROUP BY ALL),
 pop AS (SELECT item_id, sum(rating) AS score FROM rated GROUP BY ALL),
-popular AS (SELECT row_number() OVER (ORDER BY score DESC, item_id) AS rank, item_id, score FROM pop),
+popular AS (SELECT row_number() OVER (ORDER BY score DESC, item_id) AS rank, item_id, score
+  FROM (SELECT item_id, coalesce(score, 0) AS score FROM (SELECT DISTINCT item_id FROM tracker WHERE sec <= {TRAIN_END}) LEFT JOIN pop USING (item_id))),
 truth AS (
   SELECT DISTINCT user_id, item_id FROM purchases
   WHERE last_status = 'delivered_orders' AND sec > {TRAIN_END} AND sec <= {VALID_END}),
-known AS (SELECT DISTINCT user_id FROM tracker WHERE sec <= {FIRST_DAY_END}),
-users AS (SELECT DISTINCT user_id FROM tracker)"""
+known AS (SELECT DISTINCT user_id FROM tracker WHERE sec <= {TRAIN_END}),
+users AS (SELECT c_custkey AS user_id FROM customer)"""
 
 
 def _logs(body: str, *more: str) -> str:
@@ -171,15 +170,15 @@ def _correlations() -> str:
 
 
 _CELLS = """
-observed AS (SELECT action_type, coalesce(last_status, 'null') AS last_status, count(*) AS o FROM joined GROUP BY ALL),
+observed AS (SELECT action_type, last_status, count(*) AS o FROM joined GROUP BY ALL),
 grid AS (
   SELECT a.action_type, s.last_status, coalesce(o.o, 0) AS o
   FROM (SELECT DISTINCT action_type FROM observed) a CROSS JOIN (SELECT DISTINCT last_status FROM observed) s
-  LEFT JOIN observed o ON a.action_type = o.action_type AND s.last_status = o.last_status),
+  LEFT JOIN observed o ON a.action_type IS NOT DISTINCT FROM o.action_type AND s.last_status IS NOT DISTINCT FROM o.last_status),
 cells AS (
   SELECT g.*, n, r * c / n AS e, r / n * (c / n) AS chance FROM grid g
-  JOIN (SELECT action_type, CAST(sum(o) AS DOUBLE) AS r FROM grid GROUP BY ALL) rs USING (action_type)
-  JOIN (SELECT last_status, CAST(sum(o) AS DOUBLE) AS c FROM grid GROUP BY ALL) cs USING (last_status),
+  JOIN (SELECT action_type, CAST(sum(o) AS DOUBLE) AS r FROM grid GROUP BY ALL) rs ON g.action_type IS NOT DISTINCT FROM rs.action_type
+  JOIN (SELECT last_status, CAST(sum(o) AS DOUBLE) AS c FROM grid GROUP BY ALL) cs ON g.last_status IS NOT DISTINCT FROM cs.last_status,
   (SELECT CAST(sum(o) AS DOUBLE) AS n FROM grid))"""
 
 _IDS = f"""
@@ -245,14 +244,33 @@ ranked AS (SELECT user_id, row_number() OVER (PARTITION BY user_id ORDER BY rati
 
 def _fallback(n: int) -> str:
     return f"""
+    own AS (SELECT user_id, rank, item_id, score FROM ranked WHERE rank <= {n}
+      AND user_id IN (SELECT user_id FROM known) AND user_id IN (SELECT user_id FROM users)),
     listed AS (
-      SELECT user_id, rank, item_id, score FROM ranked WHERE rank <= {n} AND user_id IN (SELECT user_id FROM known)
+      SELECT * FROM own
       UNION ALL
       SELECT u.user_id, p.rank, p.item_id, p.score
-      FROM (SELECT user_id FROM users WHERE user_id NOT IN (SELECT user_id FROM known)) u,
+      FROM (SELECT user_id FROM users WHERE user_id NOT IN (SELECT user_id FROM own)) u,
            (SELECT * FROM popular WHERE rank <= {n}) p)"""
 
 
+_DELIVERED_POPULAR = f"""
+bought AS (
+  SELECT t.item_id, count(*) AS score FROM tracker t JOIN purchases o
+  ON t.user_id = o.user_id AND t.item_id = o.item_id AND t.d = CAST(o.last_status_timestamp AS DATE)
+  WHERE t.sec <= {TRAIN_END} AND o.sec <= {TRAIN_END} AND o.last_status = 'delivered_orders' GROUP BY ALL),
+wanted AS (SELECT row_number() OVER (ORDER BY coalesce(score, 0) DESC, item_id) AS rank, item_id
+  FROM (SELECT DISTINCT item_id FROM tracker WHERE sec <= {TRAIN_END}) LEFT JOIN bought USING (item_id))"""
+
+
+def _facts(with_vector: str, popular: str = "popular") -> str:
+    """Facts of complete lists of 20, given the users that a model has a vector of."""
+    return f"""SELECT user_id, CAST(n AS BIGINT) AS n_items, CAST(n AS BIGINT) AS n_distinct, CAST(1 AS BIGINT) AS first_rank,
+      CAST(n AS BIGINT) AS last_rank, CAST(1 AS BIGINT) AS falls,
+      CASE WHEN user_id NOT IN ({with_vector}) THEN top END AS cold_list
+      FROM users, (SELECT count(*) AS n, string_agg(CAST(item_id AS VARCHAR), ' ' ORDER BY rank) AS top FROM {popular} WHERE rank <= 20)"""
+
+
 _LISTS = "user_id, CAST(rank AS BIGINT) AS rank, item_id, " + _six("score", "score")
 
 _DELIVERED_PAIRS = f"""
@@ -303,7 +321,9 @@ _ALL_FLAGS = _flags("color", "ColorBase", COLORS) + ", " + _flags("material", "M
 
 ORACLES: dict[str, str] = {
     "scan_project": "SELECT event_id, user_id, event_type FROM events",
-    "scan_glob_counts": "SELECT 'events.parquet' AS file_name, count(*) AS n_rows FROM events",
+    "scan_glob_counts": " UNION ALL ".join(
+        f"SELECT '{t}.parquet' AS file_name, count(*) AS n_rows FROM {t}" for t in ("customer", "events", "orders", "part")
+    ),
     "test_users": "SELECT DISTINCT user_id FROM events",
     "shard_counts": "SELECT ((user_id % 64) + 64) % 64 AS shard, count(*) AS n_rows FROM events GROUP BY ALL",
     "submission": _logs(
@@ -313,6 +333,19 @@ ORACLES: dict[str, str] = {
         _USER_TOP,
         _fallback(100),
     ),
+    "infer_submission": _logs(
+        """, scored AS (SELECT u.vec_id AS user_id, i.vec_id AS item_id,
+            list_dot_product(CAST(u.embedding AS DOUBLE[]), CAST(i.embedding AS DOUBLE[])) AS score FROM embeddings u, embeddings i),
+        best AS (SELECT user_id, item_id, row_number() OVER (PARTITION BY user_id ORDER BY score DESC, item_id) AS rank FROM scored),
+        fallback AS (SELECT item_id, row_number() OVER (ORDER BY coalesce(score, 0) DESC, item_id) AS rank
+          FROM (SELECT vec_id AS item_id FROM embeddings) LEFT JOIN pop USING (item_id)),
+        lists AS (SELECT * FROM best WHERE rank <= 20 AND user_id IN (SELECT user_id FROM users)
+          UNION ALL SELECT u.user_id, f.item_id, f.rank FROM users u, fallback f
+          WHERE f.rank <= 20 AND u.user_id NOT IN (SELECT vec_id FROM embeddings))
+        SELECT user_id, string_agg(CAST(item_id AS VARCHAR), ' ' ORDER BY rank)
+          AS "item_id_1 item_id_2 ... item_id_100" FROM lists GROUP BY user_id""",
+        _RATED,
+    ).replace("\n, scored AS", ",\nscored AS"),
     "item_base": _items(
         f"""SELECT item_id, array_to_string({_MICRO.format(v='fclip_embed')}, ' ') AS fclip_embed,
         CAST(catalogid AS VARCHAR) AS catalogid, CAST(variant_id AS VARCHAR) AS variant_id,
@@ -506,6 +539,9 @@ ORACLES: dict[str, str] = {
         _IDS.format(seen="true"),
         _HISTORY,
     ),
+    "float_seq_padded": f"""SELECT vec_id, array_to_string(list_concat(
+        list_transform(range(0, 70 - len(embedding)), lambda x: CAST(0 AS BIGINT)), {_MICRO.format(v='embedding')}), ' ') AS padded
+        FROM embeddings""",
     "batch_ids": _logs(
         f"""SELECT {_day()}, user_id, item_id, user_id % 16 AS shard, CAST(floor((row_number() OVER (
         PARTITION BY user_id % 16 ORDER BY user_id, d, item_id) - 1) / 64) AS BIGINT) AS batch
@@ -590,7 +626,14 @@ ORACLES: dict[str, str] = {
     "cramers_v": _logs(
         f"""SELECT CAST(n AS BIGINT) AS n, {_six('chi2', 'chi2')}, {_six('sqrt(chi2 / (n * greatest(1, least(r - 1, c - 1))))', 'cramers_v')}
         FROM (SELECT any_value(n) AS n, sum((o - e) * (o - e) / (e + 1e-12)) AS chi2,
-        count(DISTINCT action_type) AS r, count(DISTINCT last_status) AS c FROM cells)""",
+        (SELECT count(*) FROM (SELECT DISTINCT action_type FROM grid)) AS r, (SELECT count(*) FROM (SELECT DISTINCT last_status FROM grid)) AS c FROM cells)""",
         _CELLS,
     ),
+    "als_topn": _logs(_facts("SELECT user_id FROM rated"), _RATED),
+    "bpr_topn": _logs(
+        _facts("SELECT user_id FROM liked", "wanted"), _RATED, _DELIVERED_POPULAR, _IDS.format(seen=_IN_TRAIN), _DELIVERED_PAIRS
+    ),
+    "als_eval": " UNION ALL ".join(
+        f"SELECT '{m}_at_{k}' AS metric, CAST(1 AS BIGINT) AS in_range" for k in (5, 10, 20) for m in ("recall", "ndcg")
+    ),
 }

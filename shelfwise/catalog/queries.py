@@ -17,17 +17,18 @@ from shelfwise.catalog.tables import ACTIONS, TRAIN_END, VALID_END, items, order
 from shelfwise.functions import expressions as ex
 from shelfwise.functions import labels
 from shelfwise.models.bpr import bpr_triples
+from shelfwise.models.factors import FactorModel, load_model
 from shelfwise.models.registry import fit_model
 from shelfwise.operators import association, evaluate, idmaps, interactions, ratings, recommend, sequences, splits
 from shelfwise.operators import items as item_ops
 from shelfwise.operators.users import user_features
 from shelfwise.plans.jobs import SplitSettings, judge_popularity
 from shelfwise.sources import scans, sinks
+from shelfwise.workspace import checkpoint_root
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 # Parameters shared with the SQL.
-FIRST_DAY_END = 1_704_153_599
 WINDOWS = ("14d", "7d", "1d")
 INTEREST = ("favorite", "to_cart", "view_description")
 HISTORY = 10
@@ -96,9 +97,19 @@ def _all_users(spark, d) -> DataFrame:
     return tracker(spark, d).select("user_id").distinct()
 
 
-def _first_day_users(spark, d) -> DataFrame:
-    seen = splits.time_split(tracker(spark, d), "timestamp", FIRST_DAY_END, VALID_END).train
-    return seen.select(F.col("user_id").alias("ext_id")).distinct()
+def _asked_users(spark, d) -> DataFrame:
+    """Users that recommendations are asked for; many of them never clicked."""
+    return table(spark, d, "customer").select(F.col("c_custkey").alias("user_id"))
+
+
+def _train_users(spark, d) -> DataFrame:
+    return idmaps.id_map("user_id", _train_tracker(spark, d))
+
+
+def _popular(spark, d, n: int) -> DataFrame:
+    """The most popular of all items of the training log."""
+    mapped = idmaps.distinct_ids("item_id", _train_tracker(spark, d)).withColumnRenamed("ext_id", "item_id")
+    return ratings.top_items(ratings.popularity_by_weight(_train_ratings(spark, d)), n, mapped)
 
 
 def _pair_features(spark, d) -> DataFrame:
@@ -135,7 +146,7 @@ def scan_project(spark, d):
 
 @query
 def scan_glob_counts(spark, d):
-    return scans.rows_per_file(spark, d, "events*.parquet")
+    return scans.rows_per_file(spark, d, "{customer,events,orders,part}.parquet")
 
 
 @query
@@ -150,13 +161,23 @@ def shard_counts(spark, d):
 
 @query
 def submission(spark, d):
-    users = _all_users(spark, d)
     scored = _train_ratings(spark, d).withColumnRenamed("rating", "score")
-    popular = ratings.top_items(ratings.popularity_by_weight(_train_ratings(spark, d)), 100)
-    listed = recommend.with_fallback(users, recommend.top_n(scored, 100), popular, _first_day_users(spark, d))
+    mine = recommend.top_n(scored, 100)
+    listed = recommend.with_fallback(_asked_users(spark, d), mine, _popular(spark, d, 100), _train_users(spark, d))
     return sinks.submission(listed, 100)
 
 
+@query
+def infer_submission(spark, d):
+    """A model of given vectors, stored and loaded, asked for every customer."""
+    vectors = table(spark, d, "embeddings")
+    things = vectors.select(F.col("vec_id").alias("item_id"), F.col("embedding").alias("vector"))
+    users = vectors.select(F.col("vec_id").alias("user_id"), F.col("embedding").alias("vector"))
+    popularity = ratings.popularity_by_weight(_train_ratings(spark, d))
+    path = FactorModel("given", users, things, popularity).save(f"{checkpoint_root(spark)}/models")
+    return sinks.submission(load_model(spark, path).recommend(_asked_users(spark, d), 20), 20)
+
+
 # ---- expressions ----
 
 
@@ -332,7 +353,7 @@ def pair_features(spark, d):
 
 @query
 def cold_users(spark, d):
-    users, known = _all_users(spark, d), _first_day_users(spark, d)
+    users, known = _asked_users(spark, d), _train_users(spark, d)
     warm = recommend.known_users(users, known).withColumn("is_known", F.lit(True))
     return warm.unionByName(recommend.cold_users(users, known).withColumn("is_known", F.lit(False)))
 
@@ -505,6 +526,12 @@ def user_history_padded(spark, d):
     return told.select("user_id", "item_id", "date", padded)
 
 
+@query
+def float_seq_padded(spark, d):
+    vectors = table(spark, d, "embeddings")
+    return vectors.select("vec_id", sequences.pad_left("embedding", 70, kind="float").alias("padded"))
+
+
 @query
 def batch_ids(spark, d):
     return sequences.with_batches(interactions.basis(tracker(spark, d)), SHARDS, BATCH)
@@ -515,7 +542,7 @@ def batch_ids(spark, d):
 
 @query
 def popular_topn(spark, d):
-    return ratings.top_items(ratings.popularity_by_weight(_train_ratings(spark, d)), 20)
+    return _popular(spark, d, 20)
 
 
 @query
@@ -553,17 +580,14 @@ def id_map(spark, d):
 
 @query
 def recommend_with_fallback(spark, d):
-    rated = _train_ratings(spark, d)
-    popular = ratings.top_items(ratings.popularity_by_weight(rated), 20)
-    mine = recommend.top_n(rated.withColumnRenamed("rating", "score"), 20)
-    return recommend.with_fallback(_all_users(spark, d), mine, popular, _first_day_users(spark, d))
+    mine = recommend.top_n(_train_ratings(spark, d).withColumnRenamed("rating", "score"), 20)
+    return recommend.with_fallback(_asked_users(spark, d), mine, _popular(spark, d, 20), _train_users(spark, d))
 
 
 @query
 def fallback_by_position(spark, d):
-    popular = ratings.top_items(ratings.popularity_by_weight(_train_ratings(spark, d)), 20)
-    cold = recommend.cold_users(_all_users(spark, d), _first_day_users(spark, d))
-    return recommend.popular_lists(cold, recommend.by_position(popular, 20))
+    cold = recommend.cold_users(_asked_users(spark, d), _train_users(spark, d))
+    return recommend.popular_lists(cold, recommend.by_position(_popular(spark, d, 20), 20))
 
 
 @query
@@ -636,22 +660,56 @@ def _fitted(spark, d, name: str, label: str, **params):
     return fit_model(name, _train_ratings(spark, d, label), users, things, **params)
 
 
+def _list_facts(lists: DataFrame, known: DataFrame) -> DataFrame:
+    """What must hold of every user's list whatever the model has learnt, and cold users' lists in full."""
+    entries = F.array_sort(F.collect_list(F.struct("rank", "item_id", "score")))
+    per_user = lists.groupBy("user_id").agg(entries.alias("_l")).join(
+        known.select(F.col("ext_id").alias("user_id"), F.lit(True).alias("_known")), "user_id", "left"
+    )
+    falls = F.forall(
+        F.sequence(F.lit(1), F.size("_l")),
+        lambda i: (i == 1) | (F.get("_l", i - 1)["score"] <= F.get("_l", F.greatest(i - 2, F.lit(0)))["score"]),
+    )
+    return per_user.select(
+        "user_id",
+        F.size("_l").alias("n_items"),
+        F.size(F.array_distinct(F.transform("_l", lambda e: e["item_id"]))).alias("n_distinct"),
+        F.get("_l", F.lit(0))["rank"].alias("first_rank"),
+        F.get("_l", F.size("_l") - 1)["rank"].alias("last_rank"),
+        falls.alias("falls"),
+        F.when(F.col("_known").isNull(), F.array_join(F.transform("_l", lambda e: e["item_id"].cast("string")), " ")).alias("cold_list"),
+    )
+
+
+def als_model(spark, d):
+    return _fitted(spark, d, "als", "combined", factors=8, iterations=5)
+
+
+def bpr_model(spark, d):
+    return _fitted(spark, d, "bpr", "delivered", factors=8, iterations=3, learning_rate=0.1)
+
+
 @query
 def als_topn(spark, d):
-    return _fitted(spark, d, "als", "combined", factors=8, iterations=5).recommend(_all_users(spark, d), 20)
+    """Facts of the lists of every customer; ratings decide who has a vector."""
+    model = als_model(spark, d)
+    known = model.user_vectors.select(F.col("user_id").alias("ext_id"))
+    return _list_facts(model.recommend(_asked_users(spark, d), 20), known)
 
 
 @query
 def als_eval(spark, d):
+    """Metrics of the model over all validation users, as the facts that hold of any model."""
     truth = _truth(spark, d)
-    model = _fitted(spark, d, "als", "combined", factors=8, iterations=5)
-    return evaluate.evaluate(model.recommend(splits.cap_users(truth, 10_000), 100), truth, KS)
+    metrics = evaluate.evaluate(als_model(spark, d).recommend(splits.cap_users(truth, None), 100), truth, KS)
+    return metrics.select("metric", F.col("value").between(0.0, 1.0).alias("in_range"))
 
 
 @query
 def bpr_topn(spark, d):
-    model = _fitted(spark, d, "bpr", "delivered", factors=8, iterations=3, learning_rate=0.1)
-    return model.recommend(_all_users(spark, d), 20)
+    model = bpr_model(spark, d)
+    known = model.user_vectors.select(F.col("user_id").alias("ext_id"))
+    return _list_facts(model.recommend(_asked_users(spark, d), 20), known)
 
 
 # ---- association ----

@@ -7,6 +7,7 @@ label whole days of events at once.
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 
 from pyspark.sql import Column
@@ -15,24 +16,11 @@ from pyspark.sql import functions as F
 # Status and action names of the event logs.
 DELIVERED = "delivered_orders"
 CANCELED = "canceled_orders"
-ACTION_TYPES = (
-    "page_view",
-    "view_description",
-    "favorite",
-    "unfavorite",
-    "to_cart",
-    "remove",
-    "review_view",
-)
 
 # Weights of the graded label, strongest signal first.
 DELIVERED_WEIGHT = 5.0
 ACTION_WEIGHTS = {"to_cart": 3.0, "favorite": 3.0, "view_description": 1.0, "review_view": 1.0}
 
-# Every action some label looks at; all other actions are alike to every label. Of the
-# status, labels only see whether it is the delivered one.
-LABELLED_ACTIONS = tuple(ACTION_WEIGHTS)
-
 
 @dataclass(frozen=True)
 class Label:
@@ -41,6 +29,13 @@ class Label:
     template: str
     kind: str = "float"
 
+    @property
+    def actions(self) -> tuple[str, ...]:
+        """Actions the label compares with; all others are alike to it."""
+        listed = re.findall(r"\{action\}\s+IN\s*\(([^)]*)\)", self.template, re.IGNORECASE)
+        named = re.findall(r"\{action\}\s*(?:=|<>|!=)\s*'([^']*)'", self.template)
+        return tuple(dict.fromkeys([*named, *(n for part in listed for n in re.findall(r"'([^']*)'", part))]))
+
     def sql(self, action: str = "action_type", status: str = "last_status") -> str:
         return f"CAST({self.template.format(action=action, status=status)} AS {self.kind})"
 

@@ -11,7 +11,8 @@ from shelfwise.operators.idmaps import index_interactions
 from shelfwise.operators.ratings import popularity_by_weight
 from shelfwise.workspace import checkpoint_root, discard, write_down
 
-MAX_BLOCKS = 500
+# Fixed value: MLlib's own number of blocks. Start values are drawn per block, so it is part of the model.
+BLOCKS = 10
 
 
 def fit_als(
@@ -22,19 +23,20 @@ def fit_als(
     regularization: float = 0.01,
     iterations: int = 30,
     alpha: float = 1.0,
-    blocks: int | None = None,
+    blocks: int = BLOCKS,
     seed: int = 42,
 ) -> FactorModel:
     """Factorise ``(user_id, item_id, rating)``.
 
-    MLlib wants ids in the int range, hence the dense maps. Blocks grow with the cluster
-    up to a limit, as messages between them grow with their square. Lineage is cut every
-    ten iterations in the shared checkpoint folder. Mapped items without a rating get the
-    zero vector, which scores 0 for everyone.
+    MLlib wants ids in the int range, hence the dense maps. Raise ``blocks`` with the data
+    (about 10 million ratings a block): it is a parameter, never taken from the cluster,
+    so that a model does not depend on where it was trained. MLlib weighs an observation by
+    1 + ``alpha`` * rating and scales ``regularization`` by the ratings of each user and
+    item. Lineage is cut every ten iterations in the shared checkpoint folder. Mapped items
+    without a rating get the zero vector, which scores 0 for everyone.
     """
     spark = ratings.sparkSession
     checkpoint_root(spark)
-    blocks = blocks or min(MAX_BLOCKS, spark.sparkContext.defaultParallelism)
     # MLlib goes over its input more than once, and its factors hang on it until written.
     indexed = write_down(
         index_interactions(ratings, user_map, item_map).select(

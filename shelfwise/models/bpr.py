@@ -13,6 +13,8 @@ import math
 
 import numpy as np
 import pyarrow as pa
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -22,7 +24,9 @@ from shelfwise.operators.ratings import popularity_by_weight
 from shelfwise.operators.splits import BROADCAST_USERS
 from shelfwise.workspace import Written, discard, write_down
 
+# Positives of a block, and vector entries it may touch (three vectors a positive at most).
 BLOCK_POSITIVES = 200_000
+BLOCK_ENTRIES = 64_000_000
 MINI_BATCH = 256
 USER, ITEM = 0, 1
 VECTOR = "array<float>"
@@ -34,13 +38,16 @@ def _draw(n: int | Column, *parts: Column | int) -> Column:
     return F.pmod(F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("long"), F.lit(n).cast("long"))
 
 
-def bpr_triples(positives: DataFrame, n_items: int, draw: int = 0, seed: int = 42) -> DataFrame:
+def bpr_triples(positives: DataFrame, n_items: int, draw: int = 0, seed: int = 42, verify: bool = True) -> DataFrame:
     """Adds ``neg_idx`` to ``(user_idx, item_idx)``: an item that is no positive of the user.
 
-    One item is drawn per positive; a draw that hits a positive is dropped. The same seed
-    and draw give the same triples in any row order and on any retry.
+    One item is drawn per positive; a draw that hits a positive is dropped, unless
+    ``verify`` is off. The same seed and draw give the same triples in any row order and on
+    any retry.
     """
     drawn = positives.withColumn("neg_idx", _draw(n_items, F.col("user_idx"), F.col("item_idx"), draw, seed))
+    if not verify:
+        return drawn
     taken = positives.select("user_idx", F.col("item_idx").alias("neg_idx"))
     return drawn.join(taken, ["user_idx", "neg_idx"], "left_anti")
 
@@ -66,14 +73,14 @@ def _block_steps(rate: float, reg: float, seed: int):
         side = vectors.column("side").to_numpy()
         idx = vectors.column("idx").to_numpy()
         flat = vectors.column("vector").combine_chunks().flatten().to_numpy(zero_copy_only=False)
-        table = flat.astype(np.float64).reshape(len(idx), -1)
+        table = flat.reshape(len(idx), -1)
         sides = {}
         for which in (USER, ITEM):
             rows = np.flatnonzero(side == which)
             rows = rows[np.argsort(idx[rows])]
-            sides[which] = (idx[rows], table[rows].copy())
-        (user_ids, users), (item_ids, items) = sides[USER], sides[ITEM]
-        before = users.copy(), items.copy()
+            # A copy to work on; the start values stay in the arrived rows.
+            sides[which] = (idx[rows], table[rows], rows)
+        (user_ids, users, user_rows), (item_ids, items, item_rows) = sides[USER], sides[ITEM]
         steps = np.zeros(len(users)), np.zeros(len(items))
 
         ids = [triples.column(c).to_numpy() for c in ("user_idx", "item_idx", "neg_idx")]
@@ -95,16 +102,20 @@ def _block_steps(rate: float, reg: float, seed: int):
             np.add.at(steps[1], bi, 1.0)
             np.add.at(steps[1], bj, 1.0)
 
-        change = np.concatenate([users - before[0], items - before[1]])
-        width = change.shape[1] if change.size else table.shape[1]
+        users -= table[user_rows]
+        items -= table[item_rows]
+        change = np.concatenate([users, items])
+        weight = np.concatenate(steps)
+        change *= weight[:, None].astype(np.float32)
+        width = table.shape[1]
         return pa.table(
             {
                 "side": pa.array(np.repeat([USER, ITEM], [len(users), len(items)]), pa.int32()),
                 "idx": pa.array(np.concatenate([user_ids, item_ids]), pa.int64()),
                 "change": pa.ListArray.from_arrays(
-                    pa.array(np.arange(0, change.size + 1, width), pa.int32()), pa.array(change.ravel())
+                    pa.array(np.arange(len(change) + 1) * width, pa.int32()), pa.array(change.ravel(), pa.float32())
                 ),
-                "steps": pa.array(np.concatenate(steps)),
+                "steps": pa.array(weight),
             }
         )
 
@@ -112,9 +123,12 @@ def _block_steps(rate: float, reg: float, seed: int):
 
 
 def _with_blocks(positives: DataFrame, rows: int, block_rows: int) -> DataFrame:
-    """Block of each positive: by user, and by user and item for users that fill several."""
-    cores = positives.sparkSession.sparkContext.defaultParallelism
-    blocks = max(math.ceil(rows / block_rows), min(cores, math.ceil(rows / (block_rows / 10))), 1)
+    """Block of each positive: by user, and by user and item for users that fill several.
+
+    The number of blocks follows from the rows alone, so the model does not depend on the
+    cluster.
+    """
+    blocks = max(1, math.ceil(rows / block_rows))
     heavy = (
         positives.groupBy("user_idx")
         .agg(F.count("*").alias("_n"))
@@ -131,9 +145,9 @@ def _with_blocks(positives: DataFrame, rows: int, block_rows: int) -> DataFrame:
 
 
 def _epoch(
-    vectors: DataFrame, positives: DataFrame, n_items: int, epoch: int, rate: float, reg: float, width: int, seed: int
+    vectors: DataFrame, positives: DataFrame, n_items: int, epoch: int, rate: float, reg: float, seed: int, verify: bool = True
 ) -> DataFrame:
-    triples = bpr_triples(positives, n_items, epoch, seed)
+    triples = bpr_triples(positives, n_items, epoch, seed, verify)
     touched = triples.select(
         "block",
         F.inline(
@@ -149,12 +163,13 @@ def _epoch(
         triples.groupBy("block")
         .cogroup(lent.groupBy("lent_to"))
         .applyInArrow(
-            _block_steps(rate, reg, seed + epoch), "side int, idx bigint, change array<double>, steps double"
+            _block_steps(rate, reg, seed + epoch), "side int, idx bigint, change array<float>, steps double"
         )
     )
-    weighted = [F.sum(F.get("change", F.lit(d)) * F.col("steps")).alias(f"_c{d}") for d in range(width)]
-    mean = F.array(*[F.try_divide(f"_c{d}", "_steps") for d in range(width)])
-    moved = changes.groupBy("side", "idx").agg(F.sum("steps").alias("_steps"), *weighted)
+    # Changes come weighted by their steps; vectors are summed as vectors, however wide.
+    total = Summarizer.sum(array_to_vector(F.col("change").cast("array<double>")))
+    moved = changes.groupBy("side", "idx").agg(F.sum("steps").alias("_steps"), vector_to_array(total).alias("_sum"))
+    mean = F.when(F.col("_steps") > 0, F.transform("_sum", lambda v: v / F.col("_steps")))
     moved = moved.select("side", "idx", mean.alias("_move"))
     updated = vectors.join(moved, ["side", "idx"], "left")
     return updated.select(
@@ -193,15 +208,17 @@ def train_vectors(
     iterations: int,
     seed: int = 42,
     block_rows: int = BLOCK_POSITIVES,
+    verify_negatives: bool = True,
 ) -> Written:
     """``(side, idx, vector)`` after the given number of epochs; vectors are ``factors + 1`` wide."""
     n_items = item_map.count()
+    block_rows = min(block_rows, max(1, BLOCK_ENTRIES // (3 * (factors + 1))))
     spark = positives.sparkSession
     placed = write_down(_with_blocks(positives, positives.count(), block_rows), "bpr-positives")
     start = _start(user_map, USER, factors, seed).unionByName(_start(item_map, ITEM, factors, seed))
     vectors = write_down(start, "bpr-vectors")
     for epoch in range(iterations):
-        step = _epoch(vectors.table, placed.table, n_items, epoch, learning_rate, regularization, factors + 1, seed)
+        step = _epoch(vectors.table, placed.table, n_items, epoch, learning_rate, regularization, seed, verify_negatives)
         stepped = write_down(step, "bpr-vectors")
         discard(spark, vectors.path)
         vectors = stepped
@@ -218,6 +235,7 @@ def fit_bpr(
     regularization: float = 0.01,
     iterations: int = 30,
     seed: int = 42,
+    verify_negatives: bool = True,
 ) -> FactorModel:
     """Rank every user's positively rated items above the others; weights are ignored.
 
@@ -226,7 +244,7 @@ def fit_bpr(
     positives = index_interactions(ratings.where(F.col("rating") > 0), user_map, item_map)
     positives = write_down(positives.select("user_idx", "item_idx"), "bpr-pairs")
     vectors = train_vectors(
-        positives.table, user_map, item_map, factors, learning_rate, regularization, iterations, seed
+        positives.table, user_map, item_map, factors, learning_rate, regularization, iterations, seed, verify_negatives=verify_negatives
     )
 
     def external(side: int, ids: DataFrame, name: str) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import time
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -34,16 +35,17 @@ class FactorModel:
         vectors = self.user_vectors.join(asked, "user_id", "left_semi")
         scored = dot_top_n(vectors, self.item_vectors, n)
         known = self.user_vectors.select(F.col("user_id").alias("ext_id"))
-        return with_fallback(asked, scored, top_items(self.popularity, n), known)
+        return with_fallback(asked, scored, top_items(self.popularity, n, self.item_vectors), known)
 
     def save(self, root: str) -> str:
-        """Write under ``root`` in a folder named by model and time; returns its path."""
-        path = f"{root.rstrip('/')}/{self.name}_{time.strftime('%Y%m%d_%H%M%S', time.gmtime())}"
+        """Write under ``root`` in a folder of its own, named by model, time and a run id; returns its path."""
+        stamp = time.strftime("%Y%m%d_%H%M%S", time.gmtime())
+        path = f"{root.rstrip('/')}/{self.name}_{stamp}_{uuid.uuid4().hex[:8]}"
         for part in PARTS:
-            getattr(self, part).write.mode("overwrite").parquet(f"{path}/{part}")
+            getattr(self, part).write.parquet(f"{path}/{part}")
         spark = self.user_vectors.sparkSession
         # Written last: a folder without it is not a complete model.
-        spark.createDataFrame([(self.name,)], "name string").coalesce(1).write.mode("overwrite").json(f"{path}/meta")
+        spark.createDataFrame([(self.name,)], "name string").coalesce(1).write.json(f"{path}/meta")
         return path
 
 

@@ -4,18 +4,19 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfwise.functions.expressions import any_signal, epoch_seconds
 from shelfwise.functions.labels import CANCELED, DELIVERED
 from shelfwise.functions.sqltext import quoted, ticked
 from shelfwise.operators.interactions import PAIR, category_values, with_day_keys
+from shelfwise.workspace import write_down
 
 # Fixed value: keeps residuals and logarithms of empty cells finite.
 EPSILON = 1e-12
-# How a missing category is named in a contingency table.
-MISSING = "null"
+# Prefixes that tell a category apart from a missing one while statuses are columns.
+PRESENT, MISSING = "=", "-"
 
 
 def pair_actions(tracker: DataFrame, actions: Sequence[str]) -> DataFrame:
@@ -119,7 +120,7 @@ def contingency(tracker: DataFrame, orders: DataFrame) -> DataFrame:
 
     Counts (event, matching order) rows of the day-wise left join, as products of daily
     counts, so the joined rows themselves are never made. A missing action or status is a
-    category of its own; combinations that never occur count 0.
+    category of its own and stays null; combinations that never occur count 0.
     """
     by_day = ["date", *PAIR]
     clicks = with_day_keys(tracker).groupBy(*by_day, "action_type").agg(F.count("*").alias("_events"))
@@ -131,28 +132,39 @@ def contingency(tracker: DataFrame, orders: DataFrame) -> DataFrame:
     )
     matched = clicks.join(outcomes, by_day, "left")
     named = matched.select(
-        F.coalesce("action_type", F.lit(MISSING)).alias("action_type"),
-        F.coalesce("last_status", F.lit(MISSING)).alias("last_status"),
+        "action_type",
+        F.coalesce(F.concat(F.lit(PRESENT), "last_status"), F.lit(MISSING)).alias("last_status"),
         (F.col("_events") * F.coalesce("_orders", F.lit(1))).alias("_rows"),
     )
-    statuses = [*category_values(orders, "last_status"), MISSING]
+    statuses = [*[PRESENT + s for s in category_values(orders, "last_status")], MISSING]
     wide = named.groupBy("action_type").pivot("last_status", statuses).agg(F.sum("_rows"))
-    cells = [F.struct(F.lit(s).alias("last_status"), F.coalesce(F.col(ticked(s)), F.lit(0)).alias("observed")) for s in statuses]
-    grid = wide.select("action_type", F.inline(F.array(*cells)))
+    cells = [
+        F.struct(
+            F.lit(s[1:] if s != MISSING else None).cast("string").alias("last_status"),
+            F.coalesce(F.col(ticked(s)), F.lit(0)).alias("observed"),
+        )
+        for s in statuses
+    ]
+    grid = write_down(wide.select("action_type", F.inline(F.array(*cells))), "grid").table
     # A status that no joined row has is no category of the table.
-    seen = Window.partitionBy("last_status")
-    return grid.withColumn("_seen", F.sum("observed").over(seen)).where(F.col("_seen") > 0).drop("_seen")
+    seen = grid.groupBy(F.col("last_status").alias("_status")).agg(F.sum("observed").alias("_seen")).where(F.col("_seen") > 0)
+    return grid.join(seen, F.col("last_status").eqNullSafe(F.col("_status")), "left_semi")
 
 
 def cell_statistics(table: DataFrame) -> DataFrame:
     """Expected count, Pearson residual and PMI of every cell.
 
-    The windows run over the category grid, whose size the category limit bounds.
+    Totals are aggregations joined back to the cells, so no task needs to hold the grid.
     """
-    total = F.sum("observed").over(Window.partitionBy())
-    row = F.sum("observed").over(Window.partitionBy("action_type"))
-    col = F.sum("observed").over(Window.partitionBy("last_status"))
-    sized = table.withColumns({"_n": total, "_row": row, "_col": col})
+
+    def totals(key: str, name: str) -> DataFrame:
+        return table.groupBy(F.col(key).alias(f"_of{name}")).agg(F.sum("observed").alias(name))
+
+    sized = (
+        table.join(totals("action_type", "_row"), F.col("action_type").eqNullSafe(F.col("_of_row")))
+        .join(totals("last_status", "_col"), F.col("last_status").eqNullSafe(F.col("_of_col")))
+        .withColumn("_n", table.agg(F.sum("observed")).scalar())
+    )
     n, observed = F.col("_n"), F.col("observed")
     expected = F.col("_row") * F.col("_col") / n
     chance = (F.col("_row") / n) * (F.col("_col") / n)
@@ -173,8 +185,8 @@ def cramers_v(table: DataFrame) -> DataFrame:
     sums = cells.agg(
         F.sum("observed").alias("n"),
         F.sum(gap * gap / (F.col("expected") + EPSILON)).alias("chi2"),
-        F.count_distinct("action_type").alias("_r"),
-        F.count_distinct("last_status").alias("_c"),
+        F.count_distinct(F.struct("action_type")).alias("_r"),
+        F.count_distinct(F.struct("last_status")).alias("_c"),
     )
     filled = F.when(F.col("n") > 0, F.col("n")).otherwise(F.raise_error(F.lit("empty contingency table")).cast("long"))
     freedom = F.greatest(F.lit(1), F.least(F.col("_r") - 1, F.col("_c") - 1))

@@ -14,13 +14,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfwise.functions.expressions import event_date
-from shelfwise.functions.labels import DELIVERED, LABELLED_ACTIONS, Label
+from shelfwise.functions.labels import DELIVERED, Label
 from shelfwise.functions.sqltext import quoted, ticked
 
 PAIR = ("user_id", "item_id")
 DAY_KEYS = ("date", "user_id", "item_id")
-# Wide layouts get one column per category; more than this is a mistake in the data.
-MAX_CATEGORIES = 1_000
 
 
 def with_day_keys(events: DataFrame, ts: str = "timestamp") -> DataFrame:
@@ -30,10 +28,15 @@ def with_day_keys(events: DataFrame, ts: str = "timestamp") -> DataFrame:
     return events.selectExpr(f"to_date({ts}) AS date", *ids, *own)
 
 
-def category_values(df: DataFrame, name: str, limit: int = MAX_CATEGORIES) -> list:
-    """Sorted distinct non-null values of a category column; too many is an error."""
-    rows = df.select(name).where(F.col(name).isNotNull()).distinct().limit(limit + 1).collect()
-    if len(rows) > limit:
+def category_values(df: DataFrame, name: str, limit: int | None = None) -> list:
+    """Sorted distinct non-null values of a category column.
+
+    They become columns, so they come to the driver. With a ``limit`` more than so many are
+    an error.
+    """
+    values = df.select(name).where(F.col(name).isNotNull()).distinct()
+    rows = (values if limit is None else values.limit(limit + 1)).collect()
+    if limit is not None and len(rows) > limit:
         raise ValueError(f"{name} has more than {limit} distinct values; it is not a category")
     return sorted(r[0] for r in rows)
 
@@ -82,8 +85,8 @@ def daily_outcomes(orders: DataFrame) -> DataFrame:
     )
 
 
-def _signal_counts() -> list[Column]:
-    return [*_counts(LABELLED_ACTIONS, "_n_"), F.expr("count(*) AS _n_events")]
+def _signal_counts(label: Label) -> list[Column]:
+    return [*_counts(label.actions, "_n_"), F.expr("count(*) AS _n_events")]
 
 
 def _label_sum(label: Label) -> str:
@@ -92,7 +95,7 @@ def _label_sum(label: Label) -> str:
     Labels look at the named actions and at "delivered or not", so a day's rows fall into
     few groups of equal label. An event without an order stands for one row of null status.
     """
-    named = [(f"'{a}'", f"_n_{a}") for a in LABELLED_ACTIONS]
+    named = [(quoted(a), ticked(f"_n_{a}")) for a in label.actions]
     unnamed = " - ".join(["_n_events", *[count for _, count in named]])
     statuses = {
         f"'{DELIVERED}'": "coalesce(n_delivered, 0)",
@@ -111,7 +114,7 @@ def labelled_days(tracker: DataFrame, orders: DataFrame | None, label: Label) ->
 
     Without orders every status is null.
     """
-    days = with_day_keys(tracker).groupBy(*DAY_KEYS).agg(*_signal_counts())
+    days = with_day_keys(tracker).groupBy(*DAY_KEYS).agg(*_signal_counts(label))
     return _with_outcomes(days, orders).selectExpr(*DAY_KEYS, f"{_label_sum(label)} AS label_sum")
 
 
@@ -238,7 +241,7 @@ def interaction_features(
     counts = _counts(actions, "cnt_")
     # Rows without a day or an id are no basis rows: nothing could be joined to them.
     known = " AND ".join(f"{key} IS NOT NULL" for key in DAY_KEYS)
-    days = with_day_keys(tracker).where(known).groupBy(*DAY_KEYS).agg(*counts, *_signal_counts())
+    days = with_day_keys(tracker).where(known).groupBy(*DAY_KEYS).agg(*counts, *_signal_counts(label))
     sums = _rolling_sums(actions, windows, direction)
     whole = f"({_BY_DAY} ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)"
     rows = _with_outcomes(days, orders).selectExpr(

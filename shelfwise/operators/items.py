@@ -14,9 +14,8 @@ MAIN_ATTRIBUTES = ("Type", "Brand", "SexMaster", "Season", "StyleApparel", "AgeO
 FLAG_ATTRIBUTES = {"ColorBase": "color", "Material": "material"}
 
 COUNTS = ("n_attributes", "n_aspects", "n_show_characteristics")
-# Flags become columns; a cut that leaves more than this is set too low.
-MAX_FLAGS = 5_000
 BROADCAST_SHARE = 1e-4
+BROADCAST_VALUES = 1_000_000
 
 
 def item_base(items: DataFrame) -> DataFrame:
@@ -51,12 +50,12 @@ def attribute_frequency(attributes: DataFrame, n_items: int, min_share: float =
 def frequent_attributes(attributes: DataFrame, frequency: DataFrame, min_share: float | None = None) -> DataFrame:
     """Attribute rows whose (name, value) made the cut.
 
-    ``min_share``, the share ``frequency`` was cut at, bounds its size (see
-    :func:`attribute_frequency`). From a share of 1/10,000 on it goes to every task, and a
-    value that a large part of the items has is not shuffled together.
+    From a ``min_share`` of 1/10,000 on, where few values can pass (see
+    :func:`attribute_frequency`), they are counted, and if they are few they go to every
+    task, so that a value that a large part of the items has is not shuffled together.
     """
     cut = frequency.select("attr_name", "attr_value")
-    if min_share is not None and min_share >= BROADCAST_SHARE:
+    if min_share is not None and min_share >= BROADCAST_SHARE and cut.limit(BROADCAST_VALUES + 1).count() <= BROADCAST_VALUES:
         cut = F.broadcast(cut)
     return attributes.join(cut, ["attr_name", "attr_value"], "inner")
 
@@ -75,16 +74,15 @@ class FrequentValues(NamedTuple):
         return sorted({f"{FLAG_ATTRIBUTES[name]}_{safe_name(v)}" for v in self.by_name.get(name, [])})
 
 
-def frequent_values(frequency: DataFrame, limit: int = MAX_FLAGS) -> FrequentValues:
-    """The value lists that decide which feature columns exist."""
+def frequent_values(frequency: DataFrame, limit: int | None = None) -> FrequentValues:
+    """The value lists that decide which feature columns exist.
+
+    With a ``limit`` more values than that are an error.
+    """
     wanted = [*MAIN_ATTRIBUTES, *FLAG_ATTRIBUTES]
-    rows = (
-        frequency.where(F.col("attr_name").isin(wanted) & F.col("attr_value").isNotNull())
-        .select("attr_name", "attr_value")
-        .limit(limit + 1)
-        .collect()
-    )
-    if len(rows) > limit:
+    passed = frequency.where(F.col("attr_name").isin(wanted) & F.col("attr_value").isNotNull()).select("attr_name", "attr_value")
+    rows = (passed if limit is None else passed.limit(limit + 1)).collect()
+    if limit is not None and len(rows) > limit:
         raise ValueError(f"more than {limit} attribute values pass the frequency cut; raise it")
     by_name: dict[str, list[str]] = {}
     for name, value in sorted((r["attr_name"], r["attr_value"]) for r in rows):

@@ -35,8 +35,11 @@ def number_rows(
     starts = pieces.select(
         *piece, (F.coalesce(F.sum("_rows").over(before), F.lit(0)) - F.col("_first")).alias("_shift")
     )
+    # Null groups are groups too.
+    renamed = starts.select(*[F.col(c).alias(f"_of_{c}") for c in piece], "_shift")
+    same = [F.col(c).eqNullSafe(F.col(f"_of_{c}")) for c in piece]
     return (
-        laid_out.join(starts, piece)
+        laid_out.join(renamed, same)
         .withColumn(output, F.col("_line") + F.col("_shift"))
-        .drop("_task", "_line", "_shift")
+        .drop("_task", "_line", "_shift", *[f"_of_{c}" for c in piece])
     )

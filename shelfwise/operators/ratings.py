@@ -30,11 +30,15 @@ def popularity_by_count(interactions: DataFrame) -> DataFrame:
     return interactions.groupBy("item_id").agg(F.count("*").cast("double").alias("score"))
 
 
-def top_items(popularity: DataFrame, n: int) -> DataFrame:
+def top_items(popularity: DataFrame, n: int, items: DataFrame | None = None) -> DataFrame:
     """``(rank, item_id, score)`` of the ``n`` most popular items; ties go to the lower id.
 
-    The limit is a distributed top-n; the window that numbers it sees ``n`` rows.
+    Given ``items(item_id)``, exactly these compete, and those without a score have 0, so
+    the list is ``min(n, all items)`` long. The limit is a distributed top-n; the window
+    that numbers it sees ``n`` rows.
     """
+    if items is not None:
+        popularity = items.select("item_id").join(popularity, "item_id", "left").fillna(0.0, ["score"])
     best = popularity.orderBy(F.desc("score"), "item_id").limit(n)
     order = Window.orderBy(F.desc("score"), "item_id")
     return best.select(F.row_number().over(order).alias("rank"), "item_id", "score")

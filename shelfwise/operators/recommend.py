@@ -54,13 +54,24 @@ def by_position(popular: DataFrame, n: int) -> DataFrame:
 
 
 def with_fallback(users: DataFrame, known: DataFrame, popular: DataFrame, user_map: DataFrame) -> DataFrame:
-    """Known users keep their lists, the others get the popular one."""
+    """Known users keep their lists; every asked user without a list gets the popular one.
+
+    That includes users who are known but have no list. The lists are read once: a user
+    left over by the outer join unfolds the popular list, which is one array value.
+    """
     columns = ["user_id", "rank", "item_id", "score"]
-    mine = known.join(known_users(users, user_map), "user_id", "left_semi").select(*columns)
-    return mine.unionByName(popular_lists(cold_users(users, user_map), popular).select(*columns))
+    asked = users.select("user_id").distinct()
+    mine = known.select(*columns).join(known_users(asked, user_map), "user_id", "left_semi")
+    entry = F.struct(F.col("rank").cast("int").alias("rank"), "item_id", F.col("score").cast("double").alias("score"))
+    same = popular.select(F.col("rank").cast("int").alias("rank"), "item_id", F.col("score").cast("double").alias("score"))
+    entries = F.array_sort(F.collect_list(F.struct("rank", "item_id", "score")))
+    listed = asked.join(mine, "user_id", "left").select(
+        "user_id", F.when(F.col("rank").isNotNull(), F.array(entry)).otherwise(same.agg(entries).scalar()).alias("_list")
+    )
+    return listed.select("user_id", F.inline("_list"))
 
 
-def _cell_top(n: int):
+def _cell_top(n: int, width: int):
     """Best ``n`` items of a grid cell for each of its users, by one matrix product per slice.
 
     The function that runs in the workers refers to nothing in this package, so that they
@@ -68,8 +79,16 @@ def _cell_top(n: int):
     """
     entries = SCORE_ENTRIES
 
-    def matrix(table: pa.Table) -> np.ndarray:
-        values = table.column("vector").combine_chunks().flatten().to_numpy(zero_copy_only=False)
+    def matrix(table: pa.Table, key: str) -> np.ndarray:
+        vectors = table.column("vector").combine_chunks()
+        widths = vectors.value_lengths().to_numpy(zero_copy_only=False)
+        odd = np.flatnonzero(~(widths == width))
+        if len(odd):
+            raise ValueError(f"{key} {table.column(key)[int(odd[0])].as_py()} has no vector of {width} entries")
+        values = vectors.flatten().to_numpy(zero_copy_only=False)
+        if np.isnan(values).any():
+            bad = int(np.flatnonzero(np.isnan(values.reshape(table.num_rows, -1)).any(1))[0])
+            raise ValueError(f"{key} {table.column(key)[bad].as_py()} has a vector with missing entries")
         return values.astype(np.float64, copy=False).reshape(table.num_rows, -1)
 
     def best(users: pa.Table, items: pa.Table) -> pa.Table:
@@ -78,8 +97,8 @@ def _cell_top(n: int):
             return schema.empty_table()
         item_ids = items.column("item_id").to_numpy()
         by_id = np.argsort(item_ids, kind="stable")
-        item_ids, item_vectors = item_ids[by_id], matrix(items)[by_id]
-        user_ids, user_vectors = users.column("user_id").to_numpy(), matrix(users)
+        item_ids, item_vectors = item_ids[by_id], matrix(items, "item_id")[by_id]
+        user_ids, user_vectors = users.column("user_id").to_numpy(), matrix(users, "user_id")
         k = min(n, len(item_ids))
         step = max(1, entries // len(item_ids))
         out = ([], [], [])
@@ -110,7 +129,8 @@ def dot_top_n(user_vectors: DataFrame, item_vectors: DataFrame, n: int, cell_row
     ``(user_id, vector)`` and ``(item_id, vector)`` are cut into groups that span a grid.
     A cell scores its users against its items with a matrix product and emits ``n`` items
     per user; the per-cell lists then compete in :func:`top_n`. No (user, item) pair is
-    ever a row, and what a cell holds does not grow with the data.
+    ever a row, and what a cell holds does not grow with the data. A vector that is null,
+    holds nulls or has another width than the widest is an error that names its id.
     """
     (user_rows, _), (item_rows, width) = _size(user_vectors), _size(item_vectors)
     cell_rows = cell_rows or max(1, CELL_ENTRIES // width)
@@ -132,5 +152,5 @@ def dot_top_n(user_vectors: DataFrame, item_vectors: DataFrame, n: int, cell_row
     users = grid(user_vectors, "user_id", "_u", "_i", across, down)
     items = grid(item_vectors, "item_id", "_i", "_u", down, across)
     cells = users.groupBy("_u", "_i").cogroup(items.groupBy("_u", "_i"))
-    scored = cells.applyInArrow(_cell_top(n), "user_id bigint, item_id bigint, score double")
+    scored = cells.applyInArrow(_cell_top(n, width), "user_id bigint, item_id bigint, score double")
     return top_n(scored, n)

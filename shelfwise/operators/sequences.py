@@ -100,16 +100,19 @@ def _blocked_history(rows: DataFrame, order: list[str], length: int, block: int)
     return done.select(*columns, "item_id_list", "item_length")
 
 
-def pad_left(sequence: str | Column, width: int, shift: int = 1) -> Column:
-    """Fixed-width sequence with zeros on the left.
+def pad_left(sequence: str | Column, width: int, shift: int = 1, kind: str = "long") -> Column:
+    """Fixed-width sequence with zeros on the left; null is an empty sequence.
 
-    Indices move up by ``shift`` so that 0 only means padding; an over-long sequence keeps
-    its most recent entries.
+    Indices (``kind`` an integer type) move up by ``shift`` so that 0 only means padding;
+    values of a ``float`` or ``double`` sequence stay as they are. An over-long sequence
+    keeps its most recent entries.
     """
-    col = F.col(sequence) if isinstance(sequence, str) else sequence
+    if kind in ("float", "double"):
+        shift = 0
+    col = F.coalesce(F.col(sequence) if isinstance(sequence, str) else sequence, F.array().cast(f"array<{kind}>"))
     kept = F.slice(col, F.greatest(F.size(col) - width + 1, F.lit(1)), F.lit(width))
-    moved = F.transform(kept, lambda v: (v + shift).cast("long"))
-    zeros = F.array_repeat(F.lit(0).cast("long"), F.greatest(F.lit(width) - F.size(col), F.lit(0)))
+    moved = F.transform(kept, lambda v: (v + shift).cast(kind))
+    zeros = F.array_repeat(F.lit(0).cast(kind), F.greatest(F.lit(width) - F.size(col), F.lit(0)))
     return F.concat(zeros, moved)
 
 

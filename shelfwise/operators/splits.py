@@ -62,8 +62,8 @@ def first_users(df: DataFrame, n: int, user: str = "user_id") -> DataFrame:
 
 
 def keep_users(df: DataFrame, users: DataFrame, n: int, user: str = "user_id") -> DataFrame:
-    """Rows of the users in a slice of at most ``n`` users."""
-    side = F.broadcast(users) if n <= BROADCAST_USERS else users
+    """Rows of the users in a slice of at most ``n`` users, which holds the broadcast to its bound."""
+    side = F.broadcast(users.limit(n)) if n <= BROADCAST_USERS else users
     return df.join(side, user, "left_semi")
 
 

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import json
+import uuid
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,16 +14,23 @@ from shelfwise.functions.labels import rating_label, target_label
 from shelfwise.models import fit_model
 from shelfwise.models.factors import FactorModel, load_model
 from shelfwise.operators.evaluate import evaluate
-from shelfwise.operators.idmaps import id_map
+from shelfwise.operators.idmaps import distinct_ids, id_map
 from shelfwise.operators.interactions import category_values, interaction_features
 from shelfwise.operators.items import item_features
-from shelfwise.operators.ratings import build_ratings, popularity_by_weight, top_items, truth_from_orders
+from shelfwise.operators.ratings import (
+    build_ratings,
+    popularity_by_count,
+    popularity_by_weight,
+    top_items,
+    truth_from_features,
+    truth_from_orders,
+)
 from shelfwise.operators.recommend import popular_lists
 from shelfwise.operators.sequences import sequence_training_view
 from shelfwise.operators.splits import cap_users, first_users, keep_users, make_split
 from shelfwise.operators.users import user_features
 from shelfwise.sources.scans import ITEM_COLUMNS, ORDER_COLUMNS, TRACKER_COLUMNS, distinct_users, scan_selected
-from shelfwise.sources.sinks import SHARD, keyed_table, write_metrics, write_sharded, write_submission
+from shelfwise.sources.sinks import keyed_table, read_sharded, write_metrics, write_sharded, write_submission
 from shelfwise.workspace import discard
 
 
@@ -71,19 +80,40 @@ class TrainSettings:
     params: Mapping[str, Any] = field(default_factory=dict)
     ks: Sequence[int] = (20, 50, 100)
     top_n: int = 100
-    valid_users: int | None = 10_000
+    # Judge only so many validation users, the first by id; None is all.
+    valid_users: int | None = None
+    # Truth from delivered "orders" or from positive targets of "features"; popularity by "weight" or by "count" of rows.
+    truth: str = "orders"
+    popularity: str = "weight"
     # Distinguishes prepared tables of different data sets.
     dataset: Mapping[str, Any] = field(default_factory=dict)
 
 
+MANIFEST = "_manifest"
+
+
 def _read_split(spark: SparkSession, root: str, split: str, table: str, columns: Sequence[str]) -> DataFrame:
-    return scan_selected(spark, f"{root}/{split}/{table}", columns)
+    """A part of a split; an absent validation part is an empty frame."""
+    found = read_sharded(spark, f"{root}/{split}/{table}")
+    if found is None:
+        other = read_sharded(spark, f"{root}/train/{table}")
+        if other is None:
+            raise FileNotFoundError(f"no split under {root}")
+        found = other.limit(0)
+    return found.select(*columns)
+
+
+def _manifest(spark: SparkSession, splits: str) -> str:
+    """What tells one run of a split from another in the same folder."""
+    return spark.read.text(f"{splits}/{MANIFEST}").first()[0]
 
 
 def split_job(spark: SparkSession, tracker_path: str, orders_path: str, out: str, settings: SplitSettings) -> None:
     """Raw logs to sharded train and validation tables under ``out``."""
     orders = scan_selected(spark, orders_path, ORDER_COLUMNS)
     tracker = scan_selected(spark, tracker_path, TRACKER_COLUMNS)
+    # Gone until all parts are there: a broken run must not pass for one.
+    discard(spark, f"{out}/{MANIFEST}")
     if settings.fast_users:
         users = first_users(orders, settings.fast_users)
         orders = keep_users(orders, users, settings.fast_users)
@@ -97,6 +127,8 @@ def split_job(spark: SparkSession, tracker_path: str, orders_path: str, out: str
             else:
                 # A part of an earlier run must not pass for one of this run.
                 discard(spark, path)
+    run = json.dumps({"run": uuid.uuid4().hex, "tracker": tracker_path, "orders": orders_path, **vars(settings)})
+    spark.createDataFrame([(run,)], "value string").coalesce(1).write.text(f"{out}/{MANIFEST}")
 
 
 def features_job(spark: SparkSession, splits: str, items_path: str, out: str, settings: FeatureSettings) -> None:
@@ -135,31 +167,54 @@ class Prepared:
     user_map: DataFrame
     item_map: DataFrame
     truth: DataFrame
+    popularity: DataFrame
+
 
+def prepare(
+    spark: SparkSession, splits: str, cache: str, settings: TrainSettings, features: str | None = None
+) -> Prepared:
+    """Id maps, ratings and truth, built once per label, run of the split and data set and reused.
 
-def prepare(spark: SparkSession, splits: str, cache: str, settings: TrainSettings) -> Prepared:
-    """Id maps, ratings and truth, built once per label and data set and reused."""
+    ``features`` is the folder of the feature tables, needed where truth or popularity come from them.
+    """
+    if features is None and (settings.truth, settings.popularity) != ("orders", "weight"):
+        raise ValueError("truth or popularity from features need the folder of the feature tables")
     tracker = _read_split(spark, splits, "train", "tracker", TRACKER_COLUMNS)
     orders = _read_split(spark, splits, "train", "orders", ORDER_COLUMNS)
     valid_orders = _read_split(spark, splits, "valid", "orders", ORDER_COLUMNS)
-    key = {"splits": splits, **settings.dataset}
+    key = {"splits": splits, "run": _manifest(spark, splits), **settings.dataset}
 
     def table(name: str, build, **own) -> DataFrame:
         return keyed_table(spark, cache, name, {**key, **own}, build)
 
     label = rating_label(settings.label)
+
+    def truth() -> DataFrame:
+        if settings.truth == "orders":
+            return truth_from_orders(valid_orders)
+        return truth_from_features(read_sharded(spark, f"{features}/inter_features/valid"))
+
+    def popularity() -> DataFrame:
+        if settings.popularity == "weight":
+            return popularity_by_weight(build_ratings(tracker, orders, label))
+        return popularity_by_count(read_sharded(spark, f"{features}/inter_features/train"))
+
     return Prepared(
         table("ratings", lambda: build_ratings(tracker, orders, label), label=settings.label),
         table("user_map", lambda: id_map("user_id", tracker)),
         table("item_map", lambda: id_map("item_id", tracker)),
-        table("truth", lambda: truth_from_orders(valid_orders)),
+        table("truth", truth, truth=settings.truth, features=features),
+        table("popularity", popularity, label=settings.label, popularity=settings.popularity, features=features),
     )
 
 
-def train_job(spark: SparkSession, splits: str, artifacts: str, settings: TrainSettings) -> FactorModel:
+def train_job(
+    spark: SparkSession, splits: str, artifacts: str, settings: TrainSettings, features: str | None = None
+) -> FactorModel:
     """Fit, judge on the validation users, and store metrics and model under ``artifacts``."""
-    data = prepare(spark, splits, f"{artifacts}/cache", settings)
+    data = prepare(spark, splits, f"{artifacts}/cache", settings, features)
     model = fit_model(settings.model, data.ratings, data.user_map, data.item_map, **settings.params)
+    model = replace(model, popularity=data.popularity)
     path = model.save(f"{artifacts}/model")
     model = load_model(spark, path)
     users = cap_users(data.truth, settings.valid_users)
@@ -184,12 +239,11 @@ def judge_popularity(
     bought = make_split(orders, "created_timestamp", settings.kind, **settings.params())
     ratings = build_ratings(clicks.train, bought.train, rating_label(label))
     truth = truth_from_orders(bought.valid)
-    popular = top_items(popularity_by_weight(ratings), top_n)
+    mapped = distinct_ids("item_id", clicks.train).withColumnRenamed("ext_id", "item_id")
+    popular = top_items(popularity_by_weight(ratings), top_n, mapped)
     return evaluate(popular_lists(cap_users(truth, None), popular), truth, ks)
 
 
-
-
 @dataclass
 class SequenceSettings:
     """Columns and history length of the sequential training tables."""
@@ -206,12 +260,12 @@ def sequence_job(spark: SparkSession, features: str, out: str, settings: Sequenc
 
     Every rolling count is a feature, whatever windows it was built with.
     """
-    train = spark.read.parquet(f"{features}/inter_features/train").drop(SHARD)
+    train = read_sharded(spark, f"{features}/inter_features/train")
     users, items = id_map("user_id", train), id_map("item_id", train)
     counts = {c: "float" for c in train.columns if c.startswith("cnt_")}
     for split in ("train", "valid"):
         view = sequence_training_view(
-            spark.read.parquet(f"{features}/inter_features/{split}").drop(SHARD),
+            read_sharded(spark, f"{features}/inter_features/{split}"),
             users,
             items,
             {**counts, **settings.item_columns, **settings.user_columns},

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+# Columns of the click, order and item logs.
 TRACKER_COLUMNS = ("user_id", "item_id", "timestamp", "action_type", "action_widget")
 ORDER_COLUMNS = ("user_id", "item_id", "created_timestamp", "last_status", "last_status_timestamp")
 ITEM_COLUMNS = ("item_id", "catalogid", "variant_id", "model_id", "itemname", "fclip_embed", "attributes")
@@ -33,19 +34,23 @@ def scan_selected(
     return reader.parquet(*paths).select(*columns)
 
 
+def _files(spark: SparkSession, path: str, glob: str) -> DataFrame:
+    return spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", glob).parquet(path)
+
+
 def rows_per_file(spark: SparkSession, path: str, glob: str = "*.parquet") -> DataFrame:
-    """Shard listing: the files that match ``glob`` and the rows each holds."""
-    files = spark.read.option("pathGlobFilter", glob).parquet(path)
-    return files.groupBy(F.col("_metadata.file_name").alias("file_name")).agg(F.count("*").alias("n_rows"))
+    """Shard listing: the files below ``path`` that match ``glob``, by their path from there, and the rows of each."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path).toUri().getPath().rstrip("/") + "/"
+    name = F.col("_metadata.file_path")
+    below = F.substring_index(name, folder, -1) if folder != "/" else name
+    return _files(spark, path, glob).groupBy(below.alias("file_name")).agg(F.count("*").alias("n_rows"))
 
 
 def first_files(spark: SparkSession, path: str, n: int, glob: str = "*.parquet") -> DataFrame:
-    """Exploratory sample: the rows of the first ``n`` matching files by name."""
-    files = spark.read.option("pathGlobFilter", glob).parquet(path)
-    named = files.select("*", F.col("_metadata.file_path").alias("_file"))
-    chosen = named.select("_file").distinct().orderBy("_file").limit(n)
-    # ``n`` names at most, so the list of files is safe to send to every task.
-    return named.join(F.broadcast(chosen), "_file", "left_semi").drop("_file")
+    """Exploratory sample: the rows of the first ``n`` matching files by path. Only they are read."""
+    files = _files(spark, path, glob)
+    chosen = sorted(files.inputFiles())[:n]
+    return spark.read.schema(files.schema).parquet(*chosen) if chosen else files
 
 
 def distinct_users(spark: SparkSession, root: str, glob: str = "*.parquet") -> DataFrame:
