@@ -41,5 +41,5 @@ def number_rows(
     return (
         laid_out.join(renamed, same)
         .withColumn(output, F.col("_line") + F.col("_shift"))
-        .drop("_task", "_line", "_shift", *[f"_of_{c}" for c in piece])
+        .select(*within, *[c for c in df.columns if c not in within], output)
     )

@@ -87,7 +87,7 @@ def table_key(settings: Mapping[str, Any]) -> str:
     for name in sorted(settings):
         value = settings[name]
         digest.update(f"{name}:{type(value).__name__}={value!r}\n".encode())
-    return digest.hexdigest()[:20]
+    return digest.hexdigest()[:16]
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:

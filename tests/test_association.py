@@ -56,10 +56,7 @@ def test_correlations(spark):
 
 def test_contingency_counts_the_joined_rows(clicks, bought):
     joined = join_tracker_orders(clicks, bought)
-    named = joined.select(
-        F.coalesce("action_type", F.lit("null")).alias("a"), F.coalesce("last_status", F.lit("null")).alias("s")
-    )
-    want = {(r["a"], r["s"]): r["count"] for r in named.groupBy("a", "s").count().collect()}
+    want = {(r[0], r[1]): r[2] for r in joined.groupBy("action_type", "last_status").count().collect()}
     table = {(r[0], r[1]): r[2] for r in ops.contingency(clicks, bought).collect()}
     assert {k: v for k, v in table.items() if v} == want
     actions, statuses = {a for a, _ in want}, {s for _, s in want}
@@ -69,8 +66,8 @@ def test_contingency_counts_the_joined_rows(clicks, bought):
 def test_statistics_against_numpy(clicks, bought):
     table = ops.contingency(clicks, bought)
     cells = ops.cell_statistics(table).collect()
-    rows = sorted({c["action_type"] for c in cells})
-    cols = sorted({c["last_status"] for c in cells})
+    rows = sorted({c["action_type"] for c in cells}, key=str)
+    cols = sorted({c["last_status"] for c in cells}, key=str)
     seen = np.zeros((len(rows), len(cols)))
     for c in cells:
         seen[rows.index(c["action_type"]), cols.index(c["last_status"])] = c["observed"]
@@ -104,7 +101,13 @@ def test_report(spark, clicks, bought):
     assert report.correlations.count() == 7 and report.rates.count() == 7
     assert report.any_rate.count() == 1 and report.strength.count() == 1
     alone = ops.contingency(clicks, spark.createDataFrame([], ORDERS))
-    assert {r["last_status"] for r in alone.collect()} == {"null"}
+    assert {r["last_status"] for r in alone.collect()} == {None}
+
+
+def test_missing_is_not_the_text_null(clicks, bought):
+    named = clicks.withColumn("action_type", F.when(F.col("action_type") == "remove", "null").otherwise(F.col("action_type")))
+    counts = {(r[0], r[1]): r[2] for r in ops.contingency(named, bought).collect()}
+    assert counts["null", None] == 1 and counts[None, None] + counts.get((None, "delivered_orders"), 0) >= 1
 
 
 def test_odd_category_names(clicks, bought):

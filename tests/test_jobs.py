@@ -51,7 +51,7 @@ def test_metrics_and_model(spark, run):
     metrics = json.loads(text_of(f"{run}/artifacts/metrics", ".json"))
     assert set(metrics) == {"recall_at_5", "ndcg_at_5", "recall_at_20", "ndcg_at_20"}
     assert all(0 <= v <= 1 for v in metrics.values()) and metrics["recall_at_20"] > 0
-    assert len(os.listdir(f"{run}/artifacts/cache")) == 4
+    assert len(os.listdir(f"{run}/artifacts/cache")) == 5
 
 
 def test_submission(run):

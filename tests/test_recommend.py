@@ -58,12 +58,28 @@ def test_fallback(spark):
     )
     popular = ratings.top_items(spark.createDataFrame([(8, 2.0), (6, 2.0), (7, 5.0)], "item_id bigint, score double"), 2)
     got = recommend.with_fallback(users, mine, popular, known)
-    assert as_set(got) == {(1, 1, 50, 0.3)} | {(u, r, i, s) for u in (2, 3) for r, i, s in ((1, 7, 5.0), (2, 6, 2.0))}
+    # User 4 is known but has no list.
+    assert as_set(got) == {(1, 1, 50, 0.3)} | {(u, r, i, s) for u in (2, 3, 4) for r, i, s in ((1, 7, 5.0), (2, 6, 2.0))}
     assert as_set(recommend.cold_users(users, known)) == {(2,), (3,)}
     ranked = recommend.by_position(popular, 2)
     assert as_set(ranked, "item_id", "score") == {(7, 2.0), (6, 1.0)}
 
 
+def test_popular_list_over_all_items(spark):
+    scores = spark.createDataFrame([(8, 2.0), (6, 2.0), (99, 9.0)], "item_id bigint, score double")
+    items = spark.createDataFrame([(5,), (6,), (7,), (8,)], "item_id bigint")
+    assert as_set(ratings.top_items(scores, 3, items)) == {(1, 6, 2.0), (2, 8, 2.0), (3, 5, 0.0)}
+    assert ratings.top_items(scores, 9, items).count() == 4
+
+
+def test_vectors_must_be_whole(spark):
+    good = spark.createDataFrame([(1, [1.0, 2.0])], "item_id bigint, vector array<double>")
+    for bad in (None, [1.0, 2.0, 3.0][:1], [1.0, None]):
+        users = spark.createDataFrame([(7, [0.5, 0.5]), (8, bad)], "user_id bigint, vector array<double>")
+        with pytest.raises(Exception, match="user_id 8"):
+            recommend.dot_top_n(users, good, 1).collect()
+
+
 def test_fallback_without_items_is_empty(spark):
     users = spark.createDataFrame([(1,)], "user_id bigint")
     nothing = ratings.top_items(spark.createDataFrame([], "item_id bigint, score double"), 5)

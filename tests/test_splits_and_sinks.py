@@ -65,7 +65,7 @@ def test_sharded_write_keeps_every_row_and_replaces(spark, tmp_path):
 
 def test_scans(spark, tmp_path):
     root = str(tmp_path / "in")
-    spark.createDataFrame([(1, 2, "x")], "user_id bigint, item_id bigint, extra string").write.parquet(root + "/a")
+    spark.createDataFrame([(1, 2, "x")], "user_id bigint, item_id bigint, extra string").coalesce(1).write.parquet(root + "/a")
     spark.createDataFrame([(1, 3), (4, 3)], "user_id bigint, item_id bigint").write.parquet(root + "/deep/b")
     both = scans.scan_selected(spark, [root + "/a", root + "/deep/b"], ["item_id"], schema="item_id bigint")
     assert sorted(r[0] for r in both.collect()) == [2, 3, 3]
