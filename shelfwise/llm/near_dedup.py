@@ -4,9 +4,8 @@ Documents with the same set of word shingles form a class, and one of a class go
 Bands of registers bring similar classes into buckets. In a bucket every member is held
 against one centre, first by the likelihood of their registers, then on their full sets;
 the links give components. Buckets whose members still lie in different components are
-held against another centre, and only what is then left is compared in full: registers
-block by block inside tasks, each pair in one bucket only, and what the likelihood leaves
-again on full sets. A hot bucket is so settled by few links a member, and no pair of two
+held against another centre, and only what is then left is compared in full, block by
+block inside tasks and each pair in one bucket only: again registers first, then full sets. A hot bucket is so settled by few links a member, and no pair of two
 members of one component is ever a row.
 """
 
@@ -24,7 +23,9 @@ from shelfwise.llm.words import SPACES, buffer_of, shingle_hashes, slabs, word_h
 from shelfwise.workspace import Written, discard, write_down
 
 #: Members of one block of a bucket whose pairs are compared.
-BLOCK = 512
+BLOCK = 256
+#: So many ids of documents whose sets are needed go to every task at most; with more, texts are shuffled.
+BROADCAST_IDS = 1_000_000
 #: A centre's members are dealt over so many tasks at least.
 PIECES = 64
 
@@ -64,8 +65,8 @@ def _bander(bands: int, rows: int):
             for a in range(0, len(registers), 2048):
                 keys = band_keys(registers[a : a + 2048], bands, rows)
                 take = pa.array(np.repeat(np.arange(a, a + len(keys)), bands))
-                band = pa.array(np.tile(np.arange(bands, dtype=np.int32), len(keys)))
-                yield pa.RecordBatch.from_arrays([pa.array(keys.ravel()), band, batch.column(0).take(take)], ["key", "band", "id"])
+                keys = keys & ~np.int64(63) | np.arange(bands)  # the band in the last six bits
+                yield pa.RecordBatch.from_arrays([pa.array(keys.ravel()), batch.column(0).take(take)], ["key", "id"])
 
     return run
 
@@ -161,8 +162,17 @@ def _set_maker(size: int):
 class _Linker:
     """Holds pairs of classes against each other, by registers and by full sets."""
 
-    def __init__(self, reps: DataFrame, sets: DataFrame, per_cent: int, kind: str):
-        self.reps, self.sets, self.per_cent, self.kind = reps, sets, per_cent, kind
+    def __init__(self, docs: DataFrame, text: str, shingle: int, reps: DataFrame, per_cent: int, kind: str):
+        self.docs, self.text, self.shingle = docs, text, shingle
+        self.reps, self.per_cent, self.kind = reps, per_cent, kind
+
+    def sets(self, ids: DataFrame) -> DataFrame:
+        """``id, payload, n``: the sets of the documents ``ids`` (distinct)."""
+        needed = write_down(ids, "needed")
+        few = needed.table.count() <= BROADCAST_IDS
+        texts = self.docs.select(F.col("doc_id").alias("id"), F.col(self.text).alias("text"))
+        texts = texts.join(F.broadcast(needed.table) if few else needed.table, "id", "left_semi")
+        return texts.mapInArrow(_set_maker(self.shingle), f"id {self.kind}, payload binary, n long")
 
     def sized(self, pairs: DataFrame) -> DataFrame:
         """The ``pairs`` whose sizes allow the similarity."""
@@ -184,17 +194,28 @@ class _Linker:
         return links
 
     def confirmed(self, pairs: Written) -> Written:
-        return write_down(_hold(self.sets.join(_pairs_of_centres(pairs.table), "id"), _judge_sets(self.per_cent), self.kind), "confirmed")
+        places = write_down(_pairs_of_centres(pairs.table), "places")
+        held = _hold(self.sets(places.table.select("id")).join(places.table, "id"), _judge_sets(self.per_cent), self.kind)
+        links = write_down(held, "confirmed")
+        discard(self.reps.sparkSession, places.path)
+        return links
+
+
+def _linked(own: np.ndarray, other: np.ndarray, per_cent: int) -> bool:
+    both = int((own[np.minimum(np.searchsorted(own, other), len(own) - 1)] == other).sum())
+    return 100 * both >= per_cent * (len(own) + len(other) - both)
 
 
-def _block_pairs(per_cent: int, kind: str, bands: int, rows: int):
+def _block_links(per_cent: int, kind: str, bands: int, rows: int):
+    linked = _linked
+
     def compare(table: pa.Table) -> pa.Table:
         ids, comp, side = table["id"].to_pylist(), np.array(table["component"].to_pylist()), table["side"].to_numpy()
-        n, band = table["n"].to_numpy(), table["band"][0].as_py()
+        n, band = table["n"].to_numpy(), table["key"][0].as_py() & 63
         registers = np.frombuffer(b"".join(table["registers"].to_pylist()), np.uint16).reshape(len(ids), -1)
-        # Keys of the bands whose buckets are compared, up to this one; a pair counts in the first it shares.
+        # Keys of the bands whose buckets are compared, before this one; a pair counts in the first it shares.
         open_ = (table["mask"].to_numpy()[:, None] >> np.arange(band)) & 1 == 1
-        keys = np.where(open_, band_keys(registers, bands, rows)[:, :band], np.arange(len(ids))[:, None])
+        keys = np.where(open_, band_keys(registers, bands, rows)[:, :band] & ~np.int64(63), np.arange(len(ids))[:, None])
         left, right = np.flatnonzero(side != 1), np.flatnonzero(side != 0)
         same = table["bi"][0].as_py() == table["bj"][0].as_py()
         found = []
@@ -205,15 +226,33 @@ def _block_pairs(per_cent: int, kind: str, bands: int, rows: int):
             if len(others):
                 own, theirs = registers[i], registers[others]
                 found.append(np.stack([np.full(len(others), i), others, (own > theirs).sum(1), (own < theirs).sum(1)], 1))
+        # The likeliest first; once two components are linked here, their other pairs change nothing.
+        root = {c: c for c in comp.tolist()}
+
+        def top(c):
+            while root[c] != c:
+                root[c] = root[root[c]]
+                c = root[c]
+            return c
+
+        sets: dict[int, np.ndarray] = {}
         out_a, out_b = [], []
         every = np.concatenate(found) if found else np.zeros((0, 4), np.int64)
         for at in range(0, len(every), 16384):
             i, j, more, less = every[at : at + 16384].T
-            close, _ = may_reach(more, less, registers.shape[1], n[i], n[j], per_cent / 100)
-            for x, y in zip(i[close].tolist(), j[close].tolist(), strict=True):
-                a, b = (ids[x], ids[y]) if ids[x] < ids[y] else (ids[y], ids[x])
-                out_a.append(a)
-                out_b.append(b)
+            close, alike = may_reach(more, less, registers.shape[1], n[i], n[j], per_cent / 100)
+            order = np.flatnonzero(close)[np.argsort(-alike[close], kind="stable")]
+            for x, y in zip(i[order].tolist(), j[order].tolist(), strict=True):
+                a, b = top(comp[x].item()), top(comp[y].item())
+                if a == b:
+                    continue
+                for z in (x, y):
+                    if z not in sets:
+                        sets[z] = np.frombuffer(table["payload"][z].as_py(), np.uint64)
+                if linked(sets[x], sets[y], per_cent):
+                    root[max(a, b)] = min(a, b)
+                    out_a.append(min(ids[x], ids[y]))
+                    out_b.append(max(ids[x], ids[y]))
         field = table.schema.field("id").type
         return pa.table({"a": pa.array(out_a, field), "b": pa.array(out_b, field)})
 
@@ -221,11 +260,11 @@ def _block_pairs(per_cent: int, kind: str, bands: int, rows: int):
 
 
 def _unsettled(buckets: DataFrame, comps: DataFrame) -> DataFrame:
-    """``key, band, id, component`` of the buckets whose members, but for the centre, span components.
+    """``key, id, component, members`` of the buckets whose members, but for the centre, span components.
 
     Of buckets with the same members one stays.
     """
-    at = buckets.where(F.col("id") != F.col("centre")).select("key", "band", "id")
+    at = buckets.where(F.col("id") != F.col("centre")).select("key", "id")
     at = at.join(comps, "id", "left").withColumn("component", F.coalesce("component", "id"))
     spans = (
         at.groupBy("key")
@@ -245,18 +284,19 @@ def _other_centre(unsettled: DataFrame) -> DataFrame:
     return pairs.select(F.col("c.a").alias("a"), F.col("id").alias("b")).distinct()
 
 
-def _pairs_left(unsettled: DataFrame, reps: DataFrame, per_cent: int, kind: str, bands: int, rows: int) -> DataFrame:
-    """Likely pairs across components, each compared in the first bucket that holds both."""
-    masks = unsettled.groupBy("id").agg(F.bit_or(F.expr("shiftleft(1L, band)")).alias("mask"))
+def _links_left(unsettled: DataFrame, linker: _Linker, bands: int, rows: int) -> DataFrame:
+    """Links across components that settle them, each pair compared in the first bucket that holds both."""
+    masks = unsettled.groupBy("id").agg(F.bit_or(F.expr("shiftleft(1L, CAST(key & 63 AS INT))")).alias("mask"))
     dealt = unsettled.withColumn("blocks", F.ceil(F.col("members") / BLOCK).cast("int"))
     dealt = dealt.withColumn("mine", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
-    dealt = dealt.join(reps.select("id", F.col("n_shingles").alias("n"), "registers").join(masks, "id"), "id")
-    blocks = dealt.withColumn("o", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
+    known = linker.reps.select("id", "registers").join(masks, "id").join(linker.sets(masks.select("id")), "id")
+    blocks = dealt.join(known, "id").withColumn("o", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
         "key", F.least("mine", "o").alias("bi"), F.greatest("mine", "o").alias("bj"),
         F.when(F.col("mine") == F.col("o"), 2).otherwise(F.when(F.col("mine") < F.col("o"), 0).otherwise(1)).alias("side"),
-        "band", "id", "component", "n", "mask", "registers",
+        "id", "component", "n", "mask", "registers", "payload",
     )
-    return blocks.groupBy("key", "bi", "bj").applyInArrow(_block_pairs(per_cent, kind, bands, rows), f"a {kind}, b {kind}").distinct()
+    compare = _block_links(linker.per_cent, linker.kind, bands, rows)
+    return blocks.groupBy("key", "bi", "bj").applyInArrow(compare, f"a {linker.kind}, b {linker.kind}").distinct()
 
 
 def near_duplicates(docs: DataFrame, text: str = "text", shingle: int = 5, per_cent: int = 80) -> DataFrame:
@@ -283,13 +323,10 @@ def near_duplicates(docs: DataFrame, text: str = "text", shingle: int = 5, per_c
     reps = keep(
         some.groupBy("d1", "d2").agg(F.min("doc_id").alias("id"), F.first("n_shingles").alias("n_shingles"), F.first("registers").alias("registers")), "classes"
     ).table
-    keyed = reps.select("id", "registers").mapInArrow(_bander(bands, rows), f"key long, band int, id {kind}")
+    keyed = reps.select("id", "registers").mapInArrow(_bander(bands, rows), f"key long, id {kind}")
     shared = keyed.groupBy("key").agg(F.min("id").alias("centre"), F.count("*").alias("members")).where(F.col("members") > 1)
-    buckets = keep(keyed.join(shared, "key").select("key", "band", "id", "centre"), "buckets").table
-    needed = docs.select(F.col("doc_id").alias("id"), F.col(text).alias("text")).join(buckets.select("id").distinct(), "id", "left_semi")
-    sets = keep(needed.mapInArrow(_set_maker(shingle), f"id {kind}, payload binary, n long"), "sets").table
-    linker = _Linker(reps, sets, per_cent, kind)
-
+    buckets = keep(keyed.join(shared, "key").select("key", "id", "centre"), "buckets").table
+    linker = _Linker(docs, text, shingle, reps, per_cent, kind)
     star = buckets.where(F.col("id") != F.col("centre")).select(F.col("centre").alias("a"), F.col("id").alias("b")).distinct()
     tried = keep(linker.sized(star), "pairs")
     links = linker.links(tried)
@@ -299,15 +336,16 @@ def near_duplicates(docs: DataFrame, text: str = "text", shingle: int = 5, per_c
     # Another centre joins most of what the first has missed; the rest is compared in full.
     for full in (False, True):
         open_ = keep(_unsettled(buckets, comps.table), "unsettled").table
-        pairs = _pairs_left(open_, reps, per_cent, kind, bands, rows) if full else linker.sized(_other_centre(open_))
-        fresh = keep(pairs.join(tried.table, ["a", "b"], "left_anti"), "pairs")
-        more = linker.confirmed(fresh) if full else linker.links(fresh)
-        gone.append(more)
+        if full:
+            more = keep(_links_left(open_, linker, bands, rows), "links")
+        else:
+            fresh = keep(linker.sized(_other_centre(open_)).join(tried.table, ["a", "b"], "left_anti"), "pairs")
+            more = linker.links(fresh)
+            gone.append(more)
         if more.table.limit(1).count():
             links = keep(links.table.union(more.table), "links")
             comps = components(links.table)
             gone.append(comps)
-        tried = keep(tried.table.union(fresh.table), "pairs")
     named = write_down(
         reps.select("d1", "d2", "id").join(comps.table, "id", "left").select("d1", "d2", F.coalesce("component", "id").alias("_c")), "named"
     )
