@@ -99,7 +99,8 @@ def longest(doc_of: np.ndarray, places: np.ndarray, found: np.ndarray, w: Window
     order = np.lexsort((place, item_at - place))
     item_at, place, span = item_at[order], place[order], span[order]
     fresh = np.ones(len(place), bool)
-    fresh[1:] = (np.diff(place) != 1) | (np.diff(item_at) != 1)
+    item, doc = w.item_of[item_at], doc_of[place]
+    fresh[1:] = (np.diff(place) != 1) | (np.diff(item_at) != 1) | (np.diff(item) != 0) | (np.diff(doc) != 0)
     first = np.flatnonzero(fresh)
     words = np.diff(np.append(first, len(place))) - 1 + span[first]
     best: dict[int, tuple[int, int, int]] = {}
