@@ -14,6 +14,7 @@ from shelfwise.llm.near_dedup import near_duplicates
 from shelfwise.llm.neighbours import nearest_neighbours
 from shelfwise.llm.quality import fit_ranker, held_out, score_quality
 from shelfwise.llm.reputation import judge_urls
+from shelfwise.llm.substring_dedup import mark_repeats
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -34,6 +35,10 @@ def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(_table(spark, sf_dir, "documents").select("doc_id", "source"))
 
 
+def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mark_repeats(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 URL_RULES = [
     ("allow", "com/"),
     ("block", "example.com/en/"),
@@ -82,6 +87,7 @@ QUERIES = {
     "op1_line_dedup": op1_line_dedup,
     "op2_neighbours": op2_neighbours,
     "op3_mixing": op3_mixing,
+    "op4_substring_dedup": op4_substring_dedup,
     "op5_url_filter": op5_url_filter,
     "op6_near_dedup": op6_near_dedup,
     "op7_quality": op7_quality,
