@@ -47,7 +47,10 @@ def chunk_ends(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     strict = allowed & ((top & np.uint32((1 << BITS) - 1)) == 0)
     last = np.maximum(np.maximum.accumulate(np.where(strict, place, -1)), begin)
     loose = allowed & ((top & np.uint32((1 << LOOSE_BITS) - 1)) == 0) & (place - last > LOOSE_AFTER)
-    return np.union1d(np.flatnonzero(strict | loose) + 1, offsets[1:][np.diff(offsets) > 0])
+    # Of ends close together the first stays.
+    ends = np.flatnonzero(strict | loose) + 1
+    ends = ends[np.diff(ends, prepend=-WINDOW) >= WINDOW]
+    return np.union1d(ends, offsets[1:][np.diff(offsets) > 0])
 
 
 def chunks(data: np.ndarray, offsets: np.ndarray):
@@ -82,47 +85,49 @@ def _chunker(batches):
 
 
 def repeated_spans(docs: DataFrame, text: str = "text", min_run: int = MIN_RUN) -> DataFrame:
-    """``doc_id, start, length, first_doc``: the passages of each document that others hold too.
+    """``doc_id, removable, start, length, first_doc``: the passages of each document that others hold too.
 
     Places and lengths are code points. A passage is a run of neighbouring chunks that each
     occur in another document, of ``min_run`` code points at least; ``first_doc`` is the
-    largest among the smallest holders of its chunks, so that a passage with a ``first_doc``
-    below its own document is held in full by earlier ones. Rows without id, null and empty texts have
-    none; rows of one id count as one document.
+    smallest id that holds its longest chunk. Rows with ``removable`` true are the runs of
+    chunks that each occur in a document of smaller id. Rows without id, null and empty
+    texts have none; rows of one id count as one document.
     """
     kind = dict(docs.dtypes)["doc_id"]
     cut = docs.select("doc_id", text).where(F.col("doc_id").isNotNull()).mapInArrow(_chunker, f"digest long, doc_id {kind}, start int, length int")
     # Ends of the range of ids: combined before the shuffle, however often a chunk occurs.
     shared = cut.groupBy("digest").agg(F.min("doc_id").alias("first_doc"), F.max("doc_id").alias("last")).where(F.col("first_doc") < F.col("last"))
     repeated = cut.join(shared.select("digest", "first_doc"), "digest").select("doc_id", "start", "length", "first_doc").distinct()
-    order = Window.partitionBy("doc_id").orderBy("start", "length")
+    kinds = F.when(F.col("first_doc") < F.col("doc_id"), F.array(F.lit(False), F.lit(True))).otherwise(F.array(F.lit(False)))
+    each = repeated.withColumn("removable", F.explode(kinds))
+    order = Window.partitionBy("doc_id", "removable").orderBy("start", "length")
     before = F.max(F.col("start") + F.col("length")).over(order.rowsBetween(Window.unboundedPreceding, -1))
     fresh = F.when(F.col("start") <= before, 0).otherwise(1)
-    runs = repeated.withColumn("fresh", fresh).withColumn("run", F.sum("fresh").over(order.rowsBetween(Window.unboundedPreceding, 0)))
-    spans = runs.groupBy("doc_id", "run").agg(
-        F.min("start").cast("long").alias("start"), F.max(F.col("start") + F.col("length")).cast("long").alias("end"), F.max("first_doc").alias("first_doc")
+    runs = each.withColumn("fresh", fresh).withColumn("run", F.sum("fresh").over(order.rowsBetween(Window.unboundedPreceding, 0)))
+    spans = runs.groupBy("doc_id", "removable", "run").agg(
+        F.min("start").cast("long").alias("start"), F.max(F.col("start") + F.col("length")).cast("long").alias("end"),
+        F.max(F.struct("length", "start", "first_doc"))["first_doc"].alias("first_doc"),
     )
     long_ = spans.where(F.col("end") - F.col("start") >= min_run)
-    return long_.select("doc_id", "start", (F.col("end") - F.col("start")).alias("length"), "first_doc")
+    return long_.select("doc_id", "removable", "start", (F.col("end") - F.col("start")).alias("length"), "first_doc")
 
 
 def _by_document(spans: DataFrame) -> DataFrame:
-    each = F.struct("start", "length", "first_doc")
-    return spans.groupBy(F.col("doc_id").alias("_id")).agg(F.array_sort(F.collect_list(each)).alias("spans"))
+    place = lambda flag: F.array_sort(F.collect_list(F.when(F.col("removable") == flag, F.struct("start", "length", "first_doc"))))
+    return spans.groupBy(F.col("doc_id").alias("_id")).agg(place(False).alias("_spans"), place(True).alias("_removed"))
 
 
 def mark_repeats(docs: DataFrame, text: str = "text", min_run: int = MIN_RUN) -> DataFrame:
     """``doc_id, n_chars, n_repeated, n_removed, spans`` for every row of ``docs``.
 
-    ``n_repeated`` counts the code points in repeated passages, ``n_removed`` those in
-    passages that documents of smaller id also hold.
+    ``n_repeated`` counts the code points in repeated passages (``spans``), ``n_removed``
+    those in passages of which documents of smaller id hold every chunk.
     """
     sizes = docs.select("doc_id", F.coalesce(F.length(text), F.lit(0)).cast("long").alias("n_chars"))
     found = sizes.join(_by_document(repeated_spans(docs, text, min_run)), F.col("doc_id") == F.col("_id"), "left")
     total = lambda spans: F.coalesce(F.aggregate(spans, F.lit(0).cast("long"), lambda s, x: s + x["length"]), F.lit(0))
     return found.select(
-        "doc_id", "n_chars", total(F.col("spans")).alias("n_repeated"),
-        total(F.filter("spans", lambda x: x["first_doc"] < F.col("doc_id"))).alias("n_removed"), "spans",
+        "doc_id", "n_chars", total("_spans").alias("n_repeated"), total("_removed").alias("n_removed"), F.col("_spans").alias("spans")
     )
 
 
@@ -141,8 +146,7 @@ def _cutter(at: int, names: list[str]):
 
 
 def dedup_substrings(docs: DataFrame, text: str = "text", min_run: int = MIN_RUN) -> DataFrame:
-    """``docs`` without the passages that documents of smaller id also hold; every chunk stays where its id is smallest. All rows stay."""
+    """``docs`` without the passages whose chunks documents of smaller id hold. All rows stay, and every chunk where its id is smallest."""
     found = _by_document(repeated_spans(docs, text, min_run))
-    mine = F.filter("spans", lambda x: x["first_doc"] < F.col("_id")).alias("_spans")
-    marked = docs.join(found.select("_id", mine), F.col("doc_id") == F.col("_id"), "left").select(*docs.columns, "_spans")
+    marked = docs.join(found.select("_id", "_removed"), F.col("doc_id") == F.col("_id"), "left").select(*docs.columns, "_removed")
     return marked.mapInArrow(_cutter(docs.columns.index(text), docs.columns), docs.schema)

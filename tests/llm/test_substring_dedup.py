@@ -24,7 +24,7 @@ def test_chunks_make_up_texts_and_resist_shifts():
         assert (np.cumsum(length[mine])[:-1] == start[mine][1:]).all()
     sets = [set(digest[row == i].tolist()) for i in range(len(texts))]
     assert len(sets[1] - sets[2]) <= 3 and len(sets[1] - sets[3]) <= 6
-    assert 16 < len(text.encode()) / (row == 1).sum() < 48
+    assert 24 < len(text.encode()) / (row == 1).sum() < 60
 
 
 def test_against_plain_version(spark):
@@ -38,7 +38,7 @@ def test_against_plain_version(spark):
         rows.append((i, text))
     rows += [(70, None), (71, ""), (None, passages[0]), (3, dict(rows)[3])]
     frame = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
-    spans = repeated_spans(frame).collect()
+    spans = repeated_spans(frame).where("NOT removable").collect()
     assert {s["doc_id"] for s in spans} == {i for i in range(60) if i % 3 == 0}
     texts = dict(r for r in rows if r[0] is not None)
     for s in spans:
@@ -52,7 +52,7 @@ def test_removal_and_defined_cases(spark, docs):
     rows = [(1, "Start. " + text + " End."), (2, text), (3, prose(9, 80))]
     frame = spark.createDataFrame(rows, "doc_id bigint, text string")
     kept = {r["doc_id"]: r["text"] for r in dedup_substrings(frame).collect()}
-    assert kept[1] == rows[0][1] and kept[3] == rows[2][1] and len(kept[2]) < 100
+    assert kept[1] == rows[0][1] and kept[3] == rows[2][1] and len(kept[2]) < len(text) / 3
     out = mark_repeats(docs)
     assert out.count() == docs.count() and dedup_substrings(docs).columns == docs.columns
     assert {r["doc_id"]: r["n_chars"] for r in out.collect()}[21] == 0
