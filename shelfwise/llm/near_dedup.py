@@ -159,6 +159,12 @@ def _set_maker(size: int):
     return run
 
 
+def _only(df: DataFrame, ids: DataFrame) -> DataFrame:
+    """Rows of ``df`` whose ``id`` is among the distinct ``ids`` (a written table); ``df`` stays where it is while they are few."""
+    few = ids.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS
+    return df.join(F.broadcast(ids) if few else ids, "id", "left_semi")
+
+
 class _Linker:
     """Holds pairs of classes against each other, by registers and by full sets."""
 
@@ -167,11 +173,8 @@ class _Linker:
         self.reps, self.per_cent, self.kind = reps, per_cent, kind
 
     def sets(self, ids: DataFrame) -> DataFrame:
-        """``id, payload, n``: the sets of the documents ``ids`` (distinct)."""
-        needed = write_down(ids, "needed")
-        few = needed.table.count() <= BROADCAST_IDS
-        texts = self.docs.select(F.col("doc_id").alias("id"), F.col(self.text).alias("text"))
-        texts = texts.join(F.broadcast(needed.table) if few else needed.table, "id", "left_semi")
+        """``id, payload, n``: the sets of the documents ``ids`` (distinct, written)."""
+        texts = _only(self.docs.select(F.col("doc_id").alias("id"), F.col(self.text).alias("text")), ids)
         return texts.mapInArrow(_set_maker(self.shingle), f"id {self.kind}, payload binary, n long")
 
     def sized(self, pairs: DataFrame) -> DataFrame:
@@ -188,9 +191,12 @@ class _Linker:
     def links(self, pairs: Written) -> Written:
         """The linked ones of ``pairs``."""
         payload = self.reps.select("id", F.col("registers").alias("payload"), F.col("n_shingles").alias("n"))
-        likely = write_down(_hold(payload.join(_pairs_of_centres(pairs.table), "id"), _judge_registers(self.per_cent), self.kind), "likely")
+        places = write_down(_pairs_of_centres(pairs.table), "places")
+        held = _only(payload, places.table.select("id")).join(places.table, "id")
+        likely = write_down(_hold(held, _judge_registers(self.per_cent), self.kind), "likely")
         links = self.confirmed(likely)
-        discard(self.reps.sparkSession, likely.path)
+        for table in (places, likely):
+            discard(self.reps.sparkSession, table.path)
         return links
 
     def confirmed(self, pairs: Written) -> Written:
@@ -286,10 +292,11 @@ def _other_centre(unsettled: DataFrame) -> DataFrame:
 
 def _links_left(unsettled: DataFrame, linker: _Linker, bands: int, rows: int) -> DataFrame:
     """Links across components that settle them, each pair compared in the first bucket that holds both."""
-    masks = unsettled.groupBy("id").agg(F.bit_or(F.expr("shiftleft(1L, CAST(key & 63 AS INT))")).alias("mask"))
+    masks = write_down(unsettled.groupBy("id").agg(F.bit_or(F.expr("shiftleft(1L, CAST(key & 63 AS INT))")).alias("mask")), "masks").table
     dealt = unsettled.withColumn("blocks", F.ceil(F.col("members") / BLOCK).cast("int"))
     dealt = dealt.withColumn("mine", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
-    known = linker.reps.select("id", "registers").join(masks, "id").join(linker.sets(masks.select("id")), "id")
+    needed = masks.select("id")
+    known = _only(linker.reps.select("id", "registers"), needed).join(masks, "id").join(linker.sets(needed), "id")
     blocks = dealt.join(known, "id").withColumn("o", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
         "key", F.least("mine", "o").alias("bi"), F.greatest("mine", "o").alias("bj"),
         F.when(F.col("mine") == F.col("o"), 2).otherwise(F.when(F.col("mine") < F.col("o"), 0).otherwise(1)).alias("side"),
