@@ -6,9 +6,11 @@ import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from shelfwise.workspace import write_down
+
 # Vector entries per side of a grid cell, and score-matrix entries held at a time inside it.
 CELL_ENTRIES = 16_000_000
 SCORE_ENTRIES = 8_000_000
@@ -123,14 +125,45 @@ def _size(vectors: DataFrame) -> tuple[int, int]:
     return rows, width or 1
 
 
+def _norm(vector: str) -> Column:
+    return F.sqrt(F.aggregate(vector, F.lit(0.0), lambda total, v: total + v.cast("double") * v.cast("double")))
+
+
+def _item_blocks(items: DataFrame, blocks: int, cell_rows: int) -> tuple[DataFrame, list[float], list[int]]:
+    """``items`` with ``_block``, from the greatest norms down, and ``_i``, its cell; norm bounds and cells of each block.
+
+    Blocks are cut at approximate quantiles of the norms; one that holds too many equal
+    norms is split over several cells by hash.
+    """
+    normed = items.withColumn("_norm", _norm("vector"))
+    cuts = normed.agg(F.percentile_approx("_norm", [1 - (b + 1) / blocks for b in range(blocks - 1)], 10_000)).first()[0]
+    block = sum((F.when(F.col("_norm") <= c, 1).otherwise(0) for c in cuts), F.lit(0))
+    normed = normed.withColumn("_block", block)
+    found = {r["_block"]: r for r in normed.groupBy("_block").agg(F.max("_norm").alias("top"), F.count("*").alias("n")).collect()}
+    cells = [math.ceil(found[b]["n"] / cell_rows) if b in found else 0 for b in range(blocks)]
+    first = F.array(*[F.lit(sum(cells[:b])) for b in range(blocks)])
+    inside = F.pmod(F.xxhash64("item_id"), F.get(F.array(*[F.lit(max(1, c)) for c in cells]), F.col("_block")))
+    placed = normed.withColumn("_i", (F.get(first, F.col("_block")) + inside).cast("int")).drop("_norm")
+    return placed, [found[b]["top"] if b in found else -1.0 for b in range(blocks)], cells
+
+
+def reachable_blocks(least: str, norm: str, tops: list[float]) -> Column:
+    """Blocks after the first that may hold an item scoring ``least`` for a user of that norm; all where it is null."""
+    bounds = F.array(*[F.lit(float(t)) for t in tops])
+    may = lambda b: F.col(least).isNull() | (F.get(bounds, b) * F.col(norm) * (1 + 1e-9) >= F.col(least))
+    return F.filter(F.sequence(F.lit(1), F.lit(len(tops) - 1)), lambda b: (F.get(bounds, b) >= 0) & may(b))
+
+
 def dot_top_n(user_vectors: DataFrame, item_vectors: DataFrame, n: int, cell_rows: int | None = None) -> DataFrame:
     """Each user's ``n`` items of greatest dot product, over all items.
 
-    ``(user_id, vector)`` and ``(item_id, vector)`` are cut into groups that span a grid.
-    A cell scores its users against its items with a matrix product and emits ``n`` items
-    per user; the per-cell lists then compete in :func:`top_n`. No (user, item) pair is
-    ever a row, and what a cell holds does not grow with the data. A vector that is null,
-    holds nulls or has another width than the widest is an error that names its id.
+    Items are cut into blocks by norm. Every user is scored against the items of greatest
+    norm first; the score of the ``n``-th bounds what another block must be able to give,
+    and only blocks whose norm allows it see the user. A cell scores a group of users
+    against items with a matrix product and emits ``n`` items per user; the lists then
+    compete in :func:`top_n`. No (user, item) pair is ever a row, and what a cell holds does
+    not grow with the data. A vector that is null, holds nulls or has another width than
+    the widest is an error that names its id.
     """
     (user_rows, _), (item_rows, width) = _size(user_vectors), _size(item_vectors)
     cell_rows = cell_rows or max(1, CELL_ENTRIES // width)
@@ -138,19 +171,33 @@ def dot_top_n(user_vectors: DataFrame, item_vectors: DataFrame, n: int, cell_row
     # Spare parallelism is taken from the user side, which does not add rows to the result.
     cores = user_vectors.sparkSession.sparkContext.defaultParallelism
     across = max(across, min(math.ceil(cores / down), max(1, user_rows // 256)))
-
-    def grid(df: DataFrame, key: str, own: str, other: str, groups: int, copies: int) -> DataFrame:
-        ids = F.col(key).cast("long")
-        return df.select(
-            ids.alias(key),
-            # Both sides may come from one table; the alias keeps their columns apart.
-            F.col("vector").alias("vector"),
-            F.pmod(F.xxhash64(ids), F.lit(groups)).cast("int").alias(own),
-            F.explode(F.sequence(F.lit(0), F.lit(copies - 1))).alias(other),
-        )
-
-    users = grid(user_vectors, "user_id", "_u", "_i", across, down)
-    items = grid(item_vectors, "item_id", "_i", "_u", down, across)
-    cells = users.groupBy("_u", "_i").cogroup(items.groupBy("_u", "_i"))
-    scored = cells.applyInArrow(_cell_top(n, width), "user_id bigint, item_id bigint, score double")
-    return top_n(scored, n)
+    # Both sides may come from one table; the aliases keep their columns apart.
+    users = user_vectors.select(F.col("user_id").cast("long").alias("user_id"), F.col("vector").alias("vector"))
+    users = users.withColumn("_u", F.pmod(F.xxhash64("user_id"), F.lit(across)).cast("int"))
+    items = item_vectors.select(F.col("item_id").cast("long").alias("item_id"), F.col("vector").alias("vector"))
+
+    def scored(asking: DataFrame, offered: DataFrame) -> DataFrame:
+        """Users with their cells ``_i`` against items, each copied to all groups of users."""
+        spread = offered.withColumn("_u", F.explode(F.sequence(F.lit(0), F.lit(across - 1))))
+        cells = asking.select("user_id", "vector", "_u", "_i").groupBy("_u", "_i")
+        both = cells.cogroup(spread.select("item_id", "vector", "_u", "_i").groupBy("_u", "_i"))
+        return both.applyInArrow(_cell_top(n, width), "user_id bigint, item_id bigint, score double")
+
+    if down == 1:
+        return top_n(scored(users.withColumn("_i", F.lit(0)), items.withColumn("_i", F.lit(0))), n)
+
+    placed, tops, cells = _item_blocks(items, down, cell_rows)
+    placed = write_down(placed, "item-blocks").table
+    in_first = users.withColumn("_i", F.explode(F.sequence(F.lit(0), F.lit(cells[0] - 1))))
+    first = write_down(top_n(scored(in_first, placed.where("_block = 0")), n), "first-block").table
+    least = first.where(F.col("rank") == n).select("user_id", F.col("score").alias("_least"))
+    starts = F.array(*[F.lit(sum(cells[:b])) for b in range(down)])
+    ends = F.array(*[F.lit(sum(cells[: b + 1]) - 1) for b in range(down)])
+    asking = (
+        users.withColumn("_norm", _norm("vector"))
+        .join(least, "user_id", "left")
+        .withColumn("_b", F.explode(reachable_blocks("_least", "_norm", tops)))
+        .withColumn("_i", F.explode(F.sequence(F.get(starts, F.col("_b")), F.get(ends, F.col("_b")))))
+    )
+    more = scored(asking, placed.where("_block > 0"))
+    return top_n(first.select("user_id", "item_id", "score").unionByName(more), n)

@@ -65,6 +65,32 @@ def test_fallback(spark):
     assert as_set(ranked, "item_id", "score") == {(7, 2.0), (6, 1.0)}
 
 
+def test_norms_skip_blocks(spark):
+    rng = np.random.default_rng(8)
+    things = rng.normal(size=(120, 6)) * np.geomspace(20, 0.01, 120)[:, None]
+    asked = rng.normal(size=(30, 6))
+    users = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(asked)], "user_id bigint, vector array<double>")
+    items = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(things)], "item_id bigint, vector array<double>")
+    got = {(r["user_id"], r["rank"]): r["item_id"] for r in recommend.dot_top_n(users, items, 3, cell_rows=20).collect()}
+    want = np.argsort(-(asked @ things.T), axis=1)[:, :3]
+    assert got == {(u, r + 1): int(want[u, r]) for u in range(30) for r in range(3)}
+    _, tops, cells = recommend._item_blocks(items, 6, 20)
+    assert sum(cells) >= 6 and tops == sorted(tops, reverse=True)
+    # A user whose third best of the first block is out of reach for the others sees no other block.
+    seen = spark.createDataFrame([(1.0, tops[1] * 1.5), (1.0, None), (1.0, tops[3] * 0.9)], "norm double, least double")
+    open_ = [r[0] for r in seen.select(recommend.reachable_blocks("least", "norm", tops)).collect()]
+    assert open_ == [[], [1, 2, 3, 4, 5], [1, 2, 3]]
+
+
+def test_equal_norms_share_a_block(spark):
+    items = spark.createDataFrame([(i, [1.0, float(i % 2)]) for i in range(50)], "item_id bigint, vector array<double>")
+    users = spark.createDataFrame([(1, [1.0, 0.0]), (2, [0.0, 1.0])], "user_id bigint, vector array<double>")
+    got = {r["user_id"]: [] for r in users.collect()}
+    for r in recommend.dot_top_n(users, items, 4, cell_rows=7).orderBy("rank").collect():
+        got[r["user_id"]].append(r["item_id"])
+    assert got == {1: [0, 1, 2, 3], 2: [1, 3, 5, 7]}
+
+
 def test_popular_list_over_all_items(spark):
     scores = spark.createDataFrame([(8, 2.0), (6, 2.0), (99, 9.0)], "item_id bigint, score double")
     items = spark.createDataFrame([(5,), (6,), (7,), (8,)], "item_id bigint")
