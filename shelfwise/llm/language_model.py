@@ -26,7 +26,9 @@ from shelfwise.workspace import discard, write_down
 
 END, BEGIN = np.uint64(3), np.uint64(5)
 #: Tokens of one shard, about; and documents or bytes of one batch at most.
-SHARD_TOKENS, BATCH_ROWS, BATCH_BYTES = 3_000_000, 8192, 24 << 20
+SHARD_TOKENS, BATCH_ROWS, BATCH_BYTES = 3_000_000, 8192, 10 << 20
+#: Tries of one shard.
+PARTS = 8
 #: Weight of the prior, in tokens.
 PRIOR = 100.0
 _CONTEXT = np.uint64(64 - NgramTrie.CONTEXT_BITS)
@@ -55,7 +57,7 @@ def _count_words(batches):
 
 
 def _spread(words: np.ndarray, contexts: np.ndarray, shards: int) -> np.ndarray:
-    return (((words ^ (contexts * np.uint64(0x9E3779B97F4A7C15))) >> np.uint64(20)) % np.uint64(shards)).astype(np.int64)
+    return (((words ^ (contexts * np.uint64(0x9E3779B97F4A7C15))) >> np.uint64(20)) % np.uint64(shards)).astype(np.int32)
 
 
 def _packer(shards: int, hot):
@@ -71,15 +73,16 @@ def _packer(shards: int, hot):
                 before = np.empty_like(tokens)
                 before[1:] = tokens[:-1]
                 before[limits[:-1]] = BEGIN
-                shard = (tokens >> np.uint64(40)).astype(np.int64) % shards
+                shard = ((tokens >> np.uint64(40)) % np.uint64(shards)).astype(np.int32)
                 if len(heavy):
                     at = np.minimum(np.searchsorted(heavy, tokens), len(heavy) - 1)
                     often = heavy[at] == tokens
                     shard[often] = _spread(tokens[often], before[often], shards)
                 # equal tokens of a shard need only lie together, mostly
-                order = np.argsort(shard.astype(np.uint64) << np.uint64(40) | tokens >> np.uint64(24))
+                order = np.argsort(shard.astype(np.uint64) << np.uint64(40) | tokens >> np.uint64(24)).astype(np.int32)
                 tokens, doc, shard = tokens[order], doc[order], shard[order]
                 context = before[order] >> _CONTEXT
+                del order, before
                 training = np.flatnonzero(np.asarray(batch.column(2).slice(a, b - a).to_pylist(), bool)).astype(np.uint16)
                 cuts = np.flatnonzero(np.concatenate([[True], shard[1:] != shard[:-1], [True]]))
                 rows = []
@@ -108,9 +111,9 @@ def _packer(shards: int, hot):
     return run
 
 
-def _unpacked(blob: bytes):
+def _unpacked(blob):
     words, counts, low, high, doc, training = unpack(blob)
-    of = np.repeat(np.arange(len(words)), counts)
+    of = np.repeat(np.arange(len(words), dtype=np.int32), counts)
     context = low.view(np.uint32).astype(np.uint64) | high.view(np.uint8)[: len(of)].astype(np.uint64) << np.uint64(32)
     learns = np.zeros(65536, bool)
     learns[training] = True
@@ -132,23 +135,36 @@ def _scorer(total: int, distinct: int, prior: float, hot):
         if table["shard"][0].as_py() < 0:  # ids of batches pass
             return table.select(["part", "serial", "tokens", "ids", "training"]).append_column("sums", pa.nulls(len(table), pa.binary()))
         heavy, heavy_counts = hot.value
-        pieces = [_unpacked(blob.as_py()) for blob in table["tokens"]]
-        words = np.unique(np.concatenate([p[0] for p in pieces]))
-        of = np.concatenate([np.searchsorted(words, p[0])[p[1]] for p in pieces])
-        context, learns = np.concatenate([p[2] for p in pieces]), np.concatenate([p[4] for p in pieces])
+        # Twice over the blobs: once for the words, once into arrays of the final size.
+        blobs = [np.frombuffer(b, np.uint8) for b in table["tokens"].combine_chunks().to_numpy(zero_copy_only=False)]
+        words = np.unique(np.concatenate([unpack(b)[0] for b in blobs]))
+        lengths = [len(unpack(b)[4]) for b in blobs]
+        of, context = np.empty(sum(lengths), np.int32), np.empty(sum(lengths), np.uint64)
+        learns, docs_of, at = np.empty(len(of), bool), np.empty(len(of), np.uint16), 0
+        for blob, n in zip(blobs, lengths, strict=True):
+            own, mine, contexts, doc, learning = _unpacked(blob)
+            of[at : at + n] = np.searchsorted(words, own)[mine]
+            context[at : at + n], docs_of[at : at + n], learns[at : at + n] = contexts, doc, learning
+            at += n
         counts = np.bincount(of[learns], minlength=len(words))
         if len(heavy):  # a heavy word has only some of its tokens here
-            at = np.minimum(np.searchsorted(heavy, words), len(heavy) - 1)
-            counts = np.where(heavy[at] == words, heavy_counts[at], counts)
-        trie = NgramTrie(build_trie(words, of[learns], context[learns], counts, total, distinct, prior))
+            place = np.minimum(np.searchsorted(heavy, words), len(heavy) - 1)
+            counts = np.where(heavy[place] == words, heavy_counts[place], counts)
+        # One trie per range of words, so that what building and asking need stays small.
+        gains = np.zeros(len(of))
+        for low in range(0, len(words), max(1, -(-len(words) // PARTS))):
+            high = min(len(words), low + -(-len(words) // PARTS))
+            some = np.flatnonzero((of >= low) & (of < high))
+            own, learnt = of[some] - low, learns[some]
+            trie = NgramTrie(build_trie(words[low:high], own[learnt], context[some[learnt]], counts[low:high], total, distinct, prior))
+            gains[some] = trie.gain(words[low:high], own, context[some])
         base = np.log10(counts + 0.5)
         # as a token, and as the context of the next token; the end is no context
         alone = base - np.where(words == END, 0.0, np.log10(counts + prior))
         out, begin = [], 0
-        for _, mine, contexts, doc, _ in pieces:
-            own = of[begin : begin + len(mine)]
-            begin += len(mine)
-            gain = trie.gain(words, own, contexts)
+        for n in lengths:
+            own, doc, gain = (x[begin : begin + n] for x in (of, docs_of, gains))
+            begin += n
             docs, at = np.unique(doc, return_inverse=True)
             known = np.bincount(at, counts[own] > 0)
             known = known.astype(np.uint16 if known.max() < 65536 else np.int64)
