@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from shelfwise.llm.batches import bounded
 from shelfwise.llm.suffixes import find, keys_of, spread, suffix_array
 from shelfwise.llm.words import ALNUM, buffer_of, slabs, word_hashes
 from shelfwise.workspace import discard, write_down
@@ -197,7 +198,7 @@ def find_contamination(
     judged alike; an empty benchmark hits nothing.
     """
     added = T.StructType.fromDDL(_ADDED)
-    out, before, again = docs.drop(*added.names), None, False
+    out, before, again = bounded(docs).drop(*added.names), None, False
     schema = T.StructType([*out.schema.fields, *added.fields])
     at = out.columns.index(text)
     blocks = _blocks(benchmark, item_id, item_text, block_chars)

@@ -16,6 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from shelfwise.llm.batches import bounded
 from shelfwise.llm.mincut import min_cut
 
 _ATTRS = r"""(?:[^>"']++|"[^"]*+"|'[^']*+')*+"""
@@ -239,7 +240,7 @@ def extract_text(pages: DataFrame, html: str = "html", weights: Weights = Weight
     blocks are joined by two line ends. A null or empty page, or one without content, has an
     empty text. Repeated rows are treated alike.
     """
-    pages = pages.drop(*({"text", "n_chars"} - {html}))
+    pages = bounded(pages).drop(*({"text", "n_chars"} - {html}))
     fields = [f for f in pages.schema.fields if f.name != html]
     schema = T.StructType(fields).add("text", "string").add("n_chars", "long")
     return pages.mapInArrow(_extractor(pages.columns.index(html), schema.names, weights), schema)

@@ -20,13 +20,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from shelfwise.llm.batches import bounded
 from shelfwise.llm.elias_fano import NgramTrie, pack, unpack
 from shelfwise.llm.words import SPACES, buffer_of, word_hashes
 from shelfwise.workspace import discard, write_down
 
 END, BEGIN = np.uint64(3), np.uint64(5)
 #: Tokens of one shard, about; and documents or bytes of one batch at most.
-SHARD_TOKENS, BATCH_ROWS, BATCH_BYTES = 3_000_000, 8192, 10 << 20
+SHARD_TOKENS, BATCH_ROWS, BATCH_BYTES = 3_000_000, 8192, 14 << 20
 #: Tries of one shard.
 PARTS = 8
 #: Weight of the prior, in tokens.
@@ -50,7 +51,7 @@ def _tokens(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarr
 
 
 def _count_words(batches):
-    for batch in batches:
+    for batch in _gathered(batches):
         for _, _, data, offsets in _batches(*buffer_of(batch.column(0))):
             words, counts = np.unique(_tokens(data, offsets)[0], return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(words.view(np.int64)), pa.array(counts)], ["word", "n"])
@@ -60,13 +61,27 @@ def _spread(words: np.ndarray, contexts: np.ndarray, shards: int) -> np.ndarray:
     return (((words ^ (contexts * np.uint64(0x9E3779B97F4A7C15))) >> np.uint64(20)) % np.uint64(shards)).astype(np.int32)
 
 
+def _gathered(batches):
+    """Batches joined until they hold ``BATCH_ROWS`` rows or ``BATCH_BYTES``: packed tokens of few documents pay for many headers."""
+    held, rows, size = [], 0, 0
+    for batch in batches:
+        if held and (rows + batch.num_rows > BATCH_ROWS or size + batch.nbytes > BATCH_BYTES):
+            yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+            held, rows, size = [], 0, 0
+        if batch.num_rows:
+            held.append(batch)
+            rows, size = rows + batch.num_rows, size + batch.nbytes
+    if held:
+        yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+
+
 def _packer(shards: int, hot):
     """Per batch of documents: a row with its ids, and a row of packed tokens for each shard."""
 
     def run(batches):
         part, serial = TaskContext.get().partitionId(), itertools.count()
         heavy = hot.value
-        for batch in batches:
+        for batch in _gathered(batches):
             for a, b, data, offsets in _batches(*buffer_of(batch.column(1))):
                 tokens, limits = _tokens(data, offsets)
                 doc = np.repeat(np.arange(b - a), np.diff(limits)).astype(np.uint16)
@@ -212,7 +227,7 @@ def score_documents(docs: DataFrame, training, text: str = "text", prior: float
     """
     spark = docs.sparkSession
     kind = dict(docs.dtypes)["doc_id"]
-    rows = docs.select("doc_id", F.col(text).alias("text"), F.coalesce(training, F.lit(False)).alias("training"))
+    rows = bounded(docs).select("doc_id", F.col(text).alias("text"), F.coalesce(training, F.lit(False)).alias("training"))
     words = write_down(
         rows.where("training").select("text").mapInArrow(_count_words, "word long, n long").groupBy("word").agg(F.sum("n").alias("n")), "words"
     )

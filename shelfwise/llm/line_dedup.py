@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shelfwise.llm import perfect_hash
+from shelfwise.llm.batches import bounded
 from shelfwise.workspace import discard, write_down
 
 BLANKS = b" \t\n\x0b\x0c\r"
@@ -108,7 +109,7 @@ def dedup_lines(docs: DataFrame, text: str = "text", min_docs: int = 10, wave_by
     names. A null or empty text is one empty line and comes back empty. Repeated rows count
     as so many documents; an empty table gives an empty one.
     """
-    spark = docs.sparkSession
+    spark = bounded(docs).sparkSession
     counted = write_down(count_lines(docs, text).where(F.col("n") >= min_docs), "lines")
     shards = counted.table.count() // SHARD_KEYS + 1
     index = write_down(index_lines(counted.table, shards), "line-index")

@@ -17,6 +17,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from shelfwise.llm.batches import bounded
 from shelfwise.llm.components import components
 from shelfwise.llm.setsketch import REGISTERS, band_keys, band_shape, may_reach, sketch
 from shelfwise.llm.words import SPACES, buffer_of, shingle_hashes, slabs, word_hashes
@@ -317,7 +318,7 @@ def near_duplicates(docs: DataFrame, text: str = "text", shingle: int = 5, per_c
     own. Rows of one ``doc_id`` count as one document, so repeated rows are kept alike; a
     row without ``doc_id`` is linked with nothing and kept, its component null.
     """
-    spark, kind = docs.sparkSession, dict(docs.dtypes)["doc_id"]
+    spark, kind = bounded(docs).sparkSession, dict(docs.dtypes)["doc_id"]
     bands, rows = band_shape(per_cent / 100)
     gone: list[Written] = []
 

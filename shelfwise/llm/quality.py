@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from shelfwise.llm.batches import bounded
 from shelfwise.llm.words import SPACES, buffer_of, shingle_hashes, slabs, word_hashes
 from shelfwise.workspace import discard, write_down
 
@@ -136,7 +137,7 @@ def fit_ranker(
         .orderBy("_h", "doc_id")
         .limit(max_labelled)
     )
-    texts = docs.select("doc_id", F.col(text).alias("_text")).join(F.broadcast(sample), "doc_id")
+    texts = bounded(docs).select("doc_id", F.col(text).alias("_text")).join(F.broadcast(sample), "doc_id")
     schema = T.StructType([f for f in texts.schema.fields if f.name != "_text"] + [T.StructField("features", T.ArrayType(T.DoubleType()))])
     written = write_down(texts.mapInArrow(_with_features(texts.columns.index("_text"), schema.names), schema), "labelled")
     stats = written.table.agg(
@@ -202,7 +203,7 @@ def score_quality(docs: DataFrame, ranker: Ranker, text: str = "text") -> DataFr
     They take the place of columns of these names. Only the text counts, so repeated rows
     score alike; a null text scores as an empty one.
     """
-    docs = docs.drop("score", "predicted")
+    docs = bounded(docs).drop("score", "predicted")
     schema = T.StructType(list(docs.schema.fields)).add("score", "double").add("predicted", "integer")
     return docs.mapInArrow(_scorer(ranker, docs.columns.index(text), schema.names), schema)
 

@@ -14,6 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from shelfwise.llm.batches import bounded
 from shelfwise.llm.words import buffer_of, slabs
 
 #: Bytes that the gear hash sees, bits that end a chunk, and the bytes after which fewer do.
@@ -94,7 +95,7 @@ def repeated_spans(docs: DataFrame, text: str = "text", min_run: int = MIN_RUN)
     texts have none; rows of one id count as one document.
     """
     kind = dict(docs.dtypes)["doc_id"]
-    cut = docs.select("doc_id", text).where(F.col("doc_id").isNotNull()).mapInArrow(_chunker, f"digest long, doc_id {kind}, start int, length int")
+    cut = bounded(docs).select("doc_id", text).where(F.col("doc_id").isNotNull()).mapInArrow(_chunker, f"digest long, doc_id {kind}, start int, length int")
     # Ends of the range of ids: combined before the shuffle, however often a chunk occurs.
     shared = cut.groupBy("digest").agg(F.min("doc_id").alias("first_doc"), F.max("doc_id").alias("last")).where(F.col("first_doc") < F.col("last"))
     repeated = cut.join(shared.select("digest", "first_doc"), "digest").select("doc_id", "start", "length", "first_doc").distinct()
