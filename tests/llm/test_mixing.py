@@ -2,6 +2,7 @@ from __future__ import annotations
 
 from collections import Counter
 
+import numpy as np
 import pytest
 
 from shelfwise.llm.mixing import mix_sources, one_period, phases, shares
@@ -64,3 +65,35 @@ def test_columns_errors_and_empty(spark, docs):
         mix_sources(docs, {"s0": 1.0})
     with pytest.raises(ValueError, match="more than 1 sources"):
         mix_sources(docs, max_sources=1)
+
+
+def slots_of(blocks, weights):
+    """Slots of each source's blocks in order, as the plan gives them."""
+    out = {s: [] for s in blocks}
+    for p in phases(blocks, weights, 1000):
+        for s, places in p.slots.items():
+            for k in range(p.last[s] - p.first[s]):
+                out[s].append(p.start + k // len(places) * p.period + places[k % len(places)])
+    return out
+
+
+def most_off(blocks, weights):
+    """The largest distance of any source from its unrounded service, at any slot."""
+    order = sorted(blocks, key=lambda s: blocks[s] / weights[s])
+    at = np.array([0.0, *(blocks[s] / weights[s] for s in order)])
+    served = np.array([sum(min(blocks[s], weights[s] * v) for s in blocks) for v in at])
+    virtual = np.interp(np.arange(sum(blocks.values()) + 1), served, at)
+    worst = 0.0
+    for s, places in slots_of(blocks, weights).items():
+        got = np.searchsorted(places, np.arange(len(virtual)))
+        worst = max(worst, np.abs(got - np.minimum(blocks[s], weights[s] * virtual)).max())
+    return worst
+
+
+def test_less_than_one_block_off_the_unrounded_weights():
+    assert most_off(dict.fromkeys("abc", 10_000), dict.fromkeys("abc", 1.0)) < 1 + 1e-5
+    # One source of 400 holds a third of the documents; sizes and weights of the others vary.
+    blocks = {f"s{i}": 20 + i * 37 % 60 for i in range(399)}
+    blocks["big"] = sum(blocks.values()) // 2
+    assert most_off(blocks, {s: n**0.5 for s, n in blocks.items()}) < 1 + 1e-5
+    assert most_off(blocks, {s: 1 + i * 7919 % 101 / 7 for i, s in enumerate(blocks)}) < 1 + 1e-5
