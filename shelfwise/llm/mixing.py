@@ -160,7 +160,7 @@ def _dealer(block_docs: int, alpha: float):
 
 def mix_sources(
     docs: DataFrame, weights: dict[str, float] | None = None, source: str = "source", doc_id: str = "doc_id",
-    block_docs: int = 16, alpha: float = 0.5, period: int = 1000, max_sources: int = 1000,
+    block_docs: int = 16, alpha: float = 0.5, period: int = 1000, max_sources: int | None = None,
 ) -> DataFrame:
     """``docs`` with ``block`` (of the source, from 0), ``slot`` and ``position`` in the mix.
 
@@ -173,8 +173,8 @@ def mix_sources(
     out would have earned goes to the others by their weights. ``period`` changes nothing:
     weights are no longer rounded to it. Documents of a source come in the order of a hash
     of their id, then the id; repeated rows and rows without an id have places of their own.
-    All rows stay; an empty table gives an empty one. More than ``max_sources`` sources are
-    refused.
+    All rows stay; an empty table gives an empty one. There may be any number of sources,
+    unless the caller gives ``max_sources``: more of them are refused then.
     """
     spark = docs.sparkSession
     kept = [c for c in docs.columns if c not in ("block", "slot", "position")]
@@ -189,7 +189,7 @@ def mix_sources(
     )
     counts = write_down(dealt.groupBy("s", "part").agg(F.count("*").alias("n")), "mix-counts")
     totals = counts.table.groupBy("s").agg(F.sum("n").alias("n"))
-    if totals.limit(max_sources + 1).count() > max_sources:
+    if max_sources is not None and totals.limit(max_sources + 1).count() > max_sources:
         raise ValueError(f"more than {max_sources} sources to mix")
     if weights is None:
         weighed = totals.withColumn("w", F.lit(None).cast("double"))

@@ -97,3 +97,13 @@ def test_less_than_one_block_off_the_unrounded_weights():
     blocks["big"] = sum(blocks.values()) // 2
     assert most_off(blocks, {s: n**0.5 for s, n in blocks.items()}) < 1 + 1e-5
     assert most_off(blocks, {s: 1 + i * 7919 % 101 / 7 for i, s in enumerate(blocks)}) < 1 + 1e-5
+
+
+def test_more_than_a_thousand_sources(spark):
+    many = spark.range(4000).selectExpr("id AS doc_id", "CASE WHEN id < 1500 THEN 'all' ELSE concat('host', id % 1200) END AS source")
+    out = mix_sources(many, block_docs=2).collect()
+    assert len(out) == 4000 == len({r["position"] for r in out})
+    counts = Counter(r["source"] for r in out)
+    assert len(counts) == 1201
+    slots = slots_of({f"s:{s}": -(-n // 2) for s, n in counts.items()}, {f"s:{s}": n**0.5 for s, n in counts.items()})
+    assert all(slots[f"s:{r['source']}"][r["block"]] == r["slot"] for r in out)
