@@ -3,6 +3,11 @@
 A page is cut into text blocks. What a block looks like and where in the page it stands
 give its gain as content; neighbouring blocks, and blocks with the same parent, are tied by
 edges; the minimum cut parts content from boilerplate.
+
+What an element is (nav, footer, hidden) settles all below it. What it is called, and being
+a form, is weaker: layouts name wrappers after what stands beside the article. Such evidence
+fades with the distance in the page and does not count for an element that holds the main
+part, or most of the prose.
 """
 
 from __future__ import annotations
@@ -34,8 +39,8 @@ BLOCK = frozenset(
 )
 #: An element that ends when one of these begins beside it.
 ENDS = {"p": BLOCK, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "td": {"td", "th", "tr"}, "th": {"td", "th", "tr"}, "tr": {"tr"}, "option": {"option"}}
-BOILERPLATE = frozenset("nav footer aside form menu button search dialog label legend".split())
-ROLES = frozenset("navigation banner contentinfo complementary search form menu menubar dialog alert alertdialog".split())
+BOILERPLATE = frozenset("nav footer aside menu button search dialog label legend".split())
+ROLES = frozenset("navigation banner contentinfo complementary search menu menubar dialog alert alertdialog".split())
 #: Words in a class or id.
 BAD_WORDS = frozenset(
     "ad ads adv advert adverts advertisement advertising adsense sponsor sponsored sponsors promo promos promotion promoted nav navbar navigation menu menus "
@@ -61,6 +66,7 @@ class Weights(NamedTuple):
     main: float = 1.2
     good_name: float = 1.3
     boilerplate: float = -7.0
+    fading: float = 0.9
     article_header: float = -2.0
     rights: float = -3.0
     adjacent: float = 0.8
@@ -68,6 +74,18 @@ class Weights(NamedTuple):
     siblings: float = 0.5
 
 
+class _Named:
+    """An element with a bad name, or a form: what its subtree holds, and whether it counts."""
+
+    __slots__ = ("number", "depth", "above", "main", "article", "prose", "texts", "anchored", "own", "counts")
+
+    def __init__(self, number: int, depth: int, above: _Named | None):
+        self.number, self.depth, self.above = number, depth, above
+        self.main = self.article = False
+        self.prose = self.texts = self.anchored = self.own = 0
+        self.counts = True
+
+
 class _Place(NamedTuple):
     tag: str
     number: int
@@ -78,6 +96,8 @@ class _Place(NamedTuple):
     bad: bool
     header: bool
     link: bool
+    depth: int
+    named: _Named | None
 
 
 class Block(NamedTuple):
@@ -90,6 +110,7 @@ def _opened(tag: str, attrs: str, above: _Place, number: int) -> _Place:
     bad = above.bad or tag in BOILERPLATE
     good, link = above.good, above.link or tag == "a"
     header = above.header
+    named = tag == "form"
     if tag == "header":
         if above.article:
             header = True
@@ -100,22 +121,31 @@ def _opened(tag: str, attrs: str, above: _Place, number: int) -> _Place:
             name, value = name.lower(), a or b or c
             if name in ("class", "id"):
                 words = {w.lower() for w in NAME.findall(value)}
-                if tag not in ("body", "html", "main", "article") and words & BAD_WORDS:
-                    bad = True
+                named = named or bool(words & BAD_WORDS)
                 good = good or bool(words & GOOD_WORDS)
             elif name == "role":
                 bad = bad or value.lower() in ROLES
+                named = named or value.lower() == "form"
                 good = good or value.lower() in ("main", "article")
             elif name == "hidden" or (name == "aria-hidden" and value == "true") or (name == "style" and "display:none" in value.replace(" ", "").lower()):
                 bad = True
-    # An article inside boilerplate is a comment, a teaser or an advert.
-    return _Place(tag, number, above.number, above.article or tag == "article", above.main or tag == "main", good, bad, header, link)
+    main, article = above.main or tag == "main", above.article or tag == "article"
+    depth, within = above.depth + (tag in BLOCK), above.named
+    # An article inside boilerplate, or named like it, is a comment, a teaser or an advert.
+    if not bad and (tag == "main" or (tag == "article" and not above.article and not named)):
+        kind, holder = tag, within
+        while holder is not None and not getattr(holder, kind):
+            setattr(holder, kind, True)
+            holder = holder.above
+    if named and tag not in ("body", "html", "main", "article"):
+        within = _Named(number, depth, within)
+    return _Place(tag, number, above.number, article, main, good, bad, header, link, depth, within)
 
 
 def blocks_of(page: str) -> list[Block]:
     """The text blocks of a page in order, with decoded references and single spaces."""
     out: list[Block] = []
-    stack = [_Place("", 0, -1, False, False, False, False, False, False)]
+    stack = [_Place("", 0, -1, False, False, False, False, False, False, 0, None)]
     parts: list[str] = []
     linked = 0
     number = 0
@@ -182,6 +212,46 @@ def blocks_of(page: str) -> list[Block]:
     return out
 
 
+def judge_names(blocks: list[Block]) -> None:
+    """Names that wrap the main part of the page do not count any more."""
+    total = clean = 0
+    known: dict[int, _Named] = {}
+    for block in blocks:
+        place = block.place
+        if place.bad or block.link_share >= 0.5:
+            continue
+        size = len(block.text)
+        total += size
+        anchored = size * (place.article or place.main or place.good)
+        if place.named is None:
+            clean += anchored
+            continue
+        place.named.own += anchored
+        place.named.prose += size
+        place.named.texts += 1
+        place.named.anchored += size * place.article
+        holder = place.named
+        while holder is not None and holder.number not in known:
+            known[holder.number] = holder
+            holder = holder.above
+    order = [known[n] for n in sorted(known)]
+    for held in reversed(order):
+        if held.above is not None:
+            held.above.prose += held.prose
+            held.above.texts += held.texts
+            held.above.anchored += held.anchored
+    for held in order:  # from the outside in
+        if held.above is not None and held.above.counts:
+            continue
+        # Nothing outside looks like the main part, and this does.
+        alone = clean * 10 < total and (
+            (held.article and held.anchored * 5 >= total) or (held.texts > 1 and held.prose * 2 > total)
+        )
+        if held.main or alone:
+            held.counts = False
+            clean += held.own
+
+
 def gain_of(block: Block, w: Weights) -> float:
     """Log odds that a block is content."""
     place, text = block.place, block.text
@@ -194,9 +264,12 @@ def gain_of(block: Block, w: Weights) -> float:
         gain += w.heading
     elif place.tag in ("li", "td", "th", "dd", "dt", "option"):
         gain += w.item
-    gain += w.article * place.article + w.main * place.main + w.good_name * place.good
+    named = place.named is not None and place.named.counts
+    gain += w.article * (place.article and not named) + w.main * place.main + w.good_name * place.good
     if place.bad:
         gain += w.boilerplate
+    elif named:
+        gain += w.boilerplate * w.fading ** (place.depth - place.named.depth)
     elif place.header and place.tag not in ("h1", "h2", "h3"):
         gain += w.article_header
     if text[0] == "©" or (words < 30 and ("©" in text or "all rights reserved" in text.lower())):
@@ -209,6 +282,7 @@ def main_text(page: str | None, w: Weights = Weights()) -> str:
     blocks = blocks_of(page or "")
     if not blocks:
         return ""
+    judge_names(blocks)
     edges, last = [], {}
     for i, block in enumerate(blocks):
         parent = block.place.parent

@@ -80,3 +80,22 @@ def test_odd_pages(spark):
     assert [r["n_chars"] for r in out] == [len(r["text"]) for r in out] and out[0]["text"] == out[1]["text"] == ""
     assert extract_text(frame).columns == ["page_id", "text", "n_chars"]
     assert extract_text(frame.limit(0)).count() == 0
+
+
+def test_wrappers_named_after_what_stands_beside():
+    title = "<h1>A title</h1>"
+    body = "".join(f"<p>Paragraph {i} tells a good part of the story, at some length and with care.</p>" for i in range(4))
+    want = "A title\n\n" + "\n\n".join(f"Paragraph {i} tells a good part of the story, at some length and with care." for i in range(4))
+    side = '<div class="sidebar"><p>You may also like this long line about nothing at all.</p></div>'
+    notes = '<section id="comments"><h3>Replies</h3>' + "<article class='comment'><p>I liked this a lot, thank you so much for it, and once more!</p></article>" * 9 + "</section>"
+    inner = [f"<main>{title}{body}</main>", f"<article>{title}{body}</article>", f'<div class="col"><div>{title}{body}</div></div>']
+    for wrapper in ('<div class="content-sidebar-wrap">', '<div class="has-sidebar">', '<div class="comments-open">', '<div id="with-side-nav">', '<form action="/">'):
+        end = "</form>" if "form" in wrapper else "</div>"
+        for text in inner:
+            assert main_text(f"<body>{wrapper}{text}{end}{side}</body>") == want, (wrapper, text[:30])
+            assert main_text(f"<body>{wrapper}{text}{side}{end}</body>") == want, (wrapper, text[:30])
+        for text in inner[:2]:
+            assert main_text(f"<body>{wrapper}{text}{notes}{side}{end}</body>") == want, (wrapper, text[:30])
+    assert main_text(f"<body><form><div class='has-sidebar'><div class='comments-open'>{inner[1]}{notes}</div>{side}</div></form></body>") == want
+    # Boilerplate alone is no content.
+    assert main_text(f"<body>{side}<form><p>Give us your name and your address, please do it now.</p></form></body>") == ""
