@@ -1,14 +1,16 @@
-"""Passages that repeat across documents, by content-defined chunks.
+"""Passages that repeat across documents, by anchors and exact ends.
 
-A gear hash rolls over the bytes of a text; where five of its bits are zero a chunk ends.
-Where no chunk has ended for 48 bytes three zero bits do. Both depend on the bytes just
-before alone, so an insertion moves only the chunks around it. Chunks are compared by digest
-and length; runs of chunks that other documents also hold are repeated passages. One row
-per chunk is shuffled, no text.
+Of neighbouring runs of 32 bytes the one of the smallest digest is an anchor (winnowing), so
+any passage of 95 bytes that two documents share holds an anchor of both. Anchors that
+several documents hold are compared with their surroundings, which gives the exact ends of
+the passages; a surrounding is some hundred bytes, and a text is shuffled once, to cut them.
+``chunks`` cuts texts where a rolling gear hash says so.
 """
 
 from __future__ import annotations
 
+import os
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
@@ -19,10 +21,11 @@ from shelfwise.llm.words import buffer_of, slabs
 
 #: Bytes that the gear hash sees, bits that end a chunk, and the bytes after which fewer do.
 WINDOW, BITS, LOOSE_BITS, LOOSE_AFTER = 16, 5, 3, 48
-#: Code points of a run of repeated chunks that count as a passage. A run is shorter than the passage by the
-#: parts of chunks at its ends, about 70 together.
+#: Code points of a passage that counts, once it is extended to its ends.
 MIN_RUN = 120
 _RANDOM = np.random.default_rng(20240611)
+#: Bytes of an anchor, starts of which one is an anchor, and bytes beyond it that are compared: where more agree, another anchor stands.
+KEY, NEAR, REACH = 32, 64, 96
 GEAR = _RANDOM.integers(0, 1 << 32, 256, dtype=np.uint32)
 VALUES = _RANDOM.integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _ODD = int(_RANDOM.integers(1 << 62, 1 << 63)) | 1
@@ -74,33 +77,157 @@ def chunks(data: np.ndarray, offsets: np.ndarray):
     return row, digest.view(np.int64), points[starts] - points[offsets[row]], points[ends] - points[starts]
 
 
-def _chunker(batches):
+def anchors(data: np.ndarray, offsets: np.ndarray):
+    """Row, digest, first code point and first byte (from the row's start) of every anchor.
+
+    Of each ``NEAR`` neighbouring starts of ``KEY`` bytes the one of the smallest digest is
+    an anchor, so any two texts that share ``NEAR + KEY - 1`` bytes share one there.
+    """
+    n = len(data)
+    nothing = np.zeros(0, np.int64)
+    if n < KEY + NEAR - 1:
+        return nothing, nothing, nothing, nothing
+    powers = np.full(n + 1, _ODD, np.uint64)
+    powers[0] = 1
+    inverse = np.full(n + 1, _INVERSE, np.uint64)
+    inverse[0] = 1
+    sums = np.zeros(n + 1, np.uint64)
+    np.cumsum(VALUES[data] * np.cumprod(powers, dtype=np.uint64)[:-1], out=sums[1:])
+    digest = (sums[KEY:] - sums[:-KEY]) * np.cumprod(inverse, dtype=np.uint64)[: n + 1 - KEY]
+    digest ^= digest >> np.uint64(29)
+    digest *= np.uint64(0x9E3779B97F4A7C15)
+    digest ^= digest >> np.uint64(32)
+    row = np.searchsorted(offsets, np.arange(len(digest)), "right") - 1
+    # Not over the end of a row, and not from inside a character.
+    valid = (np.arange(len(digest)) + KEY <= offsets[row + 1]) & ((data[: len(digest)] & 0xC0) != 0x80)
+    digest[~valid] = np.uint64(0xFFFFFFFFFFFFFFFF)
+    least, step = digest, 1
+    while step < NEAR:
+        least = np.minimum(least[:-step], least[step:])
+        step *= 2
+    most = np.concatenate([np.zeros(NEAR - 1, np.uint64), least, np.zeros(NEAR - 1, np.uint64)])
+    step = 1
+    while step < NEAR:
+        most = np.maximum(most[:-step], most[step:])
+        step *= 2
+    at = np.flatnonzero((most == digest) & valid)
+    if not len(at):
+        return nothing, nothing, nothing, nothing
+    # Where a pattern repeats itself, some of its equal anchors do.
+    again = np.concatenate([[False], (digest[at[1:]] == digest[at[:-1]]) & (np.diff(at) < NEAR) & (row[at[1:]] == row[at[:-1]])])
+    chain = at[np.maximum.accumulate(np.where(again, 0, np.arange(len(at))))]
+    place = (at - chain) // (NEAR // 2)
+    at = at[~again | (place != np.concatenate([[-1], place[:-1]]))]
+    points = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])
+    begin = offsets[row[at]]
+    return row[at], digest[at].view(np.int64), points[at] - points[begin], at - begin
+
+
+def _anchorer(batches):
     for batch in batches:
         data, offsets = buffer_of(batch.column(1))
         for a, b in slabs(offsets, 1 << 20):
-            row, digest, start, length = chunks(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
+            row, digest, _, _ = anchors(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
             ids = batch.column(0).take(pa.array(row + a))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(digest), ids, pa.array(start.astype(np.int32)), pa.array(length.astype(np.int32))], ["digest", "doc_id", "start", "length"]
+                [pa.array(digest), ids], ["digest", "doc_id"]
             )
 
 
+def _surroundings(batches):
+    """``digest, doc_id, start, left, right``: the text before and from each wanted anchor."""
+    for batch in batches:
+        ids, digests, starts, left, right = [], [], [], [], []
+        for doc, text, wanted in zip(*(batch.column(c) for c in range(3)), strict=True):
+            data = text.as_py().encode()
+            _, digest, start, byte = anchors(np.frombuffer(data, np.uint8), np.array([0, len(data)]))
+            held = np.isin(digest, wanted.values.to_numpy(zero_copy_only=False))
+            for key, place, at in zip(digest[held].tolist(), start[held].tolist(), byte[held].tolist(), strict=True):
+                ids.append(doc.as_py())
+                digests.append(key)
+                starts.append(place)
+                left.append(data[max(0, at - REACH) : at].decode(errors="ignore"))
+                right.append(data[at : at + KEY + REACH].decode(errors="ignore"))
+            if len(ids) >= 5000:
+                yield pa.RecordBatch.from_arrays([pa.array(digests, pa.int64()), pa.array(ids, batch.schema.types[0]), pa.array(starts, pa.int32()), pa.array(left, pa.string()), pa.array(right, pa.string())], ["digest", "doc_id", "start", "left", "right"])
+                ids, digests, starts, left, right = [], [], [], [], []
+        if ids:
+            yield pa.RecordBatch.from_arrays([pa.array(digests, pa.int64()), pa.array(ids, batch.schema.types[0]), pa.array(starts, pa.int32()), pa.array(left, pa.string()), pa.array(right, pa.string())], ["digest", "doc_id", "start", "left", "right"])
+
+
+def _alike(a: str, b: str, full: int) -> int | None:
+    """Code points at the begin of both, without the part of a word behind which they differ or ``full`` bytes end; none if that is all."""
+    if a == b:
+        n = len(a)
+        inside = len(a.encode()) > full - 4
+    else:
+        n = next((i for i, (x, y) in enumerate(zip(a, b, strict=False)) if x != y), min(len(a), len(b)))
+        inside = any(n < len(x) and not x[n].isspace() for x in (a, b))
+    if inside:
+        return next((i + 1 for i in range(n - 1, -1, -1) if a[i].isspace()), None)
+    return n
+
+
+def _matcher(batches):
+    """``doc_id, start, end, first_doc, removable``: how far each anchor's text agrees with that of another document."""
+    for batch in batches:
+        ids, starts, ends, firsts, flags = [], [], [], [], []
+        for r in batch.to_pylist():
+            for other, left, right in ((r["first_doc"], r["first_left"], r["first_right"]), (r["last"], r["last_left"], r["last_right"])):
+                if other == r["doc_id"] or not (r["right"].encode()[: KEY - 3] == right.encode()[: KEY - 3]):
+                    continue
+                before, behind = _alike(r["left"][::-1], left[::-1], REACH), _alike(r["right"], right, KEY + REACH)
+                if behind is None:  # not a single space: no words to keep whole
+                    behind = len(os.path.commonprefix([r["right"], right]))
+                    before = len(os.path.commonprefix([r["left"][::-1], left[::-1]])) if before is None else before
+                elif before is None:  # it begins inside a word
+                    before = -next((i for i, c in enumerate(r["right"][:behind]) if c.isspace()), 0)
+                ids.append(r["doc_id"])
+                starts.append(r["start"] - before)
+                ends.append(r["start"] + behind)
+                firsts.append(r["first_doc"])
+                flags.append(other < r["doc_id"] and other == r["first_doc"])
+        kind = batch.schema.field("doc_id").type
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(ids, kind), pa.array(starts, pa.int32()), pa.array(ends, pa.int32()), pa.array(firsts, kind), pa.array(flags, pa.bool_())],
+            ["doc_id", "start", "end", "first_doc", "below"],
+        )
+
+
 def repeated_spans(docs: DataFrame, text: str = "text", min_run: int = MIN_RUN) -> DataFrame:
     """``doc_id, removable, start, length, first_doc``: the passages of each document that others hold too.
 
-    Places and lengths are code points. A passage is a run of neighbouring chunks that each
-    occur in another document, of ``min_run`` code points at least; ``first_doc`` is the
-    smallest id that holds its longest chunk. Rows with ``removable`` true are the runs of
-    chunks that each occur in a document of smaller id. Rows without id, null and empty
-    texts have none; rows of one id count as one document.
+    Places and lengths are code points. Anchors that other documents hold are extended to
+    where the texts differ, to whole words, against the documents of smallest and of
+    largest id that hold them; what overlaps or touches is one passage, and counts from
+    ``min_run`` code points on. ``first_doc`` is the smallest id that holds the anchor of
+    its longest match. Rows with ``removable`` true are the passages that documents of
+    smaller id hold. Rows without id, null and empty texts have none; rows of one id count
+    as one document.
     """
     kind = dict(docs.dtypes)["doc_id"]
-    cut = bounded(docs).select("doc_id", text).where(F.col("doc_id").isNotNull()).mapInArrow(_chunker, f"digest long, doc_id {kind}, start int, length int")
-    # Ends of the range of ids: combined before the shuffle, however often a chunk occurs.
+    named = bounded(docs).select("doc_id", F.col(text).alias("text")).where(F.col("doc_id").isNotNull() & F.col(text).isNotNull())
+    cut = named.select("doc_id", "text").mapInArrow(_anchorer, f"digest long, doc_id {kind}")
+    # Ends of the range of ids: combined before the shuffle, however often an anchor occurs.
     shared = cut.groupBy("digest").agg(F.min("doc_id").alias("first_doc"), F.max("doc_id").alias("last")).where(F.col("first_doc") < F.col("last"))
-    repeated = cut.join(shared.select("digest", "first_doc"), "digest").select("doc_id", "start", "length", "first_doc").distinct()
-    kinds = F.when(F.col("first_doc") < F.col("doc_id"), F.array(F.lit(False), F.lit(True))).otherwise(F.array(F.lit(False)))
-    each = repeated.withColumn("removable", F.explode(kinds))
+    wanted = (
+        cut.join(shared.select("digest"), "digest").groupBy("doc_id")
+        .agg(F.collect_set("digest").alias("wanted"))
+    )
+    around = named.join(wanted, "doc_id").select("doc_id", "text", "wanted").mapInArrow(
+        _surroundings, f"digest long, doc_id {kind}, start int, left string, right string"
+    )
+    ends = around.groupBy("digest").agg(
+        F.min(F.struct("doc_id", "start", "left", "right")).alias("a"), F.max(F.struct("doc_id", "start", "left", "right")).alias("z")
+    ).select(
+        "digest", F.col("a.doc_id").alias("first_doc"), F.col("a.left").alias("first_left"), F.col("a.right").alias("first_right"),
+        F.col("z.doc_id").alias("last"), F.col("z.left").alias("last_left"), F.col("z.right").alias("last_right"),
+    )
+    matched = around.join(ends, "digest").drop("digest").mapInArrow(
+        _matcher, f"doc_id {kind}, start int, end int, first_doc {kind}, below boolean"
+    ).withColumn("length", F.col("end") - F.col("start")).distinct()
+    kinds = F.when(F.col("below"), F.array(F.lit(False), F.lit(True))).otherwise(F.array(F.lit(False)))
+    each = matched.withColumn("removable", F.explode(kinds))
     order = Window.partitionBy("doc_id", "removable").orderBy("start", "length")
     before = F.max(F.col("start") + F.col("length")).over(order.rowsBetween(Window.unboundedPreceding, -1))
     fresh = F.when(F.col("start") <= before, 0).otherwise(1)
@@ -122,7 +249,7 @@ def mark_repeats(docs: DataFrame, text: str = "text", min_run: int = MIN_RUN) ->
     """``doc_id, n_chars, n_repeated, n_removed, spans`` for every row of ``docs``.
 
     ``n_repeated`` counts the code points in repeated passages (``spans``), ``n_removed``
-    those in passages of which documents of smaller id hold every chunk.
+    those in passages that documents of smaller id hold.
     """
     sizes = docs.select("doc_id", F.coalesce(F.length(text), F.lit(0)).cast("long").alias("n_chars"))
     found = sizes.join(_by_document(repeated_spans(docs, text, min_run)), F.col("doc_id") == F.col("_id"), "left")
@@ -147,7 +274,7 @@ def _cutter(at: int, names: list[str]):
 
 
 def dedup_substrings(docs: DataFrame, text: str = "text", min_run: int = MIN_RUN) -> DataFrame:
-    """``docs`` without the passages whose chunks documents of smaller id hold. All rows stay, and every chunk where its id is smallest."""
+    """``docs`` without the passages that documents of smaller id hold. All rows stay, and every passage where its id is smallest."""
     found = _by_document(repeated_spans(docs, text, min_run))
     marked = docs.join(found.select("_id", "_removed"), F.col("doc_id") == F.col("_id"), "left").select(*docs.columns, "_removed")
     return marked.mapInArrow(_cutter(docs.columns.index(text), docs.columns), docs.schema)

@@ -57,3 +57,19 @@ def test_removal_and_defined_cases(spark, docs):
     assert out.count() == docs.count() and dedup_substrings(docs).columns == docs.columns
     assert {r["doc_id"]: r["n_chars"] for r in out.collect()}[21] == 0
     assert mark_repeats(docs.limit(0)).count() == 0
+
+
+def test_short_words_and_exact_ends(spark):
+    """51 words of four letters at most are found, each from its first to its last code point."""
+    r = random.Random(3)
+    passages = [" ".join("".join(r.choice("etaoinshrdluéü") for _ in range(r.randint(2, 4))) for _ in range(51)) for _ in range(30)]
+    rows = []
+    for i in range(60):
+        text = prose(1000 + i, 60)
+        rows.append((i, f"{text[:150]} #{i} {passages[i % 30]} #{i} {text[150:]}"))
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    spans = repeated_spans(frame).where("NOT removable").collect()
+    pieces = {s["doc_id"]: rows[s["doc_id"]][1][s["start"] : s["start"] + s["length"]].strip() for s in spans}
+    assert len(spans) == 60 and pieces == {i: passages[i % 30] for i in range(60)}
+    kept = {r["doc_id"]: r["text"] for r in dedup_substrings(frame).collect()}
+    assert all((passages[i % 30] in kept[i]) == (i < 30) and len(kept[i]) < len(rows[i][1]) - 100 * (i >= 30) + 1 for i in kept)
