@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from shelfwise.llm.byte_bpe import Vocabulary, decode, encode
 from shelfwise.llm.decontaminate import find_contamination
 from shelfwise.llm.html_text import extract_text
 from shelfwise.llm.language_model import score_documents
@@ -83,6 +84,16 @@ def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract_text(_table(spark, sf_dir, "pages").select("page_id", "url", "html"))
 
 
+def op11_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    vocabulary = Vocabulary.read(public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    encoded = encode(_table(spark, sf_dir, "documents").select("doc_id", "text"), vocabulary)
+    decimal = F.array_join(F.col("tokens").cast("array<string>"), " ")
+    told = encoded.select("doc_id", F.size("tokens").cast("long").alias("n_tokens"), F.sha2(decimal, 256).alias("ids_sha256"), "tokens")
+    return decode(told, vocabulary).select("doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 QUERIES = {
     "op1_line_dedup": op1_line_dedup,
     "op2_neighbours": op2_neighbours,
@@ -94,4 +105,5 @@ QUERIES = {
     "op8_language_model": op8_language_model,
     "op9_decontamination": op9_decontamination,
     "op10_html_extraction": op10_html_extraction,
+    "op11_byte_bpe": op11_byte_bpe,
 }
