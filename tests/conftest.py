@@ -1,6 +1,5 @@
 from __future__ import annotations
 
-import datetime as dt
 import os
 import sys
 
@@ -9,13 +8,9 @@ import pytest
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path[:0] = [ROOT, os.path.join(ROOT, "tests")]
 
-from shelfwise.session import local_session  # noqa: E402
+from helpers import ORDERS, TRACKER, at  # noqa: E402
 
-TRACKER = "user_id bigint, item_id bigint, timestamp timestamp_ntz, action_type string, action_widget string"
-ORDERS = (
-    "user_id bigint, item_id bigint, created_timestamp timestamp_ntz, last_status string, "
-    "last_status_timestamp timestamp_ntz"
-)
+from shelfwise.session import local_session  # noqa: E402
 
 
 @pytest.fixture(scope="session")
@@ -34,10 +29,6 @@ def spark(tmp_path_factory):
     session.stop()
 
 
-def at(day: int, second: float = 0) -> dt.datetime:
-    return dt.datetime(2024, 1, 1) + dt.timedelta(days=day - 1, seconds=second)
-
-
 @pytest.fixture(scope="session")
 def clicks(spark):
     """Repeated events, several actions a day, a missing action, a negative user."""
@@ -76,9 +67,3 @@ def bought(spark):
 def small():
     """Folder of the smallest given tables."""
     return "/root/testdata/sf0.001"
-
-
-def as_set(df, *columns):
-    rows = [tuple(r) for r in (df.select(*columns) if columns else df).collect()]
-    assert len(rows) == len(set(rows))
-    return set(rows)

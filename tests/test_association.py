@@ -1,6 +1,6 @@
 import numpy as np
 import pytest
-from conftest import ORDERS, as_set, at
+from helpers import ORDERS, as_set, at
 from pyspark.sql import functions as F
 
 from shelfwise.operators import association as ops

@@ -1,7 +1,7 @@
 import datetime as dt
 
 import pytest
-from conftest import as_set, at
+from helpers import as_set, at
 from pyspark.sql import functions as F
 
 from shelfwise.functions import expressions as ex

@@ -1,7 +1,7 @@
 import datetime as dt
 
 import pytest
-from conftest import ORDERS, as_set
+from helpers import ORDERS, as_set
 from pyspark.sql import functions as F
 
 from shelfwise.functions.labels import RATING_LABELS, target_label

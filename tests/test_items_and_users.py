@@ -1,4 +1,4 @@
-from conftest import as_set
+from helpers import as_set
 
 from shelfwise.operators import items as ops
 from shelfwise.operators.users import user_features

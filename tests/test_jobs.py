@@ -2,7 +2,7 @@ import json
 import os
 
 import pytest
-from conftest import as_set
+from helpers import as_set
 
 from shelfwise.catalog import tables
 from shelfwise.plans import jobs

@@ -1,5 +1,5 @@
 import pytest
-from conftest import as_set
+from helpers import as_set
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 

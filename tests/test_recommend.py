@@ -2,7 +2,7 @@ import random
 
 import numpy as np
 import pytest
-from conftest import as_set
+from helpers import as_set
 from pyspark.ml.evaluation import RankingEvaluator
 from pyspark.sql import functions as F
 

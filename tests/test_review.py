@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import pytest
-from conftest import as_set, at
+from helpers import as_set, at
 from pyspark.sql import functions as F
 
 from shelfwise.catalog import tables

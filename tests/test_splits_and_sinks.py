@@ -2,7 +2,7 @@ import json
 import os
 
 import pytest
-from conftest import as_set, at
+from helpers import as_set, at
 
 from shelfwise.operators import splits
 from shelfwise.sources import scans, sinks
