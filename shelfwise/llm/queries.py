@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfwise.llm.byte_bpe import Vocabulary, decode, encode
+from shelfwise.llm.collocations import best_phrases, mine_phrases
+from shelfwise.llm.conversation_repair import damage, digests, repair
 from shelfwise.llm.decontaminate import find_contamination
 from shelfwise.llm.html_text import extract_text
 from shelfwise.llm.language_model import score_documents
@@ -94,6 +96,27 @@ def op11_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decode(told, vocabulary).select("doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    phrases = mine_phrases(_table(spark, sf_dir, "documents").select("lang", "text"))
+    return best_phrases(phrases).select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
+
+
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    repaired = repair(damage(turns))
+    found = turns.select(F.col("conv_id").alias("id")).distinct()
+    counts = [F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")]
+    hashes = digests(repaired.rows).withColumnRenamed("conv_id", "hashed")
+    return (
+        found.join(repaired.conversations, F.col("id").eqNullSafe(F.col("conv_id")), "left")
+        .join(hashes, F.col("id").eqNullSafe(F.col("hashed")), "left")
+        .select(
+            F.col("id").alias("conv_id"), *counts, F.coalesce("audit", F.lit("")).alias("audit"),
+            F.coalesce("sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"),
+        )
+    )
+
+
 QUERIES = {
     "op1_line_dedup": op1_line_dedup,
     "op2_neighbours": op2_neighbours,
@@ -106,4 +129,6 @@ QUERIES = {
     "op9_decontamination": op9_decontamination,
     "op10_html_extraction": op10_html_extraction,
     "op11_byte_bpe": op11_byte_bpe,
+    "op12_collocations": op12_collocations,
+    "op13_conversation_repair": op13_conversation_repair,
 }
