@@ -31,9 +31,15 @@ class Label:
 
     @property
     def actions(self) -> tuple[str, ...]:
-        """Actions the label compares with; all others are alike to it."""
+        """Actions the label compares with; all others are alike to it.
+
+        They are told from comparisons with ``=``, ``<>``, ``!=`` and ``IN``; a label that looks
+        at its action in any other way is an error, since its days could not be counted.
+        """
         listed = re.findall(r"\{action\}\s+IN\s*\(([^)]*)\)", self.template, re.IGNORECASE)
         named = re.findall(r"\{action\}\s*(?:=|<>|!=)\s*'([^']*)'", self.template)
+        if self.template.count("{action}") != len(listed) + len(named):
+            raise ValueError(f"which actions does {self.template!r} tell apart? Compare {{action}} by =, <>, != or IN")
         return tuple(dict.fromkeys([*named, *(n for part in listed for n in re.findall(r"'([^']*)'", part))]))
 
     def sql(self, action: str = "action_type", status: str = "last_status") -> str:

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import json
-import uuid
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field, replace
 from typing import Any
@@ -30,8 +28,8 @@ from shelfwise.operators.sequences import sequence_training_view
 from shelfwise.operators.splits import cap_users, first_users, keep_users, make_split
 from shelfwise.operators.users import user_features
 from shelfwise.sources.scans import ITEM_COLUMNS, ORDER_COLUMNS, TRACKER_COLUMNS, distinct_users, scan_selected
-from shelfwise.sources.sinks import keyed_table, read_sharded, write_metrics, write_sharded, write_submission
-from shelfwise.workspace import discard
+from shelfwise.sources import commits
+from shelfwise.sources.sinks import SHARD, keyed_table, write_metrics, write_sharded_part, write_submission
 
 
 @dataclass
@@ -89,56 +87,50 @@ class TrainSettings:
     dataset: Mapping[str, Any] = field(default_factory=dict)
 
 
-MANIFEST = "_manifest"
+def _part(spark: SparkSession, root: str, name: str) -> DataFrame | None:
+    """A table of a finished run without its shard column; None if the run left it out on purpose."""
+    found = commits.read_part(spark, root, name)
+    return None if found is None else found.drop(SHARD)
 
 
 def _read_split(spark: SparkSession, root: str, split: str, table: str, columns: Sequence[str]) -> DataFrame:
-    """A part of a split; an absent validation part is an empty frame."""
-    found = read_sharded(spark, f"{root}/{split}/{table}")
+    """A part of a finished split; a validation part that the split does not have is an empty frame."""
+    found = _part(spark, root, f"{split}/{table}")
     if found is None:
-        other = read_sharded(spark, f"{root}/train/{table}")
-        if other is None:
-            raise FileNotFoundError(f"no split under {root}")
-        found = other.limit(0)
+        found = _part(spark, root, f"train/{table}").limit(0)
     return found.select(*columns)
 
 
-def _manifest(spark: SparkSession, splits: str) -> str:
-    """What tells one run of a split from another in the same folder."""
-    return spark.read.text(f"{splits}/{MANIFEST}").first()[0]
-
-
 def split_job(spark: SparkSession, tracker_path: str, orders_path: str, out: str, settings: SplitSettings) -> None:
-    """Raw logs to sharded train and validation tables under ``out``."""
+    """Raw logs to sharded train and validation tables under ``out``.
+
+    All parts count from one commit on; until then an earlier split stays readable.
+    """
     orders = scan_selected(spark, orders_path, ORDER_COLUMNS)
     tracker = scan_selected(spark, tracker_path, TRACKER_COLUMNS)
-    # Gone until all parts are there: a broken run must not pass for one.
-    discard(spark, f"{out}/{MANIFEST}")
     if settings.fast_users:
         users = first_users(orders, settings.fast_users)
         orders = keep_users(orders, users, settings.fast_users)
         tracker = keep_users(tracker, users, settings.fast_users)
+    parts = {}
     for table, df, ts in (("orders", orders, "created_timestamp"), ("tracker", tracker, "timestamp")):
         split = make_split(df, ts, settings.kind, **settings.params())
         for name, part in zip(("train", "valid"), split):
-            path = f"{out}/{name}/{table}"
-            if part is not None:
-                write_sharded(part, path, shards=settings.shards)
-            else:
-                # A part of an earlier run must not pass for one of this run.
-                discard(spark, path)
-    run = json.dumps({"run": uuid.uuid4().hex, "tracker": tracker_path, "orders": orders_path, **vars(settings)})
-    spark.createDataFrame([(run,)], "value string").coalesce(1).write.text(f"{out}/{MANIFEST}")
+            name = f"{name}/{table}"
+            parts[name] = None if part is None else write_sharded_part(part, f"{out}/{name}", shards=settings.shards)
+    commits.commit_set(spark, out, parts, tracker=tracker_path, orders=orders_path, settings=vars(settings))
 
 
 def features_job(spark: SparkSession, splits: str, items_path: str, out: str, settings: FeatureSettings) -> None:
     """Split logs and the item table to interaction, item and user features under ``out``.
 
-    The action list is taken over both splits, so their tables share one schema.
+    The action list is taken over both splits, so their tables share one schema. A split
+    without its commit is an error. All tables count from one commit on.
     """
     trackers = {s: _read_split(spark, splits, s, "tracker", TRACKER_COLUMNS) for s in ("train", "valid")}
     both = trackers["train"].unionByName(trackers["valid"])
     actions = category_values(both, "action_type")
+    parts = {}
     for split, tracker in trackers.items():
         orders = _read_split(spark, splits, split, "orders", ORDER_COLUMNS)
         features = interaction_features(
@@ -152,11 +144,18 @@ def features_job(spark: SparkSession, splits: str, items_path: str, out: str, se
             settings.direction,
             settings.layout,
         )
-        write_sharded(features, f"{out}/inter_features/{split}", shards=settings.shards)
+        name = f"inter_features/{split}"
+        parts[name] = write_sharded_part(features, f"{out}/{name}", shards=settings.shards)
     items = scan_selected(spark, items_path, ITEM_COLUMNS)
     item_table = item_features(items, settings.min_attribute_share, settings.include_attributes)
-    item_table.write.mode("overwrite").parquet(f"{out}/items_features")
-    user_features(*trackers.values()).write.mode("overwrite").parquet(f"{out}/users_features")
+    parts["items_features"] = _whole(item_table, f"{out}/items_features")
+    parts["users_features"] = _whole(user_features(*trackers.values()), f"{out}/users_features")
+    commits.commit_set(spark, out, parts, splits=splits, settings=vars(settings))
+
+
+def _whole(df: DataFrame, path: str) -> commits.Entry:
+    """An unsharded table of a set."""
+    return commits.commit(df.sparkSession, path, commits.stage(df, path))
 
 
 @dataclass
@@ -182,22 +181,25 @@ def prepare(
     tracker = _read_split(spark, splits, "train", "tracker", TRACKER_COLUMNS)
     orders = _read_split(spark, splits, "train", "orders", ORDER_COLUMNS)
     valid_orders = _read_split(spark, splits, "valid", "orders", ORDER_COLUMNS)
-    key = {"splits": splits, "run": _manifest(spark, splits), **settings.dataset}
+    run = commits.newest(spark, splits)
+    key = {"splits": splits, "run": run.facts["parts"], **settings.dataset}
 
     def table(name: str, build, **own) -> DataFrame:
-        return keyed_table(spark, cache, name, {**key, **own}, build)
+        # The features may have been built anew in the same folder.
+        inputs = [f"{features}/inter_features"] if own.get("features") else []
+        return keyed_table(spark, cache, name, {**key, **own}, build, inputs)
 
     label = rating_label(settings.label)
 
     def truth() -> DataFrame:
         if settings.truth == "orders":
             return truth_from_orders(valid_orders)
-        return truth_from_features(read_sharded(spark, f"{features}/inter_features/valid"))
+        return truth_from_features(_part(spark, features, "inter_features/valid"))
 
     def popularity() -> DataFrame:
         if settings.popularity == "weight":
             return popularity_by_weight(build_ratings(tracker, orders, label))
-        return popularity_by_count(read_sharded(spark, f"{features}/inter_features/train"))
+        return popularity_by_count(_part(spark, features, "inter_features/train"))
 
     return Prepared(
         table("ratings", lambda: build_ratings(tracker, orders, label), label=settings.label),
@@ -260,19 +262,21 @@ def sequence_job(spark: SparkSession, features: str, out: str, settings: Sequenc
 
     Every rolling count is a feature, whatever windows it was built with.
     """
-    train = read_sharded(spark, f"{features}/inter_features/train")
+    train = _part(spark, features, "inter_features/train")
     users, items = id_map("user_id", train), id_map("item_id", train)
     counts = {c: "float" for c in train.columns if c.startswith("cnt_")}
+    parts = {}
     for split in ("train", "valid"):
         view = sequence_training_view(
-            read_sharded(spark, f"{features}/inter_features/{split}"),
+            _part(spark, features, f"inter_features/{split}"),
             users,
             items,
             {**counts, **settings.item_columns, **settings.user_columns},
-            spark.read.parquet(f"{features}/items_features"),
+            _part(spark, features, "items_features"),
             list(settings.item_columns),
-            spark.read.parquet(f"{features}/users_features"),
+            _part(spark, features, "users_features"),
             list(settings.user_columns),
             settings.length,
         )
-        view.write.mode("overwrite").parquet(f"{out}/{split}")
+        parts[split] = _whole(view, f"{out}/{split}")
+    commits.commit_set(spark, out, parts, features=features)

@@ -3,20 +3,18 @@
 from __future__ import annotations
 
 import hashlib
-import json
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
 from shelfwise.functions.expressions import shard_of
 from shelfwise.functions.sqltext import ticked
+from shelfwise.sources import commits
+from shelfwise.sources.commits import path_exists as path_exists
 
 SHARD = "_shard"
-# Kept beside the rows; readers skip names that begin with an underscore.
-SCHEMA = "_schema"
 # Fixed value: header of the ranked-items column in a submission file.
 SUBMISSION_ITEMS = "item_id_1 item_id_2 ... item_id_100"
 
@@ -30,30 +28,30 @@ def shard_counts(df: DataFrame, key: str = "user_id", shards: int = 64) -> DataF
     return df.groupBy(shard_of(key, shards).alias("shard")).agg(F.count("*").alias("n_rows"))
 
 
-def write_sharded(df: DataFrame, path: str, key: str = "user_id", shards: int = 64) -> None:
-    """One directory per shard, replaced as a whole by the commit protocol.
+def _by_shard(df: DataFrame, key: str, shards: int) -> DataFrame:
+    return with_shard(df, key, shards).hint("rebalance", SHARD)
+
+
+def write_sharded(df: DataFrame, path: str, key: str = "user_id", shards: int = 64) -> commits.Entry:
+    """One directory per shard in a version of its own, which replaces the table as a whole.
 
     Rebalancing by shard gathers small shards into one file each and splits large ones
     over several tasks, so neither a hot user nor a small shard count makes one task
-    write a whole shard. The schema is kept beside the rows, so an empty table can be read.
+    write a whole shard. The manifest keeps the schema, so an empty table can be read.
     """
-    (
-        with_shard(df, key, shards)
-        .hint("rebalance", SHARD)
-        .write.mode("overwrite")
-        .partitionBy(SHARD)
-        .parquet(path)
-    )
-    schema = with_shard(df, key, shards).schema.json()
-    df.sparkSession.createDataFrame([(schema,)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}/{SCHEMA}")
+    return commits.replace(_by_shard(df, key, shards), path, [SHARD], key=key, shards=shards)
+
+
+def write_sharded_part(df: DataFrame, path: str, key: str = "user_id", shards: int = 64) -> commits.Entry:
+    """As :func:`write_sharded`, for a table of a set: older versions stay until the set is committed."""
+    staged = commits.stage(_by_shard(df, key, shards), path, [SHARD], key=key, shards=shards)
+    return commits.commit(df.sparkSession, path, staged)
 
 
 def read_sharded(spark: SparkSession, path: str) -> DataFrame | None:
     """A table of :func:`write_sharded` without its shard column; None where there is none."""
-    if not path_exists(spark, f"{path}/{SCHEMA}/_SUCCESS"):
-        return None
-    text = spark.read.text(f"{path}/{SCHEMA}").first()[0]
-    return spark.read.schema(StructType.fromJson(json.loads(text))).parquet(path).drop(SHARD)
+    found = commits.read(spark, path)
+    return None if found is None else found.drop(SHARD)
 
 
 def submission(recommendations: DataFrame, top_n: int = 100) -> DataFrame:
@@ -90,19 +88,21 @@ def table_key(settings: Mapping[str, Any]) -> str:
     return digest.hexdigest()[:16]
 
 
-def path_exists(spark: SparkSession, path: str) -> bool:
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
-
-
 def keyed_table(
-    spark: SparkSession, root: str, name: str, params: Mapping[str, Any], build: Callable[[], DataFrame]
+    spark: SparkSession,
+    root: str,
+    name: str,
+    params: Mapping[str, Any],
+    build: Callable[[], DataFrame],
+    inputs: Sequence[str] = (),
+    patience: float = commits.PATIENCE_SECONDS,
 ) -> DataFrame:
-    """Build a table once per parameter set and reuse the written one afterwards.
+    """Build a table once per parameter set and state of its input files, and reuse the written one afterwards.
 
-    The operator name is part of the key, and only a completely written table counts.
+    The operator name is part of the key; of ``inputs`` name, length and modification time
+    of every file are. Several builders at once give one table, built by one of them.
     """
-    path = f"{root.rstrip('/')}/{table_key({'table': name, **params})}/{name}"
-    if not path_exists(spark, f"{path}/_SUCCESS"):
-        build().write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    key = {"table": name, **params}
+    if inputs:
+        key["_inputs"] = commits.fingerprint(spark, *inputs)
+    return commits.build_once(spark, f"{root.rstrip('/')}/{table_key(key)}/{name}", build, patience)

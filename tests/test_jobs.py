@@ -6,9 +6,14 @@ from helpers import as_set
 
 from shelfwise.catalog import tables
 from shelfwise.plans import jobs
+from shelfwise.sources.commits import folder_of, newest
 from shelfwise.sources.sinks import SHARD
 
 
+def version_of(spark, path):
+    return folder_of(path, newest(spark, path).version)
+
+
 def text_of(path, suffix):
     return "".join(open(f"{path}/{n}").read() for n in sorted(os.listdir(path)) if n.endswith(suffix))
 
@@ -34,7 +39,7 @@ def run(spark, small, tmp_path_factory):
 def test_splits(spark, run):
     parts = [spark.read.parquet(f"{run}/splits/{s}/tracker").count() for s in ("train", "valid")]
     assert parts == [520, 480]
-    assert {n for n in os.listdir(f"{run}/splits/train/tracker") if n.startswith(SHARD)} == {f"{SHARD}={i}" for i in range(4)}
+    assert {n for n in os.listdir(version_of(spark, f"{run}/splits/train/tracker")) if n.startswith(SHARD)} == {f"{SHARD}={i}" for i in range(4)}
 
 
 def test_features(spark, run):

@@ -13,7 +13,7 @@ from shelfwise.operators import ratings, sequences
 from shelfwise.operators.idmaps import id_map
 from shelfwise.operators.numbering import number_rows
 from shelfwise.plans import jobs
-from shelfwise.sources import scans, sinks
+from shelfwise.sources import commits, scans, sinks
 
 
 def test_null_groups_are_numbered(spark):
@@ -35,7 +35,8 @@ def test_labels_carry_their_actions(spark, clicks):
 def test_listing_tells_shards_apart(spark, tmp_path):
     rows = spark.range(40).select(F.col("id").alias("user_id"))
     sinks.write_sharded(rows, str(tmp_path / "t"), shards=4)
-    listed = scans.rows_per_file(spark, str(tmp_path / "t")).collect()
+    folder = commits.folder_of(str(tmp_path / "t"), commits.newest(spark, str(tmp_path / "t")).version)
+    listed = scans.rows_per_file(spark, folder).collect()
     assert len(listed) >= 4 and sum(r["n_rows"] for r in listed) == 40
     assert all(r["file_name"].startswith("_shard=") for r in listed)
     plan = scans.first_files(spark, str(tmp_path / "t"), 1)
