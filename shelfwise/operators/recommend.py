@@ -9,6 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from shelfwise.operators.cones import asking, cone_blocks, grouped, in_cells
 from shelfwise.workspace import write_down
 
 # Vector entries per side of a grid cell, and score-matrix entries held at a time inside it.
@@ -154,17 +155,22 @@ def reachable_blocks(least: str, norm: str, tops: list[float]) -> Column:
     return F.filter(F.sequence(F.lit(1), F.lit(len(tops) - 1)), lambda b: (F.get(bounds, b) >= 0) & may(b))
 
 
-def dot_top_n(user_vectors: DataFrame, item_vectors: DataFrame, n: int, cell_rows: int | None = None) -> DataFrame:
+def dot_top_n(
+    user_vectors: DataFrame, item_vectors: DataFrame, n: int, cell_rows: int | None = None, bounds: str = "cones"
+) -> DataFrame:
     """Each user's ``n`` items of greatest dot product, over all items.
 
-    Items are cut into blocks by norm. Every user is scored against the items of greatest
-    norm first; the score of the ``n``-th bounds what another block must be able to give,
-    and only blocks whose norm allows it see the user. A cell scores a group of users
-    against items with a matrix product and emits ``n`` items per user; the lists then
-    compete in :func:`top_n`. No (user, item) pair is ever a row, and what a cell holds does
-    not grow with the data. A vector that is null, holds nulls or has another width than
-    the widest is an error that names its id.
+    Items are cut into blocks, by direction and norm (``cones``, see
+    :mod:`shelfwise.operators.cones`) or by norm alone (``norms``). Every user is scored
+    against the most promising block first; the score of the ``n``-th bounds what another
+    block must be able to give, and only blocks that can see the user. A cell scores a group
+    of users against items with a matrix product and emits ``n`` items per user; the lists
+    then compete in :func:`top_n`. No (user, item) pair is ever a row, and what a cell
+    holds does not grow with the data. A vector that is null, holds nulls or has another
+    width than the widest is an error that names its id.
     """
+    if bounds not in ("cones", "norms"):
+        raise ValueError(f"bounds are 'cones' or 'norms', not {bounds!r}")
     (user_rows, _), (item_rows, width) = _size(user_vectors), _size(item_vectors)
     cell_rows = cell_rows or max(1, CELL_ENTRIES // width)
     across, down = (max(1, math.ceil(rows / cell_rows)) for rows in (user_rows, item_rows))
@@ -186,6 +192,9 @@ def dot_top_n(user_vectors: DataFrame, item_vectors: DataFrame, n: int, cell_row
     if down == 1:
         return top_n(scored(users.withColumn("_i", F.lit(0)), items.withColumn("_i", F.lit(0))), n)
 
+    if bounds == "cones":
+        return _cone_top_n(users.drop("_u"), items, n, width, cell_rows)
+
     placed, tops, cells = _item_blocks(items, down, cell_rows)
     placed = write_down(placed, "item-blocks").table
     in_first = users.withColumn("_i", F.explode(F.sequence(F.lit(0), F.lit(cells[0] - 1))))
@@ -201,3 +210,34 @@ def dot_top_n(user_vectors: DataFrame, item_vectors: DataFrame, n: int, cell_row
     )
     more = scored(asking, placed.where("_block > 0"))
     return top_n(first.select("user_id", "item_id", "score").unionByName(more), n)
+
+
+def _whole(vectors: DataFrame, key: str, width: int) -> DataFrame:
+    """``vectors``, each checked when it is read: null, incomplete and odd ones are errors that name their id."""
+    whole = (F.size("vector") == width) & ~F.exists("vector", lambda v: v.isNull() | F.isnan(v.cast("double")))
+    text = F.concat(F.lit(f"{key} "), F.col(key).cast("string"), F.lit(f" has no vector of {width} entries, or one with missing entries"))
+    checked = F.when(F.coalesce(whole, F.lit(False)), F.col("vector")).otherwise(F.raise_error(text).cast(vectors.schema["vector"].dataType))
+    return vectors.withColumn("vector", checked)
+
+
+def _cone_top_n(users: DataFrame, items: DataFrame, n: int, width: int, cell_rows: int) -> DataFrame:
+    """Users meet the cells of their most promising cones, then those that the ``n``-th score does not rule out."""
+    placed, cones = cone_blocks(_whole(items, "item_id", width), cell_rows)
+    placed = write_down(placed, "item-cells").table
+    shown = write_down(asking(_whole(users, "user_id", width), cones, n), "first-cones").table
+    shown = write_down(grouped(shown, cones, cell_rows), "grouped-users").table
+
+    def scored(asked: DataFrame) -> DataFrame:
+        """An item is copied to the groups of users that ask its cell, and no others."""
+        askers = write_down(in_cells(asked, cones), "askers").table
+        cells = askers.select(F.col("_u").alias("_to"), F.col("_i").alias("_cell")).distinct()
+        offered = placed.join(cells, F.col("_i") == F.col("_cell")).select("item_id", "vector", "_to", "_cell")
+        both = askers.groupBy("_u", "_i").cogroup(offered.groupBy("_to", "_cell"))
+        return both.applyInArrow(_cell_top(n, width), "user_id bigint, item_id bigint, score double")
+
+    first = write_down(top_n(scored(shown), n), "first-lists").table
+    least = first.where(F.col("rank") == n).select("user_id", F.col("score").alias("_least"))
+    more = asking(users, cones, n, shown, least)
+    groups = shown.select(F.col("user_id").alias("_user"), "_u")
+    again = more.where(F.size("blocks") > 0).join(groups, F.col("user_id") == F.col("_user")).drop("_user")
+    return top_n(first.select("user_id", "item_id", "score").unionByName(scored(again)), n)
