@@ -319,6 +319,64 @@ def _main(attr: str) -> str:
 
 _ALL_FLAGS = _flags("color", "ColorBase", COLORS) + ", " + _flags("material", "Material", MATERIALS)
 
+
+
+def _drawn(side: int, factors: int, ids: str, idx: str, name: str) -> str:
+    """Rows (id, idx, d, v) of start vectors; users are side 0, items side 1."""
+    value = f"(CAST('0x' || substr(md5('{side}:' || {idx} || ':' || d || ':42'), 1, 15) AS BIGINT) % 1048576) / CAST(1048576 AS DOUBLE) - 0.5"
+    return f"{name} AS (SELECT {ids}.*, d, CAST(CAST((CAST({value} AS DOUBLE)) / {factors} AS FLOAT) AS DOUBLE) AS v FROM {ids}, range({factors}) AS r(d))"
+
+
+# Half a step of ALS with two factors, solved by Cramer's rule.
+_HALF_STEP = [
+    _IDS.format(seen=_IN_TRAIN),
+    _drawn(1, 2, "imap", "item_idx", "iv"),
+    "wide_items AS (SELECT item_id, any_value(v) FILTER (d = 0) AS a, any_value(v) FILTER (d = 1) AS b FROM iv GROUP BY item_id)",
+    """sides AS (
+      SELECT user_id, g.aa + sum(0.5 * rating * a * a) + 0.05 * count(*) AS aa, g.ab + sum(0.5 * rating * a * b) AS ab,
+        g.bb + sum(0.5 * rating * b * b) + 0.05 * count(*) AS bb, sum((1 + 0.5 * rating) * a) AS ra, sum((1 + 0.5 * rating) * b) AS rb
+      FROM rated JOIN wide_items USING (item_id), (SELECT sum(a * a) AS aa, sum(a * b) AS ab, sum(b * b) AS bb FROM wide_items) g
+      GROUP BY user_id, g.aa, g.ab, g.bb)""",
+    """solved AS (SELECT user_id, (ra * bb - rb * ab) / (aa * bb - ab * ab) AS x, (rb * aa - ra * ab) / (aa * bb - ab * ab) AS y FROM sides)""",
+    """half_lists AS (
+      SELECT user_id, item_id, score, row_number() OVER (PARTITION BY user_id ORDER BY score DESC, item_id) AS rank
+      FROM (SELECT user_id, item_id, x * a + y * b AS score FROM solved, wide_items WHERE user_id IN (SELECT user_id FROM truth))
+      UNION ALL
+      SELECT u.user_id, p.item_id, p.score, p.rank FROM (SELECT DISTINCT user_id FROM truth WHERE user_id NOT IN (SELECT user_id FROM solved)) u, popular p)""",
+]
+
+# One step from drawn vectors along the whole gradient.
+_FIRST_STEP = [
+    _IDS.format(seen=_IN_TRAIN),
+    _DELIVERED_PAIRS,
+    """triples AS (SELECT row_number() OVER () AS t, user_idx, item_idx, neg_idx FROM drawn d WHERE NOT EXISTS (
+      SELECT 1 FROM pos p WHERE p.user_idx = d.user_idx AND p.item_idx = d.neg_idx))""",
+    _drawn(0, 4, "umap", "user_idx", "uv"),
+    _drawn(1, 4, "imap", "item_idx", "iv"),
+    """vecs AS (
+      SELECT 0 AS side, user_idx AS idx, d, v FROM uv UNION ALL SELECT 0, user_idx, 4, 1.0 FROM umap
+      UNION ALL SELECT 1, item_idx, d, v FROM iv UNION ALL SELECT 1, item_idx, 4, 0.0 FROM imap)""",
+    """gaps AS (
+      SELECT t, user_idx, item_idx, neg_idx, sum(u.v * (i.v - j.v)) AS gap FROM triples
+      JOIN vecs u ON u.side = 0 AND u.idx = user_idx JOIN vecs i ON i.side = 1 AND i.idx = item_idx AND i.d = u.d
+      JOIN vecs j ON j.side = 1 AND j.idx = neg_idx AND j.d = u.d GROUP BY ALL)""",
+    """moves AS (
+      SELECT 0 AS side, user_idx AS idx, i.d, (i.v - j.v) / (1 + exp(gap)) AS change FROM gaps
+        JOIN vecs i ON i.side = 1 AND i.idx = item_idx JOIN vecs j ON j.side = 1 AND j.idx = neg_idx AND j.d = i.d
+      UNION ALL SELECT 1, item_idx, u.d, u.v / (1 + exp(gap)) FROM gaps JOIN vecs u ON u.side = 0 AND u.idx = user_idx
+      UNION ALL SELECT 1, neg_idx, u.d, -u.v / (1 + exp(gap)) FROM gaps JOIN vecs u ON u.side = 0 AND u.idx = user_idx)""",
+    """stepped AS (
+      SELECT side, idx, d, n, CASE WHEN side = 0 AND d = 4 THEN 1.0 WHEN n IS NULL THEN v ELSE v + 0.5 * (total / n - 0.01 * v) END AS v
+      FROM vecs LEFT JOIN (SELECT side, idx, d, sum(change) AS total, count(*) AS n FROM moves GROUP BY ALL) USING (side, idx, d))""",
+]
+
+
+def _loss(vectors: str) -> str:
+    return f"""(SELECT t, sum(u.v * (i.v - j.v)) AS gap FROM triples
+      JOIN {vectors} u ON u.side = 0 AND u.idx = user_idx JOIN {vectors} i ON i.side = 1 AND i.idx = item_idx AND i.d = u.d
+      JOIN {vectors} j ON j.side = 1 AND j.idx = neg_idx AND j.d = u.d GROUP BY t)"""
+
+
 ORACLES: dict[str, str] = {
     "scan_project": "SELECT event_id, user_id, event_type FROM events",
     "scan_glob_counts": " UNION ALL ".join(
@@ -633,7 +691,59 @@ ORACLES: dict[str, str] = {
     "bpr_topn": _logs(
         _facts("SELECT user_id FROM liked", "wanted"), _RATED, _DELIVERED_POPULAR, _IDS.format(seen=_IN_TRAIN), _DELIVERED_PAIRS
     ),
-    "als_eval": " UNION ALL ".join(
-        f"SELECT '{m}_at_{k}' AS metric, CAST(1 AS BIGINT) AS in_range" for k in (5, 10, 20) for m in ("recall", "ndcg")
+    "als_residuals": _logs(
+        f"""SELECT v.user_id, CAST(any_value(n) AS BIGINT) AS n_positive,
+        {_six("sqrt(sum(pow(gx + off + 0.05 * n * v.v, 2))) / sqrt(sum(want * want))", "residual")},
+        {_six("sum(gx * v.v) + any_value(part) + 0.05 * any_value(n) * sum(v.v * v.v)", "loss")}
+        FROM uv v JOIN offs USING (user_id, d) JOIN gxs USING (user_id, d) JOIN ns USING (user_id) GROUP BY v.user_id""",
+        _RATED,
+        _IDS.format(seen=_IN_TRAIN),
+        _drawn(0, 4, "umap", "user_idx", "uv"),
+        _drawn(1, 4, "imap", "item_idx", "iv"),
+        """g AS (SELECT a.d AS d1, b.d AS d2, sum(a.v * b.v) AS g FROM iv a JOIN iv b USING (item_id) GROUP BY ALL),
+        s AS (SELECT r.user_id, r.item_id, any_value(rating) AS r, sum(u.v * i.v) AS s FROM rated r JOIN uv u USING (user_id)
+          JOIN iv i ON i.item_id = r.item_id AND i.d = u.d GROUP BY r.user_id, r.item_id),
+        offs AS (SELECT user_id, d, sum((0.5 * r * s - (1 + 0.5 * r)) * v) AS off, sum((1 + 0.5 * r) * v) AS want FROM s JOIN iv USING (item_id) GROUP BY ALL),
+        gxs AS (SELECT u.user_id, g.d1 AS d, sum(g.g * u.v) AS gx FROM uv u JOIN g ON g.d2 = u.d GROUP BY ALL),
+        ns AS (SELECT user_id, count(*) AS n, sum((1 + 0.5 * r) * pow(1 - s, 2) - s * s) AS part FROM s GROUP BY user_id)""",
+    ),
+    "als_half_step": _logs(
+        f"SELECT user_id, array_to_string({_MICRO.format(v='[x, y]')}, ' ') AS vector FROM solved", _RATED, *_HALF_STEP
+    ),
+    "als_lists": _logs(
+        f"SELECT user_id, CAST(rank AS BIGINT) AS rank, item_id, {_six('score', 'score')} FROM half_lists WHERE rank <= 20", _RATED, *_HALF_STEP
+    ),
+    "als_eval": "WITH " + ",".join([_LOGS, _RATED, *_HALF_STEP, _metrics("SELECT user_id, rank, item_id FROM half_lists WHERE rank <= 100")]),
+    "bpr_first_step": _logs(
+        """SELECT CAST(side AS BIGINT) AS side, idx, string_agg(CAST(CAST(round(v * 1e6, 0) AS BIGINT) AS VARCHAR), ' ' ORDER BY d) AS vector,
+        CAST(coalesce(any_value(n), 0) AS BIGINT) AS n FROM stepped GROUP BY side, idx""",
+        _RATED,
+        *_FIRST_STEP,
+    ),
+    "bpr_losses": _logs(
+        f"""SELECT 'start' AS moment, {_six('avg(ln(1 + exp(-gap)))', 'loss')} FROM {_loss('vecs')}
+        UNION ALL SELECT 'after', {_six('avg(ln(1 + exp(-gap)))', 'loss')} FROM {_loss('stepped')}""",
+        _RATED,
+        *_FIRST_STEP,
+    ),
+    "commit_log": _logs(
+        f"""SELECT CAST(entry AS BIGINT) AS entry, count(*) AS n_noted, count(*) AS n_rows, count(DISTINCT ((user_id % 16) + 16) % 16) AS n_shards
+        FROM (SELECT 1 AS entry, user_id FROM tracker WHERE {_IN_TRAIN} UNION ALL SELECT 2, user_id FROM tracker) GROUP BY entry"""
+    ),
+    "metrics_json": "WITH "
+    + ",".join([_LOGS, _RATED, _USER_TOP, _metrics("SELECT user_id, rank, item_id FROM ranked WHERE rank <= 20")]),
+    "label_selector": _logs(
+        " UNION ALL ".join(
+            f"SELECT '{kind}' AS kind, '{name}' AS label, {_six(f'sum(CAST({sql} AS DOUBLE))', 'total')}, count({sql}) AS n_known FROM joined"
+            for kind, name, sql in (
+                ("rating", "to_cart_and_delivered", f"CAST(action_type = 'to_cart' AND {_DELIVERED} AS INT)"),
+                ("rating", "to_cart", "CAST(action_type = 'to_cart' AS INT)"),
+                ("rating", "delivered", f"CAST({_DELIVERED} AS INT)"),
+                ("rating", "combined", f"({_COMBINED})"),
+                ("rating", "combined2", f"(CASE WHEN {_DELIVERED} OR action_type IN ('to_cart', 'favorite') THEN 1 ELSE 0 END)"),
+                ("target", "delivered", f"CAST({_DELIVERED} AS INT)"),
+                ("target", "combined", f"(CASE WHEN {_DELIVERED_OR_CART} THEN 1 ELSE 0 END)"),
+            )
+        )
     ),
 }

@@ -7,6 +7,7 @@ joined text.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,15 +17,15 @@ from pyspark.sql import types as T
 from shelfwise.catalog.tables import ACTIONS, TRAIN_END, VALID_END, items, orders, table, tracker
 from shelfwise.functions import expressions as ex
 from shelfwise.functions import labels
-from shelfwise.models.bpr import bpr_triples
+from shelfwise.models import bpr, equations
 from shelfwise.models.factors import FactorModel, load_model
 from shelfwise.models.registry import fit_model
 from shelfwise.operators import association, evaluate, idmaps, interactions, ratings, recommend, sequences, splits
 from shelfwise.operators import items as item_ops
 from shelfwise.operators.users import user_features
 from shelfwise.plans.jobs import SplitSettings, judge_popularity
-from shelfwise.sources import scans, sinks
-from shelfwise.workspace import checkpoint_root
+from shelfwise.sources import commits, scans, sinks
+from shelfwise.workspace import run_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -174,10 +175,39 @@ def infer_submission(spark, d):
     things = vectors.select(F.col("vec_id").alias("item_id"), F.col("embedding").alias("vector"))
     users = vectors.select(F.col("vec_id").alias("user_id"), F.col("embedding").alias("vector"))
     popularity = ratings.popularity_by_weight(_train_ratings(spark, d))
-    path = FactorModel("given", users, things, popularity).save(f"{checkpoint_root(spark)}/models")
+    path = FactorModel("given", users, things, popularity).save(f"{run_folder(spark)}/models")
     return sinks.submission(load_model(spark, path).recommend(_asked_users(spark, d), 20), 20)
 
 
+@query
+def commit_log(spark, d):
+    """A table of training clicks that is replaced by one of all clicks: its manifest, and what each version holds."""
+    path = f"{run_folder(spark)}/commit-log-{uuid.uuid4().hex}"
+    log = tracker(spark, d).select("user_id", "item_id")
+    for rows in (_train_tracker(spark, d).select("user_id", "item_id"), log):
+        sinks.write_sharded_part(rows, path, shards=SHARDS)
+    parts = [
+        commits.read(spark, path, e.version).agg(
+            F.lit(e.number).cast("long").alias("entry"),
+            F.lit(e.rows).cast("long").alias("n_noted"),
+            F.count("*").alias("n_rows"),
+            F.count_distinct(sinks.SHARD).alias("n_shards"),
+        )
+        for e in commits.entries(spark, path)
+    ]
+    return interactions.concat(parts)
+
+
+@query
+def metrics_json(spark, d):
+    """Metrics as the flat JSON object that a training run leaves, read back."""
+    path = f"{run_folder(spark)}/metrics-{uuid.uuid4().hex}"
+    mine = recommend.top_n(_train_ratings(spark, d).withColumnRenamed("rating", "score"), 20)
+    sinks.write_metrics(evaluate.evaluate(mine, _truth(spark, d), KS), path)
+    wide = spark.read.json(path)
+    return wide.select(F.inline(F.array(*[F.struct(F.lit(c).alias("metric"), F.col(c).alias("value")) for c in wide.columns])))
+
+
 # ---- expressions ----
 
 
@@ -243,6 +273,22 @@ def labels_all(spark, d):
     return joined.select("user_id", "item_id", "date", "action_type", "last_status", *rating, *target)
 
 
+@query
+def label_selector(spark, d):
+    """Every label, chosen by name, summed over the joined events."""
+    joined = interactions.join_tracker_orders(tracker(spark, d), orders(spark, d))
+    chosen = [("rating", n, labels.rating_label(n)) for n in labels.RATING_LABELS]
+    chosen += [("target", n, labels.target_label(n)) for n in labels.TARGET_LABELS]
+    sums = [
+        F.struct(
+            F.lit(kind).alias("kind"), F.lit(name).alias("label"),
+            F.sum(label.column().cast("double")).alias("total"), F.count(label.column()).alias("n_known"),
+        )
+        for kind, name, label in chosen
+    ]
+    return joined.agg(F.array(*sums).alias("rows")).select(F.inline("rows"))
+
+
 # ---- splits ----
 
 
@@ -651,7 +697,7 @@ def _positives(spark, d) -> tuple[DataFrame, DataFrame, DataFrame]:
 @query
 def bpr_triples_drawn(spark, d):
     pairs, _, things = _positives(spark, d)
-    return bpr_triples(pairs, things.count())
+    return bpr.bpr_triples(pairs, things.count())
 
 
 def _fitted(spark, d, name: str, label: str, **params):
@@ -697,12 +743,75 @@ def als_topn(spark, d):
     return _list_facts(model.recommend(_asked_users(spark, d), 20), known)
 
 
+REGULARIZATION, ALPHA = 0.05, 0.5
+
+
+def _train_maps(spark, d) -> tuple[DataFrame, DataFrame]:
+    train = _train_tracker(spark, d)
+    return idmaps.id_map("user_id", train), idmaps.id_map("item_id", train)
+
+
+def _drawn(ids: DataFrame, side: int, factors: int, name: str) -> DataFrame:
+    """Start vectors by external id, without the bias."""
+    vectors = ids.join(bpr.drawn_vectors(ids, side, factors), "idx")
+    return vectors.select(F.col("ext_id").alias(name), F.slice("vector", 1, factors).alias("vector"))
+
+
+@query
+def als_residuals(spark, d):
+    """How far drawn vectors are from solving the normal equations of every rated user, and their loss."""
+    users, things = _train_maps(spark, d)
+    return equations.normal_equation_residuals(
+        _train_ratings(spark, d), _drawn(users, bpr.USER, 4, "user_id"), _drawn(things, bpr.ITEM, 4, "item_id"), REGULARIZATION, ALPHA
+    )
+
+
+def _half_step(spark, d) -> FactorModel:
+    """A stored model: drawn item vectors, and the user vectors that solve the normal equations for them."""
+    _, things = _train_maps(spark, d)
+    rated, vectors = _train_ratings(spark, d), _drawn(things, bpr.ITEM, 2, "item_id")
+    solved = equations.solve_users(rated, vectors, REGULARIZATION, ALPHA)
+    path = FactorModel("half", solved, vectors, ratings.popularity_by_weight(rated)).save(f"{run_folder(spark)}/half-{uuid.uuid4().hex}")
+    return load_model(spark, path)
+
+
+@query
+def als_half_step(spark, d):
+    return _half_step(spark, d).user_vectors
+
+
+@query
+def als_lists(spark, d):
+    """Lists of a stored model for all validation users."""
+    return _half_step(spark, d).recommend(splits.cap_users(_truth(spark, d), None), 20)
+
+
 @query
 def als_eval(spark, d):
-    """Metrics of the model over all validation users, as the facts that hold of any model."""
+    """Recall and NDCG of a stored model over all validation users."""
     truth = _truth(spark, d)
-    metrics = evaluate.evaluate(als_model(spark, d).recommend(splits.cap_users(truth, None), 100), truth, KS)
-    return metrics.select("metric", F.col("value").between(0.0, 1.0).alias("in_range"))
+    return evaluate.evaluate(_half_step(spark, d).recommend(splits.cap_users(truth, None), 100), truth, KS)
+
+
+def _first_step(spark, d) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Drawn triples, start vectors, and the vectors after one step."""
+    pairs, users, things = _positives(spark, d)
+    triples = bpr.bpr_triples(pairs, things.count())
+    start = bpr.drawn_vectors(users, bpr.USER, 4).unionByName(bpr.drawn_vectors(things, bpr.ITEM, 4))
+    return triples, start, bpr.gradient_step(start, triples, 0.5, 0.01)
+
+
+@query
+def bpr_first_step(spark, d):
+    return _first_step(spark, d)[2]
+
+
+@query
+def bpr_losses(spark, d):
+    """Mean pairwise loss before and after the step."""
+    triples, start, stepped = _first_step(spark, d)
+    before = bpr.pairwise_loss(start, triples).withColumn("moment", F.lit("start"))
+    return before.unionByName(bpr.pairwise_loss(stepped, triples).withColumn("moment", F.lit("after")))
 
 
 @query

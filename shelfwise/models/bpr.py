@@ -22,6 +22,8 @@ from shelfwise.models.factors import FactorModel
 from shelfwise.operators.idmaps import index_interactions
 from shelfwise.operators.ratings import popularity_by_weight
 from shelfwise.operators.splits import BROADCAST_USERS
+from shelfwise.sources import commits
+from shelfwise.sources.sinks import table_key
 from shelfwise.workspace import Written, discard, write_down
 
 # Positives of a block, and vector entries it may touch (three vectors a positive at most).
@@ -52,12 +54,15 @@ def bpr_triples(positives: DataFrame, n_items: int, draw: int = 0, seed: int = 4
     return drawn.join(taken, ["user_idx", "neg_idx"], "left_anti")
 
 
-def _start(ids: DataFrame, side: int, factors: int, seed: int) -> DataFrame:
-    """Small deterministic start values; the last entry is 1 for users and the bias for items."""
+def drawn_vectors(ids: DataFrame, side: int, factors: int, seed: int = 42) -> DataFrame:
+    """``side, idx, vector``: small start values drawn by md5 of side, index, place and seed.
+
+    The last entry is 1 for users and the bias, 0 at first, for items.
+    """
     unit = 1 << 20
     values = F.transform(
         F.sequence(F.lit(0), F.lit(factors - 1)),
-        lambda d: (F.pmod(F.xxhash64(F.lit(side), F.col("idx"), d, F.lit(seed)), F.lit(unit)) / unit - 0.5) / factors,
+        lambda d: (_draw(unit, F.lit(side), F.col("idx"), d, seed) / unit - 0.5) / factors,
     )
     last = F.array(F.lit(1.0 if side == USER else 0.0))
     return ids.select(F.lit(side).alias("side"), "idx", F.concat(values, last).cast(VECTOR).alias("vector"))
@@ -182,11 +187,12 @@ def _epoch(
     )
 
 
-def pairwise_loss(model_vectors: DataFrame, triples: DataFrame) -> DataFrame:
-    """Mean of -ln(sigmoid(score difference)) over triples, for watching convergence."""
+def _beside(model_vectors: DataFrame, triples: DataFrame) -> DataFrame:
+    """Triples with the vectors of their user and items, ``_u``, ``_i``, ``_j``, and the difference of their scores, ``_gap``."""
 
     def side(which: int, key: str, name: str) -> DataFrame:
-        return model_vectors.where(F.col("side") == which).select(F.col("idx").alias(key), F.col("vector").alias(name))
+        doubles = F.col("vector").cast("array<double>").alias(name)
+        return model_vectors.where(F.col("side") == which).select(F.col("idx").alias(key), doubles)
 
     joined = (
         triples.join(side(USER, "user_idx", "_u"), "user_idx")
@@ -194,8 +200,52 @@ def pairwise_loss(model_vectors: DataFrame, triples: DataFrame) -> DataFrame:
         .join(side(ITEM, "neg_idx", "_j"), "neg_idx")
     )
     products = F.zip_with("_u", F.zip_with("_i", "_j", lambda a, b: a - b), lambda u, d: u * d)
-    gap = F.aggregate(products, F.lit(0.0), lambda total, v: total + v)
-    return joined.agg(F.avg(F.log1p(F.exp(-gap))).alias("loss"))
+    return joined.withColumn("_gap", F.aggregate(products, F.lit(0.0), lambda total, v: total + v))
+
+
+def pairwise_loss(model_vectors: DataFrame, triples: DataFrame) -> DataFrame:
+    """Mean of -ln(sigmoid(score difference)) over triples, for watching convergence."""
+    return _beside(model_vectors, triples).agg(F.avg(F.log1p(F.exp(-F.col("_gap")))).alias("loss"))
+
+
+def gradient_step(model_vectors: DataFrame, triples: DataFrame, rate: float, reg: float) -> DataFrame:
+    """``side, idx, vector, n``: all vectors after one step along the whole gradient, and their occurrences in triples.
+
+    A vector moves by ``rate`` times the mean, over its occurrences, of the loss's
+    gradient minus ``reg`` times itself; the 1 of a user stays. Vectors are joined to the
+    triples and their changes summed on the map side first, so a popular item is no hot spot
+    of the aggregation. The blocks of :func:`train_vectors` approach the same
+    direction in mini-batches.
+    """
+    pull = 1 / (1 + F.exp(F.col("_gap")))
+    rows = _beside(model_vectors, triples).withColumn("_pull", pull)
+
+    def moved(which: int, key: str, change: Column):
+        return F.struct(F.lit(which).alias("side"), F.col(key).alias("idx"), change.alias("change"))
+
+    to_user = F.transform(F.zip_with("_i", "_j", lambda a, b: a - b), lambda d: d * F.col("_pull"))
+    to_item = F.transform("_u", lambda u: u * F.col("_pull"))
+    from_item = F.transform("_u", lambda u: -u * F.col("_pull"))
+    changes = rows.select(
+        F.inline(F.array(moved(USER, "user_idx", to_user), moved(ITEM, "item_idx", to_item), moved(ITEM, "neg_idx", from_item)))
+    )
+    total = vector_to_array(Summarizer.sum(array_to_vector("change")))
+    summed = changes.groupBy("side", "idx").agg(F.count("*").alias("n"), total.alias("_sum"))
+    joined = model_vectors.join(summed, ["side", "idx"], "left")
+    stepped = F.zip_with(
+        F.col("vector").cast("array<double>"), "_sum", lambda v, g: v + F.lit(float(rate)) * (g / F.col("n") - F.lit(float(reg)) * v)
+    )
+    whole = F.when(F.col("n").isNull(), F.col("vector").cast("array<double>")).otherwise(stepped)
+    # The last entry of a user is no parameter.
+    kept = F.transform(whole, lambda v, d: F.when((F.col("side") == USER) & (d == F.size("vector") - 1), F.lit(1.0)).otherwise(v))
+    return joined.select("side", "idx", kept.alias("vector"), F.coalesce("n", F.lit(0).cast("long")).alias("n"))
+
+
+def _run_key(positives: DataFrame, user_map: DataFrame, item_map: DataFrame, **settings) -> str:
+    """Folder name of a training run: its settings and the rows it learns from, in any order."""
+    rows = positives.agg(F.count("*"), F.bit_xor(F.xxhash64("user_idx", "item_idx")), F.sum(F.xxhash64("item_idx", "user_idx").cast("decimal(20,0)"))).first()
+    maps = [m.agg(F.count("*"), F.bit_xor(F.xxhash64("ext_id", "idx"))).first() for m in (user_map, item_map)]
+    return table_key({**settings, "rows": str(rows), "maps": str(maps)})
 
 
 def train_vectors(
@@ -209,18 +259,43 @@ def train_vectors(
     seed: int = 42,
     block_rows: int = BLOCK_POSITIVES,
     verify_negatives: bool = True,
+    ledger: str | None = None,
 ) -> Written:
-    """``(side, idx, vector)`` after the given number of epochs; vectors are ``factors + 1`` wide."""
+    """``(side, idx, vector)`` after the given number of epochs; vectors are ``factors + 1`` wide.
+
+    With a ``ledger`` folder every epoch is committed there, under the settings and rows of
+    the run, and a job that is started again goes on behind the last epoch. More iterations
+    of the same run go on too. Without one, epochs live in the session's scratch folder.
+    """
     n_items = item_map.count()
     block_rows = min(block_rows, max(1, BLOCK_ENTRIES // (3 * (factors + 1))))
     spark = positives.sparkSession
+    first, path = 0, None
+    if ledger:
+        settings = {"factors": factors, "rate": learning_rate, "reg": regularization, "seed": seed, "block": block_rows, "verify": verify_negatives}
+        path = f"{ledger.rstrip('/')}/{_run_key(positives, user_map, item_map, **settings)}"
+        done = [e for e in commits.entries(spark, path) if e.facts["epochs"] <= iterations]
+        if done:
+            first, version = done[-1].facts["epochs"], done[-1].version
+            vectors = Written(commits.read(spark, path, version), commits.folder_of(path, version))
     placed = write_down(_with_blocks(positives, positives.count(), block_rows), "bpr-positives")
-    start = _start(user_map, USER, factors, seed).unionByName(_start(item_map, ITEM, factors, seed))
-    vectors = write_down(start, "bpr-vectors")
-    for epoch in range(iterations):
+
+    def note(table: DataFrame, epochs: int) -> Written:
+        if path is None:
+            return write_down(table, "bpr-vectors")
+        entry = commits.commit(spark, path, commits.stage(table, path, epochs=epochs))
+        return Written(commits.read(spark, path, entry.version), commits.folder_of(path, entry.version))
+
+    if first == 0 and not (ledger and done):
+        start = drawn_vectors(user_map, USER, factors, seed).unionByName(drawn_vectors(item_map, ITEM, factors, seed))
+        vectors = note(start, 0)
+    for epoch in range(first, iterations):
         step = _epoch(vectors.table, placed.table, n_items, epoch, learning_rate, regularization, seed, verify_negatives)
-        stepped = write_down(step, "bpr-vectors")
-        discard(spark, vectors.path)
+        stepped = note(step, epoch + 1)
+        if path is None:
+            discard(spark, vectors.path)
+        else:
+            commits.sweep(spark, path)
         vectors = stepped
     discard(spark, placed.path)
     return vectors
@@ -236,16 +311,19 @@ def fit_bpr(
     iterations: int = 30,
     seed: int = 42,
     verify_negatives: bool = True,
+    ledger: str | None = None,
 ) -> FactorModel:
     """Rank every user's positively rated items above the others; weights are ignored.
 
-    ``ratings`` has one row per (user, item). Users without a positive get no vector.
+    ``ratings`` has one row per (user, item). Users without a positive get no vector. With a
+    ``ledger`` folder an interrupted fit goes on behind its last epoch.
     """
     positives = index_interactions(ratings.where(F.col("rating") > 0), user_map, item_map)
     positives = write_down(positives.select("user_idx", "item_idx"), "bpr-pairs")
     vectors = train_vectors(
-        positives.table, user_map, item_map, factors, learning_rate, regularization, iterations, seed, verify_negatives=verify_negatives
-    )
+        positives.table, user_map, item_map, factors, learning_rate, regularization, iterations, seed,
+        verify_negatives=verify_negatives, ledger=ledger,
+    )
 
     def external(side: int, ids: DataFrame, name: str) -> DataFrame:
         mine = vectors.table.where(F.col("side") == side)
@@ -259,6 +337,6 @@ def fit_bpr(
         external(ITEM, item_map, "item_id"),
         popularity_by_weight(ratings),
     )
-    for table in (positives, vectors):
+    for table in (positives,) if ledger else (positives, vectors):
         discard(ratings.sparkSession, table.path)
     return model

@@ -47,7 +47,7 @@ def checkpoint_root(spark: SparkSession) -> str:
     return context.getCheckpointDir().rstrip("/")
 
 
-def _run_folder(spark: SparkSession) -> str:
+def run_folder(spark: SparkSession) -> str:
     """A folder of this session's own, which goes when the program ends."""
     name = spark.sparkContext.applicationId
     if name not in _RUNS:
@@ -67,7 +67,7 @@ def _clear() -> None:
 def write_down(df: DataFrame, name: str) -> Written:
     """Write ``df`` as Parquet in the checkpoint folder."""
     spark = df.sparkSession
-    path = f"{_run_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    path = f"{run_folder(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return Written(spark.read.schema(df.schema).parquet(path), path)
 
