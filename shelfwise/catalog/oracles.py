@@ -377,6 +377,9 @@ def _loss(vectors: str) -> str:
       JOIN {vectors} j ON j.side = 1 AND j.idx = neg_idx AND j.d = u.d GROUP BY t)"""
 
 
+_DICTIONARY = "dictionary AS (SELECT row_number() OVER (ORDER BY attr_name, attr_value) - 1 AS value_id, attr_name, attr_value, freq FROM freq)"
+_VALUE_IDS = "array_to_string(list_sort(list(DISTINCT value_id)), ' ')"
+
 ORACLES: dict[str, str] = {
     "scan_project": "SELECT event_id, user_id, event_type FROM events",
     "scan_glob_counts": " UNION ALL ".join(
@@ -726,6 +729,23 @@ ORACLES: dict[str, str] = {
         _RATED,
         *_FIRST_STEP,
     ),
+    "daily_actions_map": _logs(
+        f"""SELECT {_day()}, user_id, item_id, coalesce(string_agg(action_type || ':' || n, ' ' ORDER BY action_type), '') AS counts
+        FROM (SELECT d, user_id, item_id, action_type, count(*) AS n FROM tracker GROUP BY ALL) GROUP BY d, user_id, item_id"""
+    ),
+    "hot_items": _logs("SELECT item_id AS id, count(*) AS n FROM tracker GROUP BY item_id HAVING count(*) > (SELECT count(*) FROM tracker) * 0.0105"),
+    "attr_dictionary": _items("SELECT * FROM dictionary", 0.01, _DICTIONARY),
+    "attr_sparse": _items(f"SELECT item_id, {_VALUE_IDS} AS value_ids FROM attrs JOIN dictionary USING (attr_name, attr_value) GROUP BY item_id", 0.01, _DICTIONARY),
+    "item_features_sparse": _items(
+        f"""SELECT i.item_id, CAST(i.catalogid AS VARCHAR) AS catalogid, CAST(variant_id AS VARCHAR) AS variant_id, CAST(model_id AS VARCHAR) AS model_id,
+        CASE WHEN i.catalogid <= 45 THEN p_type END AS type_main, CASE WHEN i.catalogid <= 45 THEN p_brand END AS brand_main,
+        CASE WHEN i.catalogid <= 45 THEN CAST(4 AS BIGINT) ELSE 0 END AS n_attributes, CASE WHEN i.catalogid <= 45 THEN CAST(2 AS BIGINT) ELSE 0 END AS n_aspects,
+        CASE WHEN i.catalogid <= 45 THEN CAST(2 AS BIGINT) ELSE 0 END AS n_show_characteristics, coalesce(value_ids, '') AS value_ids
+        FROM items i LEFT JOIN (
+          SELECT item_id, {_VALUE_IDS} AS value_ids FROM attrs JOIN dictionary USING (attr_name, attr_value) GROUP BY item_id) v ON v.item_id = i.item_id""",
+        0.01,
+        _DICTIONARY,
+    ),
     "commit_log": _logs(
         f"""SELECT CAST(entry AS BIGINT) AS entry, count(*) AS n_noted, count(*) AS n_rows, count(DISTINCT ((user_id % 16) + 16) % 16) AS n_shards
         FROM (SELECT 1 AS entry, user_id FROM tracker WHERE {_IN_TRAIN} UNION ALL SELECT 2, user_id FROM tracker) GROUP BY entry"""
@@ -747,3 +767,12 @@ ORACLES: dict[str, str] = {
         )
     ),
 }
+
+# The same rows by another way.
+for _way, _same in {
+    "tracker_orders_bucketed": "tracker_orders_left",
+    "inter_features_bucketed": "inter_features",
+    "training_view_hot": "training_view",
+    "interactions_indexed_hot": "interactions_indexed",
+}.items():
+    ORACLES[_way] = ORACLES[_same]

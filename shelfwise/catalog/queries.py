@@ -20,11 +20,11 @@ from shelfwise.functions import labels
 from shelfwise.models import bpr, equations
 from shelfwise.models.factors import FactorModel, load_model
 from shelfwise.models.registry import fit_model
-from shelfwise.operators import association, evaluate, idmaps, interactions, ratings, recommend, sequences, splits
+from shelfwise.operators import association, evaluate, hot, idmaps, interactions, ratings, recommend, sequences, splits
 from shelfwise.operators import items as item_ops
 from shelfwise.operators.users import user_features
 from shelfwise.plans.jobs import SplitSettings, judge_popularity
-from shelfwise.sources import commits, scans, sinks
+from shelfwise.sources import bucketed, commits, scans, sinks
 from shelfwise.workspace import run_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -347,6 +347,30 @@ def tracker_orders_left(spark, d):
     return joined.select("user_id", "item_id", "date", sec, "action_type", "last_status")
 
 
+def _bucketed_days(spark, d) -> tuple[DataFrame, DataFrame]:
+    """Clicks and orders, stored by day, user and item, and read again."""
+    root = f"{run_folder(spark)}/days-{uuid.uuid4().hex}"
+    tables = {}
+    for name, rows in zip(("clicks", "orders"), interactions.by_day(tracker(spark, d), orders(spark, d))):
+        bucketed.write_bucketed(rows, f"{root}/{name}", interactions.DAY_KEYS, SHARDS)
+        tables[name] = bucketed.read_bucketed(spark, f"{root}/{name}")
+    return tables["clicks"], tables["orders"]
+
+
+@query
+def tracker_orders_bucketed(spark, d):
+    joined = interactions.join_days(*_bucketed_days(spark, d))
+    sec = ex.epoch_seconds(joined, "timestamp").alias("sec")
+    return joined.select("user_id", "item_id", "date", sec, "action_type", "last_status")
+
+
+@query
+def inter_features_bucketed(spark, d):
+    """The feature table from stored days: one shuffle, by pair."""
+    logs = interactions.as_logs(*_bucketed_days(spark, d))
+    return interactions.interaction_features(*logs, labels.target_label("delivered"), ACTIONS, WINDOWS)
+
+
 @query
 def inter_features(spark, d):
     return _features(spark, d)
@@ -357,7 +381,10 @@ def inter_features_horizon(spark, d):
     return _features(spark, d, horizon_days=3, drop_duplicate_targets=False)
 
 
-def _view(spark, d) -> DataFrame:
+HOT_SHARE = 0.0105
+
+
+def _view(spark, d, hot_share: float | None = None) -> DataFrame:
     users = table(spark, d, "customer").withColumnRenamed("c_custkey", "user_id")
     inter = _features(spark, d).select("date", "user_id", "item_id", "target", "cnt_to_cart_sum_7d_past")
     return sequences.training_view(
@@ -366,6 +393,7 @@ def _view(spark, d) -> DataFrame:
         ["catalogid", "variant_id", "model_id"],
         users,
         ["c_nationkey", "c_mktsegment"],
+        hot_share,
     )
 
 
@@ -374,6 +402,12 @@ def training_view(spark, d):
     return _view(spark, d)
 
 
+@query
+def training_view_hot(spark, d):
+    """The training view, its hot ids joined apart."""
+    return _view(spark, d, HOT_SHARE)
+
+
 @query
 def training_view_pos(spark, d):
     return sequences.positive_view(_view(spark, d))
@@ -386,6 +420,20 @@ def interactions_indexed(spark, d):
     return idmaps.index_interactions(interactions.basis(tracker(spark, d)), users, things)
 
 
+@query
+def interactions_indexed_hot(spark, d):
+    """Indexed interactions, their hot ids joined apart."""
+    train = _train_tracker(spark, d)
+    users, things = idmaps.id_map("user_id", train), idmaps.id_map("item_id", train)
+    return idmaps.index_interactions(interactions.basis(tracker(spark, d)), users, things, HOT_SHARE)
+
+
+@query
+def hot_items(spark, d):
+    """Items with more than their share of all clicks."""
+    return hot.hot_ids(tracker(spark, d), "item_id", HOT_SHARE, exact=True)
+
+
 @query
 def item_attrs_frequent(spark, d):
     attributes = item_ops.item_attributes(items(spark, d))
@@ -427,6 +475,13 @@ def daily_actions_wide(spark, d):
     return interactions.daily_actions_wide(tracker(spark, d), ACTIONS)
 
 
+@query
+def daily_actions_map(spark, d):
+    days = interactions.daily_actions_map(tracker(spark, d))
+    told = F.transform(F.map_entries("counts"), lambda e: F.concat(e["key"], F.lit(":"), e["value"].cast("string")))
+    return days.select(*interactions.DAY_KEYS, F.array_join(told, " ").alias("counts"))
+
+
 @query
 def pair_actions_pivot(spark, d):
     return association.pair_actions(tracker(spark, d), ACTIONS)
@@ -472,6 +527,26 @@ def attr_multihot(spark, d):
     return item_ops.flag_features(item_ops.item_attributes(items(spark, d)), _frequent_values(spark, d, 0.01))
 
 
+def _dictionary(spark, d) -> DataFrame:
+    return item_ops.attribute_dictionary(item_ops.item_attributes(items(spark, d)))
+
+
+@query
+def attr_dictionary(spark, d):
+    return _dictionary(spark, d)
+
+
+@query
+def attr_sparse(spark, d):
+    """Ids of all attribute values of an item, without a cut."""
+    return item_ops.sparse_attributes(item_ops.item_attributes(items(spark, d)), _dictionary(spark, d))
+
+
+@query
+def item_features_sparse(spark, d):
+    return item_ops.item_features_sparse(items(spark, d), _dictionary(spark, d), ("Type", "Brand")).drop("fclip_embed")
+
+
 @query
 def attr_counts(spark, d):
     table = items(spark, d)

@@ -55,6 +55,17 @@ def _counts(actions: Sequence[str], prefix: str) -> list[Column]:
     return [F.expr(f"count_if(action_type = {quoted(a)})").alias(f"{prefix}{a}") for a in actions]
 
 
+def daily_actions_map(tracker: DataFrame) -> DataFrame:
+    """Events per (date, user, item) as one map from action to count, ``counts``, however many actions there are.
+
+    Events are counted by action before they meet; what meets is one entry for each action
+    of a day. Events without an action are left out, and days that have no others keep an empty map.
+    """
+    counted = daily_actions(tracker)
+    known = F.when(F.col("action_type").isNotNull(), F.struct("action_type", "cnt"))
+    return counted.groupBy(*DAY_KEYS).agg(F.map_from_entries(F.array_sort(F.collect_list(known))).alias("counts"))
+
+
 def daily_actions_wide(tracker: DataFrame, actions: Sequence[str]) -> DataFrame:
     """Events per (date, user, item), one ``cnt_<action>`` column per action."""
     return with_day_keys(tracker).groupBy(*DAY_KEYS).agg(*_counts(actions, "cnt_"))
@@ -72,6 +83,30 @@ def join_tracker_orders(tracker: DataFrame, orders: DataFrame) -> DataFrame:
     return clicks.join(outcomes.where(F.col("date").isNotNull()), [*PAIR, "date"], "left")
 
 
+def by_day(tracker: DataFrame, orders: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Clicks and orders with the day on which they meet, ready to be stored by :data:`DAY_KEYS`."""
+    outcomes = with_day_keys(orders, "last_status_timestamp").where("date IS NOT NULL")
+    return with_day_keys(tracker), outcomes
+
+
+def join_days(clicks: DataFrame, outcomes: DataFrame) -> DataFrame:
+    """:func:`join_tracker_orders` for tables of :func:`by_day`.
+
+    Both are dealt by the keys they are joined on if they are stored so; then nothing is shuffled.
+    """
+    return clicks.join(outcomes.select(*DAY_KEYS, "last_status"), list(DAY_KEYS), "left")
+
+
+def as_logs(clicks: DataFrame, outcomes: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Tables of :func:`by_day` as the logs that all operators here take, their days in place of times.
+
+    Days, counts and labels are the same, and aggregations and joins by day keep the way the
+    tables are dealt.
+    """
+    days = clicks.drop("timestamp").withColumnRenamed("date", "timestamp")
+    return days, outcomes.drop("last_status_timestamp").withColumnRenamed("date", "last_status_timestamp")
+
+
 def daily_outcomes(orders: DataFrame) -> DataFrame:
     """Orders and delivered orders per (date, user, item) of their last status."""
     return (

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfwise.functions.expressions import safe_name
+from shelfwise.operators.hot import join_apart
+from shelfwise.operators.numbering import number_rows
 
 # Attributes that get one main value, and those that get a flag per value.
 MAIN_ATTRIBUTES = ("Type", "Brand", "SexMaster", "Season", "StyleApparel", "AgeO")
@@ -176,3 +179,54 @@ def item_features(
     features = base.join(attribute_features(attributes, values), "item_id", "left")
     flags = [c for n in FLAG_ATTRIBUTES for c in values.flag_columns(n)]
     return features.na.fill(0, list(COUNTS)).na.fill(False, flags) if flags else features.na.fill(0, list(COUNTS))
+
+
+def attribute_dictionary(attributes: DataFrame, at_least: int = 1) -> DataFrame:
+    """``value_id, attr_name, attr_value, freq``: the attribute values of at least so many rows, numbered in order.
+
+    A table, however many values there are; nothing comes to the driver. Attributes without
+    name or value are left out.
+    """
+    counted = attributes.where("attr_name IS NOT NULL AND attr_value IS NOT NULL").groupBy("attr_name", "attr_value").agg(F.count("*").alias("freq"))
+    numbered = number_rows(counted.where(F.col("freq") >= at_least), ["attr_name", "attr_value"], output="value_id")
+    return numbered.select("value_id", "attr_name", "attr_value", "freq")
+
+
+def sparse_attributes(attributes: DataFrame, dictionary: DataFrame, parts: int = 1000) -> DataFrame:
+    """``item_id, value_ids``: the sorted ids of an item's values, one array instead of a column per value.
+
+    Values that more than 1 / ``parts`` of all rows have, by the counts of the dictionary, go
+    to every task, so none of them is gathered; there are at most ``parts`` of them.
+    """
+    keys = ["attr_name", "attr_value"]
+    total = dictionary.agg(F.coalesce(F.sum("freq"), F.lit(0))).scalar()
+    hot = dictionary.where(F.col("freq") > total / parts).select(*keys)
+    coded = join_apart(attributes.select("item_id", *keys), dictionary.select(*keys, "value_id"), keys, hot)
+    return coded.groupBy("item_id").agg(F.array_sort(F.collect_set("value_id")).alias("value_ids"))
+
+
+def main_value_ids(attributes: DataFrame, dictionary: DataFrame, names: Sequence[str] = MAIN_ATTRIBUTES, parts: int = 1000) -> DataFrame:
+    """First value, in array order, of each single-valued attribute that the dictionary has.
+
+    One column per attribute name; the values are joined, so the plan holds none of them.
+    """
+    keys = ["attr_name", "attr_value"]
+    total = dictionary.agg(F.coalesce(F.sum("freq"), F.lit(0))).scalar()
+    hot = dictionary.where(F.col("freq") > total / parts).select(*keys)
+    wanted = attributes.where(F.col("attr_name").isin(*names)).select("item_id", "pos", *keys)
+    known = join_apart(wanted, dictionary.select(*keys, "value_id"), keys, hot)
+    mains = [F.min(F.when(F.col("attr_name") == n, F.struct("pos", "attr_value")))["attr_value"].alias(f"{n.lower()}_main") for n in names]
+    return known.groupBy("item_id").agg(*mains)
+
+
+def item_features_sparse(items: DataFrame, dictionary: DataFrame, names: Sequence[str] = MAIN_ATTRIBUTES) -> DataFrame:
+    """Base columns, main values, counts and ``value_ids`` of every item, for any number of attribute values."""
+    attributes = item_attributes(items)
+    empty = F.array().cast("array<bigint>")
+    features = (
+        item_base(items)
+        .join(main_value_ids(attributes, dictionary, names), "item_id", "left")
+        .join(attributes.groupBy("item_id").agg(*_counts()), "item_id", "left")
+        .join(sparse_attributes(attributes, dictionary), "item_id", "left")
+    )
+    return features.withColumn("value_ids", F.coalesce("value_ids", empty)).na.fill(0, list(COUNTS))

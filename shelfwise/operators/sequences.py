@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfwise.functions.expressions import coerce_value, lenient_day, lenient_label, shard_of
+from shelfwise.operators.hot import hot_ids, join_apart
 from shelfwise.operators.idmaps import index_interactions
 from shelfwise.operators.numbering import number_rows
 from shelfwise.operators.splits import BROADCAST_USERS
@@ -22,17 +23,26 @@ def training_view(
     item_columns: Sequence[str] = (),
     users: DataFrame | None = None,
     user_columns: Sequence[str] = (),
+    hot_share: float | None = None,
 ) -> DataFrame:
     """Interactions beside the configured item and user columns.
 
     Feature tables have one row per id. Whether one is small enough to broadcast is left
-    to the size Spark measures; otherwise adaptive execution splits a hot id.
+    to the size Spark measures; otherwise adaptive execution splits a hot id, or, with a
+    ``hot_share``, ids of more than that share of the rows meet copies of their feature row.
     """
+
+    def beside(view: DataFrame, table: DataFrame, name: str) -> DataFrame:
+        if hot_share is None:
+            return view.join(table, name, "left")
+        hot = hot_ids(interactions, name, hot_share).select(F.col("id").alias(name))
+        return join_apart(view, table, [name], hot, "left")
+
     view = interactions
     if items is not None and item_columns:
-        view = view.join(items.select("item_id", *item_columns), "item_id", "left")
+        view = beside(view, items.select("item_id", *item_columns), "item_id")
     if users is not None and user_columns:
-        view = view.join(users.select("user_id", *user_columns), "user_id", "left")
+        view = beside(view, users.select("user_id", *user_columns), "user_id")
     return view
 
 

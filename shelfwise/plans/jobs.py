@@ -13,8 +13,8 @@ from shelfwise.models import fit_model
 from shelfwise.models.factors import FactorModel, load_model
 from shelfwise.operators.evaluate import evaluate
 from shelfwise.operators.idmaps import distinct_ids, id_map
-from shelfwise.operators.interactions import category_values, interaction_features
-from shelfwise.operators.items import item_features
+from shelfwise.operators.interactions import DAY_KEYS, as_logs, by_day, category_values, interaction_features
+from shelfwise.operators.items import attribute_dictionary, item_attributes, item_features, item_features_sparse
 from shelfwise.operators.ratings import (
     build_ratings,
     popularity_by_count,
@@ -27,8 +27,9 @@ from shelfwise.operators.recommend import popular_lists
 from shelfwise.operators.sequences import sequence_training_view
 from shelfwise.operators.splits import cap_users, first_users, keep_users, make_split
 from shelfwise.operators.users import user_features
-from shelfwise.sources.scans import ITEM_COLUMNS, ORDER_COLUMNS, TRACKER_COLUMNS, distinct_users, scan_selected
 from shelfwise.sources import commits
+from shelfwise.sources.bucketed import read_bucketed, stage_bucketed
+from shelfwise.sources.scans import ITEM_COLUMNS, ORDER_COLUMNS, TRACKER_COLUMNS, distinct_users, scan_selected
 from shelfwise.sources.sinks import SHARD, keyed_table, write_metrics, write_sharded_part, write_submission
 
 
@@ -44,6 +45,8 @@ class SplitSettings:
     user_seed: int = 17
     fast_users: int | None = None
     shards: int = 64
+    # Also store clicks and orders dealt by (day, user, item) into so many buckets; features and ratings then join them without a shuffle.
+    buckets: int = 0
 
     def params(self) -> dict[str, Any]:
         if self.kind == "only_train":
@@ -67,6 +70,8 @@ class FeatureSettings:
     shards: int = 256
     include_attributes: bool = True
     min_attribute_share: float = 0.01
+    # One array of value ids, with their dictionary, instead of a column for each frequent value.
+    sparse_attributes: bool = False
 
 
 @dataclass
@@ -101,6 +106,17 @@ def _read_split(spark: SparkSession, root: str, split: str, table: str, columns:
     return found.select(*columns)
 
 
+def _split_logs(spark: SparkSession, root: str, split: str) -> tuple[DataFrame, DataFrame]:
+    """Clicks and orders of a split by day: dealt by day, user and item where the split has them so."""
+    named = commits.newest(spark, root).facts["parts"]
+    versions = [named.get(f"{split}/{table}") for table in ("clicks_by_day", "orders_by_day")]
+    if None in versions:
+        tracker = _read_split(spark, root, split, "tracker", TRACKER_COLUMNS)
+        return tracker, _read_split(spark, root, split, "orders", ORDER_COLUMNS)
+    tables = [read_bucketed(spark, f"{root}/{split}/{t}", v) for t, v in zip(("clicks_by_day", "orders_by_day"), versions)]
+    return as_logs(*tables)
+
+
 def split_job(spark: SparkSession, tracker_path: str, orders_path: str, out: str, settings: SplitSettings) -> None:
     """Raw logs to sharded train and validation tables under ``out``.
 
@@ -113,11 +129,20 @@ def split_job(spark: SparkSession, tracker_path: str, orders_path: str, out: str
         orders = keep_users(orders, users, settings.fast_users)
         tracker = keep_users(tracker, users, settings.fast_users)
     parts = {}
-    for table, df, ts in (("orders", orders, "created_timestamp"), ("tracker", tracker, "timestamp")):
-        split = make_split(df, ts, settings.kind, **settings.params())
-        for name, part in zip(("train", "valid"), split):
-            name = f"{name}/{table}"
+    bought = make_split(orders, "created_timestamp", settings.kind, **settings.params())
+    clicks = make_split(tracker, "timestamp", settings.kind, **settings.params())
+    for split, of_clicks, of_orders in zip(("train", "valid"), clicks, bought):
+        for table, part in (("orders", of_orders), ("tracker", of_clicks)):
+            name = f"{split}/{table}"
             parts[name] = None if part is None else write_sharded_part(part, f"{out}/{name}", shards=settings.shards)
+        days = by_day(of_clicks, of_orders) if settings.buckets and of_clicks is not None else (None, None)
+        for table, part in zip(("clicks_by_day", "orders_by_day"), days):
+            name = f"{split}/{table}"
+            if part is None:
+                parts[name] = None
+                continue
+            staged = stage_bucketed(part, f"{out}/{name}", DAY_KEYS, settings.buckets)
+            parts[name] = commits.commit(spark, f"{out}/{name}", staged)
     commits.commit_set(spark, out, parts, tracker=tracker_path, orders=orders_path, settings=vars(settings))
 
 
@@ -131,8 +156,8 @@ def features_job(spark: SparkSession, splits: str, items_path: str, out: str, se
     both = trackers["train"].unionByName(trackers["valid"])
     actions = category_values(both, "action_type")
     parts = {}
-    for split, tracker in trackers.items():
-        orders = _read_split(spark, splits, split, "orders", ORDER_COLUMNS)
+    for split in trackers:
+        tracker, orders = _split_logs(spark, splits, split)
         features = interaction_features(
             tracker,
             orders,
@@ -147,7 +172,14 @@ def features_job(spark: SparkSession, splits: str, items_path: str, out: str, se
         name = f"inter_features/{split}"
         parts[name] = write_sharded_part(features, f"{out}/{name}", shards=settings.shards)
     items = scan_selected(spark, items_path, ITEM_COLUMNS)
-    item_table = item_features(items, settings.min_attribute_share, settings.include_attributes)
+    if settings.sparse_attributes:
+        least = max(1, int(items.count() * settings.min_attribute_share))
+        parts["attribute_values"] = _whole(attribute_dictionary(item_attributes(items), least), f"{out}/attribute_values")
+        dictionary = commits.read(spark, f"{out}/attribute_values", parts["attribute_values"].version)
+        item_table = item_features_sparse(items, dictionary)
+    else:
+        parts["attribute_values"] = None
+        item_table = item_features(items, settings.min_attribute_share, settings.include_attributes)
     parts["items_features"] = _whole(item_table, f"{out}/items_features")
     parts["users_features"] = _whole(user_features(*trackers.values()), f"{out}/users_features")
     commits.commit_set(spark, out, parts, splits=splits, settings=vars(settings))
@@ -179,7 +211,6 @@ def prepare(
     if features is None and (settings.truth, settings.popularity) != ("orders", "weight"):
         raise ValueError("truth or popularity from features need the folder of the feature tables")
     tracker = _read_split(spark, splits, "train", "tracker", TRACKER_COLUMNS)
-    orders = _read_split(spark, splits, "train", "orders", ORDER_COLUMNS)
     valid_orders = _read_split(spark, splits, "valid", "orders", ORDER_COLUMNS)
     run = commits.newest(spark, splits)
     key = {"splits": splits, "run": run.facts["parts"], **settings.dataset}
@@ -190,6 +221,7 @@ def prepare(
         return keyed_table(spark, cache, name, {**key, **own}, build, inputs)
 
     label = rating_label(settings.label)
+    by_days = _split_logs(spark, splits, "train")
 
     def truth() -> DataFrame:
         if settings.truth == "orders":
@@ -198,11 +230,11 @@ def prepare(
 
     def popularity() -> DataFrame:
         if settings.popularity == "weight":
-            return popularity_by_weight(build_ratings(tracker, orders, label))
+            return popularity_by_weight(build_ratings(*by_days, label))
         return popularity_by_count(_part(spark, features, "inter_features/train"))
 
     return Prepared(
-        table("ratings", lambda: build_ratings(tracker, orders, label), label=settings.label),
+        table("ratings", lambda: build_ratings(*by_days, label), label=settings.label),
         table("user_map", lambda: id_map("user_id", tracker)),
         table("item_map", lambda: id_map("item_id", tracker)),
         table("truth", truth, truth=settings.truth, features=features),

@@ -109,9 +109,18 @@ def folder_of(path: str, version: str) -> str:
     return f"{path}/{VERSION}={version}"
 
 
+def new_version() -> str:
+    return f"{time.strftime('%Y%m%d-%H%M%S', time.gmtime())}-{uuid.uuid4().hex[:12]}"
+
+
+def entry_of(spark: SparkSession, path: str, version: str) -> Entry | None:
+    """The entry that names a version."""
+    return next((e for e in reversed(entries(spark, path)) if e.version == version), None)
+
+
 def stage(df: DataFrame, path: str, partition_by: Sequence[str] = (), **facts: Any) -> Entry:
     """Write a version that nobody reads yet; its entry has no number."""
-    version = f"{time.strftime('%Y%m%d-%H%M%S', time.gmtime())}-{uuid.uuid4().hex[:12]}"
+    version = new_version()
     folder = folder_of(path, version)
     df.write.partitionBy(*partition_by).parquet(folder)
     # From the footers alone.
@@ -158,10 +167,7 @@ def sweep(spark: SparkSession, path: str, keep: Sequence[str] = ()) -> None:
 
 def read(spark: SparkSession, path: str, version: str | None = None) -> DataFrame | None:
     """The newest version of a table, or the one given; None where nothing is committed."""
-    if version is None:
-        entry = newest(spark, path)
-    else:
-        entry = next((e for e in reversed(entries(spark, path)) if e.version == version), None)
+    entry = newest(spark, path) if version is None else entry_of(spark, path, version)
     if entry is None or entry.version is None:
         return None
     return spark.read.schema(StructType.fromJson(json.loads(entry.schema))).parquet(folder_of(path, entry.version))
