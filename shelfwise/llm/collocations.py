@@ -28,7 +28,7 @@ from shelfwise.llm.batches import bounded
 from shelfwise.workspace import Written, discard, write_down
 
 #: Bytes of text counted at once, rows of a block of a stream, and bits of the filter (8 MB) as a power of two.
-SLAB, BLOCK_ROWS, FILTER_BITS = 4 << 20, 200_000, 26
+SLAB, BLOCK_ROWS, FILTER_BITS = 2 << 20, 200_000, 26
 _BREAK, _SPACE = 10, 32
 _FROM = bytes(range(65, 91)) + b".,;:!?\x0a\x0b\x0c\x0d\x09"
 _TO = bytes(range(97, 123)) + b"\n" * 10 + b" "
