@@ -1,16 +1,21 @@
-"""Passages that repeat across documents, by anchors and exact ends.
+"""Passages that repeat across documents, by content-defined chunks and exact ends.
 
-Of neighbouring runs of 32 bytes the one of the smallest digest is an anchor (winnowing), so
-any passage of 95 bytes that two documents share holds an anchor of both. Anchors that
-several documents hold are compared with their surroundings, which gives the exact ends of
-the passages; a surrounding is some hundred bytes, and a text is shuffled once, to cut them.
-``chunks`` cuts texts where a rolling gear hash says so.
+A rolling gear hash runs over the bytes; a chunk ends where it is smallest in some window of
+``SPAN`` places and in its neighbourhood, so chunks (25 bytes on average) move with the
+text when something is inserted before them. Digests of chunks are counted over all
+documents; what several documents hold are neighbouring chunks that make up runs.
+
+Ends are exact: for the first and last chunk of each run, all documents that hold this
+chunk give the bytes around it. Sorted, a text's longest agreement with any other is
+found in one pass with a stack, whichever documents hold the chunk and however many. Rows
+are sorted over the cluster by range, so a chunk of any number of documents is spread over
+blocks; between blocks passes one stack of at most as many entries as bytes are compared.
+
+Only digests, places and the bytes around ends are shuffled, no text.
 """
 
 from __future__ import annotations
 
-import os
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
@@ -18,23 +23,48 @@ from pyspark.sql import functions as F
 
 from shelfwise.llm.batches import bounded
 from shelfwise.llm.words import buffer_of, slabs
-
-#: Bytes that the gear hash sees, bits that end a chunk, and the bytes after which fewer do.
-WINDOW, BITS, LOOSE_BITS, LOOSE_AFTER = 16, 5, 3, 48
-#: Code points of a passage that counts, once it is extended to its ends.
-MIN_RUN = 120
+from shelfwise.workspace import write_down
+
+#: Bytes that the gear hash sees, places of which the smallest hash ends a chunk, and places around an end that hold no other.
+WINDOW, SPAN, CLOSE = 16, 32, 11
+#: Code points of a passage that counts, and bytes of a run whose ends are looked for.
+MIN_RUN, LEAST = 120, 20
+#: Bytes beyond a chunk that are compared: behind them another whole chunk would be shared.
+REACH = 128
+#: Bytes of text that are cut at once.
+PIECE = 1 << 20
+#: Rows of a block of sorted ends, about, and bits of a filter (16 MB) as a power of two.
+BLOCK_ROWS, FILTER_BITS = 200_000, 27
 _RANDOM = np.random.default_rng(20240611)
-#: Bytes of an anchor, starts of which one is an anchor, and bytes beyond it that are compared: where more agree, another anchor stands.
-KEY, NEAR, REACH = 32, 64, 96
 GEAR = _RANDOM.integers(0, 1 << 32, 256, dtype=np.uint32)
 VALUES = _RANDOM.integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _ODD = int(_RANDOM.integers(1 << 62, 1 << 63)) | 1
 _INVERSE = pow(_ODD, -1, 1 << 64)
+_SPACES = bytes.maketrans(b"\t\n\x0b\x0c\r", b"     ")
+
+
+def _powers(base: int, n: int) -> np.ndarray:
+    out = np.full(n, base, np.uint64)
+    out[:1] = 1
+    return np.cumprod(out, dtype=np.uint64)
+
+
+def _slid(values: np.ndarray, take, span: int) -> np.ndarray:
+    """``take`` (minimum or maximum) of every window of ``span`` values."""
+    width = 1
+    while width < span:
+        more = min(width, span - width)
+        values = take(values[:-more], values[more:])
+        width += more
+    return values
 
 
 def chunk_ends(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    """Places after which a chunk ends, the end of every row among them."""
-    n = len(data)
+    """Places after which a chunk ends, the end of every row among them; those inside a row depend on the row alone."""
+    n, rows = len(data), len(offsets) - 1
+    limits = offsets[1:][np.diff(offsets) > 0]
+    if n < SPAN:
+        return limits
     hashed = GEAR[data]
     step = 1
     while step < WINDOW:
@@ -42,19 +72,78 @@ def chunk_ends(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         shifted[step:] = hashed[:-step] << np.uint32(step)
         hashed = hashed + shifted
         step *= 2
-    top = hashed >> np.uint32(WINDOW - BITS)
+    # The gear hash has its oldest bytes in the high bits only; spread them before comparing.
+    mixed = ((hashed.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(33)) + np.uint64(1)
+    row = np.repeat(np.arange(rows), np.diff(offsets))
     place = np.arange(n)
-    begin = np.repeat(offsets[:-1], np.diff(offsets))
     # Not within the first bytes of a row, and not inside a character.
-    allowed = place - begin >= WINDOW
-    allowed[:-1] &= (data[1:] & 0xC0) != 0x80
-    strict = allowed & ((top & np.uint32((1 << BITS) - 1)) == 0)
-    last = np.maximum(np.maximum.accumulate(np.where(strict, place, -1)), begin)
-    loose = allowed & ((top & np.uint32((1 << LOOSE_BITS) - 1)) == 0) & (place - last > LOOSE_AFTER)
-    # Of ends close together the first stays.
-    ends = np.flatnonzero(strict | loose) + 1
-    ends = ends[np.diff(ends, prepend=-WINDOW) >= WINDOW]
-    return np.union1d(ends, offsets[1:][np.diff(offsets) > 0])
+    barred = place - offsets[row] < WINDOW - 1
+    barred[:-1] |= (data[1:] & 0xC0) == 0x80
+    mixed[barred] = np.uint64(1 << 32)
+    # Rows are set apart by zeros: a window that crosses them has no smallest place.
+    apart = np.zeros(n + (rows - 1) * SPAN, np.uint64)
+    at = place + row * SPAN
+    apart[at] = mixed
+    edge = np.zeros(SPAN - 1, np.uint64)
+    # The smallest place of some window is no smaller than the greatest of its windows' smallest.
+    most = _slid(np.concatenate([edge, _slid(apart, np.minimum, SPAN), edge]), np.maximum, SPAN)
+    # Of places close together the smallest stays, so that no chunk is tiny.
+    apart[apart == 0] = np.uint64(1 << 32)
+    edge = np.full(CLOSE, 1 << 32, np.uint64)
+    near = _slid(np.concatenate([edge, apart, edge]), np.minimum, 2 * CLOSE + 1)
+    return np.union1d(np.flatnonzero((mixed <= most[at]) & (mixed <= near[at]) & ~barred) + 1, limits)
+
+
+class Chunks:
+    """Chunks of rows of a buffer: row, digest, places in bytes of the buffer and in code points of the row."""
+
+    def __init__(self, data: np.ndarray, offsets: np.ndarray, ends: np.ndarray, base: int = 0, points: int = 0, row: int = 0):
+        """``data`` lies at ``base`` of the buffer; its first row is the buffer's ``row``, ``points`` code points in."""
+        n = len(data)
+        end = ends.astype(np.int64)
+        start = np.concatenate([[0], end[:-1]]) if len(end) else end
+        sums = np.zeros(n + 1, np.uint64)
+        np.cumsum(VALUES[data] * _powers(_ODD, n), out=sums[1:])
+        digest = (sums[end] - sums[start]) * _powers(_INVERSE, n + 1)[start]
+        digest ^= (end - start).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+        digest ^= digest >> np.uint64(31)
+        digest *= np.uint64(0xD6E8FEB86659FD93)
+        self.digest = (digest ^ (digest >> np.uint64(32))).view(np.int64)
+        own = np.searchsorted(offsets, start, "right") - 1
+        seen = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])
+        self.first, self.last = (seen[x] - seen[offsets[own]] + points for x in (start, end))
+        self.row, self.start, self.end = own + row, start + base, end + base
+
+
+def _long(data: np.ndarray, low: int, high: int, row: int):
+    """The chunks of one long row, some MB at a time; ends are found as in the row as a whole."""
+    around, points, first = SPAN + WINDOW, 0, low
+    while low < high:
+        upto = min(high, low + PIECE)
+        begin, behind = max(first, low - around), min(high, upto + around)
+        piece = data[begin:behind]
+        ends = chunk_ends(piece, np.array([0, len(piece)])) + begin
+        ends = ends[(ends > low) & (ends <= upto)]
+        if not len(ends):
+            raise AssertionError("a chunk of some MB")
+        upto = int(ends[-1])
+        found = Chunks(data[low:upto], np.array([0, upto - low]), ends - low, low, points, row)
+        points = int(found.last[-1])
+        yield found
+        low = upto
+
+
+def _pieces(batch: pa.RecordBatch, at: int):
+    """The batch's texts as a buffer with row limits, and their chunks, some MB of texts at a time."""
+    data, offsets = buffer_of(batch.column(at))
+    for a, b in slabs(offsets, PIECE):
+        low, high = int(offsets[a]), int(offsets[b])
+        if high - low > 2 * PIECE:  # a single row
+            for found in _long(data, low, high, a):
+                yield data, offsets, found
+        elif high > low:
+            own = offsets[a : b + 1] - low
+            yield data, offsets, Chunks(data[low:high], own, chunk_ends(data[low:high], own), low, 0, a)
 
 
 def chunks(data: np.ndarray, offsets: np.ndarray):
@@ -62,219 +151,374 @@ def chunks(data: np.ndarray, offsets: np.ndarray):
     if not len(data):
         nothing = np.zeros(0, np.int64)
         return nothing, nothing, nothing, nothing
-    ends = chunk_ends(data, offsets)
-    starts = np.concatenate([[0], ends[:-1]])
-    powers = np.full(len(data) + 1, _ODD, np.uint64)
-    powers[0] = 1
-    inverse = np.full(len(data) + 1, _INVERSE, np.uint64)
-    inverse[0] = 1
-    sums = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(VALUES[data] * np.cumprod(powers, dtype=np.uint64)[:-1], out=sums[1:])
-    digest = (sums[ends] - sums[starts]) * np.cumprod(inverse, dtype=np.uint64)[starts]
-    digest ^= (ends - starts).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-    points = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])
-    row = np.searchsorted(offsets, starts, "right") - 1
-    return row, digest.view(np.int64), points[starts] - points[offsets[row]], points[ends] - points[starts]
-
-
-def anchors(data: np.ndarray, offsets: np.ndarray):
-    """Row, digest, first code point and first byte (from the row's start) of every anchor.
-
-    Of each ``NEAR`` neighbouring starts of ``KEY`` bytes the one of the smallest digest is
-    an anchor, so any two texts that share ``NEAR + KEY - 1`` bytes share one there.
-    """
-    n = len(data)
-    nothing = np.zeros(0, np.int64)
-    if n < KEY + NEAR - 1:
-        return nothing, nothing, nothing, nothing
-    powers = np.full(n + 1, _ODD, np.uint64)
-    powers[0] = 1
-    inverse = np.full(n + 1, _INVERSE, np.uint64)
-    inverse[0] = 1
-    sums = np.zeros(n + 1, np.uint64)
-    np.cumsum(VALUES[data] * np.cumprod(powers, dtype=np.uint64)[:-1], out=sums[1:])
-    digest = (sums[KEY:] - sums[:-KEY]) * np.cumprod(inverse, dtype=np.uint64)[: n + 1 - KEY]
-    digest ^= digest >> np.uint64(29)
-    digest *= np.uint64(0x9E3779B97F4A7C15)
-    digest ^= digest >> np.uint64(32)
-    row = np.searchsorted(offsets, np.arange(len(digest)), "right") - 1
-    # Not over the end of a row, and not from inside a character.
-    valid = (np.arange(len(digest)) + KEY <= offsets[row + 1]) & ((data[: len(digest)] & 0xC0) != 0x80)
-    digest[~valid] = np.uint64(0xFFFFFFFFFFFFFFFF)
-    least, step = digest, 1
-    while step < NEAR:
-        least = np.minimum(least[:-step], least[step:])
-        step *= 2
-    most = np.concatenate([np.zeros(NEAR - 1, np.uint64), least, np.zeros(NEAR - 1, np.uint64)])
-    step = 1
-    while step < NEAR:
-        most = np.maximum(most[:-step], most[step:])
-        step *= 2
-    at = np.flatnonzero((most == digest) & valid)
-    if not len(at):
-        return nothing, nothing, nothing, nothing
-    # Where a pattern repeats itself, some of its equal anchors do.
-    again = np.concatenate([[False], (digest[at[1:]] == digest[at[:-1]]) & (np.diff(at) < NEAR) & (row[at[1:]] == row[at[:-1]])])
-    chain = at[np.maximum.accumulate(np.where(again, 0, np.arange(len(at))))]
-    place = (at - chain) // (NEAR // 2)
-    at = at[~again | (place != np.concatenate([[-1], place[:-1]]))]
-    points = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])
-    begin = offsets[row[at]]
-    return row[at], digest[at].view(np.int64), points[at] - points[begin], at - begin
+    found = Chunks(data, offsets, chunk_ends(data, offsets))
+    return found.row, found.digest, found.first, found.last - found.first
 
 
-def _anchorer(batches):
-    for batch in batches:
-        data, offsets = buffer_of(batch.column(1))
-        for a, b in slabs(offsets, 1 << 20):
-            row, digest, _, _ = anchors(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
-            ids = batch.column(0).take(pa.array(row + a))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(digest), ids], ["digest", "doc_id"]
-            )
+def _may_be(filter_: np.ndarray, digests: np.ndarray) -> np.ndarray:
+    spots = digests.view(np.uint64)
+    out = np.ones(len(digests), bool)
+    for shift in (0, 32):
+        spot = (spots >> np.uint64(shift)) & np.uint64((len(filter_) << 6) - 1)
+        out &= (filter_[spot >> np.uint64(6)] >> (spot & np.uint64(63)) & np.uint64(1)).astype(bool)
+    return out
 
 
-def _surroundings(batches):
-    """``digest, doc_id, start, left, right``: the text before and from each wanted anchor."""
-    for batch in batches:
-        ids, digests, starts, left, right = [], [], [], [], []
-        for doc, text, wanted in zip(*(batch.column(c) for c in range(3)), strict=True):
-            data = text.as_py().encode()
-            _, digest, start, byte = anchors(np.frombuffer(data, np.uint8), np.array([0, len(data)]))
-            held = np.isin(digest, wanted.values.to_numpy(zero_copy_only=False))
-            for key, place, at in zip(digest[held].tolist(), start[held].tolist(), byte[held].tolist(), strict=True):
-                ids.append(doc.as_py())
-                digests.append(key)
-                starts.append(place)
-                left.append(data[max(0, at - REACH) : at].decode(errors="ignore"))
-                right.append(data[at : at + KEY + REACH].decode(errors="ignore"))
-            if len(ids) >= 5000:
-                yield pa.RecordBatch.from_arrays([pa.array(digests, pa.int64()), pa.array(ids, batch.schema.types[0]), pa.array(starts, pa.int32()), pa.array(left, pa.string()), pa.array(right, pa.string())], ["digest", "doc_id", "start", "left", "right"])
-                ids, digests, starts, left, right = [], [], [], [], []
-        if ids:
-            yield pa.RecordBatch.from_arrays([pa.array(digests, pa.int64()), pa.array(ids, batch.schema.types[0]), pa.array(starts, pa.int32()), pa.array(left, pa.string()), pa.array(right, pa.string())], ["digest", "doc_id", "start", "left", "right"])
-
-
-def _alike(a: str, b: str, full: int) -> int | None:
-    """Code points at the begin of both, without the part of a word behind which they differ or ``full`` bytes end; none if that is all."""
-    if a == b:
-        n = len(a)
-        inside = len(a.encode()) > full - 4
-    else:
-        n = next((i for i, (x, y) in enumerate(zip(a, b, strict=False)) if x != y), min(len(a), len(b)))
-        inside = any(n < len(x) and not x[n].isspace() for x in (a, b))
-    if inside:
-        return next((i + 1 for i in range(n - 1, -1, -1) if a[i].isspace()), None)
-    return n
-
-
-def _matcher(batches):
-    """``doc_id, start, end, first_doc, removable``: how far each anchor's text agrees with that of another document."""
+def _filter(digests: DataFrame, bits: int) -> np.ndarray:
+    """Bits of the digests in a filter of fixed size, which may therefore pass through the driver."""
+    mask = (1 << bits) - 1
+    spot = F.explode(F.array(F.col("digest").bitwiseAND(F.lit(mask)), F.shiftrightunsigned("digest", 32).bitwiseAND(F.lit(mask))))
+    cells = digests.select(spot.alias("spot")).groupBy(F.shiftright("spot", 6).alias("cell"))
+    value = F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), F.col("spot").bitwiseAND(F.lit(63)).cast("int")))
+    found = cells.agg(value.alias("value")).toArrow()
+    out = np.zeros(1 << (bits - 6), np.uint64)
+    out[found["cell"].to_numpy()] = found["value"].to_numpy().view(np.uint64)
+    return out
+
+
+def _digests(batches):
+    """``digest, doc_id``, each pair once in a piece."""
     for batch in batches:
-        ids, starts, ends, firsts, flags = [], [], [], [], []
-        for r in batch.to_pylist():
-            for other, left, right in ((r["first_doc"], r["first_left"], r["first_right"]), (r["last"], r["last_left"], r["last_right"])):
-                if other == r["doc_id"] or not (r["right"].encode()[: KEY - 3] == right.encode()[: KEY - 3]):
+        for _, _, found in _pieces(batch, 1):
+            ids = batch.column(0).take(pa.array(found.row))
+            once = pa.table([pa.array(found.digest), ids], ["digest", "doc_id"]).group_by(["digest", "doc_id"]).aggregate([])
+            yield from once.to_batches()
+
+
+def _occurrences(shared):
+    """The chunks whose digests pass the filter, with their places in bytes and code points."""
+
+    def run(batches):
+        filter_ = shared.value
+        for batch in batches:
+            for _, offsets, found in _pieces(batch, 2):
+                at = np.flatnonzero(_may_be(filter_, found.digest))
+                rows = found.row[at]
+                begin = offsets[rows]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        batch.column(0).take(pa.array(rows)), batch.column(1).take(pa.array(rows)), pa.array(found.digest[at]),
+                        pa.array(found.start[at] - begin), pa.array(found.end[at] - begin), pa.array(found.first[at]), pa.array(found.last[at]),
+                    ],
+                    ["doc_id", "h", "digest", "start", "end", "first", "last"],
+                )
+
+    return run
+
+
+def _ends(firsts, lasts):
+    """Bytes around the chunks that begin or end a run somewhere, from the chunk outward, the chunk included.
+
+    White space is a blank there, and so is the end of a text (``closed``). Side 0 is read backwards.
+    """
+
+    def run(batches):
+        filters = (firsts.value, lasts.value)
+        for batch in batches:
+            for data, offsets, found in _pieces(batch, 2):
+                for side, filter_ in enumerate(filters):
+                    at = np.flatnonzero(_may_be(filter_, found.digest))
+                    for some in np.array_split(at, len(at) // 20_000 + 1):
+                        rows = found.row[some]
+                        low = np.maximum(found.start[some] - (0 if side else REACH), offsets[rows])
+                        high = np.minimum(found.end[some] + (REACH if side else 0), offsets[rows + 1])
+                        closed = (high == offsets[rows + 1]) if side else (low == offsets[rows])
+                        texts = [data[x:y].tobytes().translate(_SPACES) for x, y in zip(low.tolist(), high.tolist())]
+                        texts = [t if side else t[::-1] for t in texts]
+                        texts = [t + b" " if c else t for t, c in zip(texts, closed.tolist())]
+                        yield pa.RecordBatch.from_arrays(
+                            [
+                                pa.array([side] * len(some), pa.int32()), pa.array(found.digest[some]), pa.array(texts, pa.binary()),
+                                batch.column(0).take(pa.array(rows)), batch.column(1).take(pa.array(rows)),
+                                pa.array(found.start[some] - offsets[rows]), pa.array((found.end - found.start)[some]), pa.array(closed),
+                            ],
+                            ["side", "digest", "bytes", "doc_id", "h", "start", "size", "closed"],
+                        )
+
+    return run
+
+
+def _agree(a: bytes, b: bytes) -> int:
+    """Length of the common beginning."""
+    n = min(len(a), len(b))
+    if a[:n] == b[:n]:
+        return n
+    low, high = 0, n
+    while low < high:
+        middle = (low + high + 1) // 2
+        if a[:middle] == b[:middle]:
+            low = middle
+        else:
+            high = middle - 1
+    return low
+
+
+class Stack:
+    """Documents seen before a text in sorted order, by how many bytes they share with it.
+
+    Entries ``[length, smallest id, greatest id]`` have rising lengths; an entry stands for
+    the documents that share so many bytes, and no more.
+    """
+
+    def __init__(self, key=None, text: bytes = b"", entries=()):
+        self.key, self.text, self.entries = key, text, [list(e) for e in entries]
+
+    def move(self, key, text: bytes) -> None:
+        """Go on to the next text."""
+        if key != self.key:
+            self.key, self.text, self.entries = key, text, []
+            return
+        common = _agree(self.text, text)
+        low = high = None
+        while self.entries and self.entries[-1][0] >= common:
+            _, a, z = self.entries.pop()
+            low, high = (a, z) if low is None else (min(low, a), max(high, z))
+        if low is not None:
+            self.entries.append([common, low, high])
+        self.text = text
+
+    def add(self, doc) -> None:
+        """Note the document of the present text."""
+        size = len(self.text)
+        if self.entries and self.entries[-1][0] == size:
+            top = self.entries[-1]
+            top[1], top[2] = min(top[1], doc), max(top[2], doc)
+        else:
+            self.entries.append([size, doc, doc])
+
+    def longest(self, doc) -> tuple[int, int]:
+        """Most bytes shared with another document, and with one of smaller id."""
+        other = below = 0
+        for length, low, high in reversed(self.entries):
+            if not other and (low != doc or high != doc):
+                other = length
+            if low < doc:
+                return other, length
+        return other, below
+
+
+def _sorted(table: pa.Table) -> pa.Table:
+    return table.sort_by("place")
+
+
+def _edges(table: pa.Table) -> pa.Table:
+    """The stack behind a block in either direction, as if nothing came before, and whether the block has one chunk only."""
+    table = _sorted(table)
+    sides, digests, texts, docs = (table[c].to_pylist() for c in ("side", "digest", "bytes", "doc_id"))
+    out = []
+    for order in (range(len(texts)), range(len(texts) - 1, -1, -1)):
+        stack = Stack()
+        for i in order:
+            stack.move((sides[i], digests[i]), texts[i])
+            stack.add(docs[i])
+        last = order[-1]
+        out.append((order.step > 0, sides[last], digests[last], texts[last], stack.entries))
+    kind = table.schema.field("doc_id").type
+    n = len(out)
+    return pa.table({
+        "block": pa.array([table["block"][0].as_py()] * n, pa.int32()), "forward": pa.array([x[0] for x in out]),
+        "first_key": pa.array([f"{sides[0]}:{digests[0]}"] * n), "last_key": pa.array([f"{sides[-1]}:{digests[-1]}"] * n),
+        "bytes": pa.array([x[3] for x in out], pa.binary()),
+        "lengths": pa.array([[e[0] for e in x[4]] for x in out], pa.list_(pa.int32())),
+        "lows": pa.array([[e[1] for e in x[4]] for x in out], pa.list_(kind)), "highs": pa.array([[e[2] for e in x[4]] for x in out], pa.list_(kind)),
+    })
+
+
+def _carried(edges: list, forward: bool) -> dict[int, tuple]:
+    """For each block the stack that its neighbour hands on, where both hold the same chunk at their seam."""
+    out, before = {}, None
+    for e in edges if forward else edges[::-1]:
+        enters, leaves = (e["first_key"], e["last_key"]) if forward else (e["last_key"], e["first_key"])
+        if before is not None and before.key == enters:
+            out[e["block"]] = (before.key, before.text, [tuple(x) for x in before.entries])
+        entries = list(zip(e["lengths"], e["lows"], e["highs"]))
+        if before is not None and before.key == enters == leaves:
+            # The whole block is one chunk: what came before it stays reachable.
+            joined = Stack(before.key, before.text, before.entries)
+            joined.move(leaves, e["bytes"])
+            merged: dict = {}
+            for length, low, high in [*joined.entries, *entries]:
+                a, z = merged.get(length, (low, high))
+                merged[length] = (min(a, low), max(z, high))
+            entries = [(length, *merged[length]) for length in sorted(merged)]
+        before = Stack(leaves, e["bytes"], entries)
+    return out
+
+
+def _cut(text: bytes, common: int, size: int) -> int:
+    """Bytes beyond the chunk that agree, to whole words: the last one counts if white space follows in both."""
+    if not common:
+        return 0
+    blank = text.rfind(b" ", 0, common)
+    return (common if blank < 0 else blank + 1) - size
+
+
+def _grown(shared):
+    """For each end: code points by which a run grows there (or shrinks), against any and against smaller ids; null if none agrees."""
+
+    def run(table: pa.Table) -> pa.Table:
+        table = _sorted(table)
+        forward, backward = shared.value
+        block = table["block"][0].as_py()
+        sides, digests, texts, docs, sizes, closed = (table[c].to_pylist() for c in ("side", "digest", "bytes", "doc_id", "size", "closed"))
+        n = len(texts)
+        best = [[0, 0] for _ in range(n)]
+        for order, carried in ((range(n), forward), (range(n - 1, -1, -1), backward)):
+            stack = Stack()
+            if block in carried:
+                key, text, entries = carried[block]
+                side, _, digest = key.partition(":")
+                stack = Stack((int(side), int(digest)), text, entries)
+            for i in order:
+                stack.move((sides[i], digests[i]), texts[i])
+                found = stack.longest(docs[i])
+                best[i] = [max(x, y) for x, y in zip(best[i], found)]
+                stack.add(docs[i])
+        grown = []
+        for which in (0, 1):
+            values = []
+            for i in range(n):
+                if best[i][which] < sizes[i]:  # a chunk that only looked shared
+                    values.append(None)
                     continue
-                before, behind = _alike(r["left"][::-1], left[::-1], REACH), _alike(r["right"], right, KEY + REACH)
-                if behind is None:  # not a single space: no words to keep whole
-                    behind = len(os.path.commonprefix([r["right"], right]))
-                    before = len(os.path.commonprefix([r["left"][::-1], left[::-1]])) if before is None else before
-                elif before is None:  # it begins inside a word
-                    before = -next((i for i, c in enumerate(r["right"][:behind]) if c.isspace()), 0)
-                ids.append(r["doc_id"])
-                starts.append(r["start"] - before)
-                ends.append(r["start"] + behind)
-                firsts.append(r["first_doc"])
-                flags.append(other < r["doc_id"] and other == r["first_doc"])
-        kind = batch.schema.field("doc_id").type
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(ids, kind), pa.array(starts, pa.int32()), pa.array(ends, pa.int32()), pa.array(firsts, kind), pa.array(flags, pa.bool_())],
-            ["doc_id", "start", "end", "first_doc", "below"],
-        )
-
-
-def repeated_spans(docs: DataFrame, text: str = "text", min_run: int = MIN_RUN) -> DataFrame:
-    """``doc_id, removable, start, length, first_doc``: the passages of each document that others hold too.
-
-    Places and lengths are code points. Anchors that other documents hold are extended to
-    where the texts differ, to whole words, against the documents of smallest and of
-    largest id that hold them; what overlaps or touches is one passage, and counts from
-    ``min_run`` code points on. ``first_doc`` is the smallest id that holds the anchor of
-    its longest match. Rows with ``removable`` true are the passages that documents of
-    smaller id hold. Rows without id, null and empty texts have none; rows of one id count
-    as one document.
+                more = _cut(texts[i], best[i][which], sizes[i])
+                part = texts[i][sizes[i] : sizes[i] + more] if more > 0 else texts[i][sizes[i] + more : sizes[i]]
+                # bytes that begin a character; the blank for the end of a text is none
+                points = sum((b & 0xC0) != 0x80 for b in part)
+                ended = closed[i] and more > 0 and sizes[i] + more == len(texts[i])
+                values.append(points - ended if more > 0 else -points)
+            grown.append(pa.array(values, pa.int64()))
+        return pa.table([table["doc_id"], table["h"], table["side"], table["start"], *grown], ["doc_id", "h", "side", "start", "grown", "grown_below"])
+
+    return run
+
+
+def _runs(held: DataFrame) -> DataFrame:
+    """Runs of neighbouring shared chunks of each text, of all chunks and (``removable``) of those that smaller ids hold."""
+    kinds = F.when(F.col("first_doc") < F.col("doc_id"), F.array(F.lit(False), F.lit(True))).otherwise(F.array(F.lit(False)))
+    each = held.withColumn("removable", F.explode(kinds))
+    order = Window.partitionBy("doc_id", "h", "removable").orderBy("start")
+    # Chunks of a text do not overlap; those of repeated rows lie on one another.
+    fresh = F.when(F.col("start") <= F.lag("end").over(order), 0).otherwise(1)
+    numbered = each.withColumn("fresh", fresh).withColumn("run", F.sum("fresh").over(order.rowsBetween(Window.unboundedPreceding, 0)))
+    place = F.struct("start", "digest")
+    runs = numbered.groupBy("doc_id", "h", "removable", "run").agg(
+        F.min(place).alias("a"), F.max(place).alias("z"), F.max("end").alias("end"), F.min("first").alias("first"), F.max("last").alias("last"),
+        F.min("first_doc").alias("first_doc"),
+    )
+    long_ = runs.where(F.col("end") - F.col("a.start") >= LEAST)
+    return long_.select(
+        "doc_id", "h", "removable", "first", "last", "first_doc", F.col("a.start").alias("start"), F.col("a.digest").alias("first_digest"),
+        F.col("z.start").alias("last_start"), F.col("z.digest").alias("last_digest"),
+    )
+
+
+def _grow(ends: DataFrame) -> DataFrame:
+    """``doc_id, h, side, start, grown, grown_below`` of all rows of ``ends``."""
+    spark = ends.sparkSession
+    order = ["side", "digest", "bytes", "doc_id", "h", "start"]
+    ends = write_down(ends, "ends").table
+    blocks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), ends.count() // BLOCK_ROWS + 1)
+    laid = ends.repartitionByRange(blocks, *order).sortWithinPartitions(*order)
+    laid = write_down(laid.select("*", F.spark_partition_id().alias("block"), F.monotonically_increasing_id().alias("place")), "sorted-ends").table
+    kind = laid.schema["doc_id"].dataType.simpleString()
+    schema = f"block int, forward boolean, first_key string, last_key string, bytes binary, lengths array<int>, lows array<{kind}>, highs array<{kind}>"
+    # One stack a block and direction, of at most as many entries as bytes are compared.
+    edges = sorted(laid.groupBy("block").applyInArrow(_edges, schema).collect(), key=lambda r: r["block"])
+    carried = tuple(_carried([e for e in edges if e["forward"] == way], way) for way in (True, False))
+    shared = spark.sparkContext.broadcast(carried)
+    return laid.groupBy("block").applyInArrow(_grown(shared), f"doc_id {kind}, h long, side int, start long, grown long, grown_below long")
+
+
+def repeated_spans(docs: DataFrame, text: str = "text", min_run: int = MIN_RUN, bits: int = FILTER_BITS) -> DataFrame:
+    """``doc_id, h, removable, start, length, first_doc``: the passages of each text that other documents hold too.
+
+    Places and lengths are code points. Runs of shared chunks are extended, to whole words, as
+    far as any other document that holds the end chunk agrees (white space counts as alike
+    there); what overlaps or touches is one passage, and counts from ``min_run`` code
+    points on. ``first_doc`` is the smallest id that holds one of its chunks. Rows with
+    ``removable`` true are the passages that documents of smaller id hold. ``h`` is
+    xxhash64 of the text, which tells texts of one id apart; they are one document and do not
+    repeat one another. Rows without id, null and empty texts have none; repeated rows
+    have theirs once; an empty table gives an empty one.
     """
-    kind = dict(docs.dtypes)["doc_id"]
-    named = bounded(docs).select("doc_id", F.col(text).alias("text")).where(F.col("doc_id").isNotNull() & F.col(text).isNotNull())
-    cut = named.select("doc_id", "text").mapInArrow(_anchorer, f"digest long, doc_id {kind}")
-    # Ends of the range of ids: combined before the shuffle, however often an anchor occurs.
-    shared = cut.groupBy("digest").agg(F.min("doc_id").alias("first_doc"), F.max("doc_id").alias("last")).where(F.col("first_doc") < F.col("last"))
-    wanted = (
-        cut.join(shared.select("digest"), "digest").groupBy("doc_id")
-        .agg(F.collect_set("digest").alias("wanted"))
+    spark, kind = docs.sparkSession, docs.schema["doc_id"].dataType.simpleString()
+    named = bounded(docs).select("doc_id", F.xxhash64(text).alias("h"), F.col(text).alias("text"))
+    named = named.where(F.col("doc_id").isNotNull() & F.col("text").isNotNull())
+    found = named.select("doc_id", "text").mapInArrow(_digests, f"digest long, doc_id {kind}")
+    # Ends of the range of ids: combined before the shuffle, however often a chunk occurs.
+    counted = found.groupBy("digest").agg(F.min("doc_id").alias("first_doc"), F.max("doc_id").alias("last"))
+    several = write_down(counted.where(F.col("first_doc") < F.col("last")).select("digest", "first_doc"), "several").table
+    filter_ = spark.sparkContext.broadcast(_filter(several, bits))
+    places = named.mapInArrow(_occurrences(filter_), f"doc_id {kind}, h long, digest long, start long, end long, first long, last long")
+    # Adaptive execution splits the chunks that very many documents hold.
+    held = places.join(several, "digest")
+    runs = write_down(_runs(held), "runs").table
+    sides = [spark.sparkContext.broadcast(_filter(runs.select(F.col(c).alias("digest")).distinct(), bits)) for c in ("first_digest", "last_digest")]
+    ends = named.mapInArrow(
+        _ends(*sides), f"side int, digest long, bytes binary, doc_id {kind}, h long, start long, size long, closed boolean"
     )
-    around = named.join(wanted, "doc_id").select("doc_id", "text", "wanted").mapInArrow(
-        _surroundings, f"digest long, doc_id {kind}, start int, left string, right string"
-    )
-    ends = around.groupBy("digest").agg(
-        F.min(F.struct("doc_id", "start", "left", "right")).alias("a"), F.max(F.struct("doc_id", "start", "left", "right")).alias("z")
-    ).select(
-        "digest", F.col("a.doc_id").alias("first_doc"), F.col("a.left").alias("first_left"), F.col("a.right").alias("first_right"),
-        F.col("z.doc_id").alias("last"), F.col("z.left").alias("last_left"), F.col("z.right").alias("last_right"),
-    )
-    matched = around.join(ends, "digest").drop("digest").mapInArrow(
-        _matcher, f"doc_id {kind}, start int, end int, first_doc {kind}, below boolean"
-    ).withColumn("length", F.col("end") - F.col("start")).distinct()
-    kinds = F.when(F.col("below"), F.array(F.lit(False), F.lit(True))).otherwise(F.array(F.lit(False)))
-    each = matched.withColumn("removable", F.explode(kinds))
-    order = Window.partitionBy("doc_id", "removable").orderBy("start", "length")
-    before = F.max(F.col("start") + F.col("length")).over(order.rowsBetween(Window.unboundedPreceding, -1))
+    # Repeated rows say the same.
+    grown = _grow(ends).groupBy("doc_id", "h", "side", "start").agg(F.max("grown").alias("grown"), F.max("grown_below").alias("grown_below"))
+
+    def at(side: int, start: str, name: str) -> tuple[DataFrame, list[str]]:
+        named_ = grown.where(F.col("side") == side).select("doc_id", "h", F.col("start").alias(start), F.col("grown").alias(f"{name}_any"), F.col("grown_below").alias(f"{name}_below"))
+        return named_, ["doc_id", "h", start]
+
+    whole = runs.join(*at(0, "start", "before"), "left").join(*at(1, "last_start", "behind"), "left")
+
+    def more(name: str):
+        return F.coalesce(F.when(F.col("removable"), F.col(f"{name}_below")).otherwise(F.col(f"{name}_any")), F.lit(0))
+
+    each = whole.select("doc_id", "h", "removable", (F.col("first") - more("before")).alias("start"), (F.col("last") + more("behind")).alias("end"), "first_doc")
+    order = Window.partitionBy("doc_id", "h", "removable").orderBy("start", "end")
+    before = F.max("end").over(order.rowsBetween(Window.unboundedPreceding, -1))
     fresh = F.when(F.col("start") <= before, 0).otherwise(1)
-    runs = each.withColumn("fresh", fresh).withColumn("run", F.sum("fresh").over(order.rowsBetween(Window.unboundedPreceding, 0)))
-    spans = runs.groupBy("doc_id", "removable", "run").agg(
-        F.min("start").cast("long").alias("start"), F.max(F.col("start") + F.col("length")).cast("long").alias("end"),
-        F.max(F.struct("length", "start", "first_doc"))["first_doc"].alias("first_doc"),
-    )
+    numbered = each.withColumn("fresh", fresh).withColumn("run", F.sum("fresh").over(order.rowsBetween(Window.unboundedPreceding, 0)))
+    spans = numbered.groupBy("doc_id", "h", "removable", "run").agg(F.min("start").alias("start"), F.max("end").alias("end"), F.min("first_doc").alias("first_doc"))
     long_ = spans.where(F.col("end") - F.col("start") >= min_run)
-    return long_.select("doc_id", "removable", "start", (F.col("end") - F.col("start")).alias("length"), "first_doc")
+    return long_.select("doc_id", "h", "removable", "start", (F.col("end") - F.col("start")).alias("length"), "first_doc")
 
 
-def _by_document(spans: DataFrame) -> DataFrame:
+def _by_text(docs: DataFrame, text: str, min_run: int) -> DataFrame:
+    """Every row of ``docs`` as ``row``, with its ``spans`` and ``removed`` ones."""
     place = lambda flag: F.array_sort(F.collect_list(F.when(F.col("removable") == flag, F.struct("start", "length", "first_doc"))))
-    return spans.groupBy(F.col("doc_id").alias("_id")).agg(place(False).alias("_spans"), place(True).alias("_removed"))
+    found = repeated_spans(docs, text, min_run).groupBy("doc_id", "h").agg(place(False).alias("spans"), place(True).alias("removed"))
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")).withColumn("key", F.xxhash64(F.col("row")[text]))
+    return rows.join(found, (F.col("row")["doc_id"] == F.col("doc_id")) & (F.col("key") == F.col("h")), "left").select("row", "spans", "removed")
 
 
 def mark_repeats(docs: DataFrame, text: str = "text", min_run: int = MIN_RUN) -> DataFrame:
     """``doc_id, n_chars, n_repeated, n_removed, spans`` for every row of ``docs``.
 
     ``n_repeated`` counts the code points in repeated passages (``spans``), ``n_removed``
-    those in passages that documents of smaller id hold.
+    those in passages that documents of smaller id hold. Nulls, empty texts and repeated rows
+    as in :func:`repeated_spans`; other columns do not come back.
     """
-    sizes = docs.select("doc_id", F.coalesce(F.length(text), F.lit(0)).cast("long").alias("n_chars"))
-    found = sizes.join(_by_document(repeated_spans(docs, text, min_run)), F.col("doc_id") == F.col("_id"), "left")
+    found = _by_text(docs.select("doc_id", F.col(text).alias("text")), "text", min_run)
     total = lambda spans: F.coalesce(F.aggregate(spans, F.lit(0).cast("long"), lambda s, x: s + x["length"]), F.lit(0))
     return found.select(
-        "doc_id", "n_chars", total("_spans").alias("n_repeated"), total("_removed").alias("n_removed"), F.col("_spans").alias("spans")
-    )
+        F.col("row.doc_id").alias("doc_id"), F.coalesce(F.length("row.text"), F.lit(0)).cast("long").alias("n_chars"),
+        total("spans").alias("n_repeated"), total("removed").alias("n_removed"), "spans",
+    )
 
 
-def _cutter(at: int, names: list[str]):
-    def run(batches):
-        for batch in batches:
-            texts = []
-            for value, spans in zip(batch.column(at).to_pylist(), batch.column(len(batch.schema.names) - 1).to_pylist(), strict=True):
-                for span in reversed(spans or ()):
-                    value = value[: span["start"]] + value[span["start"] + span["length"] :]
-                texts.append(value)
-            columns = dict(zip(batch.schema.names, batch.columns, strict=True)) | {batch.schema.names[at]: pa.array(texts, batch.schema.types[at])}
-            yield pa.RecordBatch.from_arrays([columns[n] for n in names], names)
-
-    return run
+def _cutter(batches):
+    """The text without the removed spans."""
+    for batch in batches:
+        texts = []
+        for value, spans in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            for span in reversed(spans or ()):
+                value = value[: span["start"]] + value[span["start"] + span["length"] :]
+            texts.append(value)
+        yield pa.RecordBatch.from_arrays([pa.array(texts, pa.string()), batch.column(2)], ["kept", "row"])
 
 
 def dedup_substrings(docs: DataFrame, text: str = "text", min_run: int = MIN_RUN) -> DataFrame:
-    """``docs`` without the passages that documents of smaller id hold. All rows stay, and every passage where its id is smallest."""
-    found = _by_document(repeated_spans(docs, text, min_run))
-    marked = docs.join(found.select("_id", "_removed"), F.col("doc_id") == F.col("_id"), "left").select(*docs.columns, "_removed")
-    return marked.mapInArrow(_cutter(docs.columns.index(text), docs.columns), docs.schema)
+    """``docs`` without the passages that documents of smaller id hold. All rows and columns stay, and every passage where its id is smallest.
+
+    Nulls and empty texts stay as they are.
+    """
+    marked = _by_text(docs, text, min_run).select(F.col("row")[text].alias("text"), "removed", "row")
+    kept = marked.mapInArrow(_cutter, f"kept string, row {marked.schema['row'].dataType.simpleString()}")
+    return kept.select(*[F.col("kept").alias(c) if c == text else F.col("row")[c].alias(c) for c in docs.columns])
