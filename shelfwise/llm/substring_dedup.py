@@ -18,21 +18,22 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfwise.llm.batches import bounded
 from shelfwise.llm.words import buffer_of, slabs
-from shelfwise.workspace import write_down
+from shelfwise.workspace import discard, write_down
 
 #: Bytes that the gear hash sees, places of which the smallest hash ends a chunk, and places around an end that hold no other.
 WINDOW, SPAN, CLOSE = 16, 32, 11
 #: Code points of a passage that counts, and bytes of a run whose ends are looked for.
-MIN_RUN, LEAST = 120, 20
+MIN_RUN, LEAST = 120, 28
 #: Bytes beyond a chunk that are compared: behind them another whole chunk would be shared.
 REACH = 128
-#: Bytes of text that are cut at once.
-PIECE = 1 << 20
+#: Bytes of text that are cut at once; their arrays stay in a processor's cache.
+PIECE = 1 << 18
 #: Rows of a block of sorted ends, about, and bits of a filter (16 MB) as a power of two.
 BLOCK_ROWS, FILTER_BITS = 200_000, 27
 _RANDOM = np.random.default_rng(20240611)
@@ -40,13 +41,22 @@ GEAR = _RANDOM.integers(0, 1 << 32, 256, dtype=np.uint32)
 VALUES = _RANDOM.integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _ODD = int(_RANDOM.integers(1 << 62, 1 << 63)) | 1
 _INVERSE = pow(_ODD, -1, 1 << 64)
+_MOST = np.uint32(0xFFFFFFFF)
+#: Bytes inside a character.
+_INSIDE = bytes(range(0x80, 0xC0))
 _SPACES = bytes.maketrans(b"\t\n\x0b\x0c\r", b"     ")
 
 
+_KNOWN: dict[int, np.ndarray] = {}
+
+
 def _powers(base: int, n: int) -> np.ndarray:
-    out = np.full(n, base, np.uint64)
-    out[:1] = 1
-    return np.cumprod(out, dtype=np.uint64)
+    """The first ``n`` powers, remembered as far as they were ever asked for."""
+    if base not in _KNOWN or len(_KNOWN[base]) < n:
+        out = np.full(max(n, 2 * PIECE + 1), base, np.uint64)
+        out[:1] = 1
+        _KNOWN[base] = np.cumprod(out, dtype=np.uint64)
+    return _KNOWN[base][:n]
 
 
 def _slid(values: np.ndarray, take, span: int) -> np.ndarray:
@@ -73,25 +83,29 @@ def chunk_ends(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         hashed = hashed + shifted
         step *= 2
     # The gear hash has its oldest bytes in the high bits only; spread them before comparing.
-    mixed = ((hashed.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(33)) + np.uint64(1)
-    row = np.repeat(np.arange(rows), np.diff(offsets))
-    place = np.arange(n)
-    # Not within the first bytes of a row, and not inside a character.
-    barred = place - offsets[row] < WINDOW - 1
+    mixed = hashed * np.uint32(0x9E3779B1)
+    mixed ^= mixed >> np.uint32(15)
+    mixed = ((mixed * np.uint32(0x85EBCA77)) >> np.uint32(1)) + np.uint32(1)
+    place = np.arange(n, dtype=np.int32)
+    row = np.repeat(np.arange(rows, dtype=np.int32), np.diff(offsets))
+    # Not within the first or last bytes of a row, and not inside a character.
+    barred = (place - offsets[:-1].astype(np.int32)[row] < WINDOW - 1) | (offsets[1:].astype(np.int32)[row] - place <= CLOSE)
     barred[:-1] |= (data[1:] & 0xC0) == 0x80
-    mixed[barred] = np.uint64(1 << 32)
+    mixed[barred] = _MOST
     # Rows are set apart by zeros: a window that crosses them has no smallest place.
-    apart = np.zeros(n + (rows - 1) * SPAN, np.uint64)
-    at = place + row * SPAN
+    at = place + row * np.int32(SPAN) if rows > 1 else slice(0, n)
+    apart = np.zeros(n + (rows - 1) * SPAN, np.uint32)
     apart[at] = mixed
-    edge = np.zeros(SPAN - 1, np.uint64)
+    edge = np.zeros(SPAN - 1, np.uint32)
     # The smallest place of some window is no smaller than the greatest of its windows' smallest.
     most = _slid(np.concatenate([edge, _slid(apart, np.minimum, SPAN), edge]), np.maximum, SPAN)
+    found = np.flatnonzero((mixed <= most[at]) & ~barred)
     # Of places close together the smallest stays, so that no chunk is tiny.
-    apart[apart == 0] = np.uint64(1 << 32)
-    edge = np.full(CLOSE, 1 << 32, np.uint64)
+    apart[apart == 0] = _MOST
+    edge = np.full(CLOSE, _MOST, np.uint32)
     near = _slid(np.concatenate([edge, apart, edge]), np.minimum, 2 * CLOSE + 1)
-    return np.union1d(np.flatnonzero((mixed <= most[at]) & (mixed <= near[at]) & ~barred) + 1, limits)
+    ends = found[mixed[found] <= near[at][found]] + 1
+    return np.union1d(ends, limits)
 
 
 class Chunks:
@@ -206,18 +220,23 @@ def _occurrences(shared):
     return run
 
 
-def _ends(firsts, lasts):
+def _ends(firsts, lasts, runs=None):
     """Bytes around the chunks that begin or end a run somewhere, from the chunk outward, the chunk included.
 
-    White space is a blank there, and so is the end of a text (``closed``). Side 0 is read backwards.
+    White space is a blank there, and so is the end of a text (``closed``). Side 0 is read
+    backwards. With ``runs``, a filter of the ends of runs, only they come.
     """
 
     def run(batches):
         filters = (firsts.value, lasts.value)
         for batch in batches:
+            texts_of = batch.column(1).to_numpy()
             for data, offsets, found in _pieces(batch, 2):
                 for side, filter_ in enumerate(filters):
                     at = np.flatnonzero(_may_be(filter_, found.digest))
+                    if runs:
+                        begin = found.start[at] - offsets[found.row[at]]
+                        at = at[_may_be(runs.value, _end_keys(texts_of[found.row[at]], begin, side))]
                     for some in np.array_split(at, len(at) // 20_000 + 1):
                         rows = found.row[some]
                         low = np.maximum(found.start[some] - (0 if side else REACH), offsets[rows])
@@ -238,6 +257,20 @@ def _ends(firsts, lasts):
     return run
 
 
+def _end_keys(h: np.ndarray, start: np.ndarray, side: int) -> np.ndarray:
+    """A hash of text, place and side, for the filter of run ends."""
+    x = (h.astype(np.int64).view(np.uint64) + start.astype(np.uint64) * np.uint64(2) + np.uint64(side)) * np.uint64(0x9E3779B97F4A7C15)
+    x ^= x >> np.uint64(31)
+    x *= np.uint64(0xD6E8FEB86659FD93)
+    return (x ^ (x >> np.uint64(32))).view(np.int64)
+
+
+def _keyed_ends(batches):
+    for batch in batches:
+        h, first, last = (batch.column(i).to_numpy() for i in range(3))
+        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([_end_keys(h, first, 0), _end_keys(h, last, 1)]))], ["digest"])
+
+
 def _agree(a: bytes, b: bytes) -> int:
     """Length of the common beginning."""
     n = min(len(a), len(b))
@@ -263,12 +296,13 @@ class Stack:
     def __init__(self, key=None, text: bytes = b"", entries=()):
         self.key, self.text, self.entries = key, text, [list(e) for e in entries]
 
-    def move(self, key, text: bytes) -> None:
-        """Go on to the next text."""
+    def move(self, key, text: bytes, common: int | None = None) -> None:
+        """Go on to the next text; ``common`` says how many bytes it shares with the last one, if that is known."""
         if key != self.key:
             self.key, self.text, self.entries = key, text, []
             return
-        common = _agree(self.text, text)
+        if common is None:
+            common = _agree(self.text, text)
         low = high = None
         while self.entries and self.entries[-1][0] >= common:
             _, a, z = self.entries.pop()
@@ -277,14 +311,14 @@ class Stack:
             self.entries.append([common, low, high])
         self.text = text
 
-    def add(self, doc) -> None:
-        """Note the document of the present text."""
-        size = len(self.text)
+    def add(self, low, high=None) -> None:
+        """Note the document of the present text, or those of smallest and greatest id."""
+        size, high = len(self.text), low if high is None else high
         if self.entries and self.entries[-1][0] == size:
             top = self.entries[-1]
-            top[1], top[2] = min(top[1], doc), max(top[2], doc)
+            top[1], top[2] = min(top[1], low), max(top[2], high)
         else:
-            self.entries.append([size, doc, doc])
+            self.entries.append([size, low, high])
 
     def longest(self, doc) -> tuple[int, int]:
         """Most bytes shared with another document, and with one of smaller id."""
@@ -302,18 +336,19 @@ def _sorted(table: pa.Table) -> pa.Table:
 
 
 def _edges(table: pa.Table) -> pa.Table:
-    """The stack behind a block in either direction, as if nothing came before, and whether the block has one chunk only."""
+    """The stack behind a block in either direction, as if nothing came before. Only the texts of its last chunk matter."""
     table = _sorted(table)
-    sides, digests, texts, docs = (table[c].to_pylist() for c in ("side", "digest", "bytes", "doc_id"))
+    sides, digests = (table[c].to_numpy() for c in ("side", "digest"))
+    texts, lows, highs = table["bytes"], table["low"], table["high"]
     out = []
-    for order in (range(len(texts)), range(len(texts) - 1, -1, -1)):
+    for end, step in ((len(sides) - 1, 1), (0, -1)):
+        mine = np.flatnonzero((sides == sides[end]) & (digests == digests[end]))
         stack = Stack()
-        for i in order:
-            stack.move((sides[i], digests[i]), texts[i])
-            stack.add(docs[i])
-        last = order[-1]
-        out.append((order.step > 0, sides[last], digests[last], texts[last], stack.entries))
-    kind = table.schema.field("doc_id").type
+        for text, low, high in list(zip(*(c.take(pa.array(mine)).to_pylist() for c in (texts, lows, highs))))[::step]:
+            stack.move("", text)
+            stack.add(low, high)
+        out.append((step > 0, sides[end], digests[end], stack.text, stack.entries))
+    kind = table.schema.field("low").type
     n = len(out)
     return pa.table({
         "block": pa.array([table["block"][0].as_py()] * n, pa.int32()), "forward": pa.array([x[0] for x in out]),
@@ -353,56 +388,90 @@ def _cut(text: bytes, common: int, size: int) -> int:
     return (common if blank < 0 else blank + 1) - size
 
 
+def _commons(texts: pa.Array) -> np.ndarray:
+    """For each text how many bytes it shares with the one before; 0 for the first."""
+    texts = texts.combine_chunks() if isinstance(texts, pa.ChunkedArray) else texts
+    lengths = pc.binary_length(texts).to_numpy()
+    out = np.zeros(len(texts), np.int64)
+    for begin in range(0, len(texts), 20_000):
+        some = texts[max(0, begin - 1) : begin + 20_000]
+        size = lengths[max(0, begin - 1) : begin + 20_000]
+        rows = np.zeros((len(some), int(size.max(initial=0)) + 1), np.uint8)
+        inside = np.arange(rows.shape[1]) < size[:, None]
+        rows[inside] = np.frombuffer(b"".join(some.to_pylist()), np.uint8)
+        differ = (rows[1:] != rows[:-1]) | ~inside[1:] | ~inside[:-1]
+        out[max(1, begin) : begin + 20_000] = differ.argmax(axis=1)
+    return out
+
+
 def _grown(shared):
-    """For each end: code points by which a run grows there (or shrinks), against any and against smaller ids; null if none agrees."""
+    """For each end: code points by which a run grows there (or shrinks).
+
+    ``grown`` against any other document and ``grown_below`` against smaller ids, for the
+    smallest id that has this end; ``grown_alike`` for all others, which agree with that one.
+    Null where nothing agrees.
+    """
 
     def run(table: pa.Table) -> pa.Table:
         table = _sorted(table)
         forward, backward = shared.value
         block = table["block"][0].as_py()
-        sides, digests, texts, docs, sizes, closed = (table[c].to_pylist() for c in ("side", "digest", "bytes", "doc_id", "size", "closed"))
+        commons = _commons(table["bytes"]).tolist()
+        texts, lows, highs, sizes, closed = (table[c].to_pylist() for c in ("bytes", "low", "high", "size", "closed"))
+        keys = list(zip(table["side"].to_pylist(), table["digest"].to_pylist()))
         n = len(texts)
-        best = [[0, 0] for _ in range(n)]
-        for order, carried in ((range(n), forward), (range(n - 1, -1, -1), backward)):
-            stack = Stack()
+        alike = list(map(len, texts))
+        others, belows = [size if low != high else 0 for size, low, high in zip(alike, lows, highs)], [0] * n
+        for way, carried in ((1, forward), (-1, backward)):
+            stack, first = Stack(), 0 if way > 0 else n - 1
             if block in carried:
                 key, text, entries = carried[block]
                 side, _, digest = key.partition(":")
                 stack = Stack((int(side), int(digest)), text, entries)
-            for i in order:
-                stack.move((sides[i], digests[i]), texts[i])
-                found = stack.longest(docs[i])
-                best[i] = [max(x, y) for x, y in zip(best[i], found)]
-                stack.add(docs[i])
+            for i in range(n) if way > 0 else range(n - 1, -1, -1):
+                stack.move(keys[i], texts[i], None if i == first else commons[i] if way > 0 else commons[i + 1])
+                other, below = stack.longest(lows[i])
+                if other > others[i]:
+                    others[i] = other
+                if below > belows[i]:
+                    belows[i] = below
+                stack.add(lows[i], highs[i])
         grown = []
-        for which in (0, 1):
+        for best in (others, belows, alike):
             values = []
-            for i in range(n):
-                if best[i][which] < sizes[i]:  # a chunk that only looked shared
+            for common, size, text, at_end in zip(best, sizes, texts, closed):
+                if common < size:  # a chunk that only looked shared
                     values.append(None)
                     continue
-                more = _cut(texts[i], best[i][which], sizes[i])
-                part = texts[i][sizes[i] : sizes[i] + more] if more > 0 else texts[i][sizes[i] + more : sizes[i]]
+                more = _cut(text, common, size)
                 # bytes that begin a character; the blank for the end of a text is none
-                points = sum((b & 0xC0) != 0x80 for b in part)
-                ended = closed[i] and more > 0 and sizes[i] + more == len(texts[i])
-                values.append(points - ended if more > 0 else -points)
+                if more > 0:
+                    values.append(len(text[size : size + more].translate(None, _INSIDE)) - (at_end and size + more == len(text)))
+                else:
+                    values.append(-len(text[size + more : size].translate(None, _INSIDE)))
             grown.append(pa.array(values, pa.int64()))
-        return pa.table([table["doc_id"], table["h"], table["side"], table["start"], *grown], ["doc_id", "h", "side", "start", "grown", "grown_below"])
+        return pa.table([table["digest"], table["around"], table["low"], *grown], ["digest", "around", "low", "grown", "grown_below", "grown_alike"])
 
     return run
 
 
 def _runs(held: DataFrame) -> DataFrame:
     """Runs of neighbouring shared chunks of each text, of all chunks and (``removable``) of those that smaller ids hold."""
-    kinds = F.when(F.col("first_doc") < F.col("doc_id"), F.array(F.lit(False), F.lit(True))).otherwise(F.array(F.lit(False)))
-    each = held.withColumn("removable", F.explode(kinds))
-    order = Window.partitionBy("doc_id", "h", "removable").orderBy("start")
+    order = Window.partitionBy("doc_id", "h").orderBy("start")
+    past = order.rowsBetween(Window.unboundedPreceding, -1)
+    below = F.col("first_doc") < F.col("doc_id")
     # Chunks of a text do not overlap; those of repeated rows lie on one another.
-    fresh = F.when(F.col("start") <= F.lag("end").over(order), 0).otherwise(1)
-    numbered = each.withColumn("fresh", fresh).withColumn("run", F.sum("fresh").over(order.rowsBetween(Window.unboundedPreceding, 0)))
+    marked = held.withColumns({
+        "any_fresh": F.when(F.col("start") <= F.lag("end").over(order), 0).otherwise(1),
+        "below_fresh": F.when(~below | (F.col("start") <= F.max(F.when(below, F.col("end"))).over(past)), 0).otherwise(1),
+    })
+    upto = order.rowsBetween(Window.unboundedPreceding, 0)
+    counted = marked.withColumns({"any_run": F.sum("any_fresh").over(upto), "below_run": F.sum("below_fresh").over(upto)})
+    one = lambda flag, run: F.struct(F.lit(flag).alias("removable"), F.col(run).alias("run"))
+    kinds = F.when(below, F.array(one(False, "any_run"), one(True, "below_run"))).otherwise(F.array(one(False, "any_run")))
+    each = counted.withColumn("kind", F.explode(kinds)).select("*", "kind.removable", "kind.run")
     place = F.struct("start", "digest")
-    runs = numbered.groupBy("doc_id", "h", "removable", "run").agg(
+    runs = each.groupBy("doc_id", "h", "removable", "run").agg(
         F.min(place).alias("a"), F.max(place).alias("z"), F.max("end").alias("end"), F.min("first").alias("first"), F.max("last").alias("last"),
         F.min("first_doc").alias("first_doc"),
     )
@@ -414,20 +483,32 @@ def _runs(held: DataFrame) -> DataFrame:
 
 
 def _grow(ends: DataFrame) -> DataFrame:
-    """``doc_id, h, side, start, grown, grown_below`` of all rows of ``ends``."""
+    """``digest, around, low, grown, grown_below, grown_alike`` for every end with the bytes around it, once however many documents have it."""
     spark = ends.sparkSession
-    order = ["side", "digest", "bytes", "doc_id", "h", "start"]
-    ends = write_down(ends, "ends").table
-    blocks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), ends.count() // BLOCK_ROWS + 1)
-    laid = ends.repartitionByRange(blocks, *order).sortWithinPartitions(*order)
-    laid = write_down(laid.select("*", F.spark_partition_id().alias("block"), F.monotonically_increasing_id().alias("place")), "sorted-ends").table
-    kind = laid.schema["doc_id"].dataType.simpleString()
+    order = ["side", "digest", "bytes", "closed"]
+    once = ends.groupBy(*order).agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"), F.max("size").alias("size"))
+    once = write_down(once, "ends")
+    blocks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), once.table.count() // BLOCK_ROWS + 1)
+    laid = once.table.repartitionByRange(blocks, *order).sortWithinPartitions(*order)
+    laid = laid.select("*", _around().alias("around"), F.spark_partition_id().alias("block"), F.monotonically_increasing_id().alias("place"))
+    laid = write_down(laid, "sorted-ends")
+    discard(spark, once.path)
+    kind = laid.table.schema["low"].dataType.simpleString()
     schema = f"block int, forward boolean, first_key string, last_key string, bytes binary, lengths array<int>, lows array<{kind}>, highs array<{kind}>"
     # One stack a block and direction, of at most as many entries as bytes are compared.
-    edges = sorted(laid.groupBy("block").applyInArrow(_edges, schema).collect(), key=lambda r: r["block"])
+    edges = sorted(laid.table.groupBy("block").applyInArrow(_edges, schema).collect(), key=lambda r: r["block"])
     carried = tuple(_carried([e for e in edges if e["forward"] == way], way) for way in (True, False))
     shared = spark.sparkContext.broadcast(carried)
-    return laid.groupBy("block").applyInArrow(_grown(shared), f"doc_id {kind}, h long, side int, start long, grown long, grown_below long")
+    grown = laid.table.groupBy("block").applyInArrow(
+        _grown(shared), f"digest long, around long, low {kind}, grown long, grown_below long, grown_alike long"
+    )
+    done = write_down(grown, "grown").table
+    discard(spark, laid.path)
+    return done
+
+
+def _around():
+    return F.xxhash64("side", "digest", "bytes", "closed")
 
 
 def repeated_spans(docs: DataFrame, text: str = "text", min_run: int = MIN_RUN, bits: int = FILTER_BITS) -> DataFrame:
@@ -448,29 +529,34 @@ def repeated_spans(docs: DataFrame, text: str = "text", min_run: int = MIN_RUN,
     found = named.select("doc_id", "text").mapInArrow(_digests, f"digest long, doc_id {kind}")
     # Ends of the range of ids: combined before the shuffle, however often a chunk occurs.
     counted = found.groupBy("digest").agg(F.min("doc_id").alias("first_doc"), F.max("doc_id").alias("last"))
-    several = write_down(counted.where(F.col("first_doc") < F.col("last")).select("digest", "first_doc"), "several").table
+    several, several_path = write_down(counted.where(F.col("first_doc") < F.col("last")).select("digest", "first_doc"), "several")
     filter_ = spark.sparkContext.broadcast(_filter(several, bits))
     places = named.mapInArrow(_occurrences(filter_), f"doc_id {kind}, h long, digest long, start long, end long, first long, last long")
     # Adaptive execution splits the chunks that very many documents hold.
     held = places.join(several, "digest")
     runs = write_down(_runs(held), "runs").table
-    sides = [spark.sparkContext.broadcast(_filter(runs.select(F.col(c).alias("digest")).distinct(), bits)) for c in ("first_digest", "last_digest")]
-    ends = named.mapInArrow(
-        _ends(*sides), f"side int, digest long, bytes binary, doc_id {kind}, h long, start long, size long, closed boolean"
-    )
-    # Repeated rows say the same.
-    grown = _grow(ends).groupBy("doc_id", "h", "side", "start").agg(F.max("grown").alias("grown"), F.max("grown_below").alias("grown_below"))
-
-    def at(side: int, start: str, name: str) -> tuple[DataFrame, list[str]]:
-        named_ = grown.where(F.col("side") == side).select("doc_id", "h", F.col("start").alias(start), F.col("grown").alias(f"{name}_any"), F.col("grown_below").alias(f"{name}_below"))
-        return named_, ["doc_id", "h", start]
-
-    whole = runs.join(*at(0, "start", "before"), "left").join(*at(1, "last_start", "behind"), "left")
-
-    def more(name: str):
-        return F.coalesce(F.when(F.col("removable"), F.col(f"{name}_below")).otherwise(F.col(f"{name}_any")), F.lit(0))
-
-    each = whole.select("doc_id", "h", "removable", (F.col("first") - more("before")).alias("start"), (F.col("last") + more("behind")).alias("end"), "first_doc")
+    discard(spark, several_path)
+    share = spark.sparkContext.broadcast
+    sides = [share(_filter(runs.select(F.col(c).alias("digest")), bits)) for c in ("first_digest", "last_digest")]
+    schema = f"side int, digest long, bytes binary, doc_id {kind}, h long, start long, size long, closed boolean"
+    grown = _grow(named.mapInArrow(_ends(*sides), schema))
+    own = share(_filter(runs.select("h", "start", "last_start").mapInArrow(_keyed_ends, "digest long"), bits))
+    mine = named.mapInArrow(_ends(*sides, own), schema).select("doc_id", "h", "side", "start", "digest", _around().alias("around"))
+    edges = F.inline(F.array(
+        F.struct(F.lit(0).alias("side"), F.col("start").alias("at"), F.col("first_digest").alias("digest")),
+        F.struct(F.lit(1).alias("side"), F.col("last_start").alias("at"), F.col("last_digest").alias("digest")),
+    ))
+    sought = runs.select("doc_id", "h", "removable", "first", "last", "first_doc", "start", edges).withColumnRenamed("start", "run")
+    seen = mine.select(F.col("doc_id").alias("d"), F.col("h").alias("t"), F.col("side").alias("s"), F.col("start").alias("b"), "around")
+    same = (F.col("doc_id") == F.col("d")) & (F.col("h") == F.col("t")) & (F.col("side") == F.col("s")) & (F.col("at") == F.col("b"))
+    known = sought.join(seen, same, "left").drop("d", "t", "s", "b")
+    told = known.join(grown, ["digest", "around"], "left")
+    first = F.when(F.col("removable"), F.col("grown_below")).otherwise(F.col("grown"))
+    more = F.coalesce(F.when(F.col("doc_id") == F.col("low"), first).otherwise(F.col("grown_alike")), F.lit(0))
+    each = told.groupBy("doc_id", "h", "removable", "run").agg(
+        F.min(F.when(F.col("side") == 0, F.col("first") - more)).alias("start"), F.max(F.when(F.col("side") == 1, F.col("last") + more)).alias("end"),
+        F.min("first_doc").alias("first_doc"),
+    ).drop("run")
     order = Window.partitionBy("doc_id", "h", "removable").orderBy("start", "end")
     before = F.max("end").over(order.rowsBetween(Window.unboundedPreceding, -1))
     fresh = F.when(F.col("start") <= before, 0).otherwise(1)
