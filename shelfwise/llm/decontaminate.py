@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shelfwise.llm.batches import bounded
+from shelfwise.llm.own_columns import keeping
 from shelfwise.llm.suffixes import find, keys_of, spread, suffix_array
 from shelfwise.llm.words import ALNUM, buffer_of, slabs, word_hashes
 from shelfwise.workspace import discard, write_down
@@ -180,6 +181,8 @@ def _blocks(benchmark: DataFrame, item_id: str, text: str, block_chars: int):
 
 _ADDED = "n_words long, n_hit long, items array<string>, longest_words long, longest_at long, longest_item string, contaminated boolean, _bits binary"
 
+ADDED = tuple(column.split()[0] for column in _ADDED.split(", "))
+
 
 def find_contamination(
     docs: DataFrame, benchmark: DataFrame, text: str = "text", item_id: str = "item_id", item_text: str = "text",
@@ -197,6 +200,11 @@ def find_contamination(
     or item has no words; a null item id counts as the empty string; repeated rows are
     judged alike; an empty benchmark hits nothing.
     """
+    if "_bits" in docs.columns:  # the one column that only works here
+        found = [c for c in docs.columns if c in ADDED and c != "_bits"]
+        rest = docs.drop(*found)
+        told = [c for c in ADDED if c != "_bits"]
+        return keeping(rest, ["_bits"], lambda d: find_contamination(d, benchmark, text, item_id, item_text, window, block_chars), told)
     added = T.StructType.fromDDL(_ADDED)
     out, before, again = bounded(docs).drop(*added.names), None, False
     schema = T.StructType([*out.schema.fields, *added.fields])
@@ -216,6 +224,9 @@ def find_contamination(
     return out.drop("_bits")
 
 
-def decontaminate(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
-    """The documents that hold no window of the benchmark, with their own columns."""
-    return find_contamination(docs, benchmark, **options).where(~F.col("contaminated")).select(docs.columns)
+def decontaminate(docs: DataFrame, benchmark: DataFrame, text: str = "text", **options) -> DataFrame:
+    """The documents that hold no window of the benchmark, with their own columns, whatever their names."""
+    if text in ADDED:  # the text under another name, for the columns that are added
+        renamed = docs.withColumnRenamed(text, "_text")
+        return decontaminate(renamed, benchmark, "_text", **options).withColumnRenamed("_text", text)
+    return keeping(docs, ADDED, lambda d: find_contamination(d, benchmark, text, **options).where(~F.col("contaminated")))
