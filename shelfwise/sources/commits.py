@@ -180,6 +180,27 @@ def replace(df: DataFrame, path: str, partition_by: Sequence[str] = (), **facts:
     return done
 
 
+def swap_in(spark: SparkSession, path: str, write: Callable[[str], None]) -> None:
+    """Replace a plain folder that others read by its path: written beside it, then renamed.
+
+    While ``write`` runs, and if it fails, the old folder stays. A job that dies between the
+    two renames leaves the old folder beside the path, as ``<path>._old-<id>``.
+    """
+    mark = uuid.uuid4().hex[:12]
+    fresh, old = f"{path.rstrip('/')}._new-{mark}", f"{path.rstrip('/')}._old-{mark}"
+    try:
+        write(fresh)
+    except BaseException:
+        _delete(spark, fresh)
+        raise
+    files, target = _files(spark, path)
+    if files.exists(target) and not files.rename(target, _files(spark, old)[1]):
+        raise OSError(f"{path} cannot be replaced")
+    if not files.rename(_files(spark, fresh)[1], target):
+        raise OSError(f"{fresh} cannot be renamed to {path}")
+    _delete(spark, old)
+
+
 def commit_set(spark: SparkSession, root: str, parts: Mapping[str, Entry | None], **facts: Any) -> Entry:
     """Tables below ``root`` that count together; None stands for one that is absent on purpose.
 

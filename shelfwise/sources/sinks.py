@@ -65,7 +65,9 @@ def submission(recommendations: DataFrame, top_n: int = 100) -> DataFrame:
 
 
 def write_submission(recommendations: DataFrame, path: str, top_n: int = 100) -> None:
-    submission(recommendations, top_n).write.mode("overwrite").csv(path, header=True)
+    """The file that is handed in; an earlier one stays until this one is complete."""
+    rows = submission(recommendations, top_n)
+    commits.swap_in(rows.sparkSession, path, lambda folder: rows.write.csv(folder, header=True))
 
 
 def write_metrics(metrics: DataFrame, path: str) -> None:
@@ -76,7 +78,7 @@ def write_metrics(metrics: DataFrame, path: str) -> None:
     rows = sorted((r["metric"], r["value"]) for r in metrics.select("metric", "value").collect())
     schema = ", ".join(f"{ticked(name)} double" for name, _ in rows)
     wide = metrics.sparkSession.createDataFrame([tuple(value for _, value in rows)], schema)
-    wide.coalesce(1).write.mode("overwrite").json(path)
+    commits.swap_in(metrics.sparkSession, path, lambda folder: wide.coalesce(1).write.json(folder))
 
 
 def table_key(settings: Mapping[str, Any]) -> str:

@@ -198,3 +198,17 @@ def test_features_refuse_an_unfinished_split(spark, logs, monkeypatch):
         jobs.features_job(spark, f"{logs}/s", f"{logs}/raw/items", f"{logs}/f", jobs.FeatureSettings(shards=2))
     with pytest.raises(FileNotFoundError):
         jobs.prepare(spark, f"{logs}/s", f"{logs}/cache", jobs.TrainSettings())
+
+
+def test_a_submission_that_fails_leaves_the_old_one(spark, tmp_path):
+    path = str(tmp_path / "sub")
+    rows = spark.createDataFrame([(1, 1, 20, 0.9)], "user_id bigint, rank int, item_id bigint, score double")
+    sinks.write_submission(rows, path)
+    before = spark.read.csv(path, header=True).collect()
+    broken = rows.withColumn("item_id", F.raise_error(F.lit("lost")).cast("long"))
+    with pytest.raises(Exception, match="lost"):
+        sinks.write_submission(broken, path)
+    assert spark.read.csv(path, header=True).collect() == before
+    sinks.write_submission(rows.withColumn("item_id", F.lit(7).cast("long")), path)
+    assert [r[1] for r in spark.read.csv(path, header=True).collect()] == ["7"]
+    assert os.listdir(tmp_path) == ["sub"]
