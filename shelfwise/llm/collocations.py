@@ -288,7 +288,15 @@ def mine_phrases(
     return scored.join(totals.table, "lang").select("lang", "phrase", "a", "l", "r", "n", "score")
 
 
-def best_phrases(phrases: DataFrame, top: int = 2000) -> DataFrame:
-    """The first ``top`` phrases of each language with their ``rank``: by score, count, then the bytes of the phrase."""
-    order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
-    return phrases.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top).withColumn("rank", F.col("rank").cast("long"))
+def best_phrases(phrases: DataFrame, top: int = 2000, parts: int = 64) -> DataFrame:
+    """The first ``top`` phrases of each language with their ``rank``: by score, count, then the bytes of the phrase.
+
+    They are chosen in ``parts`` of a language first, so that at most ``parts * top`` rows of one meet.
+    """
+
+    def first(rows: DataFrame, *group: str) -> DataFrame:
+        order = Window.partitionBy(*group).orderBy(F.desc("score"), F.desc("a"), "phrase")
+        return rows.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top)
+
+    dealt = phrases.withColumn("_part", F.pmod(F.xxhash64("phrase"), F.lit(parts)))
+    return first(first(dealt, "lang", "_part").drop("rank", "_part"), "lang").withColumn("rank", F.col("rank").cast("long"))
