@@ -27,6 +27,23 @@ def user_metrics(predictions: DataFrame, truth: DataFrame, ks: Sequence[int]) ->
     pairs = ranked.unionByName(wanted).groupBy("user_id", "item_id").agg(
         F.expr("min(rank) AS rank"), F.expr("max(wanted) AS wanted")
     )
+    return _per_user(pairs, ks, "n_ranked > 0 AND n_truth > 0")
+
+
+def shared_list_metrics(listed: DataFrame, truth: DataFrame, ks: Sequence[int]) -> DataFrame:
+    """:func:`user_metrics` of one list, ``(rank, item_id)``, that every user with truth is shown.
+
+    The list is a top-N and is sent to the true pairs, so it is never unfolded per user;
+    what a task holds follows from its pairs. If nothing is listed every user has 0.
+    """
+    ranks = listed.groupBy(F.col("item_id").alias("_listed")).agg(F.expr("CAST(min(rank) AS INT) AS rank"))
+    wanted = truth.select("user_id", "item_id").distinct().withColumn("wanted", F.lit(1))
+    pairs = wanted.join(F.broadcast(ranks), F.col("item_id").eqNullSafe(F.col("_listed")), "left")
+    return _per_user(pairs, ks, "n_truth > 0")
+
+
+def _per_user(pairs: DataFrame, ks: Sequence[int], kept: str) -> DataFrame:
+    """Metrics of the ``kept`` users from ``(user_id, item_id, rank, wanted)``, one row per pair."""
     sums = ["count(rank) AS n_ranked", "count_if(wanted = 1) AS n_truth"]
     means = []
     for k in ks:
@@ -35,13 +52,22 @@ def user_metrics(predictions: DataFrame, truth: DataFrame, ks: Sequence[int]) ->
         sums.append(f"sum(CASE WHEN {found} THEN 1D / log2(rank + 1) ELSE 0D END) AS dcg_{k}")
         means.append(f"hits_{k} / n_truth AS recall_at_{k}")
         means.append(f"dcg_{k} / {_ideal(k)} AS ndcg_at_{k}")
-    users = pairs.groupBy("user_id").agg(*map(F.expr, sums)).where("n_ranked > 0 AND n_truth > 0")
+    users = pairs.groupBy("user_id").agg(*map(F.expr, sums)).where(kept)
     return users.selectExpr("user_id", "n_truth", *means)
 
 
 def evaluate(predictions: DataFrame, truth: DataFrame, ks: Sequence[int]) -> DataFrame:
     """``(metric, value)``: recall@k and NDCG@k averaged over users; 0 without users."""
+    return _averages(user_metrics(predictions, truth, ks), ks)
+
+
+def evaluate_shared(listed: DataFrame, truth: DataFrame, ks: Sequence[int]) -> DataFrame:
+    """:func:`evaluate` of one list that every user with truth is shown."""
+    return _averages(shared_list_metrics(listed, truth, ks), ks)
+
+
+def _averages(users: DataFrame, ks: Sequence[int]) -> DataFrame:
     names = [f"{m}_at_{k}" for k in ks for m in ("recall", "ndcg")]
-    means = user_metrics(predictions, truth, ks).agg(*[F.expr(f"coalesce(avg({n}), 0D) AS {n}") for n in names])
+    means = users.agg(*[F.expr(f"coalesce(avg({n}), 0D) AS {n}") for n in names])
     rows = ", ".join(f"named_struct('metric', '{n}', 'value', {n})" for n in names)
     return means.selectExpr(f"inline(array({rows}))")
