@@ -24,6 +24,8 @@ SAMPLE_ITEMS = 20_000
 DIRECTIONS = 1024
 LEVELS = 4
 ROUNDS = 12
+# Numbers by row and block that a worker holds at a time.
+BOUND_ENTRIES = 1_000_000
 
 
 @dataclass(frozen=True)
@@ -73,11 +75,17 @@ def _directions(items: DataFrame, wanted: int) -> np.ndarray:
     return centres
 
 
+def _pieces(batches, blocks: int):
+    """The batches in pieces whose rows times ``blocks`` are bounded, without empty ones."""
+    rows = max(1, BOUND_ENTRIES // max(1, blocks))
+    for batch in batches:
+        for start in range(0, batch.num_rows, rows):
+            yield batch.slice(start, rows)
+
+
 def _assign(centres: np.ndarray):
     def run(batches):
-        for batch in batches:
-            if not batch.num_rows:
-                continue
+        for batch in _pieces(batches, len(centres)):
             rows = batch.column(1).flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(batch.num_rows, -1)
             length = np.linalg.norm(rows, axis=1)
             found = rows / np.where(length > 0, length, 1)[:, None] @ centres.T
@@ -141,9 +149,7 @@ def _first(shared, n: int):
 
     def run(batches):
         cones = shared.value
-        for batch in batches:
-            if not batch.num_rows:
-                continue
+        for batch in _pieces(batches, len(cones.rows)):
             bounds = np.where(cones.rows > 0, cones.bounds(_vectors(batch.column(1))), -np.inf)
             order = np.argsort(-bounds, axis=1, kind="stable")
             enough = (np.cumsum(cones.rows[order], axis=1) < n).sum(axis=1) + 1
@@ -161,9 +167,7 @@ def _reachable(shared):
 
     def run(batches):
         cones = shared.value
-        for batch in batches:
-            if not batch.num_rows:
-                continue
+        for batch in _pieces(batches, len(cones.rows)):
             bounds = np.where(cones.rows > 0, cones.bounds(_vectors(batch.column(1))), -np.inf)
             seen = batch.column(3).to_pylist()
             least = batch.column(4).to_numpy(zero_copy_only=False)

@@ -12,9 +12,10 @@ from pyspark.sql import functions as F
 from shelfwise.operators.cones import asking, cone_blocks, grouped, in_cells
 from shelfwise.workspace import write_down
 
-# Vector entries per side of a grid cell, and score-matrix entries held at a time inside it.
+# Vector entries per side of a grid cell, list entries that leave it, and scores or converted entries held at a time inside it.
 CELL_ENTRIES = 16_000_000
-SCORE_ENTRIES = 8_000_000
+LIST_ENTRIES = 2_000_000
+SCORE_ENTRIES = 1_000_000
 
 
 def top_n(scores: DataFrame, n: int) -> DataFrame:
@@ -75,47 +76,86 @@ def with_fallback(users: DataFrame, known: DataFrame, popular: DataFrame, user_m
 
 
 def _cell_top(n: int, width: int):
-    """Best ``n`` items of a grid cell for each of its users, by one matrix product per slice.
+    """Best ``n`` items of a grid cell for each of its users, by matrix products of slices of both sides.
+
+    Vectors stay as they came; only the slices at work are converted. A product may differ
+    in its last bits with the shape of a slice, so it only finds candidates: their scores
+    are summed again in the order of the entries, and equal vectors score alike in all cells.
 
     The function that runs in the workers refers to nothing in this package, so that they
     need not have it installed.
     """
     entries = SCORE_ENTRIES
 
-    def matrix(table: pa.Table, key: str) -> np.ndarray:
-        vectors = table.column("vector").combine_chunks()
-        widths = vectors.value_lengths().to_numpy(zero_copy_only=False)
-        odd = np.flatnonzero(~(widths == width))
-        if len(odd):
-            raise ValueError(f"{key} {table.column(key)[int(odd[0])].as_py()} has no vector of {width} entries")
-        values = vectors.flatten().to_numpy(zero_copy_only=False)
-        if np.isnan(values).any():
-            bad = int(np.flatnonzero(np.isnan(values.reshape(table.num_rows, -1)).any(1))[0])
-            raise ValueError(f"{key} {table.column(key)[bad].as_py()} has a vector with missing entries")
-        return values.astype(np.float64, copy=False).reshape(table.num_rows, -1)
+    def matrices(table: pa.Table, key: str) -> list[np.ndarray]:
+        """The vectors as the batches hold them, without a copy."""
+        found = []
+        for batch in table.select([key, "vector"]).to_batches():
+            vectors = batch.column(1)
+            odd = np.flatnonzero(~(vectors.value_lengths().to_numpy(zero_copy_only=False) == width))
+            if len(odd):
+                raise ValueError(f"{key} {batch.column(0)[int(odd[0])].as_py()} has no vector of {width} entries")
+            values = vectors.flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, width)
+            if np.isnan(values).any():
+                bad = int(np.flatnonzero(np.isnan(values).any(1))[0])
+                raise ValueError(f"{key} {batch.column(0)[bad].as_py()} has a vector with missing entries")
+            found.append(values)
+        return found
+
+    def slices(parts: list[np.ndarray], rows: int):
+        """First row and vectors of every slice, in double precision."""
+        first = 0
+        for part in parts:
+            for start in range(0, len(part), rows):
+                yield first + start, part[start : start + rows].astype(np.float64, copy=False)
+            first += len(part)
+
+    def exact(left: np.ndarray, right: np.ndarray, rows: np.ndarray, columns: np.ndarray) -> np.ndarray:
+        out, step = np.empty(len(rows)), max(1, entries // width)
+        for start in range(0, len(rows), step):
+            at = slice(start, start + step)
+            out[at] = np.cumsum(left[rows[at]] * right[columns[at]], axis=1)[:, -1]
+        return out
 
     def best(users: pa.Table, items: pa.Table) -> pa.Table:
         schema = pa.schema([("user_id", pa.int64()), ("item_id", pa.int64()), ("score", pa.float64())])
         if not users.num_rows or not items.num_rows:
             return schema.empty_table()
-        item_ids = items.column("item_id").to_numpy()
-        by_id = np.argsort(item_ids, kind="stable")
-        item_ids, item_vectors = item_ids[by_id], matrix(items, "item_id")[by_id]
-        user_ids, user_vectors = users.column("user_id").to_numpy(), matrix(users, "user_id")
+        user_ids, item_ids = users.column("user_id").to_numpy(), items.column("item_id").to_numpy()
+        user_parts, item_parts = matrices(users, "user_id"), matrices(items, "item_id")
         k = min(n, len(item_ids))
-        step = max(1, entries // len(item_ids))
-        out = ([], [], [])
-        for start in range(0, len(user_ids), step):
-            scores = user_vectors[start : start + step] @ item_vectors.T
-            floor = np.partition(scores, -k, axis=1)[:, -k]
-            for row, least in enumerate(floor):
+        user_step = max(1, min(256, entries // width))
+        item_step = max(1, min(entries // user_step, entries // width))
+        longest = max(float(np.linalg.norm(part, axis=1).max()) for _, part in slices(item_parts, item_step))
+        out_ids, out_scores = np.empty((len(user_ids), k), item_ids.dtype), np.empty((len(user_ids), k))
+        for first, left in slices(user_parts, user_step):
+            # Neither a product nor a bound taken from products is off by more than this.
+            slack = 4 * (width + 1) * np.finfo(float).eps * longest * np.linalg.norm(left, axis=1)
+            rows, ids, scores = np.empty(0, np.int64), np.empty(0, item_ids.dtype), np.empty(0)
+            least = np.full(len(left), -np.inf)
+            for start, right in slices(item_parts, item_step):
+                product = left @ right.T
+                if len(right) > k and np.isneginf(least).any():
+                    least = np.maximum(least, np.partition(product, -k, axis=1)[:, -k])
+                row, column = np.divmod(np.flatnonzero(~(product < (least - slack)[:, None])), len(right))
+                if not len(row):
+                    continue
+                rows = np.concatenate([rows, row])
+                ids = np.concatenate([ids, item_ids[start + column]])
+                scores = np.concatenate([scores, exact(left, right, row, column)])
                 # All items at the k-th score compete, so ties fall to the lower id.
-                near = np.flatnonzero(scores[row] >= least)
-                near = near[np.argsort(-scores[row, near], kind="stable")][:k]
-                out[0].append(np.full(len(near), user_ids[start + row]))
-                out[1].append(item_ids[near])
-                out[2].append(scores[row, near])
-        return pa.Table.from_arrays([pa.array(np.concatenate(part)) for part in out], schema=schema)
+                order = np.lexsort((ids, -scores, rows))
+                each = np.bincount(rows, minlength=len(left))
+                starts = np.cumsum(each) - each
+                order = order[np.arange(len(rows)) - np.repeat(starts, each) < k]
+                rows, ids, scores = rows[order], ids[order], scores[order]
+                full = each >= k
+                ends = np.cumsum(np.minimum(each, k)) - 1
+                least = np.where(full, scores[np.where(full, ends, 0)], -np.inf)
+            out_ids[first : first + len(left)] = ids.reshape(-1, k)
+            out_scores[first : first + len(left)] = scores.reshape(-1, k)
+        columns = [np.repeat(user_ids, k), out_ids.reshape(-1), out_scores.reshape(-1)]
+        return pa.Table.from_arrays([pa.array(c) for c in columns], schema=schema)
 
     return best
 
@@ -173,7 +213,9 @@ def dot_top_n(
         raise ValueError(f"bounds are 'cones' or 'norms', not {bounds!r}")
     (user_rows, _), (item_rows, width) = _size(user_vectors), _size(item_vectors)
     cell_rows = cell_rows or max(1, CELL_ENTRIES // width)
-    across, down = (max(1, math.ceil(rows / cell_rows)) for rows in (user_rows, item_rows))
+    # A cell's lists count too: many short vectors with long lists would outgrow it.
+    group_rows = min(cell_rows, max(1, LIST_ENTRIES // max(1, min(n, item_rows))))
+    across, down = max(1, math.ceil(user_rows / group_rows)), max(1, math.ceil(item_rows / cell_rows))
     # Spare parallelism is taken from the user side, which does not add rows to the result.
     cores = user_vectors.sparkSession.sparkContext.defaultParallelism
     across = max(across, min(math.ceil(cores / down), max(1, user_rows // 256)))
@@ -193,7 +235,7 @@ def dot_top_n(
         return top_n(scored(users.withColumn("_i", F.lit(0)), items.withColumn("_i", F.lit(0))), n)
 
     if bounds == "cones":
-        return _cone_top_n(users.drop("_u"), items, n, width, cell_rows)
+        return _cone_top_n(users.drop("_u"), items, n, width, cell_rows, group_rows)
 
     placed, tops, cells = _item_blocks(items, down, cell_rows)
     placed = write_down(placed, "item-blocks").table
@@ -220,12 +262,12 @@ def _whole(vectors: DataFrame, key: str, width: int) -> DataFrame:
     return vectors.withColumn("vector", checked)
 
 
-def _cone_top_n(users: DataFrame, items: DataFrame, n: int, width: int, cell_rows: int) -> DataFrame:
+def _cone_top_n(users: DataFrame, items: DataFrame, n: int, width: int, cell_rows: int, group_rows: int) -> DataFrame:
     """Users meet the cells of their most promising cones, then those that the ``n``-th score does not rule out."""
     placed, cones = cone_blocks(_whole(items, "item_id", width), cell_rows)
     placed = write_down(placed, "item-cells").table
     shown = write_down(asking(_whole(users, "user_id", width), cones, n), "first-cones").table
-    shown = write_down(grouped(shown, cones, cell_rows), "grouped-users").table
+    shown = write_down(grouped(shown, cones, group_rows), "grouped-users").table
 
     def scored(asked: DataFrame) -> DataFrame:
         """An item is copied to the groups of users that ask its cell, and no others."""
