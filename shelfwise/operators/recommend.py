@@ -235,7 +235,7 @@ def dot_top_n(
         return top_n(scored(users.withColumn("_i", F.lit(0)), items.withColumn("_i", F.lit(0))), n)
 
     if bounds == "cones":
-        return _cone_top_n(users.drop("_u"), items, n, width, cell_rows, group_rows)
+        return _cone_top_n(users.drop("_u"), items, n, width, cell_rows, min(group_rows, math.ceil(user_rows / across)))
 
     placed, tops, cells = _item_blocks(items, down, cell_rows)
     placed = write_down(placed, "item-blocks").table
